@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 from pathlib import Path
 
@@ -69,7 +70,8 @@ def read_source_table(
 def read_seed(spark: SparkSession, name: str, folder: str | None = None) -> DataFrame:
     """A static dimension from its CSV file."""
     base = Path(folder) if folder else Path(__file__).resolve().parent.parent / "seeds"
-    rows = [line.split(",") for line in (base / f"{name}.csv").read_text().splitlines()[1:] if line]
+    with (base / f"{name}.csv").open(newline="") as f:
+        rows = list(csv.reader(f))[1:]
     fields = [f.split() for f in SEED_SCHEMAS[name].split(", ")]
     typed = [
         tuple(float(v) if kind == "double" else v for v, (_, kind) in zip(r, fields)) for r in rows
