@@ -1,6 +1,6 @@
 """All registered queries; importing this package fills the registry."""
 
-from tallyframe.catalog import base, relational
+from tallyframe.catalog import base, functions, relational
 from tallyframe.catalog.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES", "base"]

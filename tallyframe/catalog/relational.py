@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from tallyframe.catalog.base import AS_OF, Data, add, query
 from tallyframe.checks import expect, generic
 from tallyframe.operators import asof, ordered, setops, tables
-from tallyframe.operators.latest import latest_by
+from tallyframe.operators.latest import apply_cdc, deduplicate, latest_by
 from tallyframe.operators.quantiles import approx_quantiles, exact_quantiles
-from tallyframe.plans import marts, monitoring, staging
+from tallyframe.plans import marts, monitoring
+from tallyframe.sources import domain
 
 D = "::DOUBLE"
 T_AS_OF = f"TIMESTAMP '{AS_OF}'"
@@ -125,10 +126,9 @@ add(
 )
 add(
     "join_08_anti",
-    lambda d: generic.relationships_where(d.stg_tx, "merchant_id", d.merchants, "merchant_id"),
-    """SELECT t.merchant_id AS missing_key, count(*) AS n_records FROM stg_transactions t
-      WHERE t.merchant_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM merchants m WHERE m.merchant_id = t.merchant_id)
-      GROUP BY 1""",
+    lambda d: generic.relationships_where(d.repay, "transaction_id", d.stg_tx, "transaction_id"),
+    """SELECT r.transaction_id AS missing_key, count(*) AS n_records FROM repayments r
+      WHERE NOT EXISTS (SELECT 1 FROM stg_transactions t WHERE t.transaction_id = r.transaction_id) GROUP BY 1""",
 )
 add(
     "join_09_semi",
@@ -231,20 +231,12 @@ def _spine(d: Data):
 
 add(
     "join_16_dedup_by_key",
-    lambda d: tables_dedup(d),
+    lambda d: deduplicate(d.tx, ["user_id"], [F.desc("created_at"), F.desc("transaction_id")]).select(
+        "user_id", "transaction_id", "created_at"
+    ),
     """SELECT user_id, transaction_id, created_at FROM (SELECT *, row_number() OVER (PARTITION BY user_id
       ORDER BY created_at DESC, transaction_id DESC) AS rn FROM transactions) WHERE rn = 1""",
 )
-
-
-def tables_dedup(d: Data):
-    from tallyframe.operators.latest import deduplicate
-
-    return deduplicate(d.tx, ["user_id"], [F.desc("created_at"), F.desc("transaction_id")]).select(
-        "user_id", "transaction_id", "created_at"
-    )
-
-
 add(
     "join_17_scalar_lookup",
     lambda d: asof.asof_join(
@@ -306,9 +298,6 @@ add(
     SELECT user_id, sum(amount)::DOUBLE AS active_exposure FROM ev WHERE rn = 1 AND op <> 'd' GROUP BY 1""")
 def _exposure_latest(d: Data):
     """The mode that counts each record once: newest version first, then the sum."""
-    from tallyframe.operators.latest import apply_cdc
-    from tallyframe.sources import domain
-
     now = apply_cdc(d.versions, domain.REPAYMENT_KEYS, domain.REPAYMENT_VERSION_ORDER)
     return now.groupBy("user_id").agg(F.sum("amount").cast("decimal(38,2)").alias("active_exposure"))
 
@@ -576,8 +565,10 @@ SYM_DIFF = """SELECT 'a_minus_b' AS which_diff, {c} FROM ({a} EXCEPT {b}) UNION
   SELECT 'b_minus_a', {c} FROM ({b} EXCEPT {a})"""
 add(
     "set_03_except_both_ways",
-    lambda d: setops.except_both_ways(d.tx.select("user_id"), d.users.select("user_id")),
-    SYM_DIFF.format(c="user_id", a="SELECT user_id FROM transactions", b="SELECT user_id FROM users"),
+    lambda d: setops.except_both_ways(d.stg_tx.select("transaction_id"), d.repay.select("transaction_id")),
+    SYM_DIFF.format(
+        c="transaction_id", a="SELECT transaction_id FROM stg_transactions", b="SELECT transaction_id FROM repayments"
+    ),
 )
 add(
     "set_04_except_value_counts",

@@ -168,7 +168,7 @@ def url_path(url: Column) -> Column:
     bare = F.regexp_replace(url, "http://|https://", "")
     slash = F.instr(bare, "/")
     cut = F.when(slash > 0, slash).otherwise(F.instr(bare, "?") - 1)
-    rest = F.when(cut >= 0, F.substring(bare, cut + 1, F.length(bare))).otherwise(F.lit(""))
+    rest = F.when(cut >= 0, F.substring(bare, cut + 1, F.length(bare))).otherwise(bare)
     return F.split_part(rest, F.lit("?"), F.lit(1))
 
 
