@@ -50,7 +50,7 @@ def epoch_days_to_date(c: Column) -> Column:
 
 def text_or_days_to_date(c: Column) -> Column:
     """A date sent as ISO text or as a day number."""
-    return F.coalesce(c.try_cast("date"), epoch_days_to_date(c.try_cast("int")))
+    return F.when(c.rlike("^-?[0-9]+$"), epoch_days_to_date(c.try_cast("int"))).otherwise(c.try_cast("date"))
 
 
 def year_month(c: Column) -> Column:

@@ -105,7 +105,8 @@ def installment_events(schedules: DataFrame) -> DataFrame:
     return schedules.select(
         "schedule_id", "transaction_id", "user_id", F.col("total_amount").cast("string").alias("total_amount"),
         "installment_count",
-        (F.col("total_amount") / n).cast("decimal(12,2)").cast("string").alias("installment_amount"),
+        # whole cents, rounded down
+        (F.floor(F.col("total_amount") * 100 / n) / 100).cast("decimal(12,2)").cast("string").alias("installment_amount"),
         F.col("start_date").cast("string").alias("start_date"),
         F.unix_date(F.add_months("start_date", n)).cast("string").alias("end_date"),
         "status", _micros("created_at").alias("created_at"),
