@@ -471,8 +471,9 @@ add(
 def _running(d: Data):
     src = d.tx.select("user_id", "created_at", "transaction_id", "amount")
     order = ["created_at", "transaction_id"]
-    up = ordered.with_running_sum(src, ["user_id"], order, "amount", "running_asc")
-    both = ordered.with_running_sum(up, ["user_id"], order, "amount", "running_desc", descending=True)
+    hot = ordered.hot_groups(src, ["user_id"], order[0])
+    up = ordered.with_running_sum(src, ["user_id"], order, "amount", "running_asc", hot=hot)
+    both = ordered.with_running_sum(up, ["user_id"], order, "amount", "running_desc", descending=True, hot=hot)
     return both.select("transaction_id", "running_asc", "running_desc")
 
 

@@ -1,19 +1,21 @@
 """Ordered look-back over groups of any size.
 
 A plain ``lag`` or running sum over ``partitionBy(key)`` puts a hot key in one task, and without a
-key the whole table. Here a group above ``rows_per_segment`` rows is cut into consecutive segments of
-its order column. The window runs inside each segment, and a small table with one row per segment
-carries the value across its edge. Both sides of that join are exact: segment bounds come from the
-group's own count, minimum and maximum, so a recomputed task gets the same segments.
-
-At most ``MAX_SEGMENTS`` groups can be hot, because hot means more than ``1 / MAX_SEGMENTS`` of all
-rows; the tables of hot groups and of segment edges therefore never exceed about twice that many
-rows, which is what makes broadcasting them safe at any scale.
+key the whole table. So a narrow count per group runs first. Where no group is above
+``rows_per_segment`` rows, the plain window is safe and is used. Otherwise each hot group is cut into
+consecutive segments of its order column: the window runs inside each segment, and a small table with
+one row per segment carries the value across its edge. Segment bounds come from the group's own
+minimum, maximum and count, so a recomputed task gets the same segments.
+
+At most ``MAX_SEGMENTS`` hot groups are listed, the largest first; a group left out holds less than
+``1 / MAX_SEGMENTS`` of all rows. Hot groups share at most about twice that many segments, so both
+broadcast tables have a fixed bound at any scale.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -48,42 +50,43 @@ def _null_safe(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str
     return cond
 
 
-def _segmented(
-    df: DataFrame, keys: Sequence[str], order_col: str, rows_per_segment: int
-) -> DataFrame:
-    """Add ``_segment``: NULL for ordinary groups, 0..n in order for hot ones."""
+@dataclass(frozen=True)
+class HotGroups:
+    """Groups too large for one task: a bounded list of (keys..., rows, lowest, highest position)."""
+
+    rows: list[tuple]
+    schema: T.StructType
+    per_segment: float
+
+
+def hot_groups(
+    df: DataFrame, keys: Sequence[str], order_col: str, rows_per_segment: int = ROWS_PER_SEGMENT
+) -> HotGroups:
+    """Find them with one count per group, combined on the map side; only the list is collected."""
     pos = _position(df, order_col)
-    stats = [F.count(F.lit(1)).alias("_n"), F.min(pos).alias("_lo"), F.max(pos).alias("_hi")]
-
-    def bucket(n: Column, lo: Column, hi: Column, per: Column) -> Column:
-        parts = F.ceil(n / per)
-        share = F.try_divide(pos - lo, hi - lo)
-        raw = F.coalesce(F.floor(share * parts), F.lit(0))
-        return F.least(raw, parts - 1).cast("int")
-
-    if not keys:
-        s = df.agg(F.struct(*stats).alias("s")).scalar()
-        per = F.greatest(F.lit(float(rows_per_segment)), s["_n"] / MAX_SEGMENTS)
-        return df.withColumn(_SEG, F.when(s["_n"] > per, bucket(s["_n"], s["_lo"], s["_hi"], per)))
-
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    per = F.greatest(F.lit(float(rows_per_segment)), total / MAX_SEGMENTS)
-    hot = (
-        df.groupBy(*[F.col(k).alias(f"_hot_{i}") for i, k in enumerate(keys)])
-        .agg(*stats)
-        .withColumn("_per", per)
-        .where(F.col("_n") > F.col("_per"))
-    )
-    joined = df.join(
-        F.broadcast(hot), _null_safe(df, hot, [(k, f"_hot_{i}") for i, k in enumerate(keys)]), "left"
+    stats = df.groupBy(*[F.col(k).alias(f"_hot_{i}") for i, k in enumerate(keys)]).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(pos).alias("_lo"), F.max(pos).alias("_hi")
     )
-    return joined.withColumn(
-        _SEG,
-        F.when(
-            F.col("_n").isNotNull(),
-            bucket(F.col("_n"), F.col("_lo"), F.col("_hi"), F.col("_per")),
-        ),
-    ).select(*df.columns, _SEG)
+    large = stats.where(F.col("_n") > rows_per_segment).orderBy(F.desc("_n")).limit(MAX_SEGMENTS)
+    rows = [tuple(r) for r in large.collect()]
+    total = sum(r[len(keys)] for r in rows)
+    return HotGroups(rows, stats.schema, max(float(rows_per_segment), total / MAX_SEGMENTS))
+
+
+def _segmented(df: DataFrame, keys: Sequence[str], order_col: str, hot: HotGroups) -> DataFrame:
+    """Add ``_segment``: NULL for ordinary groups, 0..n in order for hot ones."""
+    pos = _position(df, order_col)
+    listed = df.sparkSession.createDataFrame(hot.rows, hot.schema)
+    pairs = [(k, f"_hot_{i}") for i, k in enumerate(keys)]
+    if keys:
+        joined = df.join(F.broadcast(listed), _null_safe(df, listed, pairs), "left")
+    else:
+        (n, lo, hi), = hot.rows
+        joined = df.withColumns({"_n": F.lit(n), "_lo": F.lit(lo), "_hi": F.lit(hi)})
+    parts = F.ceil(F.col("_n") / hot.per_segment)
+    share = F.try_divide(pos - F.col("_lo"), F.col("_hi") - F.col("_lo"))
+    slot = F.least(F.coalesce(F.floor(share * parts), F.lit(0)), parts - 1).cast("int")
+    return joined.withColumn(_SEG, F.when(F.col("_n").isNotNull(), slot)).select(*df.columns, _SEG)
 
 
 def _carry(
@@ -111,11 +114,14 @@ def _scan(
     out: str,
     rows_per_segment: int,
     descending: bool = False,
+    hot: HotGroups | None = None,
 ) -> DataFrame:
-    seg = _segmented(df, keys, order[0], rows_per_segment)
+    hot = hot_groups(df, keys, order[0], rows_per_segment) if hot is None else hot
     by = [F.col(o).desc() if descending else F.col(o).asc() for o in order]
-    w = Window.partitionBy(*keys, _SEG).orderBy(*by)
-    local = seg.withColumn("_local", inside(w))
+    if not hot.rows:
+        return df.withColumn(out, inside(Window.partitionBy(*keys).orderBy(*by)))
+    seg = _segmented(df, keys, order[0], hot)
+    local = seg.withColumn("_local", inside(Window.partitionBy(*keys, _SEG).orderBy(*by)))
     carry = _carry(seg, keys, edge, fold, descending)
     pairs = [(k, f"_edge_{i}") for i, k in enumerate(keys)]
     cond = _null_safe(local, carry, pairs) & (local[_SEG] == carry["_edge_seg"])
@@ -134,10 +140,12 @@ def with_previous(
     out: str = "_prev",
     descending: bool = False,
     rows_per_segment: int = ROWS_PER_SEGMENT,
+    hot: HotGroups | None = None,
 ) -> DataFrame:
     """Add ``out``: a struct of ``values`` of the row before, NULL on a group's first row.
 
-    ``order`` must be a total order inside a group for a repeatable answer.
+    ``order`` must be a total order inside a group for a repeatable answer. ``hot`` takes the result of
+    :func:`hot_groups` over this frame or a larger one, where that is known already.
     """
     value = F.struct(*values)
     rank = F.struct(*order)
@@ -148,13 +156,15 @@ def with_previous(
         edge=edge,
         fold=lambda c, w: F.lag(c).over(w),
         combine=lambda local, carried: F.coalesce(local, carried),
-        out=out, rows_per_segment=rows_per_segment, descending=descending,
+        out=out, rows_per_segment=rows_per_segment, descending=descending, hot=hot,
     )
 
 
-def with_next(df, keys, order, values, out="_next", rows_per_segment=ROWS_PER_SEGMENT) -> DataFrame:
+def with_next(
+    df, keys, order, values, out="_next", rows_per_segment=ROWS_PER_SEGMENT, hot: HotGroups | None = None
+) -> DataFrame:
     """Mirror of :func:`with_previous`: the row after, NULL on a group's last row."""
-    return with_previous(df, keys, order, values, out, True, rows_per_segment)
+    return with_previous(df, keys, order, values, out, True, rows_per_segment, hot)
 
 
 def with_last_known(
@@ -189,6 +199,7 @@ def with_running_sum(
     out: str = "running",
     descending: bool = False,
     rows_per_segment: int = ROWS_PER_SEGMENT,
+    hot: HotGroups | None = None,
 ) -> DataFrame:
     """Add ``out``: the sum of ``value`` from the group's first row to this one."""
     return _scan(
@@ -201,5 +212,5 @@ def with_running_sum(
         combine=lambda local, carried: F.when(carried.isNull(), local)
         .when(local.isNull(), carried)
         .otherwise(local + carried),
-        out=out, rows_per_segment=rows_per_segment, descending=descending,
+        out=out, rows_per_segment=rows_per_segment, descending=descending, hot=hot,
     )

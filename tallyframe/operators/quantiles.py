@@ -15,15 +15,29 @@ def exact_quantiles(
     column: str,
     probs: dict[str, float],
     group_by: Sequence[str] = (),
-    rows_per_segment: int = ROWS_PER_SEGMENT,
+    max_values: int = ROWS_PER_SEGMENT,
 ) -> DataFrame:
     """Interpolated quantiles, one column per ``{name: q}``.
 
-    The built-in ``percentile`` keeps every distinct value of a group in one task. Here rows are
-    first counted per value, ranks come from a segmented running sum, and the value at each rank is
-    a conditional minimum, so no group has to fit anywhere.
+    The built-in ``percentile`` keeps every distinct value of a group in one task. A sketch of the
+    distinct counts runs first; while the largest group stays below ``max_values`` the built-in is
+    used. Beyond that rows are counted per value, ranks come from a segmented running sum, and the
+    value at each rank is a conditional minimum, so no group has to fit anywhere.
     """
     group = list(group_by)
+    sizes = df.groupBy(*group).agg(F.approx_count_distinct(column).alias("n"))
+    largest = sizes.agg(F.max("n")).first()[0] or 0
+    if largest <= max_values:
+        names, qs = list(probs), F.array(*[F.lit(float(q)) for q in probs.values()])
+        found = df.groupBy(*group).agg(F.percentile(column, qs).alias("_q"))
+        present = found.where(F.col("_q").isNotNull()) if group else found
+        return present.select(*group, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+    return _ranked_quantiles(df, column, probs, group, max_values)
+
+
+def _ranked_quantiles(
+    df: DataFrame, column: str, probs: dict[str, float], group: list[str], rows_per_segment: int
+) -> DataFrame:
     counts = (
         df.where(F.col(column).isNotNull())
         .groupBy(*group, F.col(column).cast("double").alias("_value"))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.operators.asof import asof_join
-from tallyframe.operators.ordered import ROWS_PER_SEGMENT, with_next, with_previous
+from tallyframe.operators.ordered import ROWS_PER_SEGMENT, hot_groups, with_next, with_previous
 
 
 def scd2_check(
@@ -84,12 +84,13 @@ def scd2_from_log(
     """
     flagged = log.withColumn("_deleted", F.col(op) == "d")
     state = [*check_cols, "_deleted"]
-    prev = with_previous(flagged, keys, order, state, "_before", rows_per_segment=rows_per_segment)
+    hot = hot_groups(flagged, keys, order[0], rows_per_segment)
+    prev = with_previous(flagged, keys, order, state, "_before", hot=hot)
     same = F.col("_before").isNotNull()
     for c in state:
         same = same & F.col(c).eqNullSafe(F.col("_before")[c])
     starts = prev.where(~same).drop("_before")
-    spans = with_next(starts, keys, order, [at], "_after", rows_per_segment=rows_per_segment)
+    spans = with_next(starts, keys, order, [at], "_after", hot=hot)
     return spans.where(~F.col("_deleted")).select(
         *keys, *check_cols, F.col(at).alias("valid_from"), F.col("_after")[at].alias("valid_to")
     )

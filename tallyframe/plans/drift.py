@@ -34,13 +34,21 @@ def drift_scores(
     names: Sequence[str] = FEATURE_NAMES,
 ) -> DataFrame:
     """Shift of the median in interquartile ranges of the baseline, with the flag."""
-    b = feature_quartiles(baseline, names).select(
-        "feature_name", F.col("median").alias("baseline_median"), (F.col("q3") - F.col("q1")).alias("_iqr")
+    sides = _long(baseline, names).withColumn("_side", F.lit("b")).unionByName(
+        _long(current, names).withColumn("_side", F.lit("c"))
+    )
+    quartiles = exact_quantiles(
+        sides, "value", {"q1": 0.25, "median": 0.5, "q3": 0.75}, ["_side", "feature_name"]
+    )
+    base, cur = F.col("_side") == "b", F.col("_side") == "c"
+    per_feature = quartiles.groupBy("feature_name").agg(
+        F.max(F.when(base, F.col("median"))).alias("baseline_median"),
+        F.max(F.when(base, F.col("q3") - F.col("q1"))).alias("_iqr"),
+        F.max(F.when(cur, F.col("median"))).alias("current_median"),
     )
-    c = feature_quartiles(current, names).select("feature_name", F.col("median").alias("current_median"))
     shift = F.abs(F.col("current_median") - F.col("baseline_median"))
     score = F.coalesce(F.try_divide(shift, F.col("_iqr")), F.lit(0.0))
-    return b.join(c, "feature_name").select(
+    return per_feature.where("baseline_median is not null and current_median is not null").select(
         "feature_name", score.alias("drift_score"),
         F.when(score > threshold, 1).otherwise(0).alias("is_drifted"),
         "baseline_median", "current_median", measured_at.alias("measured_at"),

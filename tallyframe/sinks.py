@@ -49,11 +49,13 @@ def rewrite_touched(
     The merged partitions are written to a staging folder first and then replace the old ones, so
     no plan overwrites what it reads and a failed job leaves the table as it was.
     """
-    old = read_table(spark, target)
-    if old is None:
+    found = read_table(spark, target)
+    if found is None:
         _write(merge(incoming.limit(0), incoming), target, partition_by, "overwrite")
         return
-    refuse_schema_change(incoming, old.select(*incoming.columns))
+    refuse_schema_change(incoming.drop(*partition_by), found.drop(*partition_by))
+    # partition values come from folder names; the given schema keeps their type
+    old = spark.read.schema(incoming.schema).parquet(target)
     touched = incoming.select(*partition_by).distinct()
     # partition values are few, so this semi join prunes partitions at run time
     kept = old.select(*incoming.columns).join(F.broadcast(touched), list(partition_by), "left_semi")
