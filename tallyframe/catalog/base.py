@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tallyframe.plans import features as feat
 from tallyframe.plans import marts, staging
-from tallyframe.session import tune
+from tallyframe.session import shared_path, tune
 from tallyframe.sources import domain, tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,11 +108,18 @@ class Data:
         return feat.compute_features(self.stg_tx, self.repay, self.schedules, AS_OF)
 
     @cached_property
-    def history(self) -> DataFrame:
+    def computed_history(self) -> DataFrame:
         return feat.compute_feature_history(
             self.stg_tx, self.repay, self.schedules, SNAPSHOTS, hours=HISTORY_HOURS
         )
 
+    @cached_property
+    def history(self) -> DataFrame:
+        """The feature table as its readers see it: computed once, stored, and read back."""
+        path = shared_path(self.spark, "feature-history")
+        self.computed_history.write.parquet(path)
+        return self.spark.read.parquet(path)
+
     @cached_property
     def requests(self) -> DataFrame:
         """Every transaction asks for its user's features; one in fifty gives no time."""

@@ -52,7 +52,7 @@ add(
       'v2' AS feature_version FROM users""",
 )
 add("feat_11_compute_features", lambda d: d.features, feature_sql("features"))
-add("feat_12_feature_history", lambda d: d.history, feature_sql("feature_history"))
+add("feat_12_feature_history", lambda d: d.computed_history, feature_sql("feature_history"))
 
 
 @query(

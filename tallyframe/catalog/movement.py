@@ -154,9 +154,9 @@ def _delete_insert(d: Data):
 
 @query("snk_04_merge_features", feature_sql("feature_history"))
 def _merge(d: Data):
-    path = shared_path(d.spark, "snk04")
-    stale = d.history.where("user_id % 3 = 0").withColumn("tx_velocity_7d", F.lit(-1))
-    for part in (stale, d.history):
+    path, rows = shared_path(d.spark, "snk04"), d.history
+    stale = rows.where("user_id % 3 = 0").withColumn("tx_velocity_7d", F.lit(-1))
+    for part in (stale, rows):
         sinks.merge_features(d.spark, part, path)
     return d.spark.read.parquet(path).drop("valid_day")
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.functions.calendar import date_diff
 from tallyframe.functions.scalars import share
+from tallyframe.operators.joins import left_join_many
 
 MONEY = "decimal(15,2)"
 
@@ -60,16 +61,19 @@ def repayment_timeline(repay: DataFrame, tx: DataFrame, as_of: Column) -> DataFr
 
 
 def user_credit_history(tx: DataFrame, repay: DataFrame) -> DataFrame:
+    """Every transaction with all its repayments; one transaction may have very many."""
     r = repay.select(
         "transaction_id", "repayment_id",
         F.col("amount").alias("repayment_amount"),
         F.col("status").alias("repayment_status"),
         "due_date", "paid_at",
     )
-    return tx.join(r, "transaction_id", "left").select(
+    t = tx.select(
         "user_id", "transaction_id", F.col("amount").alias("tx_amount"),
         F.col("status").alias("tx_status"), "merchant_id", F.col("created_at").alias("tx_date"),
-        "repayment_id", "repayment_amount", "repayment_status", "due_date", "paid_at",
+    )
+    return left_join_many(t, r, ["transaction_id"]).select(
+        *t.columns, "repayment_id", "repayment_amount", "repayment_status", "due_date", "paid_at",
     )
 
 
