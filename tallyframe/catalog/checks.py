@@ -172,13 +172,14 @@ add(
 
 
 @query(
-    "gt_15_sequential_days",
-    """SELECT day, p AS previous_day FROM (SELECT day, lag(day) OVER (ORDER BY day) AS p FROM
-      (SELECT DISTINCT created_at::DATE AS day FROM transactions WHERE merchant_id % 20 = 3)) WHERE NOT (day = p + 1)""",
+    "gt_15_sequential_minutes",
+    """SELECT slot, p AS previous_slot FROM (SELECT slot, lag(slot) OVER (ORDER BY slot) AS p FROM
+      (SELECT DISTINCT date_trunc('minute', created_at)::TIMESTAMP AS slot FROM app_events))
+      WHERE NOT (slot = p + INTERVAL 1 MINUTE)""",
 )
-def _days(d: Data):
-    days = d.tx.where("merchant_id % 20 = 3").select(F.to_date("created_at").alias("day")).distinct()
-    return generic.sequential_values(days, "day", datepart="day")
+def _slots(d: Data):
+    slots = d.events.select(F.date_trunc("minute", "created_at").cast("timestamp_ntz").alias("slot")).distinct()
+    return generic.sequential_values(slots, "slot", datepart="minute")
 
 
 add(
@@ -507,12 +508,11 @@ add(
       WHERE metric_period >= TIMESTAMP '2024-01-31' - INTERVAL 20 DAY AND metric_period < TIMESTAMP '2024-01-31'
       AND NOT ((v - a) / nullif(s, 0) >= -1.5 AND (v - a) / nullif(s, 0) <= 1.5)""",
 )
-SLOTS = """WITH b AS (SELECT date_trunc('{u}', min(created_at))::TIMESTAMP AS lo, date_trunc('{u}', max(created_at))::TIMESTAMP AS hi
-    FROM app_events WHERE user_id = 7),
-  s AS (SELECT unnest(generate_series(lo, hi, INTERVAL {n} {u})) AS date_slot, hi FROM b)
-  SELECT date_slot, 0 AS row_cnt FROM s WHERE date_slot < hi AND NOT EXISTS (SELECT 1 FROM app_events e
-    WHERE e.user_id = 7 AND e.created_at >= s.date_slot AND e.created_at < s.date_slot + INTERVAL {n} {u})"""
-add("ex_67_data_every_hour", lambda d: expect.data_every_n_datepart(d.events, "created_at", "hour", row_condition="user_id = 7"),
-    SLOTS.format(u="hour", n=1))
-add("ex_67_data_every_6_hours", lambda d: expect.data_every_n_datepart(d.events, "created_at", "hour", 6, row_condition="user_id = 7"),
-    SLOTS.format(u="hour", n=6))
+SLOTS = """WITH b AS (SELECT date_trunc('minute', min(created_at))::TIMESTAMP AS lo, date_trunc('minute', max(created_at))::TIMESTAMP AS hi
+    FROM app_events),
+  s AS (SELECT unnest(generate_series(lo, hi, INTERVAL {n} MINUTE)) AS date_slot, hi, lo FROM b),
+  used AS (SELECT DISTINCT lo + to_minutes((date_diff('minute', lo, date_trunc('minute', created_at)::TIMESTAMP) // {n}) * {n}) AS slot
+    FROM app_events, b)
+  SELECT date_slot, 0 AS row_cnt FROM s WHERE date_slot < hi AND date_slot NOT IN (SELECT slot FROM used)"""
+add("ex_67_data_every_minute", lambda d: expect.data_every_n_datepart(d.events, "created_at", "minute"), SLOTS.format(n=1))
+add("ex_67_data_every_5_minutes", lambda d: expect.data_every_n_datepart(d.events, "created_at", "minute", 5), SLOTS.format(n=5))

@@ -12,7 +12,6 @@ from tallyframe.functions.scalars import clamp_far_future
 from tallyframe.operators import asof
 from tallyframe.plans import drift, features
 from tallyframe.plans.features import FEATURE_NAMES
-from tallyframe.plans.marts import risk_dashboard
 from tallyframe.sources import changes
 
 T_AS_OF = f"TIMESTAMP '{AS_OF}'"
@@ -416,16 +415,16 @@ add(
 )
 
 
-@query(
-    "dq_22_risk_no_gaps",
-    """SELECT date_diff('day', min(d), max(d)) + 1 - count(DISTINCT d) AS missing_days FROM
-      (SELECT created_at::DATE AS d FROM stg_transactions WHERE merchant_id = 7)""",
+GAP_SQL = """SELECT date_diff('day', min(d), max(d)) + 1 - count(DISTINCT d) AS missing_days FROM ({src})
+  HAVING date_diff('day', min(d), max(d)) + 1 - count(DISTINCT d) > 0"""
+add(
+    "dq_22_risk_no_gaps", lambda d: missing_days(d.risk, "date"),
+    GAP_SQL.format(src="SELECT date AS d FROM risk"),
+)
+add(
+    "dq_22_matched_settlement_gaps", lambda d: missing_days(d.recon.where("status = 'matched'"), "settlement_date"),
+    GAP_SQL.format(src="SELECT settlement_date AS d FROM recon WHERE status = 'matched'"),
 )
-def _gaps(d: Data):
-    """Days without a row for one merchant's risk series."""
-    return missing_days(risk_dashboard(d.stg_tx.where("merchant_id = 7"), d.repay), "date")
-
-
 add(
     "dq_23_settlement_variance", lambda d: project.settlement_variance(d.recon, 1.0).select("settlement_date", "merchant_id", "variance_pct"),
     "SELECT settlement_date, merchant_id, round(variance_pct, 6) AS variance_pct FROM recon WHERE abs(variance_pct) > 1.0",

@@ -220,16 +220,15 @@ _LAT, _LON = "(user_id * 7 + event_id) % 170 - 85.0", "(user_id * 13 + event_id
     f"""SELECT event_id, round(2 * 3961 * asin(sqrt(power(sin(radians((la - pa) / 2)), 2) + cos(radians(pa)) * cos(radians(la)) *
       power(sin(radians((lo - po) / 2)), 2))) * 1.60934, 3) AS distance_km FROM (
       SELECT event_id, la, lo, lag(la) OVER w AS pa, lag(lo) OVER w AS po FROM (SELECT event_id, user_id, created_at,
-      ({_LAT})::DOUBLE AS la, ({_LON})::DOUBLE AS lo FROM app_events WHERE event_id % 8 <> 0)
+      ({_LAT})::DOUBLE AS la, ({_LON})::DOUBLE AS lo FROM app_events)
       WINDOW w AS (PARTITION BY user_id ORDER BY created_at, event_id)) WHERE pa IS NOT NULL""",
 )
 def _movement(d: Data):
     """Positions travel as single-quoted JSON in the payload, as the newest payload version has them."""
-    geo = F.format_string(
+    payload = F.format_string(
         "{'page': 'home', 'referrer': 'ad', 'geo': {'lat': %s, 'lon': %s}}",
         F.expr(_LAT).cast("double").cast("string"), F.expr(_LON).cast("double").cast("string"),
     )
-    payload = F.when(F.col("event_id") % 8 != 0, geo).otherwise("{'page': 'home'}")
     events = cdc.parse_event_data(d.events.withColumn("event_data", payload)).select(
         "event_id", "user_id", "created_at", "geo_lat", "geo_lon"
     )

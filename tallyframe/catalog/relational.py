@@ -215,18 +215,17 @@ def _range_join(d: Data):
 
 @query(
     "join_15_spine_left",
-    """WITH c AS (SELECT created_at::DATE AS day, count(*) AS n FROM stg_transactions WHERE merchant_id = 7 GROUP BY 1),
-    b AS (SELECT min(created_at)::DATE AS lo, max(created_at)::DATE AS hi FROM stg_transactions)
-    SELECT s.day, coalesce(c.n, 0) AS n FROM (SELECT unnest(generate_series(lo, hi, INTERVAL 1 DAY))::DATE AS day FROM b) s
-    LEFT JOIN c ON s.day = c.day""",
+    """WITH b AS (SELECT date_trunc('minute', min(created_at))::TIMESTAMP AS lo, max(created_at) AS hi FROM app_events)
+    SELECT s.slot, count(e.event_id) AS n FROM (SELECT unnest(generate_series(lo, hi, INTERVAL 1 MINUTE)) AS slot FROM b) s
+    LEFT JOIN app_events e ON date_trunc('minute', e.created_at) = s.slot GROUP BY 1""",
 )
 def _spine(d: Data):
-    bounds = d.stg_tx.agg(F.to_date(F.min("created_at")).alias("lo"), F.to_date(F.max("created_at")).alias("hi"))
-    spine = tables.date_spine(bounds, "lo", "hi", "day", inclusive=True, name="day")
-    counts = d.stg_tx.where("merchant_id = 7").groupBy(F.to_date("created_at").alias("day")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    return spine.join(counts, "day", "left").select("day", F.coalesce("n", F.lit(0)).alias("n"))
+    """Events per minute with the empty minutes shown."""
+    minute = F.date_trunc("minute", "created_at").cast("timestamp_ntz")
+    bounds = d.events.agg(F.min(minute).alias("lo"), F.max("created_at").alias("hi"))
+    spine = tables.date_spine(bounds, "lo", "hi", "minute", inclusive=True, name="slot")
+    counts = d.events.groupBy(minute.alias("slot")).agg(F.count(F.lit(1)).alias("n"))
+    return spine.join(counts, "slot", "left").select("slot", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 add(
