@@ -255,7 +255,7 @@ add(
 )
 def _subquery(d: Data):
     newest = d.tx.agg(F.to_date(F.max("created_at")).alias("m")).scalar()
-    return d.tx.where(F.to_date("created_at") >= F.date_sub(newest, 3)).select("transaction_id", "created_at")
+    return d.tx.where(F.col("created_at") >= F.date_sub(newest, 3)).select("transaction_id", "created_at")
 
 
 # -- slowly changing dimensions -----------------------------------------------------------------------------------

@@ -393,7 +393,7 @@ add(
     """SELECT user_id, min(created_at) AS first_event, max(created_at) AS last_event, count(*) AS events,
       floor(epoch(max(created_at)))::BIGINT - floor(epoch(min(created_at)))::BIGINT AS duration_seconds FROM (
       SELECT *, sum(brk) OVER (PARTITION BY user_id ORDER BY created_at ROWS UNBOUNDED PRECEDING) AS s FROM (
-        SELECT *, CASE WHEN created_at >= lag(created_at) OVER (PARTITION BY user_id ORDER BY created_at) + INTERVAL 6 HOUR
+        SELECT *, CASE WHEN created_at > lag(created_at) OVER (PARTITION BY user_id ORDER BY created_at) + INTERVAL 6 HOUR
           THEN 1 ELSE 0 END AS brk FROM app_events)) GROUP BY user_id, s""",
 )
 

@@ -32,7 +32,8 @@ def asof_join(
     """
     body = F.struct(valid_from, *([valid_to] if valid_to else []), *values)
     order_cols = [F.col(t).alias(f"_tie_{i}") for i, t in enumerate(tie)]
-    vers = versions.select(
+    # a missing key equals nothing
+    vers = versions.dropna(subset=list(keys)).select(
         *keys, F.col(valid_from).alias("_at"), F.lit(0).alias("_kind"), *order_cols,
         body.alias("_version"),
     )

@@ -12,13 +12,13 @@ def incremental_slice(
     """Rows on or after the newest target date minus ``lookback``; everything on the first run.
 
     ``lookback`` is an interval such as ``3 days``. The bound is a one-row subquery over a single
-    column of the target.
+    column of the target and is compared with the bare column, so that it reaches the scan.
     """
     if target is None:
         return df
     newest = target.agg(F.max(target_column or column).alias("m")).scalar()
-    bound = newest - F.expr(f"interval {lookback}")
-    return df.where(bound.isNull() | (F.to_date(column) >= F.to_date(bound)))
+    bound = F.coalesce(F.to_date(newest - F.expr(f"interval {lookback}")), F.lit("0001-01-01").cast("date"))
+    return df.where(F.col(column) >= bound)
 
 
 def refuse_schema_change(df: DataFrame, target: DataFrame) -> None:

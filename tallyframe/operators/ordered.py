@@ -4,8 +4,11 @@ A plain ``lag`` or running sum over ``partitionBy(key)`` puts a hot key in one t
 key the whole table. So a narrow count per group runs first. Where no group is above
 ``rows_per_segment`` rows, the plain window is safe and is used. Otherwise each hot group is cut into
 consecutive segments of its order column: the window runs inside each segment, and a small table with
-one row per segment carries the value across its edge. Segment bounds come from the group's own
-minimum, maximum and count, so a recomputed task gets the same segments.
+one row per segment carries the value across its edge.
+
+Segments follow the quantiles of the hot group's own order column, so a burst is cut as finely as a
+quiet stretch. The cut points are read once and used as constants, so every branch and every
+recomputed task sees the same segments.
 
 At most ``MAX_SEGMENTS`` hot groups are listed, the largest first; a group left out holds less than
 ``1 / MAX_SEGMENTS`` of all rows. Hot groups share at most about twice that many segments, so both
@@ -16,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,7 +28,7 @@ from pyspark.sql import types as T
 ROWS_PER_SEGMENT = 1_000_000
 MAX_SEGMENTS = 10_000
 
-_SEG = "_segment"
+_SEG = "_scan_segment"
 
 
 def _position(df: DataFrame, name: str) -> Column:
@@ -50,43 +54,76 @@ def _null_safe(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str
     return cond
 
 
+# cut points kept per hot group; finer segments divide the stretch between two of them evenly
+MAX_CUTS = 1_000
+
+
 @dataclass(frozen=True)
 class HotGroups:
-    """Groups too large for one task: a bounded list of (keys..., rows, lowest, highest position)."""
+    """Groups too large for one task: a bounded list of (keys..., parts, cut points)."""
 
     rows: list[tuple]
     schema: T.StructType
-    per_segment: float
 
 
 def hot_groups(
     df: DataFrame, keys: Sequence[str], order_col: str, rows_per_segment: int = ROWS_PER_SEGMENT
 ) -> HotGroups:
-    """Find them with one count per group, combined on the map side; only the list is collected."""
+    """Find them with one count per group, combined on the map side; only the list is collected.
+
+    A second job reads the order column of the hot groups alone and sketches its quantiles.
+    """
     pos = _position(df, order_col)
-    stats = df.groupBy(*[F.col(k).alias(f"_hot_{i}") for i, k in enumerate(keys)]).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(pos).alias("_lo"), F.max(pos).alias("_hi")
+    named = [F.col(k).alias(f"_hot_{i}") for i, k in enumerate(keys)]
+    counts = df.groupBy(*named).agg(F.count(F.lit(1)).alias("_hot_rows"))
+    large = counts.where(F.col("_hot_rows") > rows_per_segment).orderBy(F.desc("_hot_rows")).limit(MAX_SEGMENTS)
+    found = [tuple(r) for r in large.collect()]
+    schema = T.StructType(
+        [*counts.schema.fields[:-1], T.StructField("_hot_sub", T.IntegerType()),
+         T.StructField("_hot_cuts", T.ArrayType(T.DoubleType()))]
     )
-    large = stats.where(F.col("_n") > rows_per_segment).orderBy(F.desc("_n")).limit(MAX_SEGMENTS)
-    rows = [tuple(r) for r in large.collect()]
-    total = sum(r[len(keys)] for r in rows)
-    return HotGroups(rows, stats.schema, max(float(rows_per_segment), total / MAX_SEGMENTS))
+    if not found:
+        return HotGroups([], schema)
+    per = max(float(rows_per_segment), sum(r[-1] for r in found) / MAX_SEGMENTS)
+    parts = {r[:-1]: ceil(r[-1] / per) for r in found}
+    steps = min(MAX_CUTS, max(parts.values()))
+    fractions = [i / steps for i in range(steps + 1)]
+    rows = df
+    if keys:
+        listed = df.sparkSession.createDataFrame(found, counts.schema)
+        pairs = [(k, f"_hot_{i}") for i, k in enumerate(keys)]
+        rows = df.join(F.broadcast(listed), _null_safe(df, listed, pairs), "left_semi")
+    sketched = rows.groupBy(*named).agg(F.approx_percentile(pos, fractions).alias("_hot_cuts")).collect()
+    out = []
+    for r in sketched:
+        key, cuts = tuple(r)[:-1], r["_hot_cuts"] or []
+        want = parts[key]
+        stride = max(1, steps // want)
+        out.append((*key, ceil(want / steps), sorted(set(cuts[::stride]) | set(cuts[-1:]))))
+    return HotGroups(out, schema)
 
 
 def _segmented(df: DataFrame, keys: Sequence[str], order_col: str, hot: HotGroups) -> DataFrame:
-    """Add ``_segment``: NULL for ordinary groups, 0..n in order for hot ones."""
+    """Add ``_scan_segment``: NULL for ordinary groups, rising with the order column for hot ones."""
     pos = _position(df, order_col)
-    listed = df.sparkSession.createDataFrame(hot.rows, hot.schema)
-    pairs = [(k, f"_hot_{i}") for i, k in enumerate(keys)]
     if keys:
+        listed = df.sparkSession.createDataFrame(hot.rows, hot.schema)
+        pairs = [(k, f"_hot_{i}") for i, k in enumerate(keys)]
         joined = df.join(F.broadcast(listed), _null_safe(df, listed, pairs), "left")
     else:
-        (n, lo, hi), = hot.rows
-        joined = df.withColumns({"_n": F.lit(n), "_lo": F.lit(lo), "_hi": F.lit(hi)})
-    parts = F.ceil(F.col("_n") / hot.per_segment)
-    share = F.try_divide(pos - F.col("_lo"), F.col("_hi") - F.col("_lo"))
-    slot = F.least(F.coalesce(F.floor(share * parts), F.lit(0)), parts - 1).cast("int")
-    return joined.withColumn(_SEG, F.when(F.col("_n").isNotNull(), slot)).select(*df.columns, _SEG)
+        (sub, cuts), = hot.rows
+        joined = df.withColumns({"_hot_sub": F.lit(sub), "_hot_cuts": F.array(*[F.lit(c) for c in cuts])})
+    cuts, sub = F.col("_hot_cuts"), F.col("_hot_sub")
+    # number of cut points at or below the position, by halving steps
+    longest = max(len(r[-1]) for r in hot.rows)
+    halves = F.array(*[F.lit(1 << i) for i in reversed(range(max(1, longest.bit_length())))])
+    below = F.aggregate(
+        halves, F.lit(0), lambda i, step: i + F.when(F.get(cuts, i + step - 1) <= pos, step).otherwise(F.lit(0))
+    )
+    lo, hi = F.get(cuts, F.col("_hot_below") - 1), F.get(cuts, F.col("_hot_below"))
+    inner = F.coalesce(F.least(F.floor(F.try_divide(pos - lo, hi - lo) * sub), sub - 1), F.lit(0))
+    segment = F.when(sub.isNotNull(), F.col("_hot_below") * sub + inner)
+    return joined.withColumn("_hot_below", below).withColumn(_SEG, segment.cast("int")).select(*df.columns, _SEG)
 
 
 def _carry(
@@ -97,10 +134,10 @@ def _carry(
     edges = (
         seg.where(F.col(_SEG).isNotNull())
         .groupBy(*[F.col(k).alias(f"_edge_{i}") for i, k in enumerate(keys)], F.col(_SEG).alias("_edge_seg"))
-        .agg(edge.alias("_edge"))
+        .agg(edge.alias("_scan_edge"))
     )
     w = Window.partitionBy(*[f"_edge_{i}" for i in range(len(keys))]).orderBy(order)
-    return edges.withColumn("_carried", fold("_edge", w)).drop("_edge")
+    return edges.withColumn("_scan_carried", fold("_scan_edge", w)).drop("_scan_edge")
 
 
 def _scan(
@@ -121,13 +158,13 @@ def _scan(
     if not hot.rows:
         return df.withColumn(out, inside(Window.partitionBy(*keys).orderBy(*by)))
     seg = _segmented(df, keys, order[0], hot)
-    local = seg.withColumn("_local", inside(Window.partitionBy(*keys, _SEG).orderBy(*by)))
+    local = seg.withColumn("_scan_local", inside(Window.partitionBy(*keys, _SEG).orderBy(*by)))
     carry = _carry(seg, keys, edge, fold, descending)
     pairs = [(k, f"_edge_{i}") for i, k in enumerate(keys)]
     cond = _null_safe(local, carry, pairs) & (local[_SEG] == carry["_edge_seg"])
     return (
         local.join(F.broadcast(carry), cond, "left")
-        .withColumn(out, combine(F.col("_local"), F.col("_carried")))
+        .withColumn(out, combine(F.col("_scan_local"), F.col("_scan_carried")))
         .select(*df.columns, out)
     )
 

@@ -10,12 +10,17 @@ from pyspark.sql import functions as F
 from tallyframe.operators.ordered import ROWS_PER_SEGMENT, with_running_sum
 
 
+# a group with more distinct values than this is ranked in a distributed way
+MAX_VALUES = 100_000
+
+
 def exact_quantiles(
     df: DataFrame,
     column: str,
     probs: dict[str, float],
     group_by: Sequence[str] = (),
-    max_values: int = ROWS_PER_SEGMENT,
+    max_values: int = MAX_VALUES,
+    rows_per_segment: int = ROWS_PER_SEGMENT,
 ) -> DataFrame:
     """Interpolated quantiles, one column per ``{name: q}``.
 
@@ -32,7 +37,7 @@ def exact_quantiles(
         found = df.groupBy(*group).agg(F.percentile(column, qs).alias("_q"))
         present = found.where(F.col("_q").isNotNull()) if group else found
         return present.select(*group, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
-    return _ranked_quantiles(df, column, probs, group, max_values)
+    return _ranked_quantiles(df, column, probs, group, rows_per_segment)
 
 
 def _ranked_quantiles(

@@ -192,7 +192,8 @@ def settlement_daily(tx: DataFrame, actual: DataFrame, as_of: Column) -> DataFra
     """
     day = F.date_sub(F.to_date(as_of), 1)
     expected = (
-        tx.where((F.to_date("created_at") == day) & (F.col("status") == "approved"))
+        tx.where((F.col("created_at") >= day) & (F.col("created_at") < F.date_add(day, 1)))
+        .where(F.col("status") == "approved")
         .groupBy("merchant_id")
         .agg(F.sum("amount").cast(MONEY).alias("expected_amount"), F.count(F.lit(1)).alias("transaction_count"))
     )

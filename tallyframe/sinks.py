@@ -23,9 +23,14 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def _write(df: DataFrame, path: str, partition_by: Sequence[str], mode: str) -> None:
-    """Rebalanced by partition, so a large partition becomes several files and small ones one."""
+def _write(
+    df: DataFrame, path: str, partition_by: Sequence[str], mode: str, sort_by: Sequence[str] = ()
+) -> None:
+    """Rebalanced by partition, so a large partition becomes several files and small ones one; sorted
+    files let readers skip row groups."""
     out = df.hint("rebalance", *partition_by) if partition_by else df
+    if sort_by:
+        out = out.sortWithinPartitions(*partition_by, *sort_by)
     out.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
@@ -34,7 +39,7 @@ def append_raw(df: DataFrame, path: str, ts: str = "created_at", at: Column | No
     stamped = df.withColumn("_ingested_at", F.current_timestamp() if at is None else at).withColumn(
         "month", F.date_format(ts, "yyyyMM")
     )
-    _write(stamped, path, ["month"], "append")
+    _write(stamped, path, ["month"], "append", sort_by=[ts])
 
 
 def rewrite_touched(
@@ -56,9 +61,11 @@ def rewrite_touched(
     refuse_schema_change(incoming.drop(*partition_by), found.drop(*partition_by))
     # partition values come from folder names; the given schema keeps their type
     old = spark.read.schema(incoming.schema).parquet(target)
-    touched = incoming.select(*partition_by).distinct()
-    # partition values are few, so this semi join prunes partitions at run time
-    kept = old.select(*incoming.columns).join(F.broadcast(touched), list(partition_by), "left_semi")
+    # the list of touched partitions is as small as the table's folder list; as literals it prunes the scan
+    touched = incoming.select(*partition_by).distinct().collect()
+    kept = old.select(*incoming.columns)
+    for c in partition_by:
+        kept = kept.where(F.col(c).isin(sorted({r[c] for r in touched})))
     staging = shared_path(spark, "staging")
     _write(merge(kept, incoming).select(*incoming.columns), staging, partition_by, "overwrite")
     spark.read.schema(incoming.schema).parquet(staging).write.mode("overwrite").option(

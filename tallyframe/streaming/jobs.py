@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.operators import cdc
 from tallyframe.operators.latest import latest_by
+from tallyframe.operators.ordered import ROWS_PER_SEGMENT, hot_groups, with_previous, with_running_sum
 from tallyframe.plans.marts import exposure_partials
 from tallyframe.sinks import upsert_latest
 
@@ -191,18 +192,32 @@ def minute_rates(df: DataFrame, ts: str, latency: str, delay: str = "5 minutes")
 
 def sessionize(
     df: DataFrame, ts: str, session_id: str | None = None, user: str = "user_id", gap: str = "30 minutes",
-    delay: str = "1 hour",
+    delay: str = "1 hour", rows_per_segment: int = ROWS_PER_SEGMENT,
 ) -> DataFrame:
     """First and last event, count and seconds per session.
 
-    Rows with a session id group by it. Without one, a pause of ``gap`` ends a user's session; such
-    sessions merge on the map side first, so a busy user ships sessions and not events.
+    Rows with a session id group by it. Without one, a pause longer than ``gap`` ends a user's session.
+    Streams use session windows, merged on the map side first. A batch numbers the sessions with
+    segmented look-back instead, because a batch session window would sort all events of a busy user
+    in one task.
     """
     timed = _timed(df, ts, delay)
-    keys = [F.col(session_id)] if session_id else [F.col(user), F.session_window(ts, gap)]
-    out = timed.groupBy(*keys).agg(
-        F.min(ts).alias("_lo"), F.max(ts).alias("_hi"), F.count(F.lit(1)).alias("events")
-    )
+    one = F.lit(1).cast("bigint")
+    if session_id:
+        rows, keys = timed.withColumn("_n", one), [F.col(session_id)]
+    elif df.isStreaming:
+        rows, keys = timed.withColumn("_n", one), [F.col(user), F.session_window(ts, gap)]
+    else:
+        # one row per moment, so that both ordered steps see the same order
+        moments = timed.where(F.col(ts).isNotNull()).groupBy(user, ts).agg(F.count(F.lit(1)).alias("_n"))
+        hot = hot_groups(moments, [user], ts, rows_per_segment)
+        prev = with_previous(moments, [user], [ts], [ts], "_prev", hot=hot)
+        pause = F.col("_prev").isNull() | (F.col(ts) > F.col("_prev")[ts] + F.expr(f"interval {gap}"))
+        rows = with_running_sum(
+            prev.withColumn("_start", pause.cast("int")), [user], [ts], "_start", "_session", hot=hot
+        )
+        keys = [F.col(user), F.col("_session")]
+    out = rows.groupBy(*keys).agg(F.min(ts).alias("_lo"), F.max(ts).alias("_hi"), F.sum("_n").alias("events"))
     return out.select(
         session_id or user,
         F.col("_lo").cast("timestamp_ntz").alias("first_event"),

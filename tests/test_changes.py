@@ -188,3 +188,34 @@ def test_incremental_helpers(spark):
     assert incremental.incremental_slice(df, df.where("v <= 8"), "d", "3 days").count() == 6
     assert incremental.incremental_slice(df, df.where("v < 0"), "d", "3 days").count() == 10
     assert incremental.has_new_rows(df, "v", 9) and not incremental.has_new_rows(df, "v", 10)
+
+
+@pytest.mark.parametrize("per", [5, 10_000])
+def test_batch_sessions_equal_session_windows(spark, per):
+    """Pauses of just under, exactly and just over the gap, equal times, and one busy user."""
+    minutes = [0, 0, 29, 59, 89.5, 119.5, 149.6, 300] + [1000 + i * 7 for i in range(40)]
+    rows = [(u, float(m)) for u in ("busy", "b") for m in minutes]
+    df = spark.createDataFrame(rows, "user_id string, m double").select(
+        "user_id", F.timestamp_seconds(F.col("m") * 60).alias("t")
+    )
+    got = jobs.sessionize(df, "t", gap="30 minutes", rows_per_segment=per)
+    want = df.groupBy("user_id", F.session_window("t", "30 minutes")).agg(
+        F.min("t").cast("timestamp_ntz").alias("first_event"), F.max("t").cast("timestamp_ntz").alias("last_event"),
+        F.count(F.lit(1)).alias("events"),
+    )
+    cols = ["user_id", "first_event", "last_event", "events"]
+    assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, want.select(*cols).collect()))
+
+
+def test_streamed_sessions_equal_batch(spark, tmp_path):
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    rows = [("a", m) for m in (0, 10, 200, 210)] + [("b", 5)]
+    spark.createDataFrame(rows, "user_id string, m int").select(
+        "user_id", F.timestamp_seconds(F.col("m") * 60).alias("t")
+    ).write.parquet(src)
+    stream = spark.readStream.schema("user_id string, t timestamp").parquet(src)
+    jobs.land_batches(jobs.sessionize(stream, "t"), out, "complete")
+    cols = ["user_id", "first_event", "last_event", "events", "duration_seconds"]
+    streamed = jobs.landed(spark, out).select(*cols)
+    batch = jobs.sessionize(spark.read.parquet(src), "t").select(*cols)
+    assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.collect()))

@@ -86,25 +86,25 @@ def test_haversine(spark):
 
 
 def test_urls(spark):
-    q = "www.google.co.uk?utm_source=google&utm_medium=cpc&utm_campaign=spring-summer"
+    q = "www.search.example?utm_source=google&utm_medium=cpc&utm_campaign=spring-summer"
     hosts = {
-        q: "www.google.co.uk",
-        "http://witanddelight.com/2018/01/tips-tricks-how-run-half-marathon-first-time/": "witanddelight.com",
-        "https://www.nytimes.com/2018/01/01/blog": "www.nytimes.com",
-        "android-app://m.facebook.com/": "m.facebook.com",
-        "docs.nytimes.com/2021/01/01/index.js?utm_source=google": "docs.nytimes.com",
-        "https://m.facebook.com/": "m.facebook.com",
+        q: "www.search.example",
+        "http://blog.example.com/2018/01/how-to-run/": "blog.example.com",
+        "https://www.news.example/2018/01/01/blog": "www.news.example",
+        "android-app://m.social.example/": "m.social.example",
+        "docs.news.example/2021/01/01/index.js?utm_source=google": "docs.news.example",
+        "https://m.social.example/": "m.social.example",
     }
     df = spark.createDataFrame([(u,) for u in hosts], "u string")
     assert values(df.select(tables.url_host(F.col("u")))) == list(hosts.values())
     paths = {
-        q: "", "https://www.nytimes.com/2018/01/01/blog": "2018/01/01/blog",
-        "http://witanddelight.com/2018/01/tips/?utm_source=google&utm_medium=cpc": "2018/01/tips/",
+        q: "", "https://www.news.example/2018/01/01/blog": "2018/01/01/blog",
+        "http://blog.example.com/2018/01/tips/?utm_source=google&utm_medium=cpc": "2018/01/tips/",
     }
     df = spark.createDataFrame([(u,) for u in paths], "u string")
     assert values(df.select(tables.url_path(F.col("u")))) == list(paths.values())
     df = spark.createDataFrame(
-        [("http://drewbanin.com/milky?utm_medium=organic",), ("http://drewbanin.com/milky?utm_medium=organic&utm_source=github",)],
+        [("http://shop.example.org/milk?utm_medium=organic",), ("http://shop.example.org/milk?utm_medium=organic&utm_source=github",)],
         "u string",
     )
     got = [tuple(r) for r in df.select(

@@ -84,14 +84,14 @@ def _quantile(xs, q):
 @pytest.mark.parametrize("limit", [15, 10_000])
 def test_exact_quantiles(spark, rows, limit):
     df = spark.createDataFrame(rows, "k string, t int, id int, v int")
-    out = quantiles.exact_quantiles(df, "t", {"a": 0.1, "m": 0.5, "z": 0.99}, ["k"], max_values=limit)
+    out = quantiles.exact_quantiles(df, "t", {"a": 0.1, "m": 0.5, "z": 0.99}, ["k"], max_values=limit, rows_per_segment=limit)
     got = {r.k: (r.a, r.m, r.z) for r in out.collect()}
     by = groups(rows)
     for k, g in by.items():
         want = tuple(_quantile([r[1] for r in g], q) for q in (0.1, 0.5, 0.99))
         assert got[k] == pytest.approx(want)
     assert set(got) == set(by)
-    (whole,) = quantiles.exact_quantiles(df, "t", {"m": 0.5}, max_values=limit).collect()
+    (whole,) = quantiles.exact_quantiles(df, "t", {"m": 0.5}, max_values=limit, rows_per_segment=limit).collect()
     assert whole.m == pytest.approx(_quantile([r[1] for r in rows], 0.5))
 
 
@@ -139,3 +139,26 @@ def test_scd2_from_log(spark, per):
     out = scd2.scd2_from_log(df, ["k"], ["tier"], ["ts"], "ts", rows_per_segment=per)
     got = {(r.k, r.tier, r.valid_from, r.valid_to) for r in out.collect()}
     assert got == {("a", "x", 0, 20), ("a", "y", 20, None), ("b", "p", 1, 2), ("b", "p", 5, 9), ("b", "q", 9, None)}
+
+
+def test_segments_follow_a_burst(spark):
+    """Nearly all rows within one second of ten years still spread over the segments."""
+    times = [i * 10_000_000 for i in range(30)] + [150_000_000 + i / 1000 for i in range(2000)]
+    df = spark.createDataFrame([("hot", float(t), i) for i, t in enumerate(times)] + [("b", 1.0, -1)], "k string, t double, id int")
+    hot = ordered.hot_groups(df, ["k"], "t", 100)
+    sizes = [r["count"] for r in ordered._segmented(df, ["k"], "t", hot).where("k = 'hot'").groupBy("_scan_segment").count().collect()]
+    assert sum(sizes) == len(times) and max(sizes) <= 300 and len(sizes) >= 15
+    prev = ordered.with_previous(df, ["k"], ["t", "id"], ["id"], "p", rows_per_segment=100)
+    line = [i for i, _ in sorted(enumerate(times), key=lambda x: x[1])]
+    want = {x: (line[i - 1] if i else None) for i, x in enumerate(line)} | {-1: None}
+    assert {r.id: r.p and r.p.id for r in prev.collect()} == want
+
+
+def test_more_parts_than_cut_points(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "MAX_CUTS", 4)
+    df = spark.range(500).select(F.lit("h").alias("k"), F.col("id").alias("t"))
+    out = ordered.with_running_sum(df, ["k"], ["t"], "t", "s", rows_per_segment=10)
+    assert {r.t: r.s for r in out.collect()} == {i: i * (i + 1) // 2 for i in range(500)}
+    hot = ordered.hot_groups(df, ["k"], "t", 10)
+    sizes = [r["count"] for r in ordered._segmented(df, ["k"], "t", hot).groupBy("_scan_segment").count().collect()]
+    assert max(sizes) <= 25
