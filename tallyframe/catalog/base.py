@@ -67,6 +67,13 @@ class Data:
     def repay(self) -> DataFrame:
         return staging.stg_repayments(self.versions, domain.REPAYMENT_KEYS, domain.REPAYMENT_VERSION_ORDER)
 
+    @cached_property
+    def silver_repay(self) -> DataFrame:
+        """The current repayments as a stored table, for jobs that read them more than once."""
+        path = shared_path(self.spark, "silver-repayments")
+        self.repay.write.parquet(path)
+        return self.spark.read.parquet(path)
+
     @cached_property
     def schedules(self) -> DataFrame:
         return domain.installments(self.spark, self.sf_dir)

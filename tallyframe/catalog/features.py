@@ -265,7 +265,8 @@ add("dq_10_reconciliation_approx", lambda d: project.gold_feature_reconciliation
 
 def _results(d: Data):
     tables = {
-        "transactions": d.tx, "repayments": d.repay, "users": d.users, "merchants": d.merchants, "installments": d.schedules,
+        "transactions": d.tx, "repayments": d.silver_repay, "users": d.users, "merchants": d.merchants,
+        "installments": d.schedules,
     }
     return runner.declared_checks(tables, project.SILVER_CHECKS, d.now)
 

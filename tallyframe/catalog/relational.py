@@ -86,7 +86,7 @@ add(
 )
 add(
     "join_03_user_credit_history",
-    lambda d: marts.user_credit_history(d.stg_tx, d.repay),
+    lambda d: marts.user_credit_history(d.stg_tx, d.silver_repay),
     """SELECT t.user_id, t.transaction_id, t.amount::DOUBLE AS tx_amount, t.status AS tx_status, t.merchant_id,
       t.created_at AS tx_date, r.repayment_id, r.amount::DOUBLE AS repayment_amount, r.status AS repayment_status,
       r.due_date, r.paid_at FROM stg_transactions t LEFT JOIN repayments r USING (transaction_id)""",

@@ -93,17 +93,18 @@ def declared_checks(
             f"accepted_values:{c}": F.count_if(~F.col(c).isin(list(vs))) for c, vs in spec.accepted_values.items()
         }
         wide = df.agg(F.count(F.lit(1)).alias("_total"), *[e.alias(n) for n, e in tests.items()])
-        long = wide.unpivot(["_total"], list(tests), "_test", "_failed")
-        out.append(
-            long.select(
-                check_time.alias("check_time"), F.lit(stage).alias("stage"),
-                F.concat_ws(".", F.lit(spec.table), F.split_part("_test", F.lit(":"), F.lit(2))).alias("check_name"),
-                F.split_part("_test", F.lit(":"), F.lit(1)).alias("check_type"),
-                F.when(F.col("_failed") == 0, "pass").otherwise("fail").alias("status"),
-                F.lit("{}").alias("details"),
-                F.col("_total").alias("rows_checked"), F.col("_failed").alias("rows_failed"),
+        rows = []
+        for test in tests:
+            kind, column = test.split(":")
+            rows.append(
+                F.struct(
+                    check_time.alias("check_time"), F.lit(stage).alias("stage"),
+                    F.lit(f"{spec.table}.{column}").alias("check_name"), F.lit(kind).alias("check_type"),
+                    F.when(F.col(test) == 0, "pass").otherwise("fail").alias("status"), F.lit("{}").alias("details"),
+                    F.col("_total").alias("rows_checked"), F.col(test).alias("rows_failed"),
+                )
             )
-        )
+        out.append(wide.select(F.inline(F.array(*rows))))
         for column, (parent, key) in spec.relationships.items():
             keys = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("_k")).agg(
                 F.count(F.lit(1)).alias("_n")
