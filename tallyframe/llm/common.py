@@ -47,6 +47,11 @@ def store(df: DataFrame, label: str) -> DataFrame:
 # -- numbers ---------------------------------------------------------------------------------------
 
 
+def u64(x: int) -> np.uint64:
+    """The lowest 64 bits of a Python integer."""
+    return U64(x & 0xFFFFFFFFFFFFFFFF)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values that spreads every input bit."""
     x = (x ^ (x >> U64(30))) * U64(0xBF58476D1CE4E5B9)
@@ -56,7 +61,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def odd_numbers(n: int, seed: int) -> np.ndarray:
     """Fixed odd multipliers, one per position of a window."""
-    return mix(np.arange(1, n + 1, dtype=U64) * U64(0x9E3779B97F4A7C15) + U64(seed)) | U64(1)
+    return mix(np.arange(1, n + 1, dtype=U64) * U64(0x9E3779B97F4A7C15) + u64(seed)) | U64(1)
 
 
 def signed(x: np.ndarray) -> np.ndarray:
