@@ -7,7 +7,9 @@ hashes that every task computes alike.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterable, Iterator, Sequence
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +33,12 @@ _LONG = 256
 def prepare(spark: SparkSession) -> SparkSession:
     """Runtime settings: small Arrow batches, so that a task holds few long documents at a time."""
     tune(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
+    # workers import this package; where it is not installed they find it beside the driver's copy
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [env.get("PYTHONPATH"), root]))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
     spark.conf.set("spark.sql.parquet.compression.codec", "zstd")
     return spark
 

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyframe.llm import decontaminate, language, licenses, mixing, token_counts, token_files
+from tallyframe.llm import class_model, decontaminate, embeddings, jaccard, language, licenses, mixing, substrings, token_counts, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -44,6 +45,11 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_documents(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_counts(table(spark, sf_dir, "documents"))
@@ -65,3 +71,19 @@ def op8_license_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op8_license_sentences"] = licenses.oracle_sql()
+
+
+@query
+def op1_embedding_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op9_class_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return class_model.score_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
