@@ -437,14 +437,12 @@ def across_components(members: DataFrame, roots: DataFrame, nodes: DataFrame) ->
 
 
 def link_documents(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` with ``n_shingles, node, root``: documents of one root are linked, directly or not."""
+    """``_row`` (the columns ``keep``), ``n_shingles, node, root``: documents of one root are linked, directly or not."""
     prepare(docs.sparkSession)
     inner = docs.select(F.struct(*keep).alias("_row"), F.col("text").alias("_text"))
     kind = inner.schema["_row"].dataType.simpleString()
     slim = store(
-        inner.mapInArrow(_describe, f"_row {kind}, n_shingles long, node binary, histogram binary").select(
-            *(F.col(f"_row.`{c}`").alias(c) for c in keep), "n_shingles", "node", "histogram"
-        ),
+        inner.mapInArrow(_describe, f"_row {kind}, n_shingles long, node binary, histogram binary"),
         "jaccard-documents",
     )
     nodes = store(
@@ -468,13 +466,13 @@ def link_documents(docs: DataFrame, keep: list[str]) -> DataFrame:
     more = verify(across_components(members, roots, nodes), nodes, docs, "jaccard-more")
     roots = components(first.unionByName(more), "jaccard-roots")
     return slim.drop("histogram").join(roots, "node", "left").select(
-        *keep, "n_shingles", "node", F.coalesce("root", "node").alias("root")
+        "_row", "n_shingles", "node", F.coalesce("root", "node").alias("root")
     )
 
 
 def similar_documents(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every document."""
-    linked = link_documents(docs, ["doc_id"])
+    linked = link_documents(docs, ["doc_id"]).select(F.col("_row.doc_id").alias("doc_id"), "n_shingles", "root")
     least = linked.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("doc_id").alias("component_id"))
     joined = linked.join(least, "root", "left")
     return joined.select(
@@ -490,7 +488,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     columns = docs.columns
     linked = store(link_documents(docs, columns), "jaccard-linked")
     chosen = linked.where(F.col("root").isNotNull()).groupBy("root").agg(
-        F.min_by(F.struct(*columns), F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"))).alias("_row")
+        F.min_by("_row", F.struct(F.col("_row.doc_id").isNull(), "_row.doc_id", F.xxhash64("_row.text"))).alias("_row")
     )
-    first = chosen.select(*(F.col(f"_row.`{c}`").alias(c) for c in columns))
-    return first.unionByName(linked.where(F.col("root").isNull()).select(*columns))
+    kept = chosen.select("_row").unionByName(linked.where(F.col("root").isNull()).select("_row"))
+    return kept.select(*(F.col(f"_row.`{c}`").alias(c) for c in columns))

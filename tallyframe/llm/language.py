@@ -30,6 +30,8 @@ GRAM = 3
 SCALE = 1 << 20
 MAX_LANGUAGES = 20_000
 UNKNOWN = "und"
+# a text of this many characters whose profile is this far from every language is in none of them
+LONG_TEXT, LEAST_SCORE = 200, 0.1
 # cells of the table of counts that is held at once
 CELLS = 1 << 21
 GRAMS_AT_ONCE = 8192
@@ -187,11 +189,13 @@ def learn_prototypes(training: DataFrame) -> tuple[list[str], np.ndarray]:
     return found["lang"].to_pylist(), unit(vectors)
 
 
-def predict(docs: DataFrame, languages: list[str], prototypes: np.ndarray, keep: list[str]) -> DataFrame:
+def predict(
+    docs: DataFrame, languages: list[str], prototypes: np.ndarray, keep: list[str], text: str = "text"
+) -> DataFrame:
     """The columns ``keep`` with ``lang_pred`` and ``score``; only the text decides."""
     spark = prepare(docs.sparkSession)
     shared = spark.sparkContext.broadcast((languages, prototypes))
-    inner = docs.select(F.struct(*keep).alias("_row"), F.col("text").alias("_text"))
+    inner = docs.select(F.struct(*keep).alias("_row"), F.col(text).alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, known = shared.value
@@ -223,3 +227,21 @@ def identify(docs: DataFrame) -> DataFrame:
     out = held_out(F.col("doc_id"))
     languages, prototypes = learn_prototypes(docs.where(~out))
     return predict(docs.withColumn("held_out", out), languages, prototypes, ["doc_id", "held_out"])
+
+
+def keep_identified(docs: DataFrame) -> DataFrame:
+    """The documents with a language, whole and with all their columns, learnt from the rows not held out.
+
+    A document is rejected if its text is null or has no letter, or if it is long enough to tell and unlike every
+    language. Short texts are kept: their cosine says little. Where no row has a language, nothing can be told
+    from profiles and only texts without letters go.
+    """
+    columns = docs.columns
+    languages, prototypes = learn_prototypes(docs.where(~held_out(F.col("doc_id"))))
+    named = predict(docs.select(F.struct(*columns).alias("_all")), languages, prototypes, ["_all"], text="_all.text")
+    lettered = F.col("_all.text").rlike(r"\p{L}")
+    unlike = (F.char_length("_all.text") >= LONG_TEXT) & (F.col("score") < LEAST_SCORE)
+    rejected = F.col("lang_pred") == UNKNOWN
+    if not languages:
+        rejected, unlike = ~lettered, F.lit(False)
+    return named.where(~F.coalesce(rejected | unlike, F.lit(True))).select(*(F.col(f"_all.`{c}`").alias(c) for c in columns))
