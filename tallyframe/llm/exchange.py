@@ -89,8 +89,10 @@ def gathered(parts: Iterator[pa.RecordBatch], kinds: dict[str, str]) -> tuple[np
 
 def replies(who: np.ndarray, names: np.ndarray, payload: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
     """One row per batch from arrays that hold an entry per name and asking batch."""
+    if not len(who):
+        return
     order = np.argsort(who, kind="stable")
-    cuts = np.flatnonzero(np.append(True, who[order][1:] != who[order][:-1])) if len(who) else np.zeros(0, dtype=np.int64)
+    cuts = np.flatnonzero(np.append(True, who[order][1:] != who[order][:-1]))
     ends = np.append(cuts[1:], len(who))
     for a, b in zip(cuts, ends, strict=True):
         own = order[a:b]

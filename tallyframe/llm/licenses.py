@@ -135,7 +135,7 @@ RULES = [
     ("MIT", ["spdx-mit"]),
     ("MPL-2.0", ["mpl-notice"]),
 ]
-# every known sentence holds one of these, so other sentences need no normalising
+# only sentences with one of these are looked up; the others need no normalising
 KEYWORDS = ["licen", "copyright", "permission", "warrant", "redistribut"]
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -143,9 +143,10 @@ SENTENCE_END = r"([.!?;])[ \t\r\n]+"
 
 
 def sentence_parts(text: str) -> list[str]:
-    """The normalised sentences of a text read by flow."""
+    """The normalised sentences of a text read by flow that have a keyword."""
     flow = re.sub(SENTENCE_END, "\\1\n", re.sub(r"[\r\n]+", " ", text))
-    return [" ".join(re.findall("[a-z0-9]+", s.lower())) for s in flow.split("\n")]
+    parts = [" ".join(re.findall("[a-z0-9]+", s.lower())) for s in flow.split("\n")]
+    return [p for p in parts if any(k in p for k in KEYWORDS)]
 
 
 def known_sentences() -> dict[str, list[int]]:

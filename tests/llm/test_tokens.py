@@ -1,3 +1,4 @@
+import functools
 import zlib
 
 import numpy as np
@@ -19,10 +20,15 @@ ODD = [
 ]
 
 
-def plain(text, special=True):
+@functools.cache
+def tokenizer(special):
     t = Tokenizer.from_file(PATH)
     t.encode_special_tokens = not special
-    return t.encode(text or "", add_special_tokens=False).ids
+    return t
+
+
+def plain(text, special=True):
+    return tokenizer(special).encode(text or "", add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("special", [True, False])
