@@ -35,9 +35,12 @@ SLOTS_PER_SHARD = 1 << 16
 CELLS = 4096
 
 
-def measured(docs: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Documents with ``size`` in words and ``tie``, an order among rows of one identifier."""
-    columns = list(dict.fromkeys(["doc_id", "source", *keep]))
+def measured(docs: DataFrame, whole: bool = False) -> DataFrame:
+    """``doc_id, source, size, tie``: the words of each document and an order among rows of one identifier.
+
+    With ``whole`` also the document itself as ``_row``.
+    """
+    columns = docs.columns if whole else ["doc_id", "source"]
     inner = docs.select(
         F.struct(*columns).alias("_row"), F.coalesce("text", F.lit("")).alias("_text"), F.xxhash64("text").alias("_tie")
     )
@@ -53,7 +56,8 @@ def measured(docs: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
                 names=["_row", "size", "tie"],
             )
 
-    return inner.mapInArrow(count, schema).select(*(F.col(f"_row.`{c}`").alias(c) for c in columns), "size", "tie")
+    kept = ["_row"] if whole else []
+    return inner.mapInArrow(count, schema).select("_row.doc_id", "_row.source", "size", "tie", *kept)
 
 
 def source_targets(
@@ -231,14 +235,14 @@ def mix_documents(docs: DataFrame, seed: int = 1, block_words: int = BLOCK_WORDS
     spark = prepare(docs.sparkSession)
     columns = docs.columns
     order = [F.col("source").asc_nulls_last(), F.col("doc_id"), F.col("tie")]
-    placed = number_rows(measured(docs, columns), order, "mix-documents")
+    placed = number_rows(measured(docs, whole=True), order, "mix-documents")
     targets = source_targets(placed, block_words=block_words, **rules)
     slots = slot_blocks(draw_slots(spark, targets, seed), seed)
     pieces = doc_pieces(placed, targets, block_words).join(slots, ["source_no", "block"]).groupBy(
         "part", "seq", "pass"
     ).agg(F.collect_list(F.struct("first_word", "n_words")).alias("pieces"))
     kept = placed.where("size > 0").join(pieces, ["part", "seq"]).select(
-        F.struct(*columns).alias("_row"), F.col("text").alias("_text"), "pieces"
+        "_row", F.col("_row.text").alias("_text"), "pieces"
     )
     schema = T.StructType([kept.schema["_row"], T.StructField("_cut", T.StringType())])
 
