@@ -217,17 +217,28 @@ add(
     """SELECT merchant_id, round(avg(amount::DOUBLE), 6) AS measured FROM transactions GROUP BY 1
       HAVING NOT (avg(amount::DOUBLE) >= 150000 AND avg(amount::DOUBLE) <= 210000)""",
 )
-OTHER = """SELECT coalesce(a.g, b.g) AS col_1, a.x AS expression, b.x AS compare_expression, abs(a.x - b.x) AS expression_difference,
-  round(abs(a.x - b.x)::DOUBLE / nullif(a.x, 0)::DOUBLE, 6) AS expression_difference_percent
+OTHER = """SELECT coalesce(a.g, b.g) AS col_1, a.x AS expression, b.x AS compare_expression,
+  abs(coalesce(a.x, 0) - coalesce(b.x, 0)) AS expression_difference,
+  round(abs(coalesce(a.x, 0) - coalesce(b.x, 0))::DOUBLE / nullif(a.x, 0)::DOUBLE, 6) AS expression_difference_percent
   FROM (SELECT {ga} AS g, {xa} AS x FROM {a} GROUP BY 1) a FULL JOIN (SELECT {gb} AS g, {xb} AS x FROM {b} GROUP BY 1) b
-  ON a.g IS NOT DISTINCT FROM b.g WHERE abs(a.x - b.x) > 0 OR (a.x IS NULL) <> (b.x IS NULL)"""
+  ON a.g IS NOT DISTINCT FROM b.g WHERE abs(coalesce(a.x, 0) - coalesce(b.x, 0)) > {tol}"""
 SCALAR = """SELECT a.x AS expression, b.x AS compare_expression, abs(a.x - b.x) AS expression_difference,
   round(abs(a.x - b.x)::DOUBLE / nullif(a.x, 0)::DOUBLE, 6) AS expression_difference_percent
   FROM (SELECT {xa} AS x FROM {a}) a, (SELECT {xb} AS x FROM {b}) b WHERE abs(a.x - b.x) > 0"""
 add(
     "ex_03_equal_expression",
     lambda d: expect.equal_expression(d.tx, F.count(F.lit(1)), d.events, F.count(F.lit(1)), ["user_id"]),
-    OTHER.format(ga="user_id", xa="count(*)", a="transactions", gb="user_id", xb="count(*)", b="app_events"),
+    OTHER.format(ga="user_id", xa="count(*)", a="transactions", gb="user_id", xb="count(*)", b="app_events", tol=0),
+)
+add(
+    "ex_03_equal_expression_tolerance",
+    lambda d: expect.equal_expression(
+        d.tx.where("transaction_id % 7 = 0"), F.count(F.lit(1)), d.events, F.count(F.lit(1)), ["user_id"], tolerance=4
+    ),
+    OTHER.format(
+        ga="user_id", xa="count(*)", a="transactions WHERE transaction_id % 7 = 0", gb="user_id", xb="count(*)", b="app_events",
+        tol=4,
+    ),
 )
 add(
     "ex_03_equal_expression_percent",

@@ -151,6 +151,10 @@ EXPRESSIONS = [
      "floor(ln(n_chars))::INT", DOCS),
     ("eu_05_regexp_instr", lambda d: d.raw("documents"), lambda: S.regexp_position(F.col("text"), "[0-9]+"),
      "coalesce(length(regexp_extract(text, '^([^0-9]*)[0-9]', 1)) + CASE WHEN regexp_matches(text, '[0-9]') THEN 1 ELSE 0 END, 0)::INT", DOCS),
+    ("eu_05_regexp_instr_later", lambda d: d.raw("documents"),
+     lambda: S.regexp_position(F.col("text"), "(t)(h)", position=3, occurrence=4, flags="i"),
+     "CASE WHEN len(string_split(lower(substr(text, 3)), 'th')) > 4 THEN list_sum(list_transform(string_split("
+     "lower(substr(text, 3)), 'th')[1:4], lambda x: length(x)))::INT + 3 * 2 + 3 ELSE 0 END", DOCS),
     ("eu_06_md5", lambda d: d.raw("documents"), lambda: F.md5(F.col("text").cast("binary")), "md5(text)", DOCS),
 ]
 for _name, _frame, _col, _sql, _src in EXPRESSIONS:

@@ -78,10 +78,12 @@ def equal_expression(
     compare_row_condition: str | None = None,
     tolerance: float = 0.0,
     tolerance_percent: float | None = None,
+    strict: bool = False,
 ) -> DataFrame:
     """Compare an aggregate of two frames, per group or as a whole.
 
-    Groups meet in a full join. Two single values meet as a scalar subquery, not as a join.
+    Groups meet in a full join. Two single values meet as a scalar subquery, not as a join. A missing side counts
+    as 0, so a group on one side only is within tolerance or not like any other; ``strict`` lists it always.
     """
     expr_b = expr_a if expr_b is None else expr_b
     names = [f"col_{i + 1}" for i in range(len(group_by))]
@@ -101,7 +103,7 @@ def equal_expression(
     else:
         joined = left.withColumn("compare_expression", right.scalar())
     x, y = F.col("expression"), F.col("compare_expression")
-    diff = F.abs(x - y)
+    diff = F.abs(F.coalesce(x, F.lit(0)) - F.coalesce(y, F.lit(0)))
     out = joined.withColumns({
         "expression_difference": diff,
         "expression_difference_percent": F.try_divide(diff.cast("double"), F.nullif(x, F.lit(0)).cast("double")),
@@ -110,9 +112,8 @@ def equal_expression(
         bad = F.col("expression_difference_percent") > tolerance_percent
     else:
         bad = F.col("expression_difference") > tolerance
-    # a group on one side only has no difference to measure, yet is not equal
-    one_sided = x.isNull() != y.isNull()
-    return out.where(F.coalesce(bad, F.lit(False)) | one_sided)
+    bad = F.coalesce(bad, F.lit(False))
+    return out.where(bad | (x.isNull() != y.isNull()) if strict else bad)
 
 
 def ignore_row_if(columns: Sequence[str], mode: str = "all_values_are_missing") -> Column:

@@ -72,27 +72,27 @@ def clamp_far_future(ts: Column, as_of: Column) -> Column:
     return F.when(F.year(ts) > F.year(as_of) + 1, as_of).otherwise(ts)
 
 
-# Fixed value: the newest date the serving store can hold.
-MAX_STORE_DATE = "2149-06-01"
-
-
-def clamp_store_date(d: Column) -> Column:
-    return F.least(d, F.lit(MAX_STORE_DATE).cast("date"))
-
-
 def share(cond: Column) -> Column:
     """Share of rows for which a condition holds, 0 for none."""
     return F.coalesce(F.try_divide(F.count_if(cond).cast("double"), F.count(F.lit(1))), F.lit(0.0))
 
 
 def regexp_position(c: Column, pattern: str, position: int = 1, occurrence: int = 1, flags: str = "") -> Column:
-    """1-based place of a match, 0 when there is none."""
-    regex = f"(?{flags}){pattern}" if flags else pattern
+    """1-based place of a match, 0 when there is none.
+
+    A later match starts behind the texts between the matches and the matches before it; their lengths are added up, so
+    line ends, flags and groups of the pattern change nothing. The pattern must not match the empty text.
+    """
+    regex = F.lit(f"(?{flags}){pattern}" if flags else pattern)
     tail = c if position == 1 else F.substring(c, position, 2_147_483_647)
     if occurrence == 1:
-        found = F.regexp_instr(tail, F.lit(regex))
+        found = F.regexp_instr(tail, regex)
         return F.when(found > 0, found + (position - 1)).otherwise(found)
-    # skip the first matches: the text before the wanted one has a known length
-    head = F.regexp_extract(tail, f"^((?:.*?{pattern}){{{occurrence - 1}}}.*?){pattern}", 1)
-    hit = F.size(F.regexp_extract_all(tail, F.lit(f"({regex})"), F.lit(1))) >= occurrence
-    return F.when(hit, F.length(head) + position).otherwise(F.lit(0))
+    matches = F.regexp_extract_all(tail, regex, F.lit(0))
+    between = F.split(tail, regex, -1)
+
+    def lengths(parts: Column, n: int) -> Column:
+        return F.aggregate(F.slice(parts, 1, n), F.lit(0), lambda total, part: total + F.char_length(part))
+
+    start = lengths(between, occurrence) + lengths(matches, occurrence - 1) + F.lit(position)
+    return F.when(F.size(matches) >= occurrence, start).when(c.isNotNull(), F.lit(0))

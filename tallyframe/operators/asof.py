@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.operators.latest import latest_by
-from tallyframe.operators.ordered import ROWS_PER_SEGMENT, with_last_known
+from tallyframe.operators.ordered import ROWS_PER_SEGMENT, with_last_known, with_next
 
 
 def asof_join(
@@ -21,14 +21,16 @@ def asof_join(
     values: Sequence[str],
     tie: Sequence[str] = (),
     rows_per_segment: int = ROWS_PER_SEGMENT,
+    overlapping: bool = True,
+    unit: str = "day",
 ) -> DataFrame:
     """Attach to each request the newest version that started at or before it and is still open.
 
-    Requests and versions become one ordered stream per key and the last version is carried
-    forward, so work is one shuffle of their union: no pairs are formed, and a key with a third of
-    all rows is cut into segments. A version is dropped when its ``valid_to`` is not after the
-    request. Exact for validity ranges that do not overlap, or whose ends follow the order of
-    their starts; use :func:`asof_range_join` for anything else.
+    Requests and versions become one ordered stream per key and the last version is carried forward, so work is one
+    shuffle of their union: no pairs are formed, and a key with a third of all rows is cut into segments. If that
+    version has ended, an older one may still be open. Only a version that outlives the start of the next one of its key can
+    be: those few are listed once per time bucket they span beyond that start, and meet the requests without a version
+    there. ``overlapping=False`` leaves that step out where ranges are known to be disjoint.
     """
     body = F.struct(valid_from, *([valid_to] if valid_to else []), *values)
     order_cols = [F.col(t).alias(f"_tie_{i}") for i, t in enumerate(tie)]
@@ -50,12 +52,46 @@ def asof_join(
     open_ = F.lit(True)
     if valid_to:
         open_ = hit[valid_to].isNull() | (hit[valid_to] > F.col("_at"))
-    return known.withColumn("_hit", F.when(open_, hit)).select(
+    found = known.withColumn("_hit", F.when(open_, hit))
+    if valid_to and overlapping:
+        missed = found.where(F.col("_hit").isNull())
+        older = _older_open(missed, versions, keys, valid_from, valid_to, values, tie, rows_per_segment, unit)
+        found = found.where(F.col("_hit").isNotNull()).select("_request", "_hit").unionByName(older)
+    return found.select(
         "_request.*",
         *[F.col("_hit")[c].alias(c) for c in [valid_from, *([valid_to] if valid_to else []), *values]],
     )
 
 
+def _older_open(
+    missed: DataFrame, versions: DataFrame, keys: Sequence[str], valid_from: str, valid_to: str, values: Sequence[str],
+    tie: Sequence[str], rows_per_segment: int, unit: str,
+) -> DataFrame:
+    """``_request, _hit`` for requests whose newest version has ended."""
+    known = versions.dropna(subset=[*keys, valid_from])
+    ahead = with_next(known, keys, [valid_from, *tie], [valid_from], "_after", rows_per_segment)
+    after = F.col("_after")[valid_from]
+    outlives = after.isNotNull() & (F.col(valid_to).isNull() | (F.col(valid_to) > after))
+    last = missed.agg(F.max("_at").alias("m")).scalar()
+    # the last moment a request can ask for, not before the first one of the span
+    end = F.greatest(F.least(F.coalesce(F.col(valid_to), last), last), after)
+    days = F.sequence(F.date_trunc(unit, after), F.date_trunc(unit, end), F.expr(f"interval 1 {unit}"))
+    spans = ahead.where(outlives & (after <= last)).withColumn("_bucket", F.explode(days)).select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_bucket",
+        F.struct(valid_from, valid_to, *values).alias("_v"), F.struct(valid_from, *tie).alias("_rank"),
+    )
+    # equal requests are one, and become as many again
+    asked = missed.groupBy("_request", "_at", *keys).agg(F.count(F.lit(1)).alias("_n")).withColumn(
+        "_b", F.date_trunc(unit, "_at")
+    )
+    cond = (F.col("_b") == F.col("_bucket")) & (F.col("_v")[valid_from] <= F.col("_at"))
+    cond = cond & (F.col("_v")[valid_to].isNull() | (F.col("_v")[valid_to] > F.col("_at")))
+    for i, k in enumerate(keys):
+        cond = cond & (F.col(k) == F.col(f"_k{i}"))
+    best = asked.join(spans, cond, "left").groupBy("_request", "_n").agg(F.max_by("_v", "_rank").alias("_hit"))
+    return best.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n")))).select("_request", "_hit")
+
+
 def asof_range_join(
     requests: DataFrame,
     versions: DataFrame,

@@ -1,50 +1,43 @@
 """Ordered look-back over groups of any size.
 
-A plain ``lag`` or running sum over ``partitionBy(key)`` puts a hot key in one task, and without a
-key the whole table. So a narrow count per group runs first. Where no group is above
-``rows_per_segment`` rows, the plain window is safe and is used. Otherwise each hot group is cut into
-consecutive segments of its order column: the window runs inside each segment, and a small table with
-one row per segment carries the value across its edge.
-
-Segments follow the quantiles of the hot group's own order column, so a burst is cut as finely as a
-quiet stretch. The cut points are read once and used as constants, so every branch and every
-recomputed task sees the same segments.
-
-At most ``MAX_SEGMENTS`` hot groups are listed, the largest first; a group left out holds less than
-``1 / MAX_SEGMENTS`` of all rows. Hot groups share at most about twice that many segments, so both
-broadcast tables have a fixed bound at any scale.
+A plain ``lag`` or running sum over ``partitionBy(key)`` puts a hot key in one task, and without a key the whole
+table. So rows are placed first: ranges of the whole tuple (keys, order columns), whatever its types, become segments
+of about ``rows_per_segment`` rows. The window runs inside (key, segment), and one row per key and segment edge
+carries a value over the edge. A busy day, a batch stamp or a common prefix is cut like anything else, because every
+order column takes part; only rows that agree in all of them stay together. There is no list of hot keys and no limit
+to their number.
+
+The placed rows are stored in the shared folder: a range partitioning that is evaluated twice may cut differently.
+A frame that fits one segment is its own placement. Both take the same path from there on and have the same types.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from tallyframe.session import shared_path
 
 ROWS_PER_SEGMENT = 1_000_000
-MAX_SEGMENTS = 10_000
 
-_SEG = "_scan_segment"
+SEGMENT = "_scan_segment"
 
 
-def _position(df: DataFrame, name: str) -> Column:
-    """The order column as a double that grows with it."""
-    dtype = df.schema[name].dataType
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(name).cast("timestamp")).cast("double")
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(name).cast("double")
-    if isinstance(dtype, T.NumericType):
-        return F.col(name).cast("double")
-    if isinstance(dtype, T.StringType):
-        # the first six bytes as a number follow the byte order of the text
-        head = F.hex(F.substring(F.encode(F.col(name), "UTF-8"), 1, 6))
-        return F.conv(F.rpad(head, 12, "0"), 16, 10).cast("double")
-    raise TypeError(f"cannot segment by {name}: {dtype.simpleString()}")
+def place(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_segment: int = ROWS_PER_SEGMENT
+) -> DataFrame:
+    """Add ``_scan_segment``, which rises with (keys, order). Look-back over the result shares this placement."""
+    # ranges follow a sample, so they are meant to hold half of what is allowed
+    parts = ceil(2 * df.count() / rows_per_segment)
+    if parts <= 2:
+        return df.withColumn(SEGMENT, F.lit(0))
+    path = shared_path(df.sparkSession, "placed-rows")
+    ranged = df.repartitionByRange(parts, *keys, *order).withColumn(SEGMENT, F.spark_partition_id())
+    ranged.write.parquet(path)
+    return df.sparkSession.read.schema(ranged.schema).parquet(path)
 
 
 def _null_safe(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
@@ -54,92 +47,6 @@ def _null_safe(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str
     return cond
 
 
-# cut points kept per hot group; finer segments divide the stretch between two of them evenly
-MAX_CUTS = 1_000
-
-
-@dataclass(frozen=True)
-class HotGroups:
-    """Groups too large for one task: a bounded list of (keys..., parts, cut points)."""
-
-    rows: list[tuple]
-    schema: T.StructType
-
-
-def hot_groups(
-    df: DataFrame, keys: Sequence[str], order_col: str, rows_per_segment: int = ROWS_PER_SEGMENT
-) -> HotGroups:
-    """Find them with one count per group, combined on the map side; only the list is collected.
-
-    A second job reads the order column of the hot groups alone and sketches its quantiles.
-    """
-    pos = _position(df, order_col)
-    named = [F.col(k).alias(f"_hot_{i}") for i, k in enumerate(keys)]
-    counts = df.groupBy(*named).agg(F.count(F.lit(1)).alias("_hot_rows"))
-    large = counts.where(F.col("_hot_rows") > rows_per_segment).orderBy(F.desc("_hot_rows")).limit(MAX_SEGMENTS)
-    found = [tuple(r) for r in large.collect()]
-    schema = T.StructType(
-        [*counts.schema.fields[:-1], T.StructField("_hot_sub", T.IntegerType()),
-         T.StructField("_hot_cuts", T.ArrayType(T.DoubleType()))]
-    )
-    if not found:
-        return HotGroups([], schema)
-    per = max(float(rows_per_segment), sum(r[-1] for r in found) / MAX_SEGMENTS)
-    parts = {r[:-1]: ceil(r[-1] / per) for r in found}
-    steps = min(MAX_CUTS, max(parts.values()))
-    fractions = [i / steps for i in range(steps + 1)]
-    rows = df
-    if keys:
-        listed = df.sparkSession.createDataFrame(found, counts.schema)
-        pairs = [(k, f"_hot_{i}") for i, k in enumerate(keys)]
-        rows = df.join(F.broadcast(listed), _null_safe(df, listed, pairs), "left_semi")
-    sketched = rows.groupBy(*named).agg(F.approx_percentile(pos, fractions).alias("_hot_cuts")).collect()
-    out = []
-    for r in sketched:
-        key, cuts = tuple(r)[:-1], r["_hot_cuts"] or []
-        want = parts[key]
-        stride = max(1, steps // want)
-        out.append((*key, ceil(want / steps), sorted(set(cuts[::stride]) | set(cuts[-1:]))))
-    return HotGroups(out, schema)
-
-
-def _segmented(df: DataFrame, keys: Sequence[str], order_col: str, hot: HotGroups) -> DataFrame:
-    """Add ``_scan_segment``: NULL for ordinary groups, rising with the order column for hot ones."""
-    pos = _position(df, order_col)
-    if keys:
-        listed = df.sparkSession.createDataFrame(hot.rows, hot.schema)
-        pairs = [(k, f"_hot_{i}") for i, k in enumerate(keys)]
-        joined = df.join(F.broadcast(listed), _null_safe(df, listed, pairs), "left")
-    else:
-        (sub, cuts), = hot.rows
-        joined = df.withColumns({"_hot_sub": F.lit(sub), "_hot_cuts": F.array(*[F.lit(c) for c in cuts])})
-    cuts, sub = F.col("_hot_cuts"), F.col("_hot_sub")
-    # number of cut points at or below the position, by halving steps
-    longest = max(len(r[-1]) for r in hot.rows)
-    halves = F.array(*[F.lit(1 << i) for i in reversed(range(max(1, longest.bit_length())))])
-    below = F.aggregate(
-        halves, F.lit(0), lambda i, step: i + F.when(F.get(cuts, i + step - 1) <= pos, step).otherwise(F.lit(0))
-    )
-    lo, hi = F.get(cuts, F.col("_hot_below") - 1), F.get(cuts, F.col("_hot_below"))
-    inner = F.coalesce(F.least(F.floor(F.try_divide(pos - lo, hi - lo) * sub), sub - 1), F.lit(0))
-    segment = F.when(sub.isNotNull(), F.col("_hot_below") * sub + inner)
-    return joined.withColumn("_hot_below", below).withColumn(_SEG, segment.cast("int")).select(*df.columns, _SEG)
-
-
-def _carry(
-    seg: DataFrame, keys: Sequence[str], edge: Column, fold, descending: bool
-) -> DataFrame:
-    """One row per hot segment with the value that enters it from the segments before."""
-    order = F.col("_edge_seg").desc() if descending else F.col("_edge_seg").asc()
-    edges = (
-        seg.where(F.col(_SEG).isNotNull())
-        .groupBy(*[F.col(k).alias(f"_edge_{i}") for i, k in enumerate(keys)], F.col(_SEG).alias("_edge_seg"))
-        .agg(edge.alias("_scan_edge"))
-    )
-    w = Window.partitionBy(*[f"_edge_{i}" for i in range(len(keys))]).orderBy(order)
-    return edges.withColumn("_scan_carried", fold("_scan_edge", w)).drop("_scan_edge")
-
-
 def _scan(
     df: DataFrame,
     keys: Sequence[str],
@@ -151,21 +58,28 @@ def _scan(
     out: str,
     rows_per_segment: int,
     descending: bool = False,
-    hot: HotGroups | None = None,
 ) -> DataFrame:
-    hot = hot_groups(df, keys, order[0], rows_per_segment) if hot is None else hot
+    placed = SEGMENT in df.columns
+    seg = df if placed else place(df, keys, order, rows_per_segment)
     by = [F.col(o).desc() if descending else F.col(o).asc() for o in order]
-    if not hot.rows:
-        return df.withColumn(out, inside(Window.partitionBy(*keys).orderBy(*by)))
-    seg = _segmented(df, keys, order[0], hot)
-    local = seg.withColumn("_scan_local", inside(Window.partitionBy(*keys, _SEG).orderBy(*by)))
-    carry = _carry(seg, keys, edge, fold, descending)
-    pairs = [(k, f"_edge_{i}") for i, k in enumerate(keys)]
-    cond = _null_safe(local, carry, pairs) & (local[_SEG] == carry["_edge_seg"])
+    local = seg.withColumn("_scan_local", inside(Window.partitionBy(*keys, SEGMENT).orderBy(*by)))
+    kind = local.schema["_scan_local"].dataType
+    names = [f"_edge_{i}" for i in range(len(keys))]
+    edges = seg.groupBy(
+        *[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)], F.col(SEGMENT).alias("_edge_seg")
+    ).agg(edge.alias("_scan_edge"))
+    along = Window.partitionBy(*names).orderBy(F.col("_edge_seg").desc() if descending else F.col("_edge_seg").asc())
+    # only a key's later segments are entered by a value: at most one row per segment of the table
+    carry = (
+        edges.withColumn("_scan_carried", fold("_scan_edge", along))
+        .withColumn("_edge_no", F.row_number().over(along)).where("_edge_no > 1").drop("_scan_edge", "_edge_no")
+    )
+    cond = _null_safe(local, carry, list(zip(keys, names, strict=True))) & (local[SEGMENT] == carry["_edge_seg"])
+    columns = df.columns if placed else [c for c in seg.columns if c != SEGMENT]
     return (
-        local.join(F.broadcast(carry), cond, "left")
-        .withColumn(out, combine(F.col("_scan_local"), F.col("_scan_carried")))
-        .select(*df.columns, out)
+        local.join(carry, cond, "left")
+        .withColumn(out, combine(F.col("_scan_local"), F.col("_scan_carried")).cast(kind))
+        .select(*columns, out)
     )
 
 
@@ -177,12 +91,11 @@ def with_previous(
     out: str = "_prev",
     descending: bool = False,
     rows_per_segment: int = ROWS_PER_SEGMENT,
-    hot: HotGroups | None = None,
 ) -> DataFrame:
     """Add ``out``: a struct of ``values`` of the row before, NULL on a group's first row.
 
-    ``order`` must be a total order inside a group for a repeatable answer. ``hot`` takes the result of
-    :func:`hot_groups` over this frame or a larger one, where that is known already.
+    ``order`` must be a total order inside a group for a repeatable answer. A frame that :func:`place` made for the same
+    keys and order, or rows of it, keeps its placement and the column of it.
     """
     value = F.struct(*values)
     rank = F.struct(*order)
@@ -193,15 +106,13 @@ def with_previous(
         edge=edge,
         fold=lambda c, w: F.lag(c).over(w),
         combine=lambda local, carried: F.coalesce(local, carried),
-        out=out, rows_per_segment=rows_per_segment, descending=descending, hot=hot,
+        out=out, rows_per_segment=rows_per_segment, descending=descending,
     )
 
 
-def with_next(
-    df, keys, order, values, out="_next", rows_per_segment=ROWS_PER_SEGMENT, hot: HotGroups | None = None
-) -> DataFrame:
+def with_next(df, keys, order, values, out="_next", rows_per_segment=ROWS_PER_SEGMENT) -> DataFrame:
     """Mirror of :func:`with_previous`: the row after, NULL on a group's last row."""
-    return with_previous(df, keys, order, values, out, True, rows_per_segment, hot)
+    return with_previous(df, keys, order, values, out, True, rows_per_segment)
 
 
 def with_last_known(
@@ -236,9 +147,8 @@ def with_running_sum(
     out: str = "running",
     descending: bool = False,
     rows_per_segment: int = ROWS_PER_SEGMENT,
-    hot: HotGroups | None = None,
 ) -> DataFrame:
-    """Add ``out``: the sum of ``value`` from the group's first row to this one."""
+    """Add ``out``: the sum of ``value`` from the group's first row to this one, in the type of a plain sum."""
     return _scan(
         df, keys, order,
         inside=lambda w: F.sum(value).over(
@@ -249,5 +159,5 @@ def with_running_sum(
         combine=lambda local, carried: F.when(carried.isNull(), local)
         .when(local.isNull(), carried)
         .otherwise(local + carried),
-        out=out, rows_per_segment=rows_per_segment, descending=descending, hot=hot,
+        out=out, rows_per_segment=rows_per_segment, descending=descending,
     )

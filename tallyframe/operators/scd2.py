@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.operators.asof import asof_join
-from tallyframe.operators.ordered import ROWS_PER_SEGMENT, hot_groups, with_next, with_previous
+from tallyframe.operators.ordered import ROWS_PER_SEGMENT, place, with_next, with_previous
 
 
 def scd2_check(
@@ -65,7 +65,7 @@ def scd2_as_of(
     snapshot: DataFrame, facts: DataFrame, key: str, at: str, values: Sequence[str]
 ) -> DataFrame:
     """Which version held when each fact happened."""
-    return asof_join(facts, snapshot, [key], at, "valid_from", "valid_to", values)
+    return asof_join(facts, snapshot, [key], at, "valid_from", "valid_to", values, overlapping=False)
 
 
 def scd2_from_log(
@@ -84,13 +84,13 @@ def scd2_from_log(
     """
     flagged = log.withColumn("_deleted", F.col(op) == "d")
     state = [*check_cols, "_deleted"]
-    hot = hot_groups(flagged, keys, order[0], rows_per_segment)
-    prev = with_previous(flagged, keys, order, state, "_before", hot=hot)
+    placed = place(flagged, keys, order, rows_per_segment)
+    prev = with_previous(placed, keys, order, state, "_before")
     same = F.col("_before").isNotNull()
     for c in state:
         same = same & F.col(c).eqNullSafe(F.col("_before")[c])
     starts = prev.where(~same).drop("_before")
-    spans = with_next(starts, keys, order, [at], "_after", hot=hot)
+    spans = with_next(starts, keys, order, [at], "_after")
     return spans.where(~F.col("_deleted")).select(
         *keys, *check_cols, F.col(at).alias("valid_from"), F.col("_after")[at].alias("valid_to")
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.operators import cdc
 from tallyframe.operators.latest import latest_by
-from tallyframe.operators.ordered import ROWS_PER_SEGMENT, hot_groups, with_previous, with_running_sum
+from tallyframe.operators.ordered import ROWS_PER_SEGMENT, place, with_previous, with_running_sum
 from tallyframe.plans.marts import exposure_partials
 from tallyframe.sinks import upsert_latest
 
@@ -210,11 +210,11 @@ def sessionize(
     else:
         # one row per moment, so that both ordered steps see the same order
         moments = timed.where(F.col(ts).isNotNull()).groupBy(user, ts).agg(F.count(F.lit(1)).alias("_n"))
-        hot = hot_groups(moments, [user], ts, rows_per_segment)
-        prev = with_previous(moments, [user], [ts], [ts], "_prev", hot=hot)
+        placed = place(moments, [user], [ts], rows_per_segment)
+        prev = with_previous(placed, [user], [ts], [ts], "_prev")
         pause = F.col("_prev").isNull() | (F.col(ts) > F.col("_prev")[ts] + F.expr(f"interval {gap}"))
         rows = with_running_sum(
-            prev.withColumn("_start", pause.cast("int")), [user], [ts], "_start", "_session", hot=hot
+            prev.withColumn("_start", pause.cast("int")), [user], [ts], "_start", "_session"
         )
         keys = [F.col(user), F.col("_session")]
     out = rows.groupBy(*keys).agg(F.min(ts).alias("_lo"), F.max(ts).alias("_hi"), F.sum("_n").alias("events"))

@@ -141,24 +141,57 @@ def test_scd2_from_log(spark, per):
     assert got == {("a", "x", 0, 20), ("a", "y", 20, None), ("b", "p", 1, 2), ("b", "p", 5, 9), ("b", "q", 9, None)}
 
 
-def test_segments_follow_a_burst(spark):
-    """Nearly all rows within one second of ten years still spread over the segments."""
+def _segments(df, keys, order, per):
+    placed = ordered.place(df, keys, order, per)
+    return sorted(r["count"] for r in placed.groupBy(ordered.SEGMENT).count().collect())
+
+
+def _chain(df, order, per, name):
+    out = ordered.with_previous(df, ["k"], order, [name], "p", rows_per_segment=per)
+    return {r[name]: r.p and r.p[name] for r in out.collect()}
+
+
+def test_a_burst_a_busy_day_and_a_common_prefix_are_cut(spark):
+    """Whatever the order column holds, no segment is larger than asked for."""
     times = [i * 10_000_000 for i in range(30)] + [150_000_000 + i / 1000 for i in range(2000)]
-    df = spark.createDataFrame([("hot", float(t), i) for i, t in enumerate(times)] + [("b", 1.0, -1)], "k string, t double, id int")
-    hot = ordered.hot_groups(df, ["k"], "t", 100)
-    sizes = [r["count"] for r in ordered._segmented(df, ["k"], "t", hot).where("k = 'hot'").groupBy("_scan_segment").count().collect()]
-    assert sum(sizes) == len(times) and max(sizes) <= 300 and len(sizes) >= 15
-    prev = ordered.with_previous(df, ["k"], ["t", "id"], ["id"], "p", rows_per_segment=100)
+    burst = spark.createDataFrame([("hot", float(t), i) for i, t in enumerate(times)], "k string, t double, id int")
+    day = spark.range(2000).selectExpr("'h' as k", "date'2024-05-05' as t", "cast((id * 7919) % 2000 as int) as id")
+    text = spark.range(2000).selectExpr("'h' as k", "concat('user-0000000', lpad(id, 5, '0')) as t", "cast(id as int) as id")
     line = [i for i, _ in sorted(enumerate(times), key=lambda x: x[1])]
-    want = {x: (line[i - 1] if i else None) for i, x in enumerate(line)} | {-1: None}
-    assert {r.id: r.p and r.p.id for r in prev.collect()} == want
-
-
-def test_more_parts_than_cut_points(spark, monkeypatch):
-    monkeypatch.setattr(ordered, "MAX_CUTS", 4)
-    df = spark.range(500).select(F.lit("h").alias("k"), F.col("id").alias("t"))
-    out = ordered.with_running_sum(df, ["k"], ["t"], "t", "s", rows_per_segment=10)
-    assert {r.t: r.s for r in out.collect()} == {i: i * (i + 1) // 2 for i in range(500)}
-    hot = ordered.hot_groups(df, ["k"], "t", 10)
-    sizes = [r["count"] for r in ordered._segmented(df, ["k"], "t", hot).groupBy("_scan_segment").count().collect()]
-    assert max(sizes) <= 25
+    for df, order, want in (
+        (burst, ["t", "id"], line), (day, ["t", "id"], list(range(2000))), (text, ["t"], list(range(2000))),
+    ):
+        sizes = _segments(df, ["k"], order, 200)
+        assert sum(sizes) == len(want) and max(sizes) <= 200 and len(sizes) >= 10
+        assert _chain(df, order, 200, "id") == {x: (want[i - 1] if i else None) for i, x in enumerate(want)}
+
+
+def test_many_hot_groups_are_all_cut(spark):
+    df = spark.range(4000).selectExpr("cast(id % 40 as string) as k", "id as t", "cast(id as int) as id")
+    assert max(_segments(df, ["k"], ["t"], 40)) <= 40
+    assert _chain(df, ["t"], 40, "id") == {i: (i - 40 if i >= 40 else None) for i in range(4000)}
+
+
+def test_types_do_not_depend_on_the_size(spark):
+    df = spark.range(300).selectExpr("id % 2 as k", "id as t", "cast(id as decimal(12,2)) as v")
+    a, b = (ordered.with_running_sum(df, ["k"], ["t"], "v", "s", rows_per_segment=per) for per in (20, 10_000))
+    assert a.schema["s"].dataType == b.schema["s"].dataType
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_as_of_finds_an_older_version_that_is_still_open(spark):
+    rng = random.Random(9)
+    versions = [(k, f := rng.randint(0, 300), f + rng.choice([1, 5, 40, 200, None or 900]), i) for i, k in enumerate("ab" * 40)]
+    versions += [("a", 5, None, 900), ("b", 299, None, 901)]
+    requests = [(i, rng.choice("abc"), rng.randint(-5, 420)) for i in range(150)]
+    requests += requests[:20] + [(900, None, 5), (901, "a", None)]
+    ts = lambda c: F.timestamp_seconds(F.col(c) * 36000).cast("timestamp_ntz").alias(c)
+    v = spark.createDataFrame(versions, "k string, f int, t int, val int").select("k", ts("f"), ts("t"), "val")
+    r = spark.createDataFrame(requests, "id int, k string, at int").select("id", "k", ts("at"))
+    want = sorted(
+        (i, max(((f, x) for vk, f, t, x in versions if at is not None and vk == k and f <= at and (t is None or t > at)), default=(0, -1))[1])
+        for i, k, at in requests
+    )
+    for per in (20, 10_000):
+        got = asof.asof_join(r, v, ["k"], "at", "f", "t", ["val"], tie=["val"], rows_per_segment=per).collect()
+        assert sorted((x.id, -1 if x.val is None else x.val) for x in got) == want
