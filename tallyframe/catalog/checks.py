@@ -394,6 +394,13 @@ add(
     f"SELECT lower(s) AS lower_value, count(DISTINCT s) AS n_variants FROM (SELECT {CASED} AS s FROM documents) GROUP BY 1 HAVING count(DISTINCT s) > 1",
 )
 
+add(
+    "ex_31_consistent_casing_display",
+    lambda d: expect.consistent_casing(d.raw("documents").select(F.expr(CASED).alias("source")), "source", display=True),
+    f"""SELECT lower(source) AS lower_value, source, n_rows FROM (SELECT s AS source, count(*) AS n_rows
+      FROM (SELECT {CASED} AS s FROM documents) GROUP BY 1) QUALIFY count(*) OVER (PARTITION BY lower(source)) > 1""",
+)
+
 # -- several columns -----------------------------------------------------------------------------------------------------
 
 add("ex_32_a_greater_than_b", lambda d: ids(expect.a_greater_than_b(d.tx, "decision_latency_ms", "merchant_id")),

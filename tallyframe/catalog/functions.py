@@ -197,6 +197,12 @@ add(
     """SELECT 'users' AS source_name, user_id, credit_limit::DOUBLE AS credit_limit, NULL::INT AS merchant_id FROM users
       UNION ALL SELECT 'merchants', NULL, credit_limit::DOUBLE, merchant_id FROM merchants""",
 )
+add(
+    "tu_03_pivot_compared",
+    lambda d: tables.pivot(d.tx, ["status"], "installment_count", [1, 3, 6], prefix="from_", cmp=">="),
+    """SELECT status, count(*) FILTER (installment_count >= 1) AS from_1, count(*) FILTER (installment_count >= 3) AS from_3,
+      count(*) FILTER (installment_count >= 6) AS from_6 FROM transactions GROUP BY 1""",
+)
 add(
     "tu_03_pivot",
     lambda d: tables.pivot(

@@ -10,6 +10,7 @@ from tallyframe.catalog.functions import DIMENSION_SQL, HOST_SQL, PATH_SQL, PERI
 from tallyframe.catalog.relational import RECON_SQL, RISK_SQL
 from tallyframe.operators import asof, calendar_tables, cdc, scd2, setops
 from tallyframe.operators.latest import latest_by
+from tallyframe.operators.quantiles import exact_quantiles
 from tallyframe.plans import drift, marts, monitoring, reports
 from tallyframe.sinks import audit_events
 from tallyframe.sources import changes, domain
@@ -43,7 +44,23 @@ add(
     f"""SELECT round(median(decision_latency_ms), 6) AS p50, round(quantile_cont(decision_latency_ms, 0.95), 6) AS p95,
       round(quantile_cont(decision_latency_ms, 0.99), 6) AS p99 FROM transactions WHERE created_at >= {T_AS_OF} - INTERVAL 30 DAY""",
 )
-add("mon_04_decision_latency_approx", lambda d: monitoring.decision_latency(d.tx, d.now, "30 days", exact=False))
+
+
+@query(
+    "mon_04_decision_latency_approx", "SELECT true AS p50_close, true AS p95_close, true AS p99_close",
+)
+def _latency_close(d: Data):
+    """The estimates lie between exact quantiles half a percent below and above."""
+    near = monitoring.decision_latency(d.tx, d.now, "30 days", exact=False)
+    rows = monitoring.recent(d.tx, "created_at", "30 days", d.now)
+    probs = {f"{n}_{side}": q + s for n, q in (("p50", 0.5), ("p95", 0.95), ("p99", 0.99)) for side, s in (("lo", -0.005), ("hi", 0.005))}
+    exact = exact_quantiles(rows, "decision_latency_ms", probs)
+    return near.select(*[
+        F.col(n).between(F.floor(exact.select(f"{n}_lo").scalar()), F.ceil(exact.select(f"{n}_hi").scalar())).alias(f"{n}_close")
+        for n in ("p50", "p95", "p99")
+    ])
+
+
 add("mon_05_top_merchants", lambda d: monitoring.top_merchants(d.kpis),
     "SELECT merchant_id, sum(gmv)::DOUBLE AS total_gmv FROM kpis GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10")
 add("mon_06_feature_table_health", lambda d: monitoring.feature_table_health(d.history),

@@ -158,14 +158,14 @@ add(
     ASOF_SQL,
 )
 # every fifth user's versions stay open far beyond the next ones, and one in seven versions ends within a day
-OPEN_SQL = """(SELECT user_id, snapshot_ts, valid_from, CASE WHEN user_id % 5 = 0 AND month(valid_from) % 2 = 0
-    THEN valid_from + INTERVAL 100 DAY WHEN (user_id + month(valid_from)) % 7 = 0 THEN valid_from + INTERVAL 1 DAY
+OPEN_SQL = """(SELECT user_id, snapshot_ts, valid_from, CASE WHEN user_id % 5 = 0 AND month(valid_from) = 2
+    THEN valid_from + INTERVAL 400 DAY WHEN (user_id + month(valid_from)) % 7 = 0 THEN valid_from + INTERVAL 1 DAY
     ELSE valid_to END AS valid_to, tx_velocity_30d FROM feature_history)"""
 
 
 def open_history(d: Data):
     month = F.month("valid_from")
-    ends = F.when((F.col("user_id") % 5 == 0) & (month % 2 == 0), F.col("valid_from") + F.expr("interval 100 days")).when(
+    ends = F.when((F.col("user_id") % 5 == 0) & (month == 2), F.col("valid_from") + F.expr("interval 400 days")).when(
         (F.col("user_id") + month) % 7 == 0, F.col("valid_from") + F.expr("interval 1 day")
     )
     return d.history.withColumn("valid_to", F.coalesce(ends, "valid_to"))
@@ -448,6 +448,16 @@ add(
 )
 
 
+add(
+    "win_07_day_after_previous",
+    lambda d: d.tx.select("user_id", F.to_date("created_at").alias("day")).distinct().withColumn(
+        "not_before", F.date_add(F.lag("day").over(Window.partitionBy("user_id").orderBy("day")), 1)
+    ),
+    """SELECT user_id, day, lag(day) OVER (PARTITION BY user_id ORDER BY day) + 1 AS not_before
+      FROM (SELECT DISTINCT user_id, created_at::DATE AS day FROM transactions)""",
+)
+
+
 @query(
     "win_05_trailing_band",
     f"""SELECT day, status, round(avg(v) OVER w, 4) AS avg_7, round(stddev_samp(v) OVER w, 4) AS sd_7 FROM ({DAILY})
@@ -518,7 +528,7 @@ TOP_GMV = "SELECT merchant_id, sum(gmv)::DOUBLE AS total_gmv FROM kpis GROUP BY
 add("top_01_merchants_by_gmv", lambda d: monitoring.top_merchants(d.kpis), TOP_GMV)
 add(
     "top_02_kpi_rows_by_gmv",
-    lambda d: monitoring.kpi_table(d.kpis).limit(10).select("merchant_id", "date", "gmv"),
+    lambda d: monitoring.kpi_table(d.kpis, 10).select("merchant_id", "date", "gmv"),
     "SELECT merchant_id, date, gmv::DOUBLE AS gmv FROM kpis ORDER BY kpis.gmv DESC, merchant_id, date LIMIT 10",
 )
 add(

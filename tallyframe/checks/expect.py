@@ -232,14 +232,18 @@ def values_decreasing(
     return _monotone(df, column, sort_columns, strictly, row_condition, group_by, False, rows_per_segment)
 
 
-def consistent_casing(df, column) -> DataFrame:
-    """Values that differ only in letter case."""
-    return (
-        df.groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
-        .groupBy(F.lower(column).alias("lower_value"))
+def consistent_casing(df, column, display: bool = False) -> DataFrame:
+    """Values that differ only in letter case: a row per group of them, or with ``display`` a row per value."""
+    values = df.groupBy(column).agg(F.count(F.lit(1)).alias("n_rows"))
+    groups = (
+        values.groupBy(F.lower(column).alias("lower_value"))
         .agg(F.count(F.lit(1)).alias("n_variants"))
         .where("n_variants > 1")
     )
+    if not display:
+        return groups
+    named = values.withColumn("lower_value", F.lower(column))
+    return named.join(groups.select("lower_value"), "lower_value", "left_semi").select("lower_value", column, "n_rows")
 
 
 # -- several columns ----------------------------------------------------------------------------

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Sequence
 from functools import reduce
 
@@ -43,13 +44,18 @@ def pivot(
     else_value: Column | None = None,
     prefix: str = "",
     suffix: str = "",
+    cmp: str = "=",
 ) -> DataFrame:
-    """One conditional aggregate per value; rows of other values add ``else_value``, not NULL."""
+    """One conditional aggregate per value; rows that do not compare add ``else_value``, not NULL."""
+    compare = {
+        "=": operator.eq, "<>": operator.ne, "!=": operator.ne, "<": operator.lt, "<=": operator.le, ">": operator.gt,
+        ">=": operator.ge,
+    }[cmp]
     then_value = F.lit(1) if then_value is None else then_value
     else_value = F.lit(0) if else_value is None else else_value
     return df.groupBy(*group_by).agg(
         *[
-            agg(F.when(F.col(column) == v, then_value).otherwise(else_value)).alias(f"{prefix}{v}{suffix}")
+            agg(F.when(compare(F.col(column), F.lit(v)), then_value).otherwise(else_value)).alias(f"{prefix}{v}{suffix}")
             for v in values
         ]
     )

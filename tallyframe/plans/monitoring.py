@@ -17,12 +17,13 @@ def top_merchants(kpis: DataFrame, n: int = 10) -> DataFrame:
     )
 
 
-def kpi_table(kpis: DataFrame) -> DataFrame:
-    return kpis.orderBy(F.desc("gmv"), "merchant_id", "date")
+def kpi_table(kpis: DataFrame, n: int | None = None) -> DataFrame:
+    """All rows, in no order, or the ``n`` rows with the largest sales."""
+    return kpis if n is None else kpis.orderBy(F.desc("gmv"), "merchant_id", "date").limit(n)
 
 
 def approval_series(kpis: DataFrame) -> DataFrame:
-    return kpis.select("date", "merchant_id", "approval_rate").orderBy("date", "merchant_id")
+    return kpis.select("date", "merchant_id", "approval_rate")
 
 
 def instalment_share(kpis: DataFrame) -> DataFrame:
