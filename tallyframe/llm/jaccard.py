@@ -14,8 +14,8 @@ space by cost: entries, plus a charge for subsets of one element, plus one for s
 
 Sets that share an entry become candidates, each with the first set of the entry. Candidates that pass exact bounds (sizes,
 and a histogram of the hashes whose difference cannot exceed that of the sets) are verified on the whole sets. Entries of
-three or more sets that verified links leave in several components are then compared across components, in
-blocks. Links inside a component need not be known: the components are those of all links.
+three or more sets that verified links leave in several components are then compared across components, on the whole sets
+and in blocks. Links inside a component need not be known: the components are those of all links.
 
 Equal sets are one node, named by 128 bits of hash, so copies cost nothing beyond the first per task.
 
@@ -26,6 +26,7 @@ the largest; an empty table gives no row; further columns are ignored, or kept b
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -43,8 +44,9 @@ SHINGLE = 5
 TEXT_BYTES = 4 << 20
 # the charge of a subset of one element, in entries, and of a set that cannot pay for its empty subsets
 ONE_COST, POOR_COST = 0.25, 50.0
-# rows of a block of the comparison across components
-BLOCK = 1024
+# shingles of a block of the comparison across components, and of the small groups of one task
+BLOCK_ELEMENTS = 1_000_000
+TASK_ELEMENTS = 2_000_000
 MAX_FILTER_BITS = 1 << 28
 # entries per bucket of the index
 BUCKET_ENTRIES = 2_000_000
@@ -179,7 +181,7 @@ def entries(elements: np.ndarray, space: int, upper: bool) -> np.ndarray:
 def spaces_of(n: int) -> list[tuple[int, bool]]:
     """The spaces a set takes part in, and whether as one of the second band."""
     starts = band_starts()
-    band = int(np.searchsorted(starts, n, side="right")) - 1
+    band = bisect_right(starts, n) - 1
     out = [(band, False)]
     if band and n <= (starts[band] - 1) * 5 // 4:
         out.append((band - 1, True))
@@ -346,14 +348,10 @@ def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        kept = []
-        for i, (x, y) in enumerate(zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True)):
-            x, y = np.frombuffer(x, dtype="<u8"), np.frombuffer(y, dtype="<u8")
-            both = np.concatenate([x, y])
-            both.sort()
-            shared = int((both[1:] == both[:-1]).sum())
-            if 100 * shared >= 80 * (len(both) - shared):
-                kept.append(i)
+        pairs = zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True)
+        kept = [
+            i for i, (x, y) in enumerate(pairs) if _similar(np.frombuffer(x, dtype="<u8"), np.frombuffer(y, dtype="<u8"))
+        ]
         yield batch.select(["a", "b"]).take(pa.array(kept, pa.int64()))
 
 
@@ -377,60 +375,142 @@ def verify(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, label: str) -> D
     return store(met.mapInArrow(_links, "a binary, b binary"), label)
 
 
-def _across(key: tuple, table: pa.Table) -> pa.Table:
-    """Pairs of one entry, of two blocks of it, that lie in different components and pass the bounds."""
-    table = table.combine_chunks().sort_by([("entry", "ascending"), ("bi", "ascending"), ("bj", "ascending")])
-    nodes, roots = table["node"].to_pylist(), np.array(table["root"].to_pylist(), dtype=object)
+def _similar(x: np.ndarray, y: np.ndarray) -> bool:
+    both = np.concatenate([x, y])
+    both.sort()
+    shared = int((both[1:] == both[:-1]).sum())
+    return 100 * shared >= 80 * (len(both) - shared)
+
+
+def _runs(table: pa.Table) -> tuple[pa.Table, list[tuple[int, int]]]:
+    """Rows sorted by group and pair of blocks, and the stretch of each pair."""
+    table = table.combine_chunks().sort_by([("group", "ascending"), ("bi", "ascending"), ("bj", "ascending")])
+    groups = table["group"].combine_chunks().dictionary_encode().indices.to_numpy()
+    bi, bj = table["bi"].to_numpy(), table["bj"].to_numpy()
+    new = (groups[1:] != groups[:-1]) | (bi[1:] != bi[:-1]) | (bj[1:] != bj[:-1])
+    cuts = [0, *(np.flatnonzero(new) + 1).tolist(), len(groups)]
+    return table, list(zip(cuts[:-1], cuts[1:], strict=True))
+
+
+def _prospects(key: tuple, table: pa.Table) -> pa.Table:
+    """The rows that have a set of another component within the bounds, by sizes and histograms alone."""
+    table, stretches = _runs(table)
     hists, sizes = table["histogram"].to_pylist(), table["n_shingles"].to_numpy()
+    roots = table["root"].combine_chunks().dictionary_encode().indices.to_numpy()
+    block, bi, bj = (table[c].to_numpy() for c in ("block", "bi", "bj"))
+    # a histogram that was cut off bounds nothing; such a set is left to the exact check
+    cut_off = np.array([255 in h for h in hists], dtype=bool)
+    some = np.zeros(len(hists), dtype=bool)
+    for lo, hi in stretches:
+        cells = min(len(h) for h in hists[lo:hi])
+        folded = np.stack([
+            np.frombuffer(h, dtype=np.uint8).reshape(-1, cells).sum(axis=0, dtype=np.int32) for h in hists[lo:hi]
+        ])
+        right = lo + np.flatnonzero(block[lo:hi] == bj[lo])
+        for i in lo + np.flatnonzero(block[lo:hi] == bi[lo]):
+            others = right[right > i] if bi[lo] == bj[lo] else right
+            others = others[
+                (roots[others] != roots[i])
+                & (5 * np.minimum(sizes[others], sizes[i]) >= 4 * np.maximum(sizes[others], sizes[i]))
+            ]
+            apart = np.abs(folded[others - lo] - folded[i - lo]).sum(axis=1)
+            near = others[(9 * apart <= sizes[others] + sizes[i]) | cut_off[others] | cut_off[i]]
+            some[near] = True
+            some[i] |= len(near) > 0
+    return table.select(["group", "node"]).filter(pa.array(some))
+
+
+def _across(key: tuple, table: pa.Table) -> pa.Table:
+    """Links between components of a group, of two blocks of it; pairs that links found here connect are left out."""
+    table, stretches = _runs(table)
+    nodes = table["node"].to_pylist()
+    sets = [np.frombuffer(x, dtype="<u8") for x in table["elements"].to_pylist()]
+    sizes = np.array([len(x) for x in sets], dtype=np.int64)
+    roots = table["root"].combine_chunks().dictionary_encode().indices.to_numpy()
     block, bi, bj = (table[c].to_numpy() for c in ("block", "bi", "bj"))
-    entry = table["entry"].to_numpy()
-    new = (entry[1:] != entry[:-1]) | (bi[1:] != bi[:-1]) | (bj[1:] != bj[:-1])
-    cuts = [0, *(np.flatnonzero(new) + 1).tolist(), len(entry)]
-    tried: set[tuple[bytes, bytes]] = set()
     a, b = [], []
-    for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+    for lo, hi in stretches:
+        # the difference of two histograms cannot exceed that of the sets
+        cells = np.stack([np.bincount((x & U64(255)).astype(np.int64), minlength=256) for x in sets[lo:hi]]).astype(np.int32)
+        if cells.max() < 1 << 15:
+            cells = cells.astype(np.int16)
+        # roots as they merge; equal roots are equal numbers
+        now = roots[lo:hi].copy()
         right = lo + np.flatnonzero(block[lo:hi] == bj[lo])
         for i in lo + np.flatnonzero(block[lo:hi] == bi[lo]):
             others = right[right > i] if bi[lo] == bj[lo] else right
-            near = 5 * np.minimum(sizes[others], sizes[i]) >= 4 * np.maximum(sizes[others], sizes[i])
-            for k in others[near & (roots[others] != roots[i])]:
-                pair = (min(nodes[i], nodes[k]), max(nodes[i], nodes[k]))
-                if pair in tried:
-                    continue
-                tried.add(pair)
-                if may_link(int(sizes[i]), int(sizes[k]), hists[i], hists[k]):
-                    a.append(pair[0])
-                    b.append(pair[1])
+            others = others[5 * np.minimum(sizes[others], sizes[i]) >= 4 * np.maximum(sizes[others], sizes[i])]
+            others = others[now[others - lo] != now[i - lo]]
+            if len(others):
+                apart = np.abs(cells[others - lo] - cells[i - lo]).sum(axis=1, dtype=np.int64)
+                others = others[9 * apart <= sizes[others] + sizes[i]]
+            for k in others:
+                if now[k - lo] != now[i - lo] and _similar(sets[i], sets[k]):
+                    now[now == now[k - lo]] = now[i - lo]
+                    a.append(nodes[i])
+                    b.append(nodes[k])
     return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
 
-def across_components(members: DataFrame, roots: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Candidates ``a, b`` of entries ``entry, node`` whose sets are still in several components.
+def across_components(members: DataFrame, roots: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links ``a, b`` between components, of entries ``entry, node`` whose sets are still in several.
 
-    Small entries share a task; the pairs of blocks of a large one are tasks of their own.
+    Entries with the same smallest root are one group, in which a set stands once, whatever the number of its entries.
+    The sets of a group's largest component need not be compared with each other: all others meet everything, in pairs of
+    blocks of about ``BLOCK_ELEMENTS`` shingles that are tasks of their own. Small groups share a task.
     """
     placed = store(
         members.join(roots, "node", "left").select("entry", "node", F.coalesce("root", "node").alias("root")),
         "jaccard-members",
     )
     open_entries = store(
-        placed.groupBy("entry").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"))
-        .where(F.col("lo") != F.col("hi"))
-        .select("entry", "n", F.ceil(F.col("n") / F.lit(float(BLOCK))).cast("int").alias("n_blocks")),
+        placed.groupBy("entry").agg(F.min("root").alias("group"), F.max("root").alias("hi"))
+        .where(F.col("group") != F.col("hi")).select("entry", "group"),
         "jaccard-open",
     )
-    n_tasks = (open_entries.agg(F.sum("n")).first()[0] or 0) // (8 * BLOCK) + 1
-    rows = placed.join(open_entries, "entry").join(nodes, "node").withColumn(
-        "block", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int")
-    ).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
+    grouped = store(
+        placed.join(open_entries, "entry").select("group", "node", "root").distinct().join(
+            nodes.select("node", "n_shingles", "histogram"), "node"
+        ),
+        "jaccard-groups",
+    )
+    parts = grouped.groupBy("group", "root").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("weight"))
+    blocks = lambda weight: F.greatest(F.ceil(weight / F.lit(float(BLOCK_ELEMENTS))), F.lit(1)).cast("int")
+    shape = store(
+        parts.groupBy("group").agg(
+            F.max(F.struct("n", "root", "weight")).alias("main"), F.sum("weight").alias("weight")
+        ).select(
+            "group", F.col("main.root").alias("main"), "weight",
+            blocks(F.col("weight") - F.col("main.weight")).alias("n_rest"), blocks(F.col("main.weight")).alias("n_blocks_main"),
+        ),
+        "jaccard-shape",
+    )
+    small = (F.col("n_rest") == 1) & (F.col("n_blocks_main") == 1)
+    weight = shape.agg(F.sum(F.when(small, F.col("weight")))).first()[0] or 0
+    n_tasks = int(weight) // TASK_ELEMENTS + 1
+    rest = F.col("root") != F.col("main")
+    n_all = F.col("n_rest") + F.col("n_blocks_main")
+    rows = grouped.join(shape, "group").withColumn(
+        "block",
+        F.when(rest, F.pmod(F.xxhash64("node"), F.col("n_rest"))).otherwise(
+            F.col("n_rest") + F.pmod(F.xxhash64("node"), F.col("n_blocks_main"))
+        ).cast("int"),
+    ).withColumn("other", F.explode(F.sequence(F.lit(0), F.when(rest, n_all - 1).otherwise(F.col("n_rest") - 1))))
+    # two blocks of a small group: its rest with itself, and with the largest component
+    ends = [F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj")]
     tasks = rows.select(
-        "entry", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"), "node", "root", "block",
-        "n_shingles", "histogram",
-        F.when(F.col("n_blocks") == 1, F.pmod(F.xxhash64("entry"), F.lit(n_tasks))).otherwise(
-            F.xxhash64("entry", F.least("block", "other"), F.greatest("block", "other"))
+        "group", "node", "root", "n_shingles", "histogram", "block", *ends,
+        F.when(small, F.pmod(F.xxhash64("group"), F.lit(n_tasks))).otherwise(
+            F.xxhash64("group", F.least("block", "other"), F.greatest("block", "other"))
         ).alias("task"),
     )
-    return tasks.groupBy("task").applyInArrow(_across, "a binary, b binary").distinct()
+    # most groups share an entry by chance: what the bounds rule out needs no whole set
+    near = store(
+        tasks.groupBy("task").applyInArrow(_prospects, "group binary, node binary").distinct(), "jaccard-prospects"
+    )
+    sets = store(_sets_of(docs, near.select("node").distinct()), "jaccard-sets")
+    slim = tasks.select("group", "node", "root", "block", "bi", "bj", "task").join(near, ["group", "node"], "left_semi")
+    return store(slim.join(sets, "node").groupBy("task").applyInArrow(_across, "a binary, b binary"), "jaccard-more")
 
 
 # -- the join --------------------------------------------------------------------------------------
@@ -463,7 +543,7 @@ def link_documents(docs: DataFrame, keep: list[str]) -> DataFrame:
     first = verify(found.where("entry is null").select("a", "b").distinct(), nodes, docs, "jaccard-links")
     roots = store(components(first, "jaccard-roots"), "jaccard-first")
     members = found.where("entry is not null").select("entry", F.col("a").alias("node"))
-    more = verify(across_components(members, roots, nodes), nodes, docs, "jaccard-more")
+    more = across_components(members, roots, nodes, docs)
     roots = components(first.unionByName(more), "jaccard-roots")
     return slim.drop("histogram").join(roots, "node", "left").select(
         "_row", "n_shingles", "node", F.coalesce("root", "node").alias("root")

@@ -57,7 +57,7 @@ def test_components_match_all_pairs(spark, seed):
 
 def test_small_blocks_and_buckets(spark, monkeypatch):
     """Entries are spread over many buckets and large entries over many block pairs."""
-    monkeypatch.setattr(jaccard, "BLOCK", 4)
+    monkeypatch.setattr(jaccard, "BLOCK_ELEMENTS", 600)
     monkeypatch.setattr(jaccard, "BUCKET_ENTRIES", 500)
     rows = corpus(np.random.default_rng(3))
     got = jaccard.similar_documents(documents(spark, rows)).collect()
