@@ -187,7 +187,7 @@ def _ask_windows(folder: str, buckets: int):
 
 
 def _least_documents(key: tuple, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Tell every batch the smallest document of each of its windows that stands in two documents or more."""
+    """Tell every batch the smallest document of each of its windows, where that is smaller than one of its own."""
     who, sizes, got = ex.gathered(parts, _WINDOW_KINDS | {"several": "u1"})
     order = np.lexsort((got["check"], got["names"]))
     names, check, least = got["names"][order], got["check"][order], got["least"][order]
@@ -195,9 +195,7 @@ def _least_documents(key: tuple, parts: Iterator[pa.RecordBatch]) -> Iterator[pa
     start = np.flatnonzero(head)
     group = np.cumsum(head) - 1
     smallest = np.minimum.reduceat(least, start)[group]
-    largest = np.maximum.reduceat(least, start)[group]
-    several = np.maximum.reduceat(got["several"][order], start)[group] > 0
-    told = np.flatnonzero((smallest < largest) | several)
+    told = np.flatnonzero((smallest < least) | (got["several"][order] > 0))
     yield from ex.replies(
         np.repeat(who, sizes)[order][told], names[told], {"check": check[told], "least": smallest[told]}
     )
