@@ -132,7 +132,9 @@ def draw_slots(
     })
     state = running_total(store(state, "mix-state"), "extra", out="extra_from")
     state = store(running_total(state, "lack", out="lack_from"), "mix-balance")
-    every = numbered.withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1))).select(
+    # a row becomes up to a shard's slots, so the few rows are dealt out before
+    spread = max(spark.sparkContext.defaultParallelism, end // 500_000 + 1)
+    every = numbered.repartition(spread, "shard", "source_no").withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1))).select(
         "shard", "source_no", (F.col("base") + F.col("i")).alias("index")
     ).join(state.select("source_no", "n_blocks", "quota", "extra_from"), "source_no")
     own = every.where("index < quota").select("shard", "source_no", "n_blocks", "index")
