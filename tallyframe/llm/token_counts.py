@@ -67,7 +67,8 @@ def count_tokens(sizes: DataFrame, end_id: int, dtype: str, block_ids: int = BLO
         F.coalesce(F.max("last_end").over(earlier), F.lit(-1)).alias("carried"),
         F.lead("block").over(Window.partitionBy("file").orderBy("block")).isNull().alias("is_last"),
     )
-    stitched = found.join(scan, ["file", "block"])
+    # the arrays of the blocks grow with the input: they are never the side that is sent to all tasks
+    stitched = found.hint("merge").join(scan, ["file", "block"])
     # where the document before each end stopped: the carried end, then all ends of the block but the last
     before = F.concat(F.array("carried"), F.slice("ends", 1, F.greatest(F.size("ends") - 1, F.lit(0))))
     closed = stitched.where("n_ends > 0").select(
@@ -126,5 +127,5 @@ def document_token_counts(docs: DataFrame, tokenizer: str, end_id: int, block_id
     )
     counts = count_tokens(sizes, end_id, encoder(tokenizer, False).dtype, block_ids)
     names = read_names(docs.sparkSession, folder, parts)
-    return names.join(counts, ["file", "ordinal"]).select("doc_id", "n_tokens")
+    return names.join(counts.hint("merge"), ["file", "ordinal"]).select("doc_id", "n_tokens")
 
