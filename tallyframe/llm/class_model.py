@@ -3,16 +3,15 @@
 The probability of a token after another is P(its class | class of the other) * P(token | its class).
 
 * Counts. Every distinct word of every training text is counted, whatever their number.
-* Classes. A word starts in the class of its spelling, a hash of its last two bytes. Words with at least a share
-  ``FREQUENT`` of all training tokens (and ``MIN_COUNT`` of them) are then exchanged between classes: a round counts
-  their neighbours' classes over all training texts, and moves each word to the class under which the observed
-  neighbours are likeliest, half of the words in a round so that neighbours do not swap places for ever. At most
-  ``1 / FREQUENT`` words can have that share, which bounds the table of exchanged words for any input.
+* Classes. A word starts in the class of its spelling, a hash of its last two bytes. Every word that occurs
+  ``MIN_COUNT`` times in the training texts is then exchanged between classes, however many there are: half a turn counts
+  the classes beside these words over all training texts, and moves each word of one half of the vocabulary to the class
+  under which the observed neighbours are likeliest, one half at a time so that neighbours do not swap places for ever.
 * Smoothing. Transitions are mixed with the frequencies of the classes. In a class the number of its words that were
   seen once is set aside for the words of its spelling never seen. The result is mixed with the add-one unigram model.
 
-Counts of words travel as arrays, one row per bucket of the hash range and asking task; each batch of documents gets the
-counts of its own words in a file.
+Counts and classes of words travel as arrays, one row per bucket of the hash range and asking task; each batch of
+documents gets the counts and classes of its own words in a file, and no task holds a table of all words.
 
 Tokens are words with A-Z in lower case and one end per text. A text's first token follows an end. Defined cases: a null or
 empty text is an end alone; without any training text every count is 0 and the score is the base score; rows of one
@@ -24,6 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -36,9 +36,8 @@ from tallyframe.llm.common import LOWER, U64, mix, prepare, ranges, span_hash, s
 from tallyframe.llm.language import held_out
 
 CLASSES = 96
-FREQUENT = 4e-6
+# more than 1: words seen once never leave the class of their spelling
 MIN_COUNT = 4
-ROUNDS = 3
 TEXT_BYTES = 4 << 20
 # weight of the class frequencies in a transition, as a number of tokens
 PRIOR = 4.0
@@ -47,6 +46,8 @@ BASE_SHARE = 0.05
 END = u64(0x5851F42D4C957F2D)
 # the last class holds the end of a text and nothing else
 END_CLASS = CLASSES - 1
+CLASS_KINDS = {"names": "<u8", "classes": "u1"}
+CLASS_ROW = "bucket int, names binary, classes binary"
 
 
 def read_tokens(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -123,28 +124,80 @@ def _add_counts(key: tuple, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
 
 @dataclass
 class Classes:
-    """Exchanged words, sorted by name, with their counts and classes; all other words have the class of their spelling."""
+    """Exchanged words with their classes, one row per bucket; all other words have the class of their spelling."""
 
-    names: np.ndarray
-    counts: np.ndarray
-    classes: np.ndarray
+    table: DataFrame
+
+    @cached_property
+    def _sorted(self) -> tuple[np.ndarray, np.ndarray]:
+        rows = self.table.toArrow()
+        names = np.frombuffer(b"".join(rows["names"].to_pylist()), dtype=U64)
+        classes = np.frombuffer(b"".join(rows["classes"].to_pylist()), dtype=np.uint8)
+        order = np.argsort(names)
+        return names[order], classes[order]
+
+    @property
+    def names(self) -> np.ndarray:
+        """All exchanged words on the driver, for inspection; no query reads them there."""
+        return self._sorted[0]
 
     def of(self, names: np.ndarray, spelled: np.ndarray) -> np.ndarray:
-        at, hit = ex.look_up(self.names, names)
-        return np.where(hit, self.classes[at] if len(self.names) else 0, spelled).astype(np.int64)
+        return own_classes(*self._sorted, names, spelled)[0]
+
+
+def own_classes(
+    known: np.ndarray, classes: np.ndarray, names: np.ndarray, spelled: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Class of each name, its place among the sorted known names, and whether it is there."""
+    at, hit = ex.look_up(known, names)
+    return np.where(hit, classes[at] if len(known) else 0, spelled).astype(np.int64), at, hit
+
+
+def _ask_classes(buckets: int, most: int = 2_000_000):
+    """Per batch its distinct words."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(0, dtype=U64)
+        now = None
+        for number, batch in ex.batch_runs(batches, TEXT_BYTES):
+            if len(held) and (number != now or len(held) > most):
+                yield ex.bucket_rows(now, held, {}, buckets)
+                held = np.zeros(0, dtype=U64)
+            now = number
+            held = np.union1d(held, read_tokens(batch)[0])
+        if len(held):
+            yield ex.bucket_rows(now, held, {}, buckets)
+
+    return ask
+
+
+def _tell_classes(key: tuple, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """To each asking batch the classes of those of its words that are exchanged."""
+    known, classes = np.zeros(0, dtype=U64), np.zeros(0, dtype=np.uint8)
+    asked: list[tuple[int, bytes]] = []
+    for part in parts:
+        for batch, names, own in zip(*(part.column(c).to_pylist() for c in ("batch", "names", "classes")), strict=True):
+            if batch is None:
+                known, classes = np.frombuffer(names, dtype=U64), np.frombuffer(own, dtype=np.uint8)
+            else:
+                asked.append((batch, names))
+    for batch, names in asked:
+        at, hit = ex.look_up(known, np.frombuffer(names, dtype=U64))
+        at = at[hit]
+        yield pa.RecordBatch.from_pydict({
+            "batch": pa.array([batch], pa.int32()), "names": pa.array([known[at].tobytes()], pa.binary()),
+            "classes": pa.array([classes[at].tobytes()], pa.binary()),
+        })
 
 
-def _neighbours(shared, turn: int, rows: int):
-    """Transitions between classes, and for the words whose turn it is the classes before and after them."""
+def _neighbours(folder: str, half: int, buckets: int):
+    """Transitions between classes, and for the words of a half of the vocabulary the classes before and after them."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: Classes = shared.value
+        answers = ex.Answers(folder, CLASS_KINDS)
         matrix = np.zeros(CLASSES * CLASSES, dtype=np.int64)
-        slots = np.flatnonzero(known.names % U64(2) == U64(turn)) if turn < 2 else np.zeros(0, dtype=np.int64)
-        number = np.full(len(known.names) + 1, -1, dtype=np.int64)
-        number[slots] = np.arange(len(slots))
         pieces: list[tuple] = []
-        held = 0
+        held, now = 0, None
 
         def summed() -> tuple[np.ndarray, np.ndarray]:
             cells, n = (np.concatenate(x) for x in zip(*pieces, strict=True))
@@ -153,31 +206,39 @@ def _neighbours(shared, turn: int, rows: int):
 
         def out() -> Iterator[pa.RecordBatch]:
             cells, n = summed()
-            part = cells // (2 * CLASSES) // rows
-            for p in np.unique(part):
-                own = part == p
+            word, cell = cells // (2 * CLASSES), (cells % (2 * CLASSES)).astype(np.uint8)
+            head = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+            sizes = np.diff(np.append(head, len(word)))
+            names = np.asarray(answers.of(now)["names"])[word[head]]
+            cuts = ex.bucket_cuts(names, buckets)
+            ends = np.append(0, np.cumsum(sizes))[cuts]
+            for k in np.flatnonzero(np.diff(cuts)):
+                own, inner = slice(cuts[k], cuts[k + 1]), slice(ends[k], ends[k + 1])
                 yield pa.RecordBatch.from_pydict({
-                    "part": pa.array([int(p)], pa.int32()), "cells": pa.array([cells[own].tobytes()], pa.binary()),
-                    "n": pa.array([n[own].tobytes()], pa.binary()),
+                    "part": pa.array([int(k)], pa.int32()), "names": pa.array([names[own].tobytes()], pa.binary()),
+                    "sizes": pa.array([sizes[own].astype(np.uint8).tobytes()], pa.binary()),
+                    "cells": pa.array([cell[inner].tobytes()], pa.binary()), "n": pa.array([n[inner].tobytes()], pa.binary()),
                 })
 
-        for _, batch in ex.batch_runs(batches, TEXT_BYTES):
+        for number, batch in ex.batch_runs(batches, TEXT_BYTES):
+            if pieces and number != now:
+                yield from out()
+                pieces, held = [], 0
+            now = number
             batch = batch.filter(pc.invert(batch.column("held_out")))
             if not batch.num_rows:
                 continue
-            names, spelled, first = read_tokens(batch)
-            at, hit = ex.look_up(known.names, names)
-            own = np.where(hit, known.classes[at] if len(known.names) else 0, spelled).astype(np.int64)
+            names, spelled, _ = read_tokens(batch)
+            known = answers.of(number)
+            own, at, hit = own_classes(known["names"], known["classes"], names, spelled)
             # the token before the first of a text is an end, and so is the token before it in the array
             before = np.append(END_CLASS, own[:-1])
             matrix += np.bincount(before * CLASSES + own, minlength=CLASSES * CLASSES)
-            if len(slots):
-                place = np.where(hit, number[np.where(hit, at, len(known.names))], -1)
-                left = np.flatnonzero(place >= 0)
-                right = left[names[left] != END]
-                cells = np.concatenate([
-                    place[left] * (2 * CLASSES) + before[left], place[right] * (2 * CLASSES) + CLASSES + own[right + 1],
-                ])
+            # the end of a text is never among the exchanged words, so each has a token after it
+            turn = np.flatnonzero(hit & (names % U64(2) == U64(half)))
+            if len(turn):
+                place = at[turn] * (2 * CLASSES)
+                cells = np.concatenate([place + before[turn], place + CLASSES + own[turn + 1]])
                 cells, n = np.unique(cells, return_counts=True)
                 pieces.append((cells, n))
                 held += len(cells)
@@ -188,8 +249,9 @@ def _neighbours(shared, turn: int, rows: int):
                         yield from out()
                         pieces, held = [], 0
         # one row per class, so that the sums of the classes are made in different tasks
+        empty = pa.array([b""] * CLASSES, pa.binary())
         yield pa.RecordBatch.from_pydict({
-            "part": pa.array(-1 - np.arange(CLASSES), pa.int32()), "cells": pa.array([b""] * CLASSES, pa.binary()),
+            "part": pa.array(-1 - np.arange(CLASSES), pa.int32()), "names": empty, "sizes": empty, "cells": empty,
             "n": pa.array([row.tobytes() for row in matrix.reshape(CLASSES, CLASSES)], pa.binary()),
         })
         if pieces:
@@ -206,38 +268,55 @@ def _sum_rows(key: tuple, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
     yield pa.RecordBatch.from_pydict({"class": pa.array([-1 - key[0].as_py()]), "n": pa.array([total.tobytes()], pa.binary())})
 
 
-def _move(matrix: np.ndarray, slots: np.ndarray, now: np.ndarray, rows: int):
-    """The class of each word of a part under which its neighbours are likeliest."""
+def _move(matrix: np.ndarray, rows: int = 4096):
+    """The classes of a bucket after each word with neighbours went where these are likeliest."""
     smooth = matrix + 0.1
     forward = np.log(smooth) - np.log(smooth.sum(axis=0))[None, :]
     backward = np.log(smooth.T) - np.log(smooth.sum(axis=1))[None, :]
-    forward[:, END_CLASS] = backward[:, END_CLASS] = -np.inf
+    forward[:, END_CLASS] = backward[:, END_CLASS] = -1e9
 
     def move(key: tuple, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base = key[0].as_py() * rows
-        here = slots[base : base + rows]
-        table = np.zeros((len(here), 2 * CLASSES))
+        known, now = np.zeros(0, dtype=U64), np.zeros(0, dtype=np.uint8)
+        found: list[tuple] = []
         for part in parts:
-            for cells, n in zip(part.column("cells").to_pylist(), part.column("n").to_pylist(), strict=True):
-                cells = np.frombuffer(cells, dtype=np.int64) - base * 2 * CLASSES
-                table.reshape(-1)[cells] += np.frombuffer(n, dtype=np.int64)
-        # log P(class | class before) + log P(class after | class), up to what does not depend on the class
-        gain = table[:, :CLASSES] @ np.where(np.isinf(forward), -1e9, forward)
-        gain += table[:, CLASSES:] @ np.where(np.isinf(backward), -1e9, backward)
-        new = gain.argmax(axis=1)
-        # a tie, or a word without neighbours, stays
-        stay = gain[np.arange(len(here)), new] <= gain[np.arange(len(here)), now[base : base + rows]]
-        new = np.where(stay, now[base : base + rows], new)
-        yield pa.RecordBatch.from_pydict({"slot": pa.array(here), "class": pa.array(new.astype(np.int32))})
+            for names, classes, sizes, cells, n in zip(
+                *(part.column(c).to_pylist() for c in ("names", "classes", "sizes", "cells", "n")), strict=True
+            ):
+                names = np.frombuffer(names, dtype=U64)
+                if classes is not None:
+                    known, now = names, np.frombuffer(classes, dtype=np.uint8)
+                    continue
+                sizes = np.frombuffer(sizes, dtype=np.uint8)
+                found.append((np.repeat(names, sizes), np.frombuffer(cells, dtype=np.uint8), np.frombuffer(n, dtype=np.int64)))
+        new = now.copy()
+        if found:
+            names, cells, n = (np.concatenate(x) for x in zip(*found, strict=True))
+            slot = np.searchsorted(known, names)
+            order = np.argsort(slot, kind="stable")
+            slot, cells, n = slot[order], cells[order], n[order]
+            for base in range(0, len(known), rows):
+                a, e = np.searchsorted(slot, [base, base + rows])
+                here = min(rows, len(known) - base)
+                place = (slot[a:e] - base) * (2 * CLASSES) + cells[a:e]
+                table = np.bincount(place, weights=n[a:e], minlength=here * 2 * CLASSES).reshape(here, 2 * CLASSES)
+                # log P(class | class before) + log P(class after | class), up to what does not depend on the class
+                gain = table[:, :CLASSES] @ forward + table[:, CLASSES:] @ backward
+                old = now[base : base + here]
+                best = gain.argmax(axis=1)
+                # a tie, or a word without neighbours, stays
+                stay = gain[np.arange(here), best] <= gain[np.arange(here), old]
+                new[base : base + here] = np.where(stay, old, best)
+        yield pa.RecordBatch.from_pydict({
+            "bucket": pa.array([key[0].as_py()], pa.int32()), "names": pa.array([known.tobytes()], pa.binary()), "classes": pa.array([new.tobytes()], pa.binary()),
+        })
 
     return move
 
 
 @dataclass
 class Model:
-    """What scoring needs beside the counts of words; its size is fixed by ``CLASSES`` and ``FREQUENT``."""
+    """What scoring needs beside the counts of words; its size is fixed by ``CLASSES``."""
 
-    classes: Classes
     log_next: np.ndarray
     mass: np.ndarray
     unseen: np.ndarray
@@ -245,17 +324,19 @@ class Model:
     n_types: int
 
 
-def _score(shared, folder: str):
+def _score(shared, folder: str, class_folder: str):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = shared.value
         known = ex.Answers(folder, {"names": "<u8", "counts": "<i8"})
+        exchanged = ex.Answers(class_folder, CLASS_KINDS)
         for number, batch in ex.batch_runs(batches, TEXT_BYTES):
             names, spelled, first = read_tokens(batch)
             distinct, where, inverse = np.unique(names, return_index=True, return_inverse=True)
             answers = known.of(number)
             at, hit = ex.look_up(answers["names"], distinct)
             counts = np.where(hit, answers["counts"][at], 0) if len(answers["names"]) else np.zeros(len(distinct), dtype=np.int64)
-            classes = model.classes.of(distinct, spelled[where])
+            own = exchanged.of(number)
+            classes = own_classes(own["names"], own["classes"], distinct, spelled[where])[0]
             base = (counts + 1) / (model.n_tokens + model.n_types + 1)
             emit = np.where(counts > 0, counts, model.unseen[classes]) / model.mass[classes]
             own = classes[inverse]
@@ -277,50 +358,59 @@ def _score(shared, folder: str):
     return score
 
 
-def learn_classes(docs: DataFrame, words_seen: DataFrame, n_tokens: int) -> tuple[Classes, np.ndarray]:
-    """Exchange frequent words between classes; returns them and the counts of class transitions."""
-    spark = docs.sparkSession
-    least = max(MIN_COUNT, int(np.ceil(FREQUENT * n_tokens)))
+def learn_classes(docs: DataFrame, words_seen: DataFrame, n_tokens: int, buckets: int = 1) -> tuple[Classes, np.ndarray]:
+    """Exchange words between classes; returns them and the counts of class transitions.
+
+    ``words_seen`` has a row per bucket: ``names`` (sorted), ``counts`` and ``spelled``.
+    """
+    known, matrix, _ = exchange_classes(docs, words_seen, buckets)
+    return known, matrix
+
+
+def exchange_classes(docs: DataFrame, words_seen: DataFrame, buckets: int) -> tuple[Classes, np.ndarray, str]:
+    """As ``learn_classes``, with the folder that has the classes of each batch's words."""
 
-    def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def exchanged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for names, counts, spelled in zip(*(b.column(c).to_pylist() for c in ("names", "counts", "spelled")), strict=True):
-                names, counts = np.frombuffer(names, dtype=np.int64), np.frombuffer(counts, dtype="<i8")
-                own = np.flatnonzero(counts >= least)
-                yield pa.RecordBatch.from_pydict({
-                    "name": pa.array(names[own]), "n": pa.array(counts[own]),
-                    "class": pa.array(np.frombuffer(spelled, dtype=np.uint8)[own].astype(np.int32)),
-                })
-
-    found = words_seen.mapInArrow(frequent, "name long, n long, class int").toArrow()
-    names = found["name"].to_numpy().view(U64)
-    order = np.argsort(names)
-    known = Classes(names[order], found["n"].to_numpy()[order], found["class"].to_numpy()[order].astype(np.int64))
-    rows = 4096
-    for turn in range(ROUNDS + 1):
-        # the last pass only counts transitions under the final classes
-        half = turn % 2 if turn < ROUNDS else 2
-        shared = spark.sparkContext.broadcast(known)
-        counted = docs.mapInArrow(_neighbours(shared, half, rows), "part int, cells binary, n binary")
-        if half < 2:
-            counted = store(counted, "class-neighbours")
+                names = np.frombuffer(names, dtype=U64)
+                own = np.flatnonzero((np.frombuffer(counts, dtype="<i8") >= MIN_COUNT) & (names != END))
+                names, classes = names[own], np.frombuffer(spelled, dtype=np.uint8)[own]
+                rows = ex.bucket_rows(0, names, {"classes": classes}, buckets)
+                if rows is not None:
+                    yield rows.select(["bucket", "names", "classes"])
+
+    table = store(words_seen.mapInArrow(exchanged, CLASS_ROW), "class-table")
+    asked = store(
+        docs.mapInArrow(_ask_classes(buckets), "bucket int, batch int, names binary"), "class-questions"
+    ).withColumn("classes", F.lit(None).cast("binary"))
+
+    def deliver() -> str:
+        told = asked.unionByName(table.withColumn("batch", F.lit(None).cast("int"))).groupBy("bucket").applyInArrow(
+            _tell_classes, "batch int, names binary, classes binary"
+        )
+        return ex.deliver(told, CLASS_KINDS, "class-of-words")
+
+    def count(half: int) -> tuple[DataFrame, np.ndarray]:
+        counted = store(
+            docs.mapInArrow(_neighbours(folder, half, buckets), "part int, names binary, sizes binary, cells binary, n binary"),
+            "class-neighbours",
+        )
         total = counted.where("part < 0").groupBy("part").applyInArrow(_sum_rows, "class long, n binary").toArrow()
         matrix = np.zeros((CLASSES, CLASSES))
         for c, n in zip(total["class"].to_pylist(), total["n"].to_pylist(), strict=True):
             matrix[c] = np.frombuffer(n, dtype=np.int64)
-        if half == 2:
-            break
-        slots = np.flatnonzero((known.names % U64(2) == U64(half)) & (known.names != END))
-        every = np.flatnonzero(known.names % U64(2) == U64(half))
-        moved = counted.where("part >= 0").groupBy("part").applyInArrow(
-            _move(matrix, every, known.classes[every], rows), "slot long, class int"
-        ).toArrow()
-        classes = known.classes.copy()
-        at = moved["slot"].to_numpy()
-        fit = np.isin(at, slots)
-        classes[at[fit]] = moved["class"].to_numpy()[fit]
-        known = Classes(known.names, known.counts, classes)
-    return known, matrix
+        return counted, matrix
+
+    for half in (0, 1, 0):
+        folder = deliver()
+        counted, matrix = count(half)
+        seen = counted.where("part >= 0").withColumnRenamed("part", "bucket").withColumn("classes", F.lit(None).cast("binary"))
+        old = table.select("*", *(F.lit(None).cast("binary").alias(c) for c in ("sizes", "cells", "n")))
+        table = store(seen.unionByName(old).groupBy("bucket").applyInArrow(_move(matrix), CLASS_ROW), "class-table")
+    folder = deliver()
+    _, matrix = count(0)
+    return Classes(table), matrix, folder
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
@@ -349,33 +439,27 @@ def score_documents(docs: DataFrame) -> DataFrame:
     n_tokens, n_types = table.mapInArrow(totals, "tokens long, types long").agg(
         F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("types"), F.lit(0))
     ).first()
-    known, matrix = learn_classes(stored, table, n_tokens)
-    shared_classes = spark.sparkContext.broadcast(known)
+    _, matrix, class_folder = exchange_classes(stored, table, buckets)
 
     def per_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for names, counts, spelled in zip(*(b.column(c).to_pylist() for c in ("names", "counts", "spelled")), strict=True):
-                counts = np.frombuffer(counts, dtype="<i8")
-                own = shared_classes.value.of(np.frombuffer(names, dtype="<u8"), np.frombuffer(spelled, dtype=np.uint8))
+            for counts, spelled in zip(*(b.column(c).to_pylist() for c in ("counts", "spelled")), strict=True):
+                own = np.frombuffer(spelled, dtype=np.uint8)[np.frombuffer(counts, dtype="<i8") == 1]
                 yield pa.RecordBatch.from_pydict({
-                    "class": pa.array(np.arange(CLASSES)),
-                    "n": pa.array(np.bincount(own, weights=counts, minlength=CLASSES).astype(np.int64)),
-                    "once": pa.array(np.bincount(own[counts == 1], minlength=CLASSES).astype(np.int64)),
+                    "class": pa.array(np.arange(CLASSES)), "once": pa.array(np.bincount(own, minlength=CLASSES).astype(np.int64)),
                 })
 
-    sums = table.mapInArrow(per_class, "class long, n long, once long").groupBy("class").agg(
-        F.sum("n").alias("n"), F.sum("once").alias("once")
-    ).toArrow()
-    tokens, once = np.zeros(CLASSES), np.zeros(CLASSES)
-    tokens[sums["class"].to_numpy()] = sums["n"].to_numpy()
+    sums = table.mapInArrow(per_class, "class long, once long").groupBy("class").agg(F.sum("once").alias("once")).toArrow()
+    # every training token stands once after another or an end
+    tokens, once = matrix.sum(axis=0), np.zeros(CLASSES)
     once[sums["class"].to_numpy()] = sums["once"].to_numpy()
     # a class without single words sets a half aside; the end of a text is never unseen once there is one
     unseen = np.maximum(once, 0.5)
     mass = tokens + unseen
     prior = mass / mass.sum()
     following = (matrix + PRIOR * prior[None, :]) / (matrix.sum(axis=1, keepdims=True) + PRIOR)
-    shared = spark.sparkContext.broadcast(Model(known, following, mass, unseen, int(n_tokens), int(n_types)))
+    shared = spark.sparkContext.broadcast(Model(following, mass, unseen, int(n_tokens), int(n_types)))
     return stored.mapInArrow(
-        _score(shared, folder),
+        _score(shared, folder, class_folder),
         f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",
     )

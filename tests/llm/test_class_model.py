@@ -112,3 +112,33 @@ def test_no_training_text(spark):
     same(got, brute(rows))
     assert all(r.score == r.base_score == 0.0 and r.train_tokens == 0 for r in got)
     assert result(cm.score_documents(documents(spark, []))) == []
+
+
+def learnt(spark, rows, **kw):
+    """Classes learnt from all rows, with the counts of the words."""
+    df = documents(spark, rows).selectExpr("doc_id", "text", "0 as batch", "false as held_out")
+    counted = collections.Counter(w for _, t in rows for w in words_of(t.translate(LOW)))
+    batch = pa.RecordBatch.from_pydict({"text": [" ".join(counted)]})
+    names, spelled, _ = cm.read_tokens(batch)
+    names, spelled, counts = names[:-1], spelled[:-1], np.array(list(counted.values()))
+    order = np.argsort(names)
+    table = spark.createDataFrame(
+        [(names[order].tobytes(), counts[order].astype("<i8").tobytes(), spelled[order].tobytes())],
+        "names binary, counts binary, spelled binary",
+    )
+    return names, counts, cm.learn_classes(df, table, int(counts.sum()) + len(rows), **kw)
+
+
+def test_rare_words_are_exchanged_in_a_large_corpus_too(spark):
+    rows = grammar(5, 40) + [(1000 + i, "the " * 100_000) for i in range(40)]
+    names, counts, (known, _) = learnt(spark, rows)
+    assert 10 < ((counts >= 4) & (counts < 16)).sum()
+    assert set(known.names) == set(names[counts >= cm.MIN_COUNT])
+
+
+def test_classes_of_many_buckets(spark):
+    rows = grammar(6, 120)
+    one, many = (learnt(spark, rows, **kw)[2] for kw in ({}, {"buckets": 7}))
+    assert (one[1] == many[1]).all() and (one[0].names == many[0].names).all()
+    spelled = np.zeros(len(one[0].names), dtype=np.uint8)
+    assert (one[0].of(one[0].names, spelled) == many[0].of(one[0].names, spelled)).all()
