@@ -7,6 +7,8 @@ The probability of a token after another is P(its class | class of the other) *
   ``MIN_COUNT`` times in the training texts is then exchanged between classes, however many there are: half a turn counts
   the classes beside these words over all training texts, and moves each word of one half of the vocabulary to the class
   under which the observed neighbours are likeliest, one half at a time so that neighbours do not swap places for ever.
+  Full turns follow until one raises the log-likelihood of the training texts by less than ``TOLERANCE`` a token; a
+  turn that lowers it is undone. The likelihood is bounded, so the exchange ends.
 * Smoothing. Transitions are mixed with the frequencies of the classes. In a class the number of its words that were
   seen once is set aside for the words of its spelling never seen. The result is mixed with the add-one unigram model.
 
@@ -38,6 +40,8 @@ from tallyframe.llm.language import held_out
 CLASSES = 96
 # more than 1: words seen once never leave the class of their spelling
 MIN_COUNT = 4
+# gain of a full turn, in nats a training token, under which the exchange is finished
+TOLERANCE = 1e-3
 TEXT_BYTES = 4 << 20
 # weight of the class frequencies in a transition, as a number of tokens
 PRIOR = 4.0
@@ -127,6 +131,8 @@ class Classes:
     """Exchanged words with their classes, one row per bucket; all other words have the class of their spelling."""
 
     table: DataFrame
+    # full turns that led to them
+    turns: int
 
     @cached_property
     def _sorted(self) -> tuple[np.ndarray, np.ndarray]:
@@ -363,11 +369,21 @@ def learn_classes(docs: DataFrame, words_seen: DataFrame, n_tokens: int, buckets
 
     ``words_seen`` has a row per bucket: ``names`` (sorted), ``counts`` and ``spelled``.
     """
-    known, matrix, _ = exchange_classes(docs, words_seen, buckets)
+    known, matrix, _ = exchange_classes(docs, words_seen, n_tokens, buckets)
     return known, matrix
 
 
-def exchange_classes(docs: DataFrame, words_seen: DataFrame, buckets: int) -> tuple[Classes, np.ndarray, str]:
+def likelihood(matrix: np.ndarray) -> float:
+    """Natural logarithm of the likelihood of the training texts, up to what does not depend on the classes."""
+
+    def total(n: np.ndarray) -> float:
+        n = n[n > 0]
+        return float((n * np.log(n)).sum())
+
+    return total(matrix) - total(matrix.sum(axis=0)) - total(matrix.sum(axis=1))
+
+
+def exchange_classes(docs: DataFrame, words_seen: DataFrame, n_tokens: int, buckets: int) -> tuple[Classes, np.ndarray, str]:
     """As ``learn_classes``, with the folder that has the classes of each batch's words."""
 
     def exchanged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -391,6 +407,11 @@ def exchange_classes(docs: DataFrame, words_seen: DataFrame, buckets: int) -> tu
         )
         return ex.deliver(told, CLASS_KINDS, "class-of-words")
 
+    def moved(counted: DataFrame, matrix: np.ndarray) -> DataFrame:
+        seen = counted.where("part >= 0").withColumnRenamed("part", "bucket").withColumn("classes", F.lit(None).cast("binary"))
+        old = table.select("*", *(F.lit(None).cast("binary").alias(c) for c in ("sizes", "cells", "n")))
+        return store(seen.unionByName(old).groupBy("bucket").applyInArrow(_move(matrix), CLASS_ROW), "class-table")
+
     def count(half: int) -> tuple[DataFrame, np.ndarray]:
         counted = store(
             docs.mapInArrow(_neighbours(folder, half, buckets), "part int, names binary, sizes binary, cells binary, n binary"),
@@ -402,15 +423,21 @@ def exchange_classes(docs: DataFrame, words_seen: DataFrame, buckets: int) -> tu
             matrix[c] = np.frombuffer(n, dtype=np.int64)
         return counted, matrix
 
-    for half in (0, 1, 0):
+    before, turns, best = None, 0, None
+    while True:
         folder = deliver()
-        counted, matrix = count(half)
-        seen = counted.where("part >= 0").withColumnRenamed("part", "bucket").withColumn("classes", F.lit(None).cast("binary"))
-        old = table.select("*", *(F.lit(None).cast("binary").alias(c) for c in ("sizes", "cells", "n")))
-        table = store(seen.unionByName(old).groupBy("bucket").applyInArrow(_move(matrix), CLASS_ROW), "class-table")
-    folder = deliver()
-    _, matrix = count(0)
-    return Classes(table), matrix, folder
+        counted, matrix = count(0)
+        now = likelihood(matrix)
+        if best is None or now > before:
+            best = Classes(table, turns), matrix, folder
+        # a turn that lost likelihood is undone by returning the best
+        if before is not None and now - before < TOLERANCE * max(n_tokens, 1):
+            return best
+        before = now
+        table = moved(counted, matrix)
+        folder = deliver()
+        table = moved(*count(1))
+        turns += 1
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
@@ -439,7 +466,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     n_tokens, n_types = table.mapInArrow(totals, "tokens long, types long").agg(
         F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("types"), F.lit(0))
     ).first()
-    _, matrix, class_folder = exchange_classes(stored, table, buckets)
+    _, matrix, class_folder = exchange_classes(stored, table, n_tokens, buckets)
 
     def per_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

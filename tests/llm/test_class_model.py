@@ -142,3 +142,40 @@ def test_classes_of_many_buckets(spark):
     assert (one[1] == many[1]).all() and (one[0].names == many[0].names).all()
     spelled = np.zeros(len(one[0].names), dtype=np.uint8)
     assert (one[0].of(one[0].names, spelled) == many[0].of(one[0].names, spelled)).all()
+
+
+def test_no_full_turn_is_left_that_gains(spark):
+    """One more turn by hand, both halves, raises the log-likelihood by less than the tolerance."""
+    rows = grammar(7)
+    names, counts, (known, matrix) = learnt(spark, rows)
+    batch = pa.RecordBatch.from_pydict({"text": [t for _, t in rows]})
+    tokens, spelled, _ = cm.read_tokens(batch)
+    at, hit = cm.ex.look_up(known.names, tokens)
+    classes = np.asarray(known.of(known.names, np.zeros(len(known.names), dtype=np.uint8))).copy()
+
+    def count():
+        own = np.where(hit, classes[at], spelled).astype(int)
+        before = np.append(cm.END_CLASS, own[:-1])
+        m = np.zeros((cm.CLASSES, cm.CLASSES))
+        np.add.at(m, (before, own), 1)
+        return own, before, m
+
+    def gain_of(m):
+        x = lambda n: (n[n > 0] * np.log(n[n > 0])).sum()
+        return x(m) - x(m.sum(axis=0)) - x(m.sum(axis=1))
+
+    start = count()[2]
+    assert (start == matrix).all()
+    for half in (0, 1):
+        own, before, m = count()
+        table = np.zeros((len(classes), 2 * cm.CLASSES))
+        np.add.at(table, (at[hit], before[hit]), 1)
+        where = np.flatnonzero(hit)
+        np.add.at(table, (at[where], cm.CLASSES + own[where + 1]), 1)
+        m = m + 0.1
+        likely = table[:, : cm.CLASSES] @ np.log(m / m.sum(axis=0))
+        likely += table[:, cm.CLASSES :] @ np.log(m / m.sum(axis=1, keepdims=True)).T
+        likely[:, cm.END_CLASS] = -np.inf
+        turn = known.names % 2 == half
+        classes[turn] = likely.argmax(axis=1)[turn]
+    assert gain_of(count()[2]) - gain_of(start) < 1e-3 * len(tokens)
