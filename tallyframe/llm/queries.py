@@ -57,7 +57,7 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_benchmark_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.find_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.find_all(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 @query

@@ -89,3 +89,46 @@ def test_empty_tables(spark):
     assert dc.find_overlaps(docs, items.limit(0)).count() == 0
     assert dc.find_overlaps(docs.limit(0), items).count() == 0
     assert dc.remove_contaminated(docs, items.limit(0)).count() == 1
+
+
+def test_short_items_are_found_whole(spark):
+    """Every item under 13 tokens that a document holds verbatim, against a search over all places."""
+    docs, items = corpus(5)
+    items = [(k, t) for k, t in items if len(toks(t)) > 12]
+    items += [(100 + n, " ".join(docs[40 + n][1].split()[n : 2 * n + 1])) for n in range(12)] + [(100, "a b c"), (200, " ,")]
+    docs += [(500, items[0][1] + " " + items[-4][1]), (500, items[-4][1]), (501, "A, b. C! a b c"), (502, None)]
+    want = {(d, k, *r) for d, k, *r in brute([x for x in docs if x[0] != 500], items)}
+    for d, t in docs:
+        w = toks(t)
+        for k, x in items:
+            y = toks(x)
+            at = [p for p in range(len(w) - len(y) + 1) if w[p : p + len(y)] == y] if 0 < len(y) < 13 else []
+            if at and d != 500:
+                want.add((d, k, at[0], at[-1] + len(y), len(at), len(y)))
+    df, bench = documents(spark, docs), spark.createDataFrame(items, ITEMS)
+    got = result(dc.find_all(df, bench))
+    assert sorted(r for r in got if r[0] != 500 and r[1] != 100) == sorted(r for r in want if r[1] != 100)
+    assert len({r[1] for r in got if r[1] > 100}) > 10 and (501, 100, 0, 6, 2, 3) in got
+    # rows of one document identifier are reported together
+    assert {r[1] for r in got if r[0] == 500} >= {items[0][0], items[-4][0]}
+    kept = {r.doc_id for r in dc.remove_contaminated(df, bench).collect()}
+    assert kept == {d for d, _ in docs} - {r[0] for r in got}
+
+
+def test_scripts_without_blanks(spark):
+    item = "你好世界今天天气很好我们去公园吧"
+    thai = "สวัสดี"
+    docs = [
+        (1, "我说" + item + "了"), (2, "x" + item[:7] + "不" + item[8:] + "y"), (3, item[:12]),
+        (4, "abc" + thai + "def"), (5, "𠀀𠀁 café"), (6, thai[:-1]),
+    ]
+    items = [(1, item), (2, thai), (3, "𠀁"), (4, "abc")]
+    got = result(dc.find_all(documents(spark, docs), spark.createDataFrame(items, ITEMS)))
+    assert got == [(1, 1, 2, 18, 4, 13), (2, 1, 1, 17, 4, 12), (4, 2, 1, 7, 1, 6), (4, 4, 0, 1, 1, 1), (5, 3, 1, 2, 1, 1)]
+
+
+def test_only_short_items_and_none(spark):
+    docs = documents(spark, [(1, "yes it is"), (2, "no"), (3, "")])
+    got = result(dc.find_all(docs, spark.createDataFrame([(7, "Yes")], ITEMS)))
+    assert got == [(1, 7, 0, 1, 1, 1)]
+    assert dc.find_all(docs, spark.createDataFrame([(7, "?")], ITEMS)).count() == 0
