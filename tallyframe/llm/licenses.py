@@ -2,7 +2,7 @@
 
 A text is read twice: by line, where a line end closes a sentence, and by flow, where lines are joined first, so
 that a wrapped sentence is whole. In both readings ``.``, ``!``, ``?`` or ``;`` with white space after it closes a
-sentence. A sentence is normalised (A-Z to lower case, every run of other characters than a-z and 0-9 to one blank)
+sentence, except for the dot of ``v. 2``, which a version follows. A sentence is normalised (A-Z to lower case, every run of other characters than a-z and 0-9 to one blank)
 and looked up; unknown sentences leave no trace. A rule matches if its identifiers stand one after the other in
 the sequence of either reading.
 
@@ -140,11 +140,13 @@ KEYWORDS = ["licen", "copyright", "permission", "warrant", "redistribut"]
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SENTENCE_END = r"([.!?;])[ \t\r\n]+"
+# the same without the dot between a "v" and its number
+WHOLE_END = r"([!?;]|(?<![^A-Za-z0-9][vV])\.|\.(?![ \t\r\n]+[0-9]))[ \t\r\n]+"
 
 
-def sentence_parts(text: str) -> list[str]:
+def sentence_parts(text: str, end: str = SENTENCE_END) -> list[str]:
     """The normalised sentences of a text read by flow that have a keyword."""
-    flow = re.sub(SENTENCE_END, "\\1\n", re.sub(r"[\r\n]+", " ", text))
+    flow = re.sub(end, "\\1\n", re.sub(r"[\r\n]+", " ", text))
     parts = [" ".join(re.findall("[a-z0-9]+", s.lower())) for s in flow.split("\n")]
     return [p for p in parts if any(k in p for k in KEYWORDS)]
 
@@ -163,6 +165,17 @@ IDS = known_sentences()
 PARTS: list[str] = known_sentences.parts  # type: ignore[attr-defined]
 
 
+def whole_parts() -> list[str]:
+    """``PARTS`` as they are looked up, with the version after a "v."."""
+    whole = {
+        a: b for t in SENTENCES.values() for a, b in zip(sentence_parts(t), sentence_parts(t, WHOLE_END), strict=True)
+    }
+    return [whole[p] for p in PARTS]
+
+
+WHOLE: list[str] = whole_parts()
+
+
 def rule_text(names: list[str]) -> str:
     """A rule as it stands in the text form of a sequence."""
     return " " + "  ".join(str(k) for n in names for k in IDS[n]) + " "
@@ -170,14 +183,14 @@ def rule_text(names: list[str]) -> str:
 
 def _sequence(text: Column) -> Column:
     """The known sentences of a text with one sentence end per line, as `` 3  17  4 ``."""
-    marked = F.regexp_replace(text, SENTENCE_END, "$1\n")
+    marked = F.regexp_replace(text, WHOLE_END, "$1\n")
     near = F.filter(
         F.split(marked, "\n"), lambda u: F.lower(u).rlike("|".join(KEYWORDS))
     )
     plain = F.transform(
         near, lambda u: F.trim(F.regexp_replace(F.translate(u, UPPER, LOWER), "[^a-z0-9]+", " "))
     )
-    known = F.array(*[F.lit(p) for p in PARTS])
+    known = F.array(*[F.lit(p) for p in WHOLE])
     ids = F.filter(F.transform(plain, lambda u: F.array_position(known, u)), lambda k: k > 0)
     return F.array_join(F.transform(ids, lambda k: F.concat(F.lit(" "), k.cast("string"), F.lit(" "))), "")
 

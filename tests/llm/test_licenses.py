@@ -68,3 +68,21 @@ def test_plan_has_no_python_and_no_shuffle(spark):
 
 def test_empty_table(spark):
     assert scan(spark, []) == []
+
+
+def test_the_version_after_v_counts(spark):
+    mpl = S["mpl-notice"]
+    rows = [
+        (1, mpl), (2, mpl.replace("2.0", "1.1")), (3, mpl.replace("v. ", "v.\n") + " If a copy"), (4, mpl.replace("2.0.", "2.0.1.")),
+        (5, mpl.replace("v. 2.0.", "v.")), (6, "x v. Released under the MIT License."), (7, "v. 2. Released under the MIT License."),
+        (8, "see v. 3; Licensed under CC BY 4.0. y"), (9, mpl.replace("2.0", "1.1") + " " + mpl),
+    ]
+    got = {r[0]: r[1:] for r in scan(spark, rows)}
+    none = (0, "")
+    assert got == {
+        1: (1, "MPL-2.0"), 2: none, 3: (1, "MPL-2.0"), 4: none, 5: none, 6: (1, "MIT"), 7: (1, "MIT"), 8: (1, "CC-BY-4.0"),
+        9: (1, "MPL-2.0"),
+    }
+    # no sentence that is looked up starts with a number, so a dot that no longer ends one hides none
+    assert not any(p[0].isdigit() for p in licenses.WHOLE)
+    assert [p for p, w in zip(licenses.PARTS, licenses.WHOLE, strict=True) if p != w] == [p for p in licenses.PARTS if p.endswith(" v")]
