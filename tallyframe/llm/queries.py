@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import class_model, decontaminate, embeddings, jaccard, language, licenses, mixing, substrings, token_counts, token_files
+from tallyframe.llm import class_model, decontaminate, embeddings, jaccard, language, licenses, mixing, prefix_trie, substrings, token_counts, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -87,3 +87,8 @@ def op9_class_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = substrings.remove_repeats(table(spark, sf_dir, "documents"))
     return left.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
