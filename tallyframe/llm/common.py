@@ -102,9 +102,9 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words(data: np.ndarray, offsets: np.ndarray, blank: np.ndarray = BLANK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of every word, and for each document the index of its first word (one more at the end)."""
-    inside = ~BLANK[data]
+    inside = ~blank[data]
     before = np.empty_like(inside)
     before[:1] = False
     before[1:] = inside[:-1]

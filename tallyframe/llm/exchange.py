@@ -62,13 +62,15 @@ def bucket_cuts(names: np.ndarray, buckets: int) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(names, edges), [len(names)]]).astype(np.int64)
 
 
-def bucket_rows(batch: int, names: np.ndarray, payload: dict[str, np.ndarray], buckets: int) -> pa.RecordBatch | None:
+def bucket_rows(
+    batch: int, names: np.ndarray, payload: dict[str, np.ndarray], buckets: int, kind: pa.DataType = pa.int32()
+) -> pa.RecordBatch | None:
     """One row per bucket that has names: ``bucket, batch, names`` and the payload arrays, all as bytes."""
     cuts = bucket_cuts(names, buckets)
     some = [k for k in range(buckets) if cuts[k + 1] > cuts[k]]
     if not some:
         return None
-    columns = {"bucket": pa.array(some, pa.int32()), "batch": pa.array([batch] * len(some), pa.int32())}
+    columns = {"bucket": pa.array(some, pa.int32()), "batch": pa.array([batch] * len(some), kind)}
     for c, values in {"names": names, **payload}.items():
         columns[c] = pa.array([np.ascontiguousarray(values[cuts[k] : cuts[k + 1]]).tobytes() for k in some], pa.binary())
     return pa.RecordBatch.from_pydict(columns)
@@ -87,7 +89,9 @@ def gathered(parts: Iterator[pa.RecordBatch], kinds: dict[str, str]) -> tuple[np
     return np.array(who, dtype=np.int64), np.array(sizes, dtype=np.int64), arrays
 
 
-def replies(who: np.ndarray, names: np.ndarray, payload: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+def replies(
+    who: np.ndarray, names: np.ndarray, payload: dict[str, np.ndarray], kind: pa.DataType = pa.int32()
+) -> Iterator[pa.RecordBatch]:
     """One row per batch from arrays that hold an entry per name and asking batch."""
     if not len(who):
         return
@@ -96,7 +100,7 @@ def replies(who: np.ndarray, names: np.ndarray, payload: dict[str, np.ndarray])
     ends = np.append(cuts[1:], len(who))
     for a, b in zip(cuts, ends, strict=True):
         own = order[a:b]
-        columns = {"batch": pa.array([int(who[own[0]])], pa.int32()), "names": pa.array([names[own].tobytes()], pa.binary())}
+        columns = {"batch": pa.array([int(who[own[0]])], kind), "names": pa.array([names[own].tobytes()], pa.binary())}
         for c, values in payload.items():
             columns[c] = pa.array([values[own].tobytes()], pa.binary())
         yield pa.RecordBatch.from_pydict(columns)
@@ -109,6 +113,8 @@ def deliver(answers: DataFrame, kinds: dict[str, str], label: str) -> str:
     in ``names`` (and ``check``, if there is one) are one.
     """
     folder = shared_path(answers.sparkSession, label)
+    long = answers.schema["batch"].dataType.simpleString() == "bigint"
+    kind = pa.int64() if long else pa.int32()
 
     def write(key: tuple, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blobs: dict[str, list[bytes]] = {c: [] for c in kinds}
@@ -127,10 +133,10 @@ def deliver(answers: DataFrame, kinds: dict[str, str], label: str) -> str:
         batch = key[0].as_py()
         for c, values in arrays.items():
             files.write_flat(f"{folder}/{batch:08d}.{c}", values[order])
-        yield pa.RecordBatch.from_pydict({"batch": pa.array([batch], pa.int32())})
+        yield pa.RecordBatch.from_pydict({"batch": pa.array([batch], kind)})
 
     columns = [F.col(c) for c in kinds]
-    answers.select("batch", *columns).groupBy("batch").applyInArrow(write, "batch int").write.format("noop").mode(
+    answers.select("batch", *columns).groupBy("batch").applyInArrow(write, f"batch {'long' if long else 'int'}").write.format("noop").mode(
         "overwrite"
     ).save()
     return folder

@@ -94,56 +94,57 @@ def _halves(convs: DataFrame, turns: DataFrame) -> DataFrame:
     return rows.groupBy("k", "j", "conv_id").agg(_xor_hash(3).alias("a"), _xor_hash(4).alias("b"))
 
 
-def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Neighbouring rows of one sequence become pieces of its list of identifiers."""
-    key, ids = None, []
+def _table(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
 
-    def out() -> pa.RecordBatch:
-        n, a, b = key
-        return pa.RecordBatch.from_pydict({
-            "n": pa.array([n], pa.int64()), "a": pa.array([a], pa.int64()), "b": pa.array([b], pa.int64()),
-            "low": pa.array([ids[0]], pa.int64()), "size": pa.array([len(ids)], pa.int64()),
-            "ids": pa.array([",".join(map(str, ids)).encode()], pa.binary()),
-        })
 
-    for batch in batches:
-        for n, a, b, conv in zip(*(batch.column(c).to_pylist() for c in ("n", "a", "b", "conv_id")), strict=True):
-            if (n, a, b) != key or len(ids) >= PIECE:
-                if ids:
-                    yield out()
-                key, ids = (n, a, b), []
-            ids.append(conv)
-    if ids:
-        yield out()
+_LONGS = [(c, pa.int64()) for c in ("n", "a", "b", "conv_id", "weight")]
 
 
-def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per sequence from its pieces in order: smallest member, members, SHA-256 of the list."""
-    key = low = size = digest = None
+def _pieces(size: int):
+    """Neighbouring rows of one sequence become pieces of its list of identifiers."""
+    schema = pa.schema([*_LONGS, ("ids", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, ids, out = None, [], []
+        for batch in batches:
+            for n, a, b, conv in zip(*(batch.column(c).to_pylist() for c in ("n", "a", "b", "conv_id")), strict=True):
+                if (n, a, b) != key or len(ids) >= size:
+                    if ids:
+                        out.append((*key, ids[0], len(ids), ",".join(map(str, ids)).encode()))
+                    key, ids = (n, a, b), []
+                ids.append(conv)
+            if out:
+                yield _table(out, schema)
+                out = []
+        if ids:
+            yield _table([(*key, ids[0], len(ids), ",".join(map(str, ids)).encode())], schema)
+
+    return run
 
-    def out() -> pa.RecordBatch:
-        return pa.RecordBatch.from_pydict({
-            "n": pa.array([key[0]], pa.int64()), "a": pa.array([key[1]], pa.int64()), "b": pa.array([key[2]], pa.int64()),
-            "conv_id": pa.array([low], pa.int64()), "weight": pa.array([size], pa.int64()),
-            "ends_sha256": pa.array([digest.hexdigest()], pa.string()),
-        })
 
-    columns = ("n", "a", "b", "low", "size", "ids")
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per sequence from its pieces in order: smallest member, members, SHA-256 of the list."""
+    schema = pa.schema([*_LONGS, ("ends_sha256", pa.string())])
+    key, low, size, digest, out = None, None, 0, None, []
     for batch in batches:
-        for n, a, b, first, count, ids in zip(*(batch.column(c).to_pylist() for c in columns), strict=True):
+        for n, a, b, first, count, ids in zip(*(batch.column(c).to_pylist() for c in ("n", "a", "b", "conv_id", "weight", "ids")), strict=True):
             if (n, a, b) != key:
                 if key is not None:
-                    yield out()
+                    out.append((*key, low, size, digest.hexdigest()))
                 key, low, size, digest = (n, a, b), first, 0, hashlib.sha256()
             if size:
                 digest.update(b",")
             digest.update(ids)
             size += count
+        if out:
+            yield _table(out, schema)
+            out = []
     if key is not None:
-        yield out()
+        yield _table([(*key, low, size, digest.hexdigest())], schema)
 
 
-def _sequences(convs: DataFrame, turns: DataFrame) -> DataFrame:
+def _sequences(convs: DataFrame, turns: DataFrame, piece: int) -> DataFrame:
     """Distinct sequences ``n, conv_id, weight, ends_sha256``; equal ones stand together under the smallest member."""
     whole = turns.groupBy("conv_id").agg(_xor_hash(5).alias("a"), _xor_hash(6).alias("b"))
     zero = F.lit(0).cast("long")
@@ -152,9 +153,9 @@ def _sequences(convs: DataFrame, turns: DataFrame) -> DataFrame:
     )
     order = ["n", "a", "b", "conv_id"]
     pieces = named.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
-        _pieces, "n long, a long, b long, low long, size long, ids binary"
+        _pieces(piece), "n long, a long, b long, conv_id long, weight long, ids binary"
     )
-    return pieces.repartition("n", "a", "b").sortWithinPartitions("n", "a", "b", "low").mapInArrow(
+    return pieces.repartition("n", "a", "b").sortWithinPartitions(*order).mapInArrow(
         _digests, "n long, a long, b long, conv_id long, weight long, ends_sha256 string"
     ).drop("a", "b")
 
@@ -163,7 +164,7 @@ def _add(a: DataFrame, b: DataFrame, by: list[str]) -> DataFrame:
     return a.unionByName(b).groupBy(*by).agg(F.sum("leaves").alias("leaves"), F.sum("saved").alias("saved"))
 
 
-def prefix_trie(conversations: DataFrame) -> DataFrame:
+def prefix_trie(conversations: DataFrame, piece: int = PIECE) -> DataFrame:
     """One row per node of the trie of rebuilt conversations.
 
     ``conv_id`` (smallest member), ``depth``, ``parent_conv_id``, ``n_convs``, ``n_children``, ``n_leaves``, ``saved_tokens``,
@@ -171,7 +172,7 @@ def prefix_trie(conversations: DataFrame) -> DataFrame:
     """
     spark = prepare(conversations.sparkSession)
     convs, turns = rebuild(store(turns_in_order(conversations), "trie-places"))
-    sequences = store(_sequences(convs, turns), "trie-sequences")
+    sequences = store(_sequences(convs, turns, piece), "trie-sequences")
     halves = store(_halves(convs, turns), "trie-halves")
     top = convs.agg(F.max("n"), F.min("conv_id"), F.count("*")).first()
     if not top[2]:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import class_model, decontaminate, embeddings, jaccard, language, licenses, mixing, prefix_trie, substrings, token_counts, token_files
+from tallyframe.llm import class_model, collocations, decontaminate, embeddings, jaccard, language, licenses, mixing, prefix_trie, substrings, token_counts, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -92,3 +92,8 @@ def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine_phrases(table(spark, sf_dir, "documents"))
