@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import class_model, collocations, decontaminate, embeddings, jaccard, language, licenses, mixing, prefix_trie, substrings, token_counts, token_files
+from tallyframe.llm import class_model, collocations, decontaminate, embeddings, jaccard, language, licenses, mixing, prefix_trie, substrings, suffix_sort, token_counts, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -97,3 +97,9 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.mine_phrases(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = suffix_sort.remove_repeats(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
