@@ -21,9 +21,12 @@ ORACLES: dict[str, str] = {}
 # The moment that stands for now, after the last order and after the last event of the test tables.
 AS_OF = "2001-08-01 00:00:00"
 EVENTS_AS_OF = "2024-01-31 00:00:00"
-SNAPSHOTS = [f"2001-0{m}-01 00:00:00" for m in range(2, 9)]
+# the feature history has a snapshot every 30 days from the first day of the transactions to the last
+SNAPSHOT_DAYS = 30
 # validity shorter than the distance of snapshots, so that gaps exist
 HISTORY_HOURS = 24 * 20
+# stored tables by session and data folder: queries read what another one has written
+_STORED: dict[tuple[str, str, str], str] = {}
 
 
 class Data:
@@ -70,9 +73,7 @@ class Data:
     @cached_property
     def silver_repay(self) -> DataFrame:
         """The current repayments as a stored table, for jobs that read them more than once."""
-        path = shared_path(self.spark, "silver-repayments")
-        self.repay.write.parquet(path)
-        return self.spark.read.parquet(path)
+        return self.stored("silver-repayments", lambda: self.repay)
 
     @cached_property
     def schedules(self) -> DataFrame:
@@ -117,15 +118,22 @@ class Data:
     @cached_property
     def computed_history(self) -> DataFrame:
         return feat.compute_feature_history(
-            self.stg_tx, self.repay, self.schedules, SNAPSHOTS, hours=HISTORY_HOURS
+            self.stg_tx, self.repay, self.schedules, 24 * SNAPSHOT_DAYS, hours=HISTORY_HOURS
         )
 
+    def stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A table computed once per session and data folder, read back by its path."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if key not in _STORED:
+            path = shared_path(self.spark, name)
+            build().write.parquet(path)
+            _STORED[key] = path
+        return self.spark.read.parquet(_STORED[key])
+
     @cached_property
     def history(self) -> DataFrame:
         """The feature table as its readers see it: computed once, stored, and read back."""
-        path = shared_path(self.spark, "feature-history")
-        self.computed_history.write.parquet(path)
-        return self.spark.read.parquet(path)
+        return self.stored("feature-history", lambda: self.computed_history)
 
     @cached_property
     def requests(self) -> DataFrame:
@@ -262,7 +270,9 @@ VIEWS = {
         LEFT JOIN (SELECT due_date AS date, count(*) FILTER (status = 'overdue')::DOUBLE / count(*) AS overdue_rate
         FROM repayments GROUP BY ALL) o ON d.date = o.date""",
     "features": _FEATURE_SQL.format(hours=4, snaps=_snaps([AS_OF])),
-    "feature_history": _FEATURE_SQL.format(hours=HISTORY_HOURS, snaps=_snaps(SNAPSHOTS)),
+    "feature_history": _FEATURE_SQL.format(hours=HISTORY_HOURS, snaps=f"""(SELECT unnest(generate_series(
+        min(created_at)::DATE::TIMESTAMP, max(created_at) + INTERVAL {SNAPSHOT_DAYS} DAY, INTERVAL {SNAPSHOT_DAYS} DAY)) AS s
+        FROM stg_transactions)"""),
     "requests": "SELECT transaction_id AS request_id, user_id, "
     "CASE WHEN transaction_id % 50 <> 0 THEN created_at END AS as_of FROM transactions",
 }

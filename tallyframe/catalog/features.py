@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyframe import contracts as K
-from tallyframe.catalog.base import AS_OF, SNAPSHOTS, Data, add, query
+from tallyframe.catalog.base import AS_OF, Data, add, query
 from tallyframe.checks import contracts, project, runner
 from tallyframe.checks.generic import missing_days
 from tallyframe.functions.scalars import clamp_far_future
@@ -108,12 +108,17 @@ add(
     "drift_01_feature_quartiles", lambda d: drift.feature_quartiles(d.features),
     f"SELECT feature_name, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3 FROM ({QUART.format(long=LONG.format(src='features'))})",
 )
-OLD, NEW = SNAPSHOTS[0], SNAPSHOTS[-1]
+# the newest snapshot against the newest one that is half a year older
+BASELINE_DAYS = 180
+NEW = "(SELECT max(snapshot_ts) FROM feature_history)"
+OLD = f"(SELECT max(snapshot_ts) FROM feature_history WHERE snapshot_ts <= {NEW} - INTERVAL {BASELINE_DAYS} DAY)"
 
 
 def _sides(d: Data):
     at = F.col("snapshot_ts")
-    return d.history.where(at == F.lit(OLD).cast("timestamp_ntz")), d.history.where(at == F.lit(NEW).cast("timestamp_ntz"))
+    newest = d.history.agg(F.max("snapshot_ts").alias("m")).scalar()
+    before = d.history.where(at <= newest - F.expr(f"interval {BASELINE_DAYS} days")).agg(F.max("snapshot_ts").alias("m")).scalar()
+    return d.history.where(at == before), d.history.where(at == newest)
 
 
 def _metrics(d: Data):
@@ -122,7 +127,7 @@ def _metrics(d: Data):
 
 
 def _side_sql(ts: str) -> str:
-    return QUART.format(long=LONG.format(src=f"(SELECT * FROM feature_history WHERE snapshot_ts = TIMESTAMP '{ts}')"))
+    return QUART.format(long=LONG.format(src=f"(SELECT * FROM feature_history WHERE snapshot_ts = {ts})"))
 
 
 METRICS_SQL = f"""SELECT b.feature_name, coalesce(abs(c.median - b.median) / nullif(b.q3 - b.q1, 0), 0.0) AS drift_score,
@@ -137,8 +142,8 @@ add(
 
 
 def _psi_sql() -> str:
-    b = LONG.format(src=f"(SELECT * FROM feature_history WHERE snapshot_ts = TIMESTAMP '{OLD}')")
-    c = LONG.format(src=f"(SELECT * FROM feature_history WHERE snapshot_ts = TIMESTAMP '{NEW}')")
+    b = LONG.format(src=f"(SELECT * FROM feature_history WHERE snapshot_ts = {OLD})")
+    c = LONG.format(src=f"(SELECT * FROM feature_history WHERE snapshot_ts = {NEW})")
     probs = ", ".join(f"{i / 10}" for i in range(1, 10))
     return f"""WITH b AS (SELECT * FROM {b}), c AS (SELECT * FROM {c}),
       e AS (SELECT feature_name, list_distinct(quantile_cont(value, [{probs}])) AS edges FROM b GROUP BY 1),

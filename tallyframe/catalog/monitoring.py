@@ -90,7 +90,8 @@ def _newest_results(d: Data):
 
 
 add("mon_11_feature_freshness", lambda d: monitoring.freshness_status(d.history, "snapshot_ts", at("2001-08-01 05:00:00"), 6),
-    "SELECT 5 AS hours_stale, 'PASS' AS status FROM (SELECT max(snapshot_ts) AS m FROM feature_history) WHERE date_diff('hour', m, TIMESTAMP '2001-08-01 05:00:00') = 5")
+    """SELECT h AS hours_stale, CASE WHEN h < 6 THEN 'PASS' ELSE 'FAIL' END AS status
+      FROM (SELECT date_diff('hour', max(snapshot_ts), TIMESTAMP '2001-08-01 05:00:00') AS h FROM feature_history)""")
 add("mon_12_settlement_last_days", lambda d: monitoring.newest(marts.settlement_summary(d.recon), "settlement_date", 5),
     """SELECT settlement_date, count(DISTINCT merchant_id) AS merchants, count(*) FILTER (status = 'matched') AS matched,
       count(*) FILTER (status = 'mismatch') AS mismatches, round(avg(variance_pct), 6) AS avg_variance_pct

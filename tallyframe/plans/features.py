@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyframe.functions.scalars import clamp_far_future
@@ -116,66 +115,169 @@ def compute_features(
     )
 
 
+# The running totals a snapshot is made of; a fact adds to them where it enters a window and takes away where it leaves.
+_TOTALS = {
+    "n7": "bigint", "declined7": "bigint", "n30": "bigint", "amount30": "decimal(38,2)", "merchants30": "bigint",
+    "due90": "bigint", "on_time90": "bigint", "active": "bigint",
+}
+_DAY = 86_400_000_000
+
+
+def _micros(c: Column) -> Column:
+    return F.unix_micros(c.cast("timestamp_ltz"))
+
+
+class SnapshotSeries:
+    """Snapshot times ``start + k * step`` for k = 0, 1, ... up to ``end``, all in the plan: nothing is read to build it.
+
+    Without bounds it starts at midnight of the first fact and ends with the first snapshot after the last one.
+    """
+
+    def __init__(self, tx: DataFrame, every_hours: int, start: datetime | str | None, end: datetime | str | None):
+        self.step = every_hours * 3_600_000_000
+        step = F.lit(self.step)
+        if start is None:
+            # pmod: midnight also for times before 1970
+            lowest = _micros(tx.agg(F.min("created_at").alias("m")).scalar())
+            self.start = lowest - F.pmod(lowest, F.lit(_DAY))
+        else:
+            self.start = _micros(as_column(start))
+        until = _micros(as_column(end)) if end is not None else _micros(tx.agg(F.max("created_at").alias("m")).scalar()) + step
+        self.last = self._floor(until)
+
+    def _floor(self, micros: Column) -> Column:
+        # rounded down also before the start; the quotient of whole steps is exact
+        ahead = micros - self.start
+        return ((ahead - F.pmod(ahead, F.lit(self.step))) / F.lit(self.step)).cast("bigint")
+
+    def enters(self, micros: Column) -> Column:
+        """The first snapshot that is not before a time."""
+        return F.greatest(self._floor(micros + F.lit(self.step - 1)), F.lit(0).cast("bigint"))
+
+    def leaves(self, micros: Column) -> Column:
+        """The first snapshot after a time."""
+        return self._floor(micros) + 1
+
+    def time(self, k: Column) -> Column:
+        return F.timestamp_micros(self.start + k * F.lit(self.step)).cast("timestamp_ntz")
+
+
+def _event(at: Column, **changes: Column | int) -> Column:
+    """A change of the running totals at a snapshot; ``created`` is the time of a transaction, NULL for other facts."""
+    columns = {n: F.lit(changes.get(n, 0)) if isinstance(changes.get(n, 0), int) else changes[n] for n in _TOTALS}
+    created = changes.get("created", F.lit(None).cast("timestamp_ntz"))
+    return F.struct(
+        at.alias("_k"), created.alias("_created"), *[c.cast(_TOTALS[n]).alias(n) for n, c in columns.items()]
+    )
+
+
+def _transaction_events(tx: DataFrame, series: SnapshotSeries) -> DataFrame:
+    at = _micros(F.col("created_at"))
+    placed = tx.withColumns({
+        "_in": series.enters(at), "_out7": series.leaves(at + F.lit(7 * _DAY)), "_out30": series.leaves(at + F.lit(30 * _DAY)),
+        "_no": F.when(F.col("status") == "declined", 1).otherwise(0),
+    })
+    enter, out7, out30 = F.col("_in"), F.col("_out7"), F.col("_out30")
+    seen7, seen30 = F.when(out7 > enter, 1).otherwise(0), F.when(out30 > enter, 1).otherwise(0)
+    amount = F.coalesce(F.col("amount"), F.lit(0))
+    return placed.select("user_id", F.explode(F.array(
+        _event(enter, created=F.col("created_at"), n7=seen7, declined7=seen7 * F.col("_no"), n30=seen30, amount30=seen30 * amount),
+        _event(out7, n7=-seen7, declined7=-seen7 * F.col("_no")),
+        _event(out30, n30=-seen30, amount30=-seen30 * amount),
+    )).alias("_e")).select("user_id", "_e.*")
+
+
+def _merchant_events(tx: DataFrame, series: SnapshotSeries) -> DataFrame:
+    """A merchant counts while any of its transactions is in the window: the union of their stays.
+
+    All stays are equally long, so of those that enter at one snapshot the last to leave stands for all, and a stay joins the
+    one before if that has not left yet. A (user, merchant) has at most one row per snapshot.
+    """
+    at = _micros(F.col("created_at"))
+    key = ["user_id", "merchant_id"]
+    stays = tx.where("merchant_id is not null").select(
+        *key, series.enters(at).alias("_in"), series.leaves(at + F.lit(30 * _DAY)).alias("_out")
+    ).where("_out > _in").groupBy(*key, "_in").agg(F.max("_out").alias("_out"))
+    along = Window.partitionBy(*key).orderBy("_in")
+    joined = stays.withColumns({"_before": F.lag("_out").over(along), "_after": F.lead("_in").over(along)})
+    first = F.when(F.coalesce(F.col("_before") < F.col("_in"), F.lit(True)), 1).otherwise(0)
+    last = F.when(F.coalesce(F.col("_after") > F.col("_out"), F.lit(True)), 1).otherwise(0)
+    return joined.select("user_id", F.explode(F.array(
+        _event(F.col("_in"), merchants30=first), _event(F.col("_out"), merchants30=-last)
+    )).alias("_e")).select("user_id", "_e.*")
+
+
+def _repayment_events(repay: DataFrame, series: SnapshotSeries) -> DataFrame:
+    due = _micros(F.col("due_date").cast("timestamp_ntz"))
+    on_time = F.when(F.to_date("paid_at") <= F.col("due_date"), 1).otherwise(0)
+    # due on the snapshot's day or on one of the 90 days before it
+    placed = repay.where("due_date is not null").select(
+        "user_id", series.enters(due).alias("_in"), series.leaves(due + F.lit(91 * _DAY - 1)).alias("_out"), on_time.alias("_ok")
+    ).where("_out > _in")
+    return placed.select("user_id", F.explode(F.array(
+        _event(F.col("_in"), due90=1, on_time90=F.col("_ok")), _event(F.col("_out"), due90=-1, on_time90=-F.col("_ok"))
+    )).alias("_e")).select("user_id", "_e.*")
+
+
+def _installment_events(schedules: DataFrame, series: SnapshotSeries) -> DataFrame:
+    return schedules.where("status = 'active' and created_at is not null").select(
+        "user_id", _event(series.enters(_micros(F.col("created_at"))), active=1).alias("_e")
+    ).select("user_id", "_e.*")
+
+
 def compute_feature_history(
     tx: DataFrame,
     repay: DataFrame,
     schedules: DataFrame,
-    snapshots: Sequence[str],
+    every_hours: int = 4,
+    start: datetime | str | None = None,
+    end: datetime | str | None = None,
     hours: int = 4,
     version: str = "v1",
 ) -> DataFrame:
-    """Features at many snapshot times in one job, for backtests.
+    """Features at every snapshot of a regular series, over the whole range of the transactions unless bounded.
 
-    A fact is listed only for the snapshots whose window holds it, so the facts are read once and
-    never paired with every snapshot. Older facts matter only through the user's first time.
+    Each fact becomes an event at the snapshot where it enters a window and one at the snapshot where it leaves, so it costs two
+    or three rows however many snapshots see it. Events are summed per user and snapshot before the shuffle; a running sum
+    over a user's events gives the totals, and the totals of an event hold until the next one. A user has at most one event
+    row per snapshot, so no group outgrows the series. The work is facts plus output, never facts times snapshots.
+    Facts without a user or a time count for nobody.
     """
-    times = F.array(*[as_column(s) for s in sorted(snapshots)])
-
-    def listed(df: DataFrame, keep) -> DataFrame:
-        return df.withColumn("_s", F.explode(F.filter(times, keep)))
-
-    first = tx.groupBy("user_id").agg(F.min("created_at").alias("_first"))
-    base = first.withColumn("_s", F.explode(F.filter(times, lambda s: s >= F.col("_first"))))
-
-    month = listed(
-        tx, lambda s: (F.col("created_at") <= s) & (F.col("created_at") >= s - _days(30))
+    series = SnapshotSeries(tx, every_hours, start, end)
+    known = tx.where("user_id is not null and created_at is not null")
+    events = (
+        _transaction_events(known, series)
+        .unionByName(_merchant_events(known, series))
+        .unionByName(_repayment_events(repay, series))
+        .unionByName(_installment_events(schedules, series))
     )
-    in7 = F.col("created_at") >= F.col("_s") - _days(7)
-    recent = month.groupBy("user_id", "_s").agg(
-        F.count_if(in7).alias("tx_velocity_7d"),
-        F.count(F.lit(1)).alias("tx_velocity_30d"),
-        F.round(F.avg("amount"), 2).alias("avg_tx_amount_30d"),
-        F.count_distinct("merchant_id").alias("merchant_diversity_30d"),
-        F.try_divide(
-            F.count_if(in7 & (F.col("status") == "declined")).cast("double"), F.count_if(in7)
-        ).alias("declined_rate_7d"),
-    )
-    due = listed(
-        repay,
-        lambda s: (F.col("due_date") <= F.to_date(s)) & (F.col("due_date") >= F.date_sub(F.to_date(s), 90)),
+    steps = events.where(F.col("_k") <= series.last).groupBy("user_id", "_k").agg(
+        F.min("_created").alias("_created"), *[F.sum(n).alias(n) for n in _TOTALS]
     )
-    on_time = F.col("paid_at").isNotNull() & (F.to_date("paid_at") <= F.col("due_date"))
-    rates = due.groupBy("user_id", "_s").agg(
-        F.try_divide(F.count_if(on_time).cast("double"), F.count(F.lit(1))).alias("repayment_rate_90d")
+    user = Window.partitionBy("user_id")
+    along = user.orderBy("_k")
+    upto = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    totals = steps.select(
+        "user_id", "_k", F.min("_created").over(user).alias("_first"),
+        F.min(F.when(F.col("_created").isNotNull(), F.col("_k"))).over(user).alias("_known"),
+        F.coalesce(F.lead("_k").over(along), series.last + 1).alias("_next"),
+        *[F.sum(n).over(upto).alias(n) for n in _TOTALS],
     )
-    # schedules open at a snapshot: counted per user and first snapshot that sees them, then summed
-    # over the snapshots of the user
-    open_ = schedules.where(F.col("status") == "active").withColumn(
-        "_s", F.array_min(F.filter(times, lambda s: s >= F.col("created_at")))
-    ).where("_s is not null").groupBy("user_id", "_s").agg(F.count(F.lit(1)).alias("_n"))
-    seen = open_.groupBy("user_id").agg(F.collect_list(F.struct("_s", "_n")).alias("_seen"))
-    active = F.aggregate(
-        F.filter(F.col("_seen"), lambda e: e["_s"] <= F.col("_s")),
-        F.lit(0).cast("bigint"), lambda acc, e: acc + e["_n"],
+    # the totals of an event hold until the next one, from the user's first transaction on
+    since = F.greatest(F.col("_k"), F.col("_known"))
+    rows = totals.where(F.col("_known").isNotNull() & (since < F.col("_next"))).withColumn(
+        "_k", F.explode(F.sequence(since, F.col("_next") - 1))
     )
-    joined = (
-        base.join(recent, ["user_id", "_s"], "left")
-        .join(rates, ["user_id", "_s"], "left")
-        .join(seen, "user_id", "left")
-        .withColumn("active_installments", active)
-        .withColumn("days_since_first_tx", F.datediff(F.to_date("_s"), F.to_date("_first")))
-    )
-    return stamp_validity(fill_defaults(joined), F.col("_s"), hours, version).select(
+    at = series.time(F.col("_k"))
+    mean = F.try_divide(F.col("amount30"), F.col("n30")).cast("decimal(38,6)")
+    named = rows.withColumns({
+        "_at": at, "tx_velocity_7d": F.col("n7"), "tx_velocity_30d": F.col("n30"), "avg_tx_amount_30d": F.round(mean, 2),
+        "repayment_rate_90d": F.try_divide(F.col("on_time90").cast("double"), F.col("due90")),
+        "merchant_diversity_30d": F.col("merchants30"),
+        "declined_rate_7d": F.try_divide(F.col("declined7").cast("double"), F.col("n7")),
+        "active_installments": F.col("active"), "days_since_first_tx": F.datediff(F.to_date(at), F.to_date("_first")),
+    })
+    return stamp_validity(fill_defaults(named), F.col("_at"), hours, version).select(
         "user_id", "snapshot_ts", "valid_from", "valid_to", "feature_version", *FEATURE_NAMES
     )
 

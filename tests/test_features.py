@@ -1,6 +1,8 @@
 """Point-in-time features, their gate and their serving."""
 
 import datetime as dt
+import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -62,12 +64,68 @@ def test_validity_and_types(inputs):
 
 
 def test_history_equals_single_runs(inputs):
-    times = ["2024-06-20 00:00:00", SNAP, "2024-07-02 00:00:00"]
-    hist = {(r.user_id, r.snapshot_ts): r for r in features.compute_feature_history(*inputs, times).collect()}
+    times = [str(T(-5) - dt.timedelta(hours=60 * k)) for k in range(170, -1, -1)]
+    rows = features.compute_feature_history(*inputs, 60, times[0], times[-1]).collect()
+    hist = {(r.user_id, r.snapshot_ts): r for r in rows if str(r.snapshot_ts) in times[::13] + times[-12:]}
+    assert len(rows) == len({(r.user_id, r.snapshot_ts) for r in rows}) and SNAP in times
+    times = times[::13] + times[-12:]
     single = {(r.user_id, r.snapshot_ts): r for t in times for r in features.compute_features(*inputs, t).collect()}
     assert hist == single
 
 
+def test_history_covers_the_whole_range(inputs):
+    """Without bounds: from midnight of the first transaction to the first snapshot after the last one."""
+    got = features.compute_feature_history(*inputs, 24 * 30).agg(F.min("snapshot_ts"), F.max("snapshot_ts"), F.count("*")).first()
+    first = dt.datetime.combine(T(400).date(), dt.time())
+    assert got[0] == first + dt.timedelta(days=30) and T(-2) <= got[1] < T(-2) + dt.timedelta(days=30)
+
+
+def test_history_of_every_four_hours_meets_brute_force(spark):
+    """One month at a cadence of four hours over random facts: nulls, ties, repeated merchants, times before the series."""
+    rng = random.Random(5)
+    base = dt.datetime(2024, 3, 1)
+    when = lambda lo, hi: base + dt.timedelta(seconds=rng.randrange(lo * 86400, hi * 86400))
+    tx = [(k, rng.choice([1, 2, 3, None]), rng.choice([7, 8, 9, None]), Decimal(rng.randrange(10_000)) / 100,
+           rng.choice(["approved", "declined", None]), when(-45, 31) if k % 20 else base) for k in range(300)]
+    repay = [(k, rng.choice([1, 2, 9]), when(-120, 40).date() if k % 9 else None, when(-120, 40) if k % 3 else None) for k in range(200)]
+    inst = [(k, rng.choice([1, 2, 3]), rng.choice(["active", "completed"]), when(-40, 40)) for k in range(60)]
+    inputs = (
+        spark.createDataFrame(tx, "transaction_id int, user_id bigint, merchant_id int, amount decimal(12,2), status string, created_at timestamp_ntz"),
+        spark.createDataFrame(repay, "repayment_id int, user_id bigint, due_date date, paid_at timestamp_ntz"),
+        spark.createDataFrame(inst, "schedule_id int, user_id bigint, status string, created_at timestamp_ntz"),
+    )
+    got = {
+        (r.user_id, r.snapshot_ts): (r.tx_velocity_7d, r.tx_velocity_30d, float(r.avg_tx_amount_30d), round(r.repayment_rate_90d, 9),
+                                     r.merchant_diversity_30d, round(r.declined_rate_7d, 9), r.active_installments, r.days_since_first_tx)
+        for r in features.compute_feature_history(*inputs, 4, base, base + dt.timedelta(days=30)).collect()
+    }
+    want = {}
+    for user in (1, 2, 3):
+        own = [t for t in tx if t[1] == user]
+        for k in range(181):
+            s = base + dt.timedelta(hours=4 * k)
+            seen = [t for t in own if t[5] <= s]
+            if not seen:
+                continue
+            d30 = [t for t in seen if t[5] >= s - dt.timedelta(days=30)]
+            d7 = [t for t in seen if t[5] >= s - dt.timedelta(days=7)]
+            due = [r for r in repay if r[1] == user and r[2] and s.date() - dt.timedelta(days=90) <= r[2] <= s.date()]
+            mean = (sum(t[3] for t in d30) / len(d30)).quantize(Decimal("0.01"), "ROUND_HALF_UP") if d30 else 0
+            want[user, s] = (
+                len(d7), len(d30), float(mean),
+                round(sum(r[3] is not None and r[3].date() <= r[2] for r in due) / len(due), 9) if due else 0.0,
+                len({t[2] for t in d30} - {None}), round(sum(t[4] == "declined" for t in d7) / len(d7), 9) if d7 else 0.0,
+                sum(i[1] == user and i[2] == "active" and i[3] <= s for i in inst), (s.date() - min(t[5] for t in seen).date()).days,
+            )
+    assert got == want and len(want) > 500
+
+
+def test_history_costs_facts_and_output(inputs):
+    """No plan node pairs facts with snapshots: events explode to two or three rows whatever the cadence is."""
+    plan = features.compute_feature_history(*inputs, 4)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("explode(array(") == 3 and plan.count("explode(sequence(") == 1
+
+
 def test_snapshot_time_is_clamped(spark, inputs):
     now = F.lit("2024-08-01 00:00:00").cast("timestamp_ntz")
     tx = inputs[0]
@@ -99,8 +157,7 @@ def test_gate_and_validation(inputs):
 
 
 def test_serving_falls_back_to_latest(spark, inputs):
-    times = ["2024-06-28 00:00:00", SNAP]
-    hist = features.compute_feature_history(*inputs, times)
+    hist = features.compute_feature_history(*inputs, 60, "2024-06-28 00:00:00", SNAP)
     asked = [(1, 1, T(0, -1)), (2, 1, T(1)), (3, 1, None), (4, 77, T(0)), (5, 1, T(900))]
     reqs = spark.createDataFrame(asked, "request_id int, user_id bigint, as_of timestamp_ntz")
     got = {r.request_id: (r.match, r.snapshot_ts, r.is_valid) for r in features.serve_as_of(reqs, hist, "v1").collect()}
