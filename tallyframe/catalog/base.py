@@ -193,7 +193,9 @@ _FEATURE_SQL = """
     FROM (SELECT user_id, s,
             count(*) FILTER (created_at >= s - INTERVAL 7 DAY) AS tx_velocity_7d,
             count(*) FILTER (created_at >= s - INTERVAL 30 DAY) AS tx_velocity_30d,
-            round(avg(amount) FILTER (created_at >= s - INTERVAL 30 DAY), 2) AS avg_amount,
+            -- half a cent rounds up, in whole cents: a mean in floating point may fall below the half
+            ((200 * sum(amount) FILTER (created_at >= s - INTERVAL 30 DAY))::BIGINT + count(*) FILTER (created_at >= s - INTERVAL 30 DAY))
+              // nullif(2 * count(*) FILTER (created_at >= s - INTERVAL 30 DAY), 0) / 100.0 AS avg_amount,
             count(DISTINCT merchant_id) FILTER (created_at >= s - INTERVAL 30 DAY) AS merchant_diversity_30d,
             count(*) FILTER (created_at >= s - INTERVAL 7 DAY AND status = 'declined')::DOUBLE
               / nullif(count(*) FILTER (created_at >= s - INTERVAL 7 DAY), 0) AS declined_rate,
