@@ -81,20 +81,61 @@ def _quantile(xs, q):
     return xs[lo] + (xs[hi] - xs[lo]) * (pos - lo)
 
 
-@pytest.mark.parametrize("limit", [15, 10_000])
-def test_exact_quantiles(spark, rows, limit):
+def test_exact_quantiles(spark, rows):
     df = spark.createDataFrame(rows, "k string, t int, id int, v int")
-    out = quantiles.exact_quantiles(df, "t", {"a": 0.1, "m": 0.5, "z": 0.99}, ["k"], max_values=limit, rows_per_segment=limit)
+    out = quantiles.exact_quantiles(df, "t", {"a": 0.1, "m": 0.5, "z": 0.99}, ["k"])
     got = {r.k: (r.a, r.m, r.z) for r in out.collect()}
     by = groups(rows)
     for k, g in by.items():
         want = tuple(_quantile([r[1] for r in g], q) for q in (0.1, 0.5, 0.99))
         assert got[k] == pytest.approx(want)
     assert set(got) == set(by)
-    (whole,) = quantiles.exact_quantiles(df, "t", {"m": 0.5}, max_values=limit, rows_per_segment=limit).collect()
+    (whole,) = quantiles.exact_quantiles(df, "t", {"m": 0.5}).collect()
     assert whole.m == pytest.approx(_quantile([r[1] for r in rows], 0.5))
 
 
+def _doubles():
+    rng = random.Random(8)
+    plain = [rng.uniform(-1, 1) * 10.0 ** rng.randint(-300, 300) for _ in range(400)]
+    near = [math.nextafter(2.0**e, to) for e in (-1000, -1, 0, 1, 52, 1000) for to in (0.0, math.inf)] + [2.0**e for e in range(-40, 40, 7)]
+    edges = [0.0, -0.0, 5e-324, -5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.7976931348623157e308, -1.7976931348623157e308]
+    return plain + near + [-x for x in near] + edges
+
+
+def test_ordered_bits_order_like_doubles(spark):
+    values = [*_doubles(), math.inf, -math.inf, math.nan]
+    df = spark.createDataFrame([(x,) for x in values], "x double").select("x", quantiles.ordered_bits(F.col("x")).alias("b"))
+    got = sorted((tuple(r) for r in df.collect()), key=lambda r: (math.isnan(r[0]), 0 if math.isnan(r[0]) else r[0]))
+    for (x, a), (y, b) in zip(got, got[1:], strict=False):
+        assert (a == b) if x == y else (a < b), (x, y)
+
+
+def test_quantiles_of_any_doubles(spark):
+    values = _doubles()
+    keyed = [(k, x) for k, part in (("a", values), (None, values[:7]), ("one", [3.5])) for x in part] + [("none", None)]
+    df = spark.createDataFrame(keyed, "k string, x double")
+    probs = {"low": 0.0, "a": 0.013, "m": 0.5, "z": 0.997, "high": 1.0}
+    got = {r.k: r for r in quantiles.exact_quantiles(df, "x", probs, ["k"]).collect()}
+    assert set(got) == {"a", None, "one"}, "a group without a value is left out"
+    for k, part in (("a", values), (None, values[:7]), ("one", [3.5])):
+        for name, q in probs.items():
+            assert got[k][name] == _quantile(part, q), (k, name)
+    odd = spark.createDataFrame([(math.inf,), (math.inf,), (1.0,), (math.nan,)], "x double")
+    r = quantiles.exact_quantiles(odd, "x", {"low": 0.0, "m": 0.5, "high": 1.0}).first()
+    assert r.low == 1.0 and r.m == math.inf and math.isnan(r.high)
+    empty = quantiles.exact_quantiles(odd.limit(0), "x", {"m": 0.5}).collect()
+    assert [e.m for e in empty] == [None]
+
+
+def test_quantiles_read_nothing_while_they_are_built(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("build", "no job may run")
+    quantiles.exact_quantiles(spark.range(1000), "id", {"m": 0.5}, [])
+    jobs = tracker.getJobIdsForGroup("build")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not list(jobs)
+
+
 @pytest.mark.parametrize("per", [8, 10_000])
 def test_as_of_forms_agree_with_brute_force(spark, per):
     rng = random.Random(3)
