@@ -149,20 +149,17 @@ add(
     ),
     ASOF_SQL,
 )
-add(
-    "join_10_as_of_overlapping",
-    lambda d: asof.asof_range_join(
-        d.requests, d.history, ["user_id"], ["request_id"], "as_of", "valid_from", "valid_to",
-        ["tx_velocity_30d"], ["snapshot_ts"], unit="month",
-    ),
-    ASOF_SQL,
-)
 # every fifth user's versions stay open far beyond the next ones, and one in seven versions ends within a day
 OPEN_SQL = """(SELECT user_id, snapshot_ts, valid_from, CASE WHEN user_id % 5 = 0 AND month(valid_from) = 2
     THEN valid_from + INTERVAL 400 DAY WHEN (user_id + month(valid_from)) % 7 = 0 THEN valid_from + INTERVAL 1 DAY
     ELSE valid_to END AS valid_to, tx_velocity_30d FROM feature_history)"""
 
 
+OLDER_SQL = f"""SELECT r.request_id, r.user_id, r.as_of, f.valid_from, f.valid_to, f.tx_velocity_30d FROM requests r
+  LEFT JOIN {OPEN_SQL} f ON r.user_id = f.user_id AND f.valid_from <= r.as_of AND f.valid_to > r.as_of
+  QUALIFY row_number() OVER (PARTITION BY r.request_id ORDER BY f.valid_from DESC NULLS LAST) = 1"""
+
+
 def open_history(d: Data):
     month = F.month("valid_from")
     ends = F.when((F.col("user_id") % 5 == 0) & (month == 2), F.col("valid_from") + F.expr("interval 400 days")).when(
@@ -176,9 +173,7 @@ add(
     lambda d: asof.asof_join(
         d.requests, open_history(d), ["user_id"], "as_of", "valid_from", "valid_to", ["tx_velocity_30d"], ["snapshot_ts"]
     ),
-    f"""SELECT r.request_id, r.user_id, r.as_of, f.valid_from, f.valid_to, f.tx_velocity_30d FROM requests r
-      LEFT JOIN {OPEN_SQL} f ON r.user_id = f.user_id AND f.valid_from <= r.as_of AND f.valid_to > r.as_of
-      QUALIFY row_number() OVER (PARTITION BY r.request_id ORDER BY f.valid_from DESC NULLS LAST) = 1""",
+    OLDER_SQL,
 )
 add(
     "join_11_as_of_or_latest",
@@ -195,6 +190,14 @@ add(
       CASE WHEN vt > as_of THEN 'as_of' WHEN n.user_id IS NOT NULL THEN 'latest' ELSE 'none' END AS match
     FROM hit h LEFT JOIN newest n ON h.user_id = n.user_id""",
 )
+add(
+    "join_10_as_of_overlapping",
+    lambda d: asof.asof_range_join(
+        d.requests, open_history(d), ["user_id"], ["request_id"], "as_of", "valid_from", "valid_to",
+        ["tx_velocity_30d"], ["snapshot_ts"],
+    ),
+    OLDER_SQL,
+)
 add(
     "join_12_full_outer_reconciliation",
     lambda d: expect.equal_expression(

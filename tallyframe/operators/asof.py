@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.operators.latest import latest_by
-from tallyframe.operators.ordered import ROWS_PER_SEGMENT, with_last_known, with_next
+from tallyframe.operators.ordered import ROWS_PER_SEGMENT, place, with_last_known, with_next, with_running_max
+from tallyframe.session import shared_path
 
 
 def asof_join(
@@ -28,10 +29,11 @@ def asof_join(
 
     Requests and versions become one ordered stream per key and the last version is carried forward, so work is one
     shuffle of their union: no pairs are formed, and a key with a third of all rows is cut into segments. If that
-    version has ended, an older one may still be open. Only a version that outlives the start of the next one of its key can
-    be: those few are listed once per time bucket they span beyond that start, and meet the requests without a version
-    there. ``overlapping=False`` leaves that step out where ranges are known to be disjoint.
+    version has ended, an older one may still be open. The stream also carries the latest end seen so far, which tells where that
+    can be; only those requests go to :func:`asof_range_join`, against the versions that outlive their successor.
+    ``overlapping=False`` leaves that step out where ranges are known to be disjoint.
     """
+    spark = requests.sparkSession
     body = F.struct(valid_from, *([valid_to] if valid_to else []), *values)
     order_cols = [F.col(t).alias(f"_tie_{i}") for i, t in enumerate(tie)]
     # a missing key equals nothing
@@ -43,53 +45,70 @@ def asof_join(
         *keys, F.col(at).alias("_at"), F.lit(1).alias("_kind"),
         F.struct(*requests.columns).alias("_request"),
     )
-    stream = vers.unionByName(reqs, allowMissingColumns=True)
     order = ["_at", "_kind", *[f"_tie_{i}" for i in range(len(tie))]]
-    known = with_last_known(
-        stream, keys, order, "_version", out="_hit", rows_per_segment=rows_per_segment
-    ).where("_kind = 1")
+    stream = place(vers.unionByName(reqs, allowMissingColumns=True), keys, order, rows_per_segment)
+    known = with_last_known(stream, keys, order, "_version", out="_hit")
     hit = F.col("_hit")
-    open_ = F.lit(True)
+    open_, columns = F.lit(True), [valid_from, *([valid_to] if valid_to else []), *values]
     if valid_to:
         open_ = hit[valid_to].isNull() | (hit[valid_to] > F.col("_at"))
-    found = known.withColumn("_hit", F.when(open_, hit))
-    if valid_to and overlapping:
-        missed = found.where(F.col("_hit").isNull())
-        older = _older_open(missed, versions, keys, valid_from, valid_to, values, tie, rows_per_segment, unit)
-        found = found.where(F.col("_hit").isNotNull()).select("_request", "_hit").unionByName(older)
-    return found.select(
-        "_request.*",
-        *[F.col("_hit")[c].alias(c) for c in [valid_from, *([valid_to] if valid_to else []), *values]],
+    answer = F.when(open_, hit)
+    if not (valid_to and overlapping):
+        found = known.where("_kind = 1").withColumn("_hit", answer)
+        return found.select("_request.*", *[F.col("_hit")[c].alias(c) for c in columns])
+    # a version without a start never begins, one without an end never ends
+    end = F.when(F.col("_version").isNotNull() & F.col("_at").isNotNull(), F.struct(
+        F.col("_version")[valid_to].isNull().alias("open"), F.col("_version")[valid_to].alias("end")
+    ))
+    ends = with_running_max(known.withColumn("_end", end), keys, order, "_end", out="_latest").where("_kind = 1")
+    maybe = F.col("_latest")["open"] | (F.col("_latest")["end"] > F.col("_at"))
+    path = shared_path(spark, "as-of")
+    rows = ends.select("_request", answer.alias("_hit"), F.coalesce(maybe & answer.isNull(), F.lit(False)).alias("_older"))
+    rows.write.parquet(path)
+    found = spark.read.schema(rows.schema).parquet(path)
+    asked = found.where("_older").select("_request").groupBy("_request").agg(F.count(F.lit(1)).alias("_n"))
+    asked = asked.select("_request", "_n", F.col("_request")[at].alias("_at"), *[F.col("_request")[k].alias(k) for k in keys])
+    ahead = with_next(versions.dropna(subset=[*keys, valid_from]), keys, [valid_from, *tie], [valid_from], "_after", rows_per_segment)
+    after = F.col("_after")[valid_from]
+    outlives = ahead.where(after.isNotNull() & (F.col(valid_to).isNull() | (F.col(valid_to) > after)))
+    older = asof_range_join(asked, outlives, keys, ["_request"], "_at", valid_from, valid_to, values, tie, unit)
+    # equal requests were one, and become as many again
+    older = older.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n"))))
+    return found.where("not _older").select("_request.*", *[hit[c].alias(c) for c in columns]).unionByName(
+        older.select("_request.*", *columns)
     )
 
 
-def _older_open(
-    missed: DataFrame, versions: DataFrame, keys: Sequence[str], valid_from: str, valid_to: str, values: Sequence[str],
-    tie: Sequence[str], rows_per_segment: int, unit: str,
-) -> DataFrame:
-    """``_request, _hit`` for requests whose newest version has ended."""
-    known = versions.dropna(subset=[*keys, valid_from])
-    ahead = with_next(known, keys, [valid_from, *tie], [valid_from], "_after", rows_per_segment)
-    after = F.col("_after")[valid_from]
-    outlives = after.isNotNull() & (F.col(valid_to).isNull() | (F.col(valid_to) > after))
-    last = missed.agg(F.max("_at").alias("m")).scalar()
-    # the last moment a request can ask for, not before the first one of the span
-    end = F.greatest(F.least(F.coalesce(F.col(valid_to), last), last), after)
-    days = F.sequence(F.date_trunc(unit, after), F.date_trunc(unit, end), F.expr(f"interval 1 {unit}"))
-    spans = ahead.where(outlives & (after <= last)).withColumn("_bucket", F.explode(days)).select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_bucket",
-        F.struct(valid_from, valid_to, *values).alias("_v"), F.struct(valid_from, *tie).alias("_rank"),
-    )
-    # equal requests are one, and become as many again
-    asked = missed.groupBy("_request", "_at", *keys).agg(F.count(F.lit(1)).alias("_n")).withColumn(
-        "_b", F.date_trunc(unit, "_at")
-    )
-    cond = (F.col("_b") == F.col("_bucket")) & (F.col("_v")[valid_from] <= F.col("_at"))
-    cond = cond & (F.col("_v")[valid_to].isNull() | (F.col("_v")[valid_to] > F.col("_at")))
-    for i, k in enumerate(keys):
-        cond = cond & (F.col(k) == F.col(f"_k{i}"))
-    best = asked.join(spans, cond, "left").groupBy("_request", "_n").agg(F.max_by("_v", "_rank").alias("_hit"))
-    return best.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n")))).select("_request", "_hit")
+# dyadic cells have 2^0 to 2^LEVELS units; a longer range is a row of cells of the largest kind
+LEVELS = 16
+_UNITS = {"hour": 3600, "day": 86_400}
+
+
+def _unit_of(ts: str, unit: str) -> Column:
+    seconds = F.unix_seconds(F.col(ts).cast("timestamp_ltz"))
+    return F.floor(seconds / F.lit(float(_UNITS[unit]))).cast("bigint")
+
+
+def dyadic_cells(first: Column, last: Column) -> Column:
+    """The fewest dyadic cells that make up the units from ``first`` to ``last``: an array of ``(level, cell)``.
+
+    On each level at most two cells are taken, an odd one where the range starts and an even one where it ends, so a range of n
+    units costs at most 2 log2(n) rows.
+    """
+
+    def named(k: int):
+        return lambda c: F.struct(F.lit(k).alias("level"), c.alias("cell"))
+
+    def level(k: int) -> Column:
+        low, high = F.shiftright(first + (1 << k) - 1, k), F.shiftright(last + 1, k)
+        if k == LEVELS:
+            none = F.array().cast("array<bigint>")
+            return F.transform(F.when(low < high, F.sequence(low, high - 1)).otherwise(none), named(k))
+        left = F.when((low < high) & (F.pmod(low, F.lit(2)) == 1), low)
+        right = F.when((low < high) & (F.pmod(high, F.lit(2)) == 1), high - 1)
+        return F.transform(F.array_compact(F.array(left, right)), named(k))
+
+    return F.concat(*[level(k) for k in range(LEVELS + 1)])
 
 
 def asof_range_join(
@@ -106,32 +125,36 @@ def asof_range_join(
 ) -> DataFrame:
     """The same lookup for validity ranges that may overlap freely.
 
-    Versions are listed once per time bucket they touch and joined on (key, bucket), so a hot key
-    is spread over its buckets; the newest match per request is a mergeable ``max_by``.
+    A range is cut into dyadic cells of hours or days: one open for ten years has at most 24 cells of days, not 3,650. A moment lies in
+    one cell of each level, so a request asks for its cells by equi-join on (key, level, cell); exact times are compared behind
+    it. A hot key is spread over its cells, and the newest match per request is a mergeable ``max_by``.
     """
-    last = requests.agg(F.max(at).alias("m")).scalar()
-    end = F.least(F.coalesce(F.col(valid_to), last), last)
-    step = F.expr(f"interval 1 {unit}")
+    last = F.unix_seconds(requests.agg(F.max(at).alias("m")).scalar().cast("timestamp_ltz"))
+    last = F.floor(last / F.lit(float(_UNITS[unit]))).cast("bigint")
+    # a range ends where the last request asks; an empty or inverted one has no cell
+    end = F.least(F.coalesce(_unit_of(valid_to, unit), last), last)
     spans = (
-        versions.where(F.col(valid_from) <= last)
-        .withColumn(
-            "_bucket",
-            F.explode(F.sequence(F.date_trunc(unit, valid_from), F.date_trunc(unit, F.greatest(end, F.col(valid_from))), step)),
-        )
+        versions.where(F.col(valid_from).isNotNull() & (F.col(valid_to).isNull() | (F.col(valid_to) > F.col(valid_from))))
+        .withColumns({"_first": _unit_of(valid_from, unit), "_last": end})
+        .withColumn("_cell", F.explode(dyadic_cells(F.col("_first"), F.col("_last"))))
         .select(
-            *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_bucket",
+            *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_cell",
             F.struct(valid_from, valid_to, *values).alias("_v"),
             F.struct(valid_from, *tie).alias("_rank"),
         )
     )
-    reqs = requests.withColumn("_b", F.date_trunc(unit, at))
-    cond = (F.col("_b") == F.col("_bucket")) & (F.col("_v")[valid_from] <= F.col(at))
-    cond = cond & (F.col("_v")[valid_to].isNull() | (F.col("_v")[valid_to] > F.col(at)))
+    moment = _unit_of(at, unit)
+    cells = F.array(*[F.struct(F.lit(k).alias("level"), F.shiftright(moment, k).alias("cell")) for k in range(LEVELS + 1)])
+    ids = [F.col(c).alias(f"_r{i}") for i, c in enumerate(request_id)]
+    asked = requests.where(F.col(at).isNotNull()).select(*ids, *keys, F.col(at).alias("_at"), F.explode(cells).alias("_c"))
+    cond = (F.col("_c.level") == F.col("_cell.level")) & (F.col("_c.cell") == F.col("_cell.cell"))
+    cond = cond & (F.col("_v")[valid_from] <= F.col("_at"))
+    cond = cond & (F.col("_v")[valid_to].isNull() | (F.col("_v")[valid_to] > F.col("_at")))
     for i, k in enumerate(keys):
         cond = cond & (F.col(k) == F.col(f"_k{i}"))
     best = (
-        reqs.join(spans, cond, "inner")
-        .groupBy(*[F.col(c).alias(f"_r{i}") for i, c in enumerate(request_id)])
+        asked.join(spans, cond, "inner")
+        .groupBy(*[f"_r{i}" for i in range(len(request_id))])
         .agg(F.max_by("_v", "_rank").alias("_hit"))
     )
     back = F.lit(True)

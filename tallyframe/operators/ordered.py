@@ -7,8 +7,9 @@ carries a value over the edge. A busy day, a batch stamp or a common prefix is c
 order column takes part; only rows that agree in all of them stay together. There is no list of hot keys and no limit
 to their number.
 
-The placed rows are stored in the shared folder: a range partitioning that is evaluated twice may cut differently.
-A frame that fits one segment is its own placement. Both take the same path from there on and have the same types.
+The rows are stored in the shared folder first, so whatever computes them runs once, and the count of the stored rows gives
+the number of segments. A range partitioning that is evaluated twice may cut differently, so the placed rows are stored
+as well. A frame that fits one segment has no edges: there the plain window is the whole job. Both have the same types.
 """
 
 from __future__ import annotations
@@ -24,20 +25,30 @@ from tallyframe.session import shared_path
 ROWS_PER_SEGMENT = 1_000_000
 
 SEGMENT = "_scan_segment"
+# marks the column of a frame that is one segment
+_SINGLE = {"single_segment": True}
 
 
 def place(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_segment: int = ROWS_PER_SEGMENT
 ) -> DataFrame:
     """Add ``_scan_segment``, which rises with (keys, order). Look-back over the result shares this placement."""
+    spark = df.sparkSession
+    rows = _stored(df, "rows-to-place")
     # ranges follow a sample, so they are meant to hold half of what is allowed
-    parts = ceil(2 * df.count() / rows_per_segment)
+    parts = ceil(2 * rows.count() / rows_per_segment)
     if parts <= 2:
-        return df.withColumn(SEGMENT, F.lit(0))
-    path = shared_path(df.sparkSession, "placed-rows")
-    ranged = df.repartitionByRange(parts, *keys, *order).withColumn(SEGMENT, F.spark_partition_id())
+        return rows.withColumn(SEGMENT, F.lit(0).alias(SEGMENT, metadata=_SINGLE))
+    ranged = rows.repartitionByRange(parts, *keys, *order).withColumn(SEGMENT, F.spark_partition_id())
+    path = shared_path(spark, "placed-rows")
     ranged.write.parquet(path)
-    return df.sparkSession.read.schema(ranged.schema).parquet(path)
+    return spark.read.schema(ranged.schema).parquet(path)
+
+
+def _stored(df: DataFrame, label: str) -> DataFrame:
+    path = shared_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _null_safe(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
@@ -64,6 +75,9 @@ def _scan(
     by = [F.col(o).desc() if descending else F.col(o).asc() for o in order]
     local = seg.withColumn("_scan_local", inside(Window.partitionBy(*keys, SEGMENT).orderBy(*by)))
     kind = local.schema["_scan_local"].dataType
+    columns = df.columns if placed else [c for c in seg.columns if c != SEGMENT]
+    if seg.schema[SEGMENT].metadata == _SINGLE:
+        return local.withColumn(out, F.col("_scan_local").cast(kind)).select(*columns, out)
     names = [f"_edge_{i}" for i in range(len(keys))]
     edges = seg.groupBy(
         *[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)], F.col(SEGMENT).alias("_edge_seg")
@@ -75,7 +89,6 @@ def _scan(
         .withColumn("_edge_no", F.row_number().over(along)).where("_edge_no > 1").drop("_scan_edge", "_edge_no")
     )
     cond = _null_safe(local, carry, list(zip(keys, names, strict=True))) & (local[SEGMENT] == carry["_edge_seg"])
-    columns = df.columns if placed else [c for c in seg.columns if c != SEGMENT]
     return (
         local.join(carry, cond, "left")
         .withColumn(out, combine(F.col("_scan_local"), F.col("_scan_carried")).cast(kind))
@@ -161,3 +174,22 @@ def with_running_sum(
         .otherwise(local + carried),
         out=out, rows_per_segment=rows_per_segment, descending=descending,
     )
+
+
+def with_running_max(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    value: str,
+    out: str = "running",
+    rows_per_segment: int = ROWS_PER_SEGMENT,
+) -> DataFrame:
+    """Add ``out``: the largest ``value`` from the group's first row to this one; NULL values are left out."""
+    return _scan(
+        df, keys, order,
+        inside=lambda w: F.max(value).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+        edge=F.max(value),
+        fold=lambda c, w: F.max(c).over(w.rowsBetween(Window.unboundedPreceding, -1)),
+        combine=lambda local, carried: F.when(carried.isNull() | (local >= carried), local).otherwise(carried),
+        out=out, rows_per_segment=rows_per_segment,
+    )

@@ -172,6 +172,43 @@ def test_as_of_overlapping_ranges(spark):
     assert {x.id: x.val for x in out.collect()} == {1: 2, 2: 3, 3: 1, 4: 3}
 
 
+def test_dyadic_cells_cover_a_range_once(spark):
+    rng = random.Random(4)
+    spans = [(a, a + rng.choice([0, 1, 5, 100, 70_000, 200_000]) - rng.choice([0, 0, 2])) for a in (rng.randint(-90_000, 90_000) for _ in range(80))]
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(spans)], "id int, a bigint, b bigint")
+    for r in df.withColumn("cells", asof.dyadic_cells(F.col("a"), F.col("b"))).collect():
+        units = [u for c in r.cells for u in range(c.cell << c.level, (c.cell + 1) << c.level)]
+        assert sorted(units) == list(range(r.a, r.b + 1))
+        assert len(r.cells) <= 2 * max(r.b - r.a + 1, 1).bit_length() + 4
+    ten_years = df.limit(1).select(asof.dyadic_cells(F.lit(8767), F.lit(8767 + 3652)).alias("c")).first().c
+    assert len(ten_years) < 30
+
+
+def test_as_of_range_join_meets_brute_force(spark):
+    """Free validity: open for minutes or decades, before 1970, empty, inverted, without a start or an end; ties and NULLs."""
+    rng = random.Random(9)
+    day = 86_400
+    versions = []
+    for i in range(150):
+        f = rng.randint(-3000 * day, 12_000 * day)
+        t = rng.choice([f + rng.randint(-5, 600), f + rng.randint(0, 90 * day), f + rng.randint(0, 9000 * day), None, f])
+        versions.append((rng.choice(["h", "h", "x", None]), None if i % 29 == 0 else f, t, i))
+    requests = [(i, rng.choice(["h", "h", "x", "none", None]), None if i % 31 == 0 else rng.choice([rng.randint(-3100 * day, 12_100 * day), versions[i % 150][1]]))
+                for i in range(300)]
+    ts = lambda c: F.timestamp_seconds(F.col(c)).cast("timestamp_ntz").alias(c)
+    v = spark.createDataFrame(versions, "k string, f bigint, t bigint, val int").select("k", ts("f"), ts("t"), "val")
+    r = spark.createDataFrame(requests, "id int, k string, at bigint").select("id", "k", ts("at"))
+    want = {}
+    for i, k, at in requests:
+        hits = [(f, val) for vk, f, t, val in versions if None not in (k, at, f) and vk == k and f <= at and (t is None or at < t)]
+        want[i] = max(hits)[1] if hits else None
+    for unit in ("day", "hour"):
+        got = asof.asof_range_join(r, v, ["k"], ["id"], "at", "f", "t", ["val"], tie=["val"], unit=unit).collect()
+        assert {x.id: x.val for x in got} == want and len(got) == len(requests)
+    scan = asof.asof_join(r, v, ["k"], "at", "f", "t", ["val"], tie=["val"], rows_per_segment=40).collect()
+    assert {x.id: x.val for x in scan} == want and len(scan) == len(requests)
+
+
 @pytest.mark.parametrize("per", [5, 10_000])
 def test_scd2_from_log(spark, per):
     log = [("a", i, "u", "x" if i < 20 else "y") for i in range(30)]
