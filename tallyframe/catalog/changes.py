@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from tallyframe.catalog.base import AS_OF, Data, add, query
 from tallyframe.functions import scalars as S
-from tallyframe.operators import cdc, incremental, scd2
+from tallyframe.operators import cdc, incremental, scd2, states
 from tallyframe.operators.latest import apply_cdc, latest_by
 from tallyframe.plans import marts, staging
+from tallyframe.session import shared_path
 from tallyframe.sources import changes, domain
 
 T_AS_OF = f"TIMESTAMP '{AS_OF}'"
@@ -376,6 +377,28 @@ def _cohort_slice(d: Data):
     )
 
 
+# money and buyers per month and merchant
+MERCHANT_STATES = states.StateSpec(["merchant_id"], sums={"amount": "amount"}, distinct={"users": "user_id"})
+
+
+@query(
+    "inc_01_incremental_states",
+    """SELECT merchant_id, count(*) AS rows, sum(amount)::DOUBLE AS sum_amount, true AS users_close FROM stg_transactions GROUP BY 1""",
+)
+def _state_slice(d: Data):
+    """Stored states built up to an older day, then advanced by the slice of the months that can have changed; equals a full build."""
+    path, month = shared_path(d.spark, "inc01-states"), F.date_format("created_at", "yyyyMM")
+    first = d.stg_tx.where(F.col("created_at") < F.lit("2001-06-10").cast("timestamp_ntz"))
+    states.replace_periods(states.build_states(first, month, MERCHANT_STATES), path)
+    newest = states.read_states(d.spark, path).agg(F.max("period").alias("m")).scalar()
+    states.replace_periods(states.build_states(d.stg_tx.where(month >= newest), month, MERCHANT_STATES), path)
+    total = states.answers(states.merge_states(states.read_states(d.spark, path), MERCHANT_STATES), MERCHANT_STATES)
+    exact = d.stg_tx.groupBy("merchant_id").agg(F.count_distinct("user_id").alias("_users"))
+    return total.join(exact, "merchant_id").select(
+        "merchant_id", "rows", "sum_amount", (F.abs(F.col("users") - F.col("_users")) <= F.greatest(F.col("_users") * states.hll_bound(), F.lit(1))).alias("users_close")
+    )
+
+
 @query("inc_02_refuse_schema_change", "SELECT 'refused' AS outcome, count(*) AS rows_kept FROM cohorts")
 def _refuse(d: Data):
     """A changed frame is refused before the write; the target keeps its rows."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallyframe import contracts as K
@@ -9,7 +10,8 @@ from tallyframe.catalog.base import AS_OF, Data, add, query
 from tallyframe.checks import contracts, project, runner
 from tallyframe.checks.generic import missing_days
 from tallyframe.functions.scalars import clamp_far_future
-from tallyframe.operators import asof
+from tallyframe.operators import asof, quantiles, states
+from tallyframe.operators.tables import unpivot
 from tallyframe.plans import drift, features
 from tallyframe.plans.features import FEATURE_NAMES
 from tallyframe.sources import changes
@@ -156,6 +158,47 @@ def _psi_sql() -> str:
 
 
 add("drift_03_psi", lambda d: drift.psi(*_sides(d)), _psi_sql())
+
+
+def _sketches(d: Data):
+    """The sketch table of all snapshots, written once beside the feature table."""
+    return d.stored("feature-sketches", lambda: drift.feature_sketches(d.history))
+
+
+@query("drift_01_stored_quartiles", f"SELECT feature_name, true AS close FROM ({QUART.format(long=LONG.format(src='feature_history'))})")
+def _stored_quartiles(d: Data):
+    """Quartiles over all snapshots from the stored sketches, between the exact ones a rank error below and above."""
+    bound = states.kll_bound() + 1e-9
+    merged = _sketches(d).groupBy("feature_name").agg(F.kll_merge_agg_double("sketch", states.KLL_K).alias("_s"))
+    near = merged.select("feature_name", *[F.kll_sketch_get_quantile_double("_s", F.lit(q)).alias(n) for n, q in (("q1", 0.25), ("q2", 0.5), ("q3", 0.75))])
+    probs = {f"{n}_{side}": q + sign * bound for n, q in (("q1", 0.25), ("q2", 0.5), ("q3", 0.75)) for side, sign in (("lo", -1), ("hi", 1))}
+    long = unpivot(d.history.select(*FEATURE_NAMES), [], FEATURE_NAMES, "double", "feature_name", "value")
+    exact = quantiles.exact_quantiles(long, "value", probs, ["feature_name"])
+    close = F.lit(True)
+    for n in ("q1", "q2", "q3"):
+        close = close & F.col(n).between(F.floor(f"{n}_lo"), F.ceil(f"{n}_hi"))
+    return near.join(exact, "feature_name").select("feature_name", close.alias("close"))
+
+
+@query("drift_03_psi_from_sketches", "SELECT DISTINCT feature_name, true AS shares_close FROM " + LONG.format(src="feature_history"))
+def _psi_sketches(d: Data):
+    """Every bin's share from sketches is within its stated error of the share counted over the rows."""
+    at = F.col("snapshot_ts")
+    sketches, rows = _sketches(d), d.history
+    newest = sketches.agg(F.max("snapshot_ts").alias("m")).scalar()
+    before = sketches.where(at <= newest - F.expr(f"interval {BASELINE_DAYS} days")).agg(F.max("snapshot_ts").alias("m")).scalar()
+    near = drift.psi_from_sketches(sketches.where(at == before), sketches.where(at == newest))
+    sides = unpivot(rows.where((at == before) | (at == newest)).select("snapshot_ts", *FEATURE_NAMES), ["snapshot_ts"], FEATURE_NAMES, "double", "feature_name", "value")
+    binned = sides.join(F.broadcast(near), "feature_name").withColumn("_bin", F.size(F.filter("edges", lambda e: e < F.col("value"))))
+    total = Window.partitionBy("feature_name", "snapshot_ts")
+    counted = binned.groupBy("feature_name", "snapshot_ts", "_bin", "shares_baseline", "shares_current").agg(F.count(F.lit(1)).alias("_n"))
+    shares = counted.withColumn("_share", F.col("_n") / F.sum("_n").over(total))
+    stored = F.when(at == before, F.get("shares_baseline", F.col("_bin"))).otherwise(F.get("shares_current", F.col("_bin")))
+    return shares.groupBy("feature_name").agg(
+        F.bool_and(F.abs(stored - F.col("_share")) <= drift.share_bound()).alias("shares_close")
+    )
+
+
 add(
     "drift_04_latest_status", lambda d: drift.latest_drift(_metrics(d)).select("feature_name", "drift_score", "status"),
     f"""SELECT feature_name, round(drift_score, 6) AS drift_score,

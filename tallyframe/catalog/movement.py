@@ -343,16 +343,52 @@ LINE_KEYS = ["l_orderkey", "l_linenumber"]
 LINE_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"]
 
 
+NEWEST_LINE = """SELECT * FROM lineitem QUALIFY row_number() OVER (
+  PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_extendedprice DESC, l_quantity DESC) = 1"""
+
+
+def _fed(d: Data, path: str, slices: list, read, run) -> None:
+    """Write one slice after the other to a folder; after each the stream takes what is new."""
+    for part in slices:
+        part.write.mode("append").parquet(f"{path}/in")
+        run(read(part.schema))
+
+
+def _line_state(d: Data, label: str):
+    """Lines in three slices that have nothing to do with their order; the second and later runs go on from the stored state."""
+    path = shared_path(d.spark, label)
+    lines = d.raw("lineitem").select(*LINE_KEYS, *LINE_ORDER, "l_returnflag")
+    _fed(
+        d, path, [lines.where(F.col("l_partkey") % 3 == i) for i in (2, 0, 1)],
+        lambda schema: d.spark.readStream.schema(schema).parquet(f"{path}/in"),
+        lambda stream: jobs.land_state(jobs.keyed_state(stream, LINE_KEYS, LINE_ORDER), path),
+    )
+    return path
+
+
+@query("str_05_latest_state", f"SELECT l_orderkey, l_linenumber, l_shipdate, l_partkey FROM ({NEWEST_LINE})")
+def _latest(d: Data):
+    path = _line_state(d, "str05")
+    jobs.fold_state(d.spark, path, LINE_KEYS, LINE_ORDER)
+    return jobs.current_state(d.spark, path, LINE_KEYS, LINE_ORDER).select(*LINE_KEYS, "l_shipdate", "l_partkey")
+
+
 @query(
-    "str_05_latest_state",
-    """SELECT l_orderkey, l_linenumber, l_shipdate, l_partkey FROM lineitem QUALIFY row_number() OVER (
-      PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_extendedprice DESC,
-      l_quantity DESC) = 1""",
+    "str_05_latest_state_deletes",
+    f"SELECT l_orderkey, l_linenumber, l_shipdate, l_partkey FROM ({NEWEST_LINE}) WHERE l_returnflag <> 'R'",
 )
-def _latest(d: Data):
-    path = shared_path(d.spark, "str05")
-    jobs.land(_stream(d, "lineitem"), jobs.latest_state(f"{path}/state", LINE_KEYS, LINE_ORDER, buckets=8), f"{path}/_checkpoint")
-    return d.spark.read.parquet(f"{path}/state").select(*LINE_KEYS, "l_shipdate", "l_partkey")
+def _latest_deletes(d: Data):
+    """Returned lines count as deletes: a key whose newest row is one is gone, an older delete changes nothing."""
+    path = _line_state(d, "str05-deletes")
+    return jobs.current_state(d.spark, path, LINE_KEYS, LINE_ORDER, F.col("l_returnflag") == "R").select(*LINE_KEYS, "l_shipdate", "l_partkey")
+
+
+@query("str_05_changed_keys", "SELECT count(DISTINCT (l_orderkey, l_linenumber)) AS keys, true AS one_row_per_key FROM lineitem WHERE l_partkey % 3 = 1")
+def _changed_keys(d: Data):
+    """The last batch puts out the keys it has and no others."""
+    rows = jobs.landed(d.spark, _line_state(d, "str05-changed"))
+    last = rows.where(F.col("batch") == rows.agg(F.max("batch").alias("m")).scalar())
+    return last.agg(F.count_distinct(*LINE_KEYS).alias("keys"), (F.count(F.lit(1)) == F.count_distinct(*LINE_KEYS)).alias("one_row_per_key"))
 
 
 def _windowed(d: Data, label: str, build):
@@ -387,15 +423,33 @@ add(
     """SELECT date_trunc('minute', created_at)::TIMESTAMP AS window_start, date_trunc('minute', created_at)::TIMESTAMP + INTERVAL 1 MINUTE
       AS window_end, count(*) AS requests FROM app_events GROUP BY 1, 2""",
 )
-add(
-    "str_09_sessionize",
-    lambda d: jobs.sessionize(d.events, "created_at", gap="6 hours"),
-    """SELECT user_id, min(created_at) AS first_event, max(created_at) AS last_event, count(*) AS events,
+SESSION_SQL = """SELECT user_id, min(created_at) AS first_event, max(created_at) AS last_event, count(*) AS events,
       floor(epoch(max(created_at)))::BIGINT - floor(epoch(min(created_at)))::BIGINT AS duration_seconds FROM (
       SELECT *, sum(brk) OVER (PARTITION BY user_id ORDER BY created_at ROWS UNBOUNDED PRECEDING) AS s FROM (
         SELECT *, CASE WHEN created_at > lag(created_at) OVER (PARTITION BY user_id ORDER BY created_at) + INTERVAL 6 HOUR
-          THEN 1 ELSE 0 END AS brk FROM app_events)) GROUP BY user_id, s""",
-)
+          THEN 1 ELSE 0 END AS brk FROM app_events)) GROUP BY user_id, s"""
+
+
+@query("str_09_sessionize", SESSION_SQL)
+def _sessions(d: Data):
+    """Events as four slices of days, landed with a ledger of late rows, then cut into sessions by event time; equals the batch."""
+    path, day = shared_path(d.spark, "str09"), F.dayofmonth("created_at")
+    rows = d.events.select("event_id", "user_id", F.col("created_at").cast("timestamp").alias("created_at"))
+    gap, delay = "6 hours", "1 hour"
+    _fed(
+        d, path, [rows.where(day.between(lo, lo + 7)) for lo in (1, 9, 17, 25)],
+        lambda schema: d.spark.readStream.schema(schema).parquet(f"{path}/in"),
+        lambda stream: (
+            jobs.land_timely(stream, path, "created_at", d.events_now, delay),
+            jobs.land_sessions(d.spark, path, rows.schema, "created_at", gap=gap, delay=delay),
+        ),
+    )
+    jobs.close_sessions(d.spark, path, rows.schema, "created_at", gap, delay)
+    jobs.land_sessions(d.spark, path, rows.schema, "created_at", gap=gap, delay=delay)
+    return jobs.landed(d.spark, f"{path}/sessions").drop("batch")
+
+
+add("str_09_sessionize_batch", lambda d: jobs.sessionize(d.events, "created_at", gap="6 hours"), SESSION_SQL)
 
 
 @query(
@@ -410,23 +464,71 @@ def _sessions_by_id(d: Data):
     return jobs.sessionize(typed, "created_at", session_id="session_id")
 
 
+LATE_SQL = """WITH e AS (SELECT event_id, date_trunc('millisecond', created_at) AS ts, event_id % 13 = 0 AS bad,
+    event_id % 17 = 0 AND day(created_at) <= 20 AS held_back, day(created_at) <= 20 AS early FROM app_events),
+  mark AS (SELECT max(ts) FILTER (early AND NOT held_back AND NOT bad) - INTERVAL 1 HOUR AS m FROM e),
+  k AS (SELECT e.*, CASE WHEN bad THEN 'bad date' WHEN held_back AND ts < m THEN 'behind the watermark' ELSE 'landed' END AS kind FROM e, mark)"""
+
+
+def _late_events(d: Data):
+    """Events in three slices of days. One in 13 has a zero or far-future date, one in 17 is held back until the last slice."""
+    path, day = shared_path(d.spark, "str10"), F.dayofmonth("created_at")
+    held = (F.col("event_id") % 17 == 0) & (day <= 20)
+    slices = [d.events.where((day <= 10) & ~held), d.events.where(day.between(11, 20) & ~held), d.events.where((day > 20) | held)]
+    for part in slices:
+        changes.app_event_records(part).write.mode("append").json(f"{path}/in")
+        stream = cdc.type_app_events(changes.read_json_stream(d.spark, "app_events", f"{path}/in").drop("_corrupt_record"))
+        jobs.land_timely(stream, path, "created_at", d.events_now, "1 hour")
+    return path
+
+
+@query("str_10_guard_dates", f"{LATE_SQL} SELECT kind, count(*) AS n FROM k GROUP BY 1")
+def _guard(d: Data):
+    """What landed and what became a dead letter, counted over the rows themselves."""
+    rows = d.spark.read.parquet(f"{_late_events(d)}/rows")
+    return rows.groupBy(F.coalesce("reason", F.lit("landed")).alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
-    "str_10_guard_dates",
-    """SELECT CASE WHEN event_id % 13 = 0 THEN 'bad' ELSE 'good' END AS kind, count(*) AS n FROM app_events GROUP BY 1""",
+    "str_10_late_ledger",
+    f"""{LATE_SQL} SELECT 2 - (CASE WHEN held_back THEN 0 WHEN early AND day(ts) <= 10 THEN 2 WHEN early THEN 1 ELSE 0 END) AS batch,
+      count(*) AS rows_in, count(*) FILTER (kind = 'landed') AS landed, count(*) FILTER (kind = 'bad date') AS bad,
+      count(*) FILTER (kind = 'behind the watermark') AS late, true AS accounted FROM k GROUP BY 1""",
 )
-def _guard(d: Data):
-    typed = cdc.type_app_events(changes.app_event_records(d.events))
-    good, bad = jobs.guard_dates(typed, "created_at", d.events_now)
-    return runner.union_results([
-        x.agg(F.count(F.lit(1)).alias("n")).select(F.lit(k).alias("kind"), "n") for k, x in (("good", good), ("bad", bad))
-    ])
+def _late_ledger(d: Data):
+    """The ledger of every batch: rows in are the rows landed and the dead letters."""
+    whole = F.col("rows_in") == F.col("landed") + F.col("bad") + F.col("late")
+    return jobs.ledger(d.spark, _late_events(d)).select(F.col("batch").cast("int").alias("batch"), "rows_in", "landed", "bad", "late", whole.alias("accounted"))
 
 
-add(
+def _observed(d: Data, stream, label: str, ts: str):
+    """Metrics rows of a landed stream, one per batch, from the pass that wrote it."""
+    path = shared_path(d.spark, label)
+    jobs.land(stream, jobs.observed_batches(path, ts), f"{path}/_checkpoint")
+    return d.spark.read.parquet(f"{path}/metrics")
+
+
+@query(
     "str_11_ingest_lag",
-    lambda d: monitoring.staleness(d.events, "created_at", d.events_now, "minute", "lag_minutes"),
     f"SELECT date_diff('minute', max(created_at), TIMESTAMP '{EVENTS_AS_OF}') AS lag_minutes FROM app_events",
 )
+def _ingest_lag(d: Data):
+    stream = domain.project(_stream(d, "events"), domain.APP_EVENTS)
+    return monitoring.staleness(_observed(d, stream, "str11", "created_at"), "newest", d.events_now, "minute", "lag_minutes")
+
+
+@query(
+    "mon_09_ingest_lag_observed",
+    """SELECT date_diff('minute', max(created_at), TIMESTAMP '2001-08-02 07:31:00') AS lag_minutes, count(*) AS rows,
+      min(created_at) AS oldest FROM transactions""",
+)
+def _observed_lag(d: Data):
+    """Lag, rows and oldest time of the orders stream from its metrics, without a scan of what it landed."""
+    metrics = _observed(d, domain.project(_stream(d, "orders"), domain.TRANSACTIONS), "mon09", "created_at")
+    now = F.lit("2001-08-02 07:31:00").cast(NTZ)
+    return monitoring.staleness(metrics, "newest", now, "minute", "lag_minutes").withColumns({
+        "rows": metrics.agg(F.sum("rows").alias("n")).scalar(), "oldest": metrics.agg(F.min("oldest").alias("o")).scalar(),
+    })
 
 
 @query("inc_01_incremental_equals_full", KPI_SQL.format(src="kpis"))

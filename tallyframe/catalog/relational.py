@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from tallyframe.catalog.base import AS_OF, Data, add, query
 from tallyframe.checks import expect, generic
-from tallyframe.operators import asof, ordered, setops, tables
+from tallyframe.operators import asof, ordered, setops, states, tables
 from tallyframe.operators.latest import apply_cdc, deduplicate, latest_by
 from tallyframe.operators.quantiles import approx_quantiles, exact_quantiles
 from tallyframe.plans import marts, monitoring
+from tallyframe.session import shared_path
 from tallyframe.sources import domain
 
 D = "::DOUBLE"
@@ -330,6 +331,77 @@ add(
 )
 
 
+# money, users and latency per month and status, as states
+MONTHLY = states.StateSpec(
+    ["status"], sums={"amount": "amount"}, distinct={"users": "user_id"}, members={"buyers": "user_id"},
+    quantiles={"latency": "decision_latency_ms"},
+)
+
+
+def _monthly(d: Data):
+    """The stored states: a first load with one month half missing, then that month replaced."""
+
+    def build():
+        path = shared_path(d.spark, "monthly-states")
+        month = F.date_format("created_at", "yyyyMM")
+        faulty = d.tx.where((month != "199806") | (F.col("transaction_id") % 2 == 0))
+        states.replace_periods(states.build_states(faulty, month, MONTHLY), path)
+        states.replace_periods(states.build_states(d.tx.where(month == "199806"), month, MONTHLY), path)
+        return states.read_states(d.spark, path)
+
+    return d.stored("monthly-states", build)
+
+
+@query("agg_03_stored_distinct", "SELECT status, count(DISTINCT user_id) AS users, true AS close FROM transactions GROUP BY 1")
+def _stored_distinct(d: Data):
+    """Users per status from the stored months, beside the exact number."""
+    near = states.answers(states.merge_states(_monthly(d), MONTHLY), MONTHLY).select("status", F.col("users").alias("_near"))
+    exact = d.tx.groupBy("status").agg(F.count_distinct("user_id").alias("users"))
+    return exact.join(near, "status").select(
+        "status", "users", (F.abs(F.col("_near") - F.col("users")) <= F.col("users") * states.hll_bound()).alias("close")
+    )
+
+
+@query(
+    "agg_03_stored_retention",
+    """SELECT b.status, b.n AS members_before, true AS before_close, true AS both_close FROM
+      (SELECT status, count(DISTINCT user_id) AS n FROM transactions WHERE year(created_at) = 1996 GROUP BY 1) b""",
+)
+def _stored_retention(d: Data):
+    """Users of 1996 who came back in 1998, from Theta states; both numbers beside the exact ones."""
+    year = F.substring("period", 1, 4)
+    near = states.retained(_monthly(d), MONTHLY, "buyers", year == "1996", year == "1998")
+    by_user = d.tx.groupBy("status", "user_id").agg(
+        F.bool_or(F.year("created_at") == 1996).alias("_b"), F.bool_or(F.year("created_at") == 1998).alias("_a")
+    )
+    exact = by_user.groupBy("status").agg(F.count_if("_b").alias("_before"), F.count_if(F.col("_b") & F.col("_a")).alias("_both"))
+    # an intersection errs by the size of the union
+    close = lambda a, b, size: F.abs(F.col(a) - F.col(b)) <= F.col(size) * 0.08
+    return exact.where("_before > 0").join(near, "status").select(
+        "status", F.col("_before").alias("members_before"), close("members_before", "_before", "_before").alias("before_close"),
+        close("members_both", "_both", "_before").alias("both_close"),
+    )
+
+
+@query(
+    "agg_05_stored_state_merge",
+    """SELECT substr(m, 1, 4) AS year, status, count(*) AS rows, sum(amount)::DOUBLE AS sum_amount, true AS median_close
+      FROM (SELECT *, strftime(created_at, '%Y%m') AS m FROM transactions) GROUP BY 1, 2""",
+)
+def _stored_merge(d: Data):
+    """Monthly states merged to years: counts and sums exact, the median between exact quantiles a rank error around it."""
+    by = ["year", "status"]
+    yearly = states.merge_states(_monthly(d).withColumn("year", F.substring("period", 1, 4)), MONTHLY, by)
+    near = states.answers(yearly, MONTHLY, {"median": 0.5})
+    bound = states.kll_bound() + 0.001
+    exact = exact_quantiles(
+        d.tx.withColumn("year", F.date_format("created_at", "yyyy")), "decision_latency_ms", {"_lo": 0.5 - bound, "_hi": 0.5 + bound}, by
+    )
+    return near.join(exact, by).select(
+        *by, "rows", "sum_amount", F.col("latency_median").between(F.floor("_lo"), F.ceil("_hi")).alias("median_close")
+    )
+
+
 @query("agg_05_exposure_latest", """WITH ev AS (SELECT transaction_id, user_id, amount, status, op, row_number() OVER
       (PARTITION BY transaction_id, installment_number ORDER BY updated_at DESC, tie_part DESC, tie_supp DESC,
        amount DESC, tie_qty DESC) AS rn FROM repayment_versions)

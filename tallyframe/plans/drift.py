@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.operators.quantiles import exact_quantiles
+from tallyframe.operators.states import KLL_K, kll_bound
 from tallyframe.operators.tables import unpivot
 from tallyframe.plans.features import FEATURE_NAMES
 
@@ -92,6 +93,60 @@ def psi(
     )
 
 
+# The share given to an empty bin, as in psi.
+_EMPTY = 0.0001
+
+
+# points of the quantile curve that a sketch is read at
+GRID = 1000
+
+
+def share_bound(k: int = KLL_K) -> float:
+    """Error that a bin's share from sketches stays below: the rank errors of its two edges."""
+    return 2 * (kll_bound(k) + 1 / GRID)
+
+
+def feature_sketches(features: DataFrame, names: Sequence[str] = FEATURE_NAMES, k: int = KLL_K) -> DataFrame:
+    """``snapshot_ts, feature_name, rows, sketch``: a KLL sketch of every feature of every snapshot, a few kilobytes each.
+
+    Written once per snapshot, it stands for the snapshot's rows in all later comparisons.
+    """
+    long = unpivot(features.select("snapshot_ts", *names), ["snapshot_ts"], names, "double", "feature_name", "value")
+    return long.where("value is not null").groupBy("snapshot_ts", "feature_name").agg(
+        F.count(F.lit(1)).alias("rows"), F.kll_sketch_agg_double("value", F.lit(k)).alias("sketch")
+    )
+
+
+def psi_from_sketches(baseline: DataFrame, current: DataFrame, bins: int = 10, k: int = KLL_K) -> DataFrame:
+    """Population stability index from stored sketches; neither side's rows are read.
+
+    Sketches of several snapshots per side merge first. ``edges`` are the baseline's quantiles, ``shares_baseline`` and
+    ``shares_current`` the shares of the bins; each is within :func:`share_bound` of the exact one.
+    """
+    merged = lambda df, c: df.groupBy("feature_name").agg(F.kll_merge_agg_double("sketch", k).alias(c))
+    curve = lambda side: F.kll_sketch_get_quantile_double(side, F.array(*[F.lit(i / GRID) for i in range(1, GRID + 1)]))
+    both = merged(baseline, "_b").join(merged(current, "_c"), "feature_name").select(
+        "feature_name", curve("_b").alias("_qb"), curve("_c").alias("_qc"),
+        F.array_distinct(F.kll_sketch_get_quantile_double("_b", F.array(*[F.lit(i / bins) for i in range(1, bins)]))).alias("edges"),
+    )
+    # the share up to an edge is how far the quantile curve stays at or below it; an edge belongs to the bin below it
+    upto = lambda side: F.transform("edges", lambda e: F.size(F.filter(side, lambda x: x <= e)) / F.lit(float(GRID)))
+    upto = both.withColumns({
+        "_rb": F.concat(F.array(F.lit(0.0)), upto("_qb"), F.array(F.lit(1.0))),
+        "_rc": F.concat(F.array(F.lit(0.0)), upto("_qc"), F.array(F.lit(1.0))),
+    })
+    share = lambda ranks: F.zip_with(F.slice(ranks, 2, F.size(ranks) - 1), F.slice(ranks, 1, F.size(ranks) - 1), lambda b, a: b - a)
+    shares = upto.withColumns({"shares_baseline": share(F.col("_rb")), "shares_current": share(F.col("_rc"))})
+    term = F.zip_with("shares_current", "shares_baseline", lambda c, b: (F.greatest(c, F.lit(_EMPTY)) - F.greatest(b, F.lit(_EMPTY))) * F.ln(
+        F.greatest(c, F.lit(_EMPTY)) / F.greatest(b, F.lit(_EMPTY))))
+    # bins that neither side fills do not count
+    kept = F.zip_with("shares_current", "shares_baseline", lambda c, b: (c > 0) | (b > 0))
+    psi_terms = F.zip_with(term, kept, lambda t, k: F.when(k, t).otherwise(F.lit(0.0)))
+    return shares.select(
+        "feature_name", F.aggregate(psi_terms, F.lit(0.0), lambda acc, t: acc + t).alias("psi"), "edges", "shares_baseline", "shares_current"
+    )
+
+
 def latest_drift(metrics: DataFrame, threshold: float = DRIFT_THRESHOLD) -> DataFrame:
     """The newest measurement set with a status per feature."""
     newest = metrics.agg(F.max("measured_at").alias("m")).scalar()

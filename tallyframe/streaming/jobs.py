@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyframe.operators import cdc
 from tallyframe.operators.latest import latest_by
 from tallyframe.operators.ordered import ROWS_PER_SEGMENT, place, with_previous, with_running_sum
 from tallyframe.plans.marts import exposure_partials
-from tallyframe.sinks import upsert_latest
+from tallyframe.sinks import read_table, remove_folder, upsert_latest
 
 
 def land(
@@ -111,10 +111,71 @@ def dedup_replays(stream: DataFrame, keys: Sequence[str], ts: str, delay: str =
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def keyed_state(stream: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The newest row per key as stream state: out-of-order and replayed versions change nothing, newer ones replace.
+
+    Land it with :func:`land_state`: a batch reads and writes the state of its own keys and puts out only those.
+    """
+    rest = [c for c in stream.columns if c not in keys]
+    newest = F.max_by(F.struct(*rest), F.struct(*order))
+    return stream.groupBy(*keys).agg(newest.alias("_newest")).select(*keys, "_newest.*").select(*stream.columns)
+
+
+def land_state(stream: DataFrame, path: str, once: bool = True):
+    """Land the changed keys of each batch; the state itself lies in RocksDB, so it may outgrow memory.
+
+    Rows of a batch live in its own folder, so a replayed batch replaces itself. Read with :func:`current_state`.
+    """
+    spark = stream.sparkSession
+    before = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, ROCKSDB)
+    try:
+        return land_batches(stream, path, "update", once)
+    finally:
+        # a started query keeps the setting it was started with
+        spark.conf.unset(STATE_STORE) if before is None else spark.conf.set(STATE_STORE, before)
+
+
+def current_state(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str], deleted: Column | None = None) -> DataFrame:
+    """One row per key: the newest of the folded table and the batches landed since; keys whose newest row is deleted are gone."""
+    batches = landed(spark, path).drop("batch")
+    folded = read_table(spark, f"{path}/folded")
+    both = batches if folded is None else folded.drop("fold").unionByName(batches)
+    newest = latest_by(both, keys, order)
+    return newest if deleted is None else newest.where(~F.coalesce(deleted, F.lit(False)))
+
+
+def fold_state(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str]) -> None:
+    """Fold landed batches into one table, so that reading costs the keys and not their changes. The stream may run on.
+
+    The new fold is complete before the older one and the folded batches go; a run that fails between leaves rows twice, which the
+    newest-per-key read takes as one.
+    """
+    batches = sorted(int(r[0]) for r in landed(spark, path).select("batch").distinct().collect())
+    if not batches:
+        return
+    rows = landed(spark, path).where(F.col("batch") <= batches[-1]).drop("batch")
+    old = read_table(spark, f"{path}/folded")
+    folds = [] if old is None else [int(r[0]) for r in old.select("fold").distinct().collect()]
+    both = rows if old is None else old.drop("fold").unionByName(rows)
+    latest_by(both, keys, order).write.mode("overwrite").parquet(f"{path}/folded/fold={batches[-1]}")
+    for f in folds:
+        if f != batches[-1]:
+            remove_folder(f"{path}/folded/fold={f}")
+    # the newest batch stays: an empty folder has no schema
+    for b in batches[:-1]:
+        remove_folder(batch_folder(f"{path}/data", b))
+
+
 def latest_state(path: str, keys: Sequence[str], order: Sequence[str], buckets: int = 64):
-    """Batch writer: newest version per key, also when versions arrive out of order.
+    """Batch writer: newest version per key in a table that other jobs read as it is, by rewriting the touched buckets.
 
-    Replaying a batch changes nothing, because the newest version wins again.
+    Replaying a batch changes nothing, because the newest version wins again. Where readers can take the newest row per
+    key, :func:`keyed_state` costs the batch's keys only.
     """
 
     def write(df: DataFrame, batch_id: int) -> None:
@@ -151,6 +212,103 @@ def guard_dates(df: DataFrame, ts: str, as_of: Column) -> tuple[DataFrame, DataF
     return df.where(~bad), df.where(bad)
 
 
+# reasons of the dead-letter table
+BAD_DATE, LATE = "bad date", "behind the watermark"
+
+
+def land_timely(stream: DataFrame, path: str, ts: str, as_of: Column, delay: str = "1 hour", once: bool = True):
+    """Land rows fit for event time below ``good``, and all others below ``dead`` with their reason; one ledger row per batch.
+
+    A stateful operator drops rows behind its watermark without a trace. Here the watermark is kept in the ledger: the newest
+    time of all earlier batches, less ``delay``. Rows behind it and rows with a missing, zero or far-future date (one such
+    would move the watermark past all data) become dead letters, so rows in = rows landed + dead letters, batch by batch.
+    A batch reads the ledger of earlier batches only, so a replay decides as before and replaces its own folders.
+    """
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
+        ledger = read_table(spark, f"{path}/ledger")
+        mark = None
+        if ledger is not None:
+            # as text, so that it keeps the session's time zone on its way
+            mark = (F.max("newest") - F.expr(f"interval {delay}")).cast("string")
+            mark = ledger.where(F.col("batch") < batch_id).agg(mark).first()[0]
+        bad = F.coalesce(cdc.bad_dates(df, ts, as_of), F.lit(True))
+        late = F.lit(False) if mark is None else F.col(ts) < F.lit(mark).cast(df.schema[ts].dataType)
+        # the batch's numbers come from the pass that writes it
+        seen = Observation()
+        reason = F.when(bad, BAD_DATE).when(late, LATE)
+        rows = df.withColumn("reason", reason)
+        rows = rows.observe(
+            seen, F.count(F.lit(1)).alias("rows_in"), F.count_if(F.col("reason").isNull()).alias("landed"),
+            F.count_if(F.col("reason") == BAD_DATE).alias("bad"), F.count_if(F.col("reason") == LATE).alias("late"),
+            F.max(F.when(F.col("reason").isNull(), F.col(ts))).alias("newest"),
+        )
+        # one write, one pass: the kind is the outer folder
+        kind = F.when(F.col("reason").isNull(), "good").otherwise("dead")
+        rows.withColumn("kind", kind).write.mode("overwrite").partitionBy("kind").parquet(batch_folder(f"{path}/rows", batch_id))
+        m = seen.get
+        # an empty batch leaves the watermark where it was
+        row = [(m["rows_in"], m["landed"], m["bad"], m["late"], m["newest"])]
+        kinds = f"rows_in long, landed long, bad long, late long, newest {df.schema[ts].dataType.simpleString()}"
+        spark.createDataFrame(row, kinds).write.mode("overwrite").parquet(batch_folder(f"{path}/ledger", batch_id))
+
+    return land(stream, write, f"{path}/_checkpoint", once=once)
+
+
+def ledger(spark: SparkSession, path: str) -> DataFrame:
+    """One row per batch: rows in, landed, bad, late, and the newest time landed."""
+    return spark.read.parquet(f"{path}/ledger")
+
+
+def dead_letters(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/rows").where("kind = 'dead'").drop("kind", "batch")
+
+
+def timely_stream(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The rows :func:`land_timely` has landed, as a stream for stateful jobs with the same delay: none of them comes late."""
+    return spark.readStream.schema(schema).parquet(f"{path}/rows/batch=*/kind=good")
+
+
+def land_sessions(
+    spark: SparkSession, path: str, schema, ts: str, user: str = "user_id", gap: str = "30 minutes", delay: str = "1 hour"
+):
+    """Sessions of the landed rows, put out once the watermark has passed their end; state holds open sessions only."""
+    sessions = sessionize(timely_stream(spark, path, schema), ts, user=user, gap=gap, delay=delay)
+    return land_batches(sessions, f"{path}/sessions", "append")
+
+
+def close_sessions(spark: SparkSession, path: str, schema, ts: str, gap: str = "30 minutes", delay: str = "1 hour") -> None:
+    """Move the watermark past all open sessions with a row of nobody, behind the last event by more than gap and delay.
+
+    For the end of a stream; later events before that time would come late.
+    """
+    newest = ledger(spark, path).agg(F.max("newest").alias("m")).select(
+        (F.col("m") + F.expr(f"interval {gap}") + F.expr(f"interval {delay}") + F.expr("interval 1 second")).alias(ts)
+    )
+    columns = [F.col(f.name) if f.name == ts else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    newest.select(*columns).write.mode("overwrite").parquet(f"{path}/rows/batch=-1/kind=good")
+
+
+def observed_batches(path: str, ts: str):
+    """Batch writer: rows to ``data``, and one row of metrics per batch from the same pass to ``metrics``.
+
+    ``newest`` is the newest event time of the batch and ``rows`` their number, so lag and rates need no scan of the table.
+    """
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        seen = Observation()
+        df.observe(seen, F.count(F.lit(1)).alias("rows"), F.min(ts).alias("oldest"), F.max(ts).alias("newest")).write.mode(
+            "overwrite"
+        ).parquet(batch_folder(f"{path}/data", batch_id))
+        m, kind = seen.get, df.schema[ts].dataType.simpleString()
+        df.sparkSession.createDataFrame([(m["rows"], m["oldest"], m["newest"])], f"rows long, oldest {kind}, newest {kind}").write.mode(
+            "overwrite"
+        ).parquet(batch_folder(f"{path}/metrics", batch_id))
+
+    return write
+
+
 def _timed(df: DataFrame, ts: str, delay: str) -> DataFrame:
     """Event time as a zoned timestamp; the watermark only matters on streams."""
     out = df.withColumn(ts, F.col(ts).cast("timestamp"))
