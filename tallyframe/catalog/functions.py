@@ -263,11 +263,11 @@ add(
 
 def _numbers(d: Data):
     """Every installment number up to the highest, with its rows; numbers come from a series."""
-    top = d.versions.agg(F.max("installment_number")).first()[0] or 0
+    top = d.versions.agg(F.max("installment_number").alias("top"))
     counts = d.versions.groupBy(F.col("installment_number").cast("bigint").alias("generated_number")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    return tables.generate_series(d.spark, top).join(counts, "generated_number", "left")
+    return tables.series_up_to(top, "top").join(counts, "generated_number", "left")
 
 
 SERIES_SQL = """SELECT g AS generated_number, c.n FROM (SELECT unnest(generate_series(1, (SELECT max(l_linenumber)

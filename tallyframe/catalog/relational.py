@@ -539,10 +539,13 @@ add(
       WINDOW w AS (PARTITION BY status ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)""",
 )
 def _band(d: Data):
-    w = Window.partitionBy("status").orderBy("day").rowsBetween(-7, -1)
-    return _daily(d).select(
-        "day", "status", F.round(F.avg("v").over(w), 4).alias("avg_7"), F.round(F.stddev_samp("v").over(w), 4).alias("sd_7")
-    )
+    """The frame of seven days before a day, whole across segments."""
+
+    def band(rows, w):
+        week = w.rowsBetween(-7, -1)
+        return rows.withColumns({"avg_7": F.round(F.avg("v").over(week), 4), "sd_7": F.round(F.stddev_samp("v").over(week), 4)})
+
+    return ordered.with_trailing(_daily(d), ["status"], ["day"], 7, band).select("day", "status", "avg_7", "sd_7")
 
 
 @query(

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tallyframe.functions.scalars import regexp_position
-from tallyframe.operators.ordered import ROWS_PER_SEGMENT, with_previous
+from tallyframe.operators.ordered import ROWS_PER_SEGMENT, with_previous, with_trailing
 from tallyframe.operators.quantiles import exact_quantiles
+from tallyframe.operators.tables import date_spine
 
 
 def _rows(df: DataFrame, row_condition: str | None) -> DataFrame:
@@ -465,36 +466,38 @@ def within_n_moving_stdevs(
     sigma_lower: float | None = None,
     take_diffs: bool = True,
     take_logs: bool = True,
+    rows_per_segment: int = ROWS_PER_SEGMENT,
 ) -> DataFrame:
     """Periods whose (log) change leaves the band of the periods before them.
 
-    Rows are summed per period first, so the ordered windows see one row per group and period: a
-    bounded number, however many facts a group has.
+    Rows are summed per period before the shuffle. The change and its band come from one trailing frame over the summed
+    periods, which crosses segments, so a group (or a table without groups) of any number of periods is cut.
     """
     upper = sigma_threshold if sigma_upper is None else sigma_upper
     lower = -sigma_threshold if sigma_lower is None else sigma_lower
-    sums = df.groupBy(F.date_trunc(period, date_column).alias("metric_period"), *group_by).agg(
-        F.sum(F.col(column).cast("double")).alias("agg_metric_value")
-    )
-    w = Window.partitionBy(*group_by).orderBy("metric_period")
-    test = _log_metric("agg_metric_value", take_logs)
-    if take_diffs:
-        sums = sums.withColumn("prior_agg_metric_value", F.lag("agg_metric_value", lookback_periods).over(w))
-        test = test - _log_metric("prior_agg_metric_value", take_logs)
-    band = w.rowsBetween(-trend_periods, -1)
-    value = F.col("metric_test_value")
-    calc = sums.withColumn("metric_test_value", test).withColumns({
-        "metric_test_rolling_average": F.avg(value).over(band),
-        "metric_test_rolling_stddev": F.stddev_samp(value).over(band),
-    })
-    sigma = F.try_divide(
-        value - F.col("metric_test_rolling_average"), F.nullif(F.col("metric_test_rolling_stddev"), F.lit(0.0))
+    periods = df.groupBy(F.date_trunc(period, date_column).alias("metric_period"), *group_by).agg(
+        F.sum(F.col(column).cast("double")).alias("_total")
     )
+    reach = trend_periods + (lookback_periods if take_diffs else 0)
+
+    def band(rows: DataFrame, w: WindowSpec) -> DataFrame:
+        change = _log_metric("_total", take_logs)
+        if take_diffs:
+            rows = rows.withColumn("_before", F.lag("_total", lookback_periods).over(w))
+            change = change - _log_metric("_before", take_logs)
+        frame = w.rowsBetween(-trend_periods, -1)
+        return rows.withColumn("_change", change).withColumn(
+            "_sigma", F.try_divide(
+                F.col("_change") - F.avg("_change").over(frame), F.nullif(F.stddev_samp("_change").over(frame), F.lit(0.0))
+            )
+        )
+
     now = F.date_trunc(period, as_of)
-    return calc.withColumn("metric_test_sigma", sigma).where(
-        (F.col("metric_period") >= now - F.expr(f"interval {test_periods} {period}"))
-        & (F.col("metric_period") < now)
-        & ~((F.col("metric_test_sigma") >= lower) & (F.col("metric_test_sigma") <= upper))
+    tested = (F.col("metric_period") >= now - F.expr(f"interval {test_periods} {period}")) & (F.col("metric_period") < now)
+    banded = with_trailing(periods, group_by, ["metric_period"], reach, band, rows_per_segment)
+    # the result column of the check has a fixed name
+    return banded.where(tested & ~((F.col("_sigma") >= lower) & (F.col("_sigma") <= upper))).select(
+        "metric_period", *group_by, F.col("_total").alias("agg_metric_value"), F.col("_sigma").alias("metric_test_sigma")
     )
 
 
@@ -511,17 +514,13 @@ def data_every_n_datepart(
 ) -> DataFrame:
     """Slots of the calendar without rows. The end is excluded unless ``inclusive``.
 
-    The spine has one row per slot between two dates and is joined to counts per slot.
+    The spine has one row per slot between two dates, is filled by many tasks and is joined to counts per slot.
     """
     src = _rows(df, row_condition)
     lo = F.date_trunc(date_part, F.min(date_column) if start is None else start)
     hi = F.date_trunc(date_part, F.max(date_column) if end is None else end)
-    step = F.expr(f"interval {interval} {date_part}")
-    bounds = src.agg(lo.alias("_lo"), hi.alias("_hi")).where("_lo <= _hi")
-    slots = F.sequence("_lo", "_hi", step)
-    if not inclusive:
-        slots = F.filter(slots, lambda d: d < F.col("_hi"))
-    spine = bounds.select(F.explode(slots).alias("date_slot"))
+    bounds = src.agg(lo.alias("_lo"), hi.alias("_hi"))
+    spine = date_spine(bounds, "_lo", "_hi", date_part, inclusive, "date_slot", interval)
     first = src.agg(F.date_trunc(date_part, F.min(date_column)).alias("m")).scalar() if start is None else F.date_trunc(date_part, start)
     bucket = F.date_trunc(date_part, date_column)
     if interval > 1:

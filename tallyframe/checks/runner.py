@@ -80,44 +80,68 @@ class TableChecks:
     relationships: dict[str, tuple[str, str]] = field(default_factory=dict)
 
 
+def _results_of(id_: str, tests: Sequence[tuple[str, str, Column, Column, str]], check_time: Column, stage: str) -> Column:
+    """The result rows of one id, as an array where the id matches."""
+    rows = F.array(*[
+        F.struct(
+            check_time.alias("check_time"), F.lit(stage).alias("stage"), F.lit(name).alias("check_name"),
+            F.lit(kind).alias("check_type"), F.when(failed == 0, "pass").otherwise(bad).alias("status"), F.lit("{}").alias("details"),
+            total.cast("bigint").alias("rows_checked"), failed.cast("bigint").alias("rows_failed"),
+        )
+        for name, kind, total, failed, bad in tests
+    ])
+    return F.when(F.col("_id") == id_, rows)
+
+
 def declared_checks(
     tables: dict[str, DataFrame], specs: Sequence[TableChecks], check_time: Column, stage: str = "silver"
 ) -> DataFrame:
-    """Result rows of all declared checks: one scan per table for its column checks, one anti join
-    per relationship."""
-    out = []
-    for spec in specs:
-        df = tables[spec.table]
-        tests = {f"not_null:{c}": F.count_if(F.col(c).isNull()) for c in spec.not_null}
-        tests |= {
-            f"accepted_values:{c}": F.count_if(~F.col(c).isin(list(vs))) for c, vs in spec.accepted_values.items()
-        }
-        wide = df.agg(F.count(F.lit(1)).alias("_total"), *[e.alias(n) for n, e in tests.items()])
-        rows = []
-        for test in tests:
-            kind, column = test.split(":")
-            rows.append(
-                F.struct(
-                    check_time.alias("check_time"), F.lit(stage).alias("stage"),
-                    F.lit(f"{spec.table}.{column}").alias("check_name"), F.lit(kind).alias("check_type"),
-                    F.when(F.col(test) == 0, "pass").otherwise("fail").alias("status"), F.lit("{}").alias("details"),
-                    F.col("_total").alias("rows_checked"), F.col(test).alias("rows_failed"),
-                )
-            )
-        out.append(wide.select(F.inline(F.array(*rows))))
-        for column, (parent, key) in spec.relationships.items():
-            keys = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("_k")).agg(
-                F.count(F.lit(1)).alias("_n")
-            )
-            parents = tables[parent].select(F.col(key).alias("_k"), F.lit(True).alias("_found")).distinct()
-            measured = keys.join(parents, "_k", "left").agg(
-                F.coalesce(F.sum("_n"), F.lit(0)).alias("_total"),
-                F.coalesce(F.sum(F.when(F.col("_found").isNull(), F.col("_n"))), F.lit(0)).alias("_failed"),
-            )
-            out.append(
-                result_row(
-                    measured, check_time, stage, f"{spec.table}.{column}", "relationships",
-                    F.col("_total"), F.col("_failed"), bad_status="warn",
-                )
-            )
-    return union_results(out)
+    """Result rows of all declared checks, with one scan per table and one exchange of keys for all of them.
+
+    A row of a table yields one entry with the outcomes of its column checks, one per relationship it is a child in, with its
+    key, and one per relationship whose parent it is. Entries are summed per (id, key) before the shuffle, children and
+    parents of all relationships together; a key that only children have is a violation with all their rows.
+    """
+    column_tests: dict[str, list[tuple[str, str, Column]]] = {}
+    for s in specs:
+        tests = column_tests.setdefault(s.table, [])
+        tests += [("not_null", c, F.col(c).isNull()) for c in s.not_null]
+        tests += [("accepted_values", c, ~F.col(c).isin(list(vs))) for c, vs in s.accepted_values.items()]
+    # the widest table decides how many outcomes an entry can carry
+    width = max(map(len, column_tests.values()), default=0)
+    links = [(f"{s.table}.{c}", s.table, c, parent, key) for s in specs for c, (parent, key) in s.relationships.items()]
+
+    def entry(id_: str, key: Column, child: int, parent: int, outcomes: Sequence[Column] = ()) -> Column:
+        flags = [F.coalesce(o.cast("int"), F.lit(0)) for o in outcomes] + [F.lit(0)] * (width - len(outcomes))
+        return F.struct(
+            F.lit(id_).alias("_id"), key.cast("string").alias("_key"), F.lit(child).alias("_child"), F.lit(parent).alias("_parent"),
+            *[f.alias(f"_bad{i}") for i, f in enumerate(flags)],
+        )
+
+    parts = []
+    for name in dict.fromkeys([s.table for s in specs] + [parent for *_, parent, _ in links]):
+        entries = []
+        if name in column_tests:
+            entries.append(entry(name, F.lit(None), 1, 1, [bad for _, _, bad in column_tests[name]]))
+        # a missing key asks for no parent and is none
+        entries += [F.when(F.col(c).isNotNull(), entry(id_, F.col(c), 1, 0)) for id_, table, c, _, _ in links if table == name]
+        entries += [F.when(F.col(key).isNotNull(), entry(id_, F.col(key), 0, 1)) for id_, _, _, parent, key in links if parent == name]
+        parts.append(tables[name].select(F.inline(F.array_compact(F.array(*entries)))))
+    bads = [f"_bad{i}" for i in range(width)]
+    by_key = union_results(parts).groupBy("_id", "_key").agg(
+        F.sum("_child").alias("_child"), F.max("_parent").alias("_parent"), *[F.sum(b).alias(b) for b in bads]
+    )
+    wide = by_key.groupBy("_id").agg(
+        F.sum("_child").alias("_total"), F.sum(F.when(F.col("_parent") == 0, F.col("_child")).otherwise(0)).alias("_orphans"),
+        *[F.sum(b).alias(b) for b in bads],
+    )
+    # a table without rows has no entry, but its checks have a result
+    every = [(table,) for table in column_tests] + [(id_,) for id_, *_ in links]
+    ids = wide.sparkSession.createDataFrame(every, "_id string")
+    wide = ids.join(wide, "_id", "left").na.fill(0)
+    found = [
+        _results_of(table, [(f"{table}.{c}", kind, F.col("_total"), F.col(f"_bad{i}"), "fail") for i, (kind, c, _) in enumerate(tests)], check_time, stage)
+        for table, tests in column_tests.items() if tests
+    ]
+    found += [_results_of(id_, [(id_, "relationships", F.col("_total"), F.col("_orphans"), "warn")], check_time, stage) for id_, *_ in links]
+    return wide.select(F.inline(F.coalesce(*found)))

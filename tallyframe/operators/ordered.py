@@ -14,10 +14,10 @@ as well. A frame that fits one segment has no edges: there the plain window is t
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from math import ceil
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tallyframe.session import shared_path
@@ -193,3 +193,45 @@ def with_running_max(
         combine=lambda local, carried: F.when(carried.isNull() | (local >= carried), local).otherwise(carried),
         out=out, rows_per_segment=rows_per_segment,
     )
+
+
+def with_trailing(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    reach: int,
+    compute: Callable[[DataFrame, WindowSpec], DataFrame],
+    rows_per_segment: int = ROWS_PER_SEGMENT,
+) -> DataFrame:
+    """Columns that ``compute`` adds from a row and the ``reach`` rows of its key before it.
+
+    ``compute`` gets rows and the window over a key in ``order``; frames and lags of the window may look back ``reach`` rows in
+    all. Each segment is given the last rows of those before it (halo rows), at most ``reach`` per key, so
+    that its frames are whole; halo rows are left out again. Which rows a segment needs follows from their places in the key,
+    found by counts per segment and an equi-join on place over reach, also where a segment holds fewer rows than that.
+    """
+    seg = place(df, keys, order, rows_per_segment)
+    by = [F.col(o).asc() for o in order]
+    columns = [c for c in seg.columns if c != SEGMENT]
+    if seg.schema[SEGMENT].metadata == _SINGLE:
+        return compute(seg, Window.partitionBy(*keys).orderBy(*by)).drop(SEGMENT)
+    names = [f"_halo_{i}" for i in range(len(keys))]
+    sizes = seg.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)], F.col(SEGMENT).alias("_halo_seg")).agg(
+        F.count(F.lit(1)).alias("_halo_rows")
+    )
+    # at most one row per key and segment
+    along = Window.partitionBy(*names).orderBy("_halo_seg").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.withColumn("_halo_start", F.coalesce(F.sum("_halo_rows").over(along), F.lit(0)))
+    inside = Window.partitionBy(*keys, SEGMENT).orderBy(*by)
+    ranked = seg.withColumn("_halo_rank", F.row_number().over(inside) - 1)
+    cond = _null_safe(ranked, starts, list(zip(keys, names, strict=True))) & (ranked[SEGMENT] == starts["_halo_seg"])
+    placed = ranked.join(starts, cond).withColumn("_place", F.col("_halo_start") + F.col("_halo_rank"))
+    last = placed.where(F.col("_halo_rows") - F.col("_halo_rank") <= reach).select(*columns, "_place")
+    # a segment that starts at s needs the places from s - reach to s - 1
+    last = last.withColumn("_cell", F.explode(F.array(F.expr(f"_place div {reach}"), F.expr(f"_place div {reach} + 1"))))
+    heads = starts.where("_halo_start > 0").withColumn("_halo_cell", F.expr(f"_halo_start div {reach}"))
+    cond = _null_safe(last, heads, list(zip(keys, names, strict=True))) & (F.col("_cell") == F.col("_halo_cell"))
+    cond = cond & (F.col("_place") < F.col("_halo_start")) & (F.col("_place") >= F.col("_halo_start") - reach)
+    halo = last.join(heads, cond).select(*columns, F.col("_halo_seg").alias(SEGMENT), F.lit(True).alias("_is_halo"))
+    whole = placed.select(*columns, SEGMENT, F.lit(False).alias("_is_halo")).unionByName(halo)
+    return compute(whole, Window.partitionBy(*keys, SEGMENT).orderBy(*by)).where("not _is_halo").drop(SEGMENT, "_is_halo")

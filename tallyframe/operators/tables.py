@@ -109,22 +109,50 @@ def nullcheck_cols(columns: Sequence[str]) -> list[Column]:
     return [F.nullif(F.col(c), F.lit("")).alias(c) for c in columns]
 
 
+# slots that one row of the coarse level stands for
+BLOCK = 10_000
+
+
+def two_level_series(bounds: DataFrame, slots: Column, name: str = "generated_number") -> DataFrame:
+    """The columns of a one-row frame with ``name`` counting 0, 1, ... up to ``slots`` - 1; nothing is read to build it.
+
+    The row is cut into blocks, the blocks are dealt out over the tasks, and each task fills its blocks, so a spine of any
+    length is made by many tasks and no row holds more than a block.
+    """
+    parts = int(bounds.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # an explicit number: blocks are a few bytes, and would be merged into one task again
+    blocks = bounds.withColumn("_slots", slots).where(F.col("_slots") > 0).withColumn(
+        "_block", F.explode(F.expr(f"sequence(0L, (_slots - 1) div {BLOCK})"))
+    ).repartition(parts, "_block")
+    first = F.col("_block") * BLOCK
+    filled = F.sequence(first, F.least(first + BLOCK, F.col("_slots")) - 1)
+    return blocks.withColumn(name, F.explode(filled)).drop("_block", "_slots")
+
+
 def date_spine(
-    bounds: DataFrame, start: str, end: str, datepart: str = "day", inclusive: bool = False, name: str = "date_day"
+    bounds: DataFrame, start: str, end: str, datepart: str = "day", inclusive: bool = False, name: str = "date_day", step: int = 1
 ) -> DataFrame:
-    """One row per date part from ``start`` up to, not including, ``end`` of a one-row frame."""
-    step = F.expr(f"interval 1 {datepart}")
-    lo, hi = F.col(start), F.col(end)
-    dates = F.sequence(lo, hi, step)
-    if not inclusive:
-        dates = F.filter(dates, lambda d: d < hi)
-    return bounds.where(lo <= hi).select(F.explode(dates).alias(name))
+    """One row per ``step`` date parts from ``start`` up to, not including, ``end`` of a one-row frame."""
+    unit, kind = datepart.upper(), bounds.schema[start].dataType
+    lo, hi = F.col(start).cast("timestamp_ntz"), F.col(end).cast("timestamp_ntz")
+    # whole steps between the bounds, and one more unless the last of them is the excluded end
+    whole = F.expr(f"timestampdiff({unit}, cast({start} as timestamp_ntz), cast({end} as timestamp_ntz)) div {step}")
+    last = F.timestamp_add(unit, (whole * step).cast("int"), lo)
+    slots = F.when(lo <= hi, whole + 1 if inclusive else F.when(last < hi, whole + 1).otherwise(whole)).otherwise(0)
+    numbered = two_level_series(bounds.select(start, end), slots.cast("bigint"), "_slot")
+    return numbered.select(F.timestamp_add(unit, (F.col("_slot") * step).cast("int"), lo).cast(kind).alias(name))
 
 
 def generate_series(spark: SparkSession, upper: int) -> DataFrame:
     return spark.range(1, upper + 1).withColumnRenamed("id", "generated_number")
 
 
+def series_up_to(bounds: DataFrame, upper: str, name: str = "generated_number") -> DataFrame:
+    """1, 2, ... up to the value of a one-row frame, which is read when the query runs."""
+    slots = F.coalesce(F.col(upper).cast("bigint"), F.lit(0))
+    return two_level_series(bounds.select(upper), slots, "_slot").select((F.col("_slot") + 1).alias(name))
+
+
 def width_bucket(expr: Column, lo: float, hi: float, n: int) -> Column:
     """1..n inside [lo, hi), n + 1 from hi on, 0 below."""
     return F.width_bucket(expr, F.lit(float(lo)), F.lit(float(hi)), F.lit(n))

@@ -1,12 +1,14 @@
 """Segmented look-back against brute force, with one key holding most rows."""
 
+import datetime as dt
 import math
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tallyframe.operators import asof, ordered, quantiles, scd2
+from tallyframe.operators import asof, ordered, quantiles, scd2, tables
 
 
 @pytest.fixture(scope="module")
@@ -273,3 +275,46 @@ def test_as_of_finds_an_older_version_that_is_still_open(spark):
     for per in (20, 10_000):
         got = asof.asof_join(r, v, ["k"], "at", "f", "t", ["val"], tie=["val"], rows_per_segment=per).collect()
         assert sorted((x.id, -1 if x.val is None else x.val) for x in got) == want
+
+
+@pytest.mark.parametrize("per,reach", [(6, 3), (9, 20), (40, 7), (10_000, 7)])
+def test_trailing_frames_cross_segments(spark, per, reach):
+    """Equal to the plain window, also where a frame spans several segments or a segment holds few rows of a key."""
+    rng = random.Random(per)
+    rows = [(k, t, rng.randrange(100)) for k, n in (("hot", 150), ("b", 9), (None, 30), ("one", 1)) for t in rng.sample(range(1000), n)]
+    df = spark.createDataFrame(rows, "k string, t int, v int")
+
+    def compute(frame, w):
+        frame = frame.withColumn("was", F.lag("v", 1).over(w))
+        near = w.rowsBetween(1 - reach, -1)
+        return frame.withColumns({"n": F.count("v").over(near), "s": F.sum(F.col("v") - F.coalesce("was", F.lit(0))).over(near)})
+
+    got = ordered.with_trailing(df, ["k"], ["t"], reach, compute, rows_per_segment=per)
+    want = compute(df, Window.partitionBy("k").orderBy("t"))
+    assert got.columns == want.columns
+    key = lambda frame: sorted(map(str, frame.collect()))
+    assert key(got) == key(want)
+    whole = ordered.with_trailing(df.select("t", "v"), [], ["t", "v"], reach, compute, rows_per_segment=per)
+    assert key(whole) == key(compute(df.select("t", "v"), Window.partitionBy().orderBy("t", "v")))
+
+
+def test_spine_is_made_by_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(tables, "BLOCK", 7)
+    day, stamp = dt.date, dt.datetime
+    cases = [
+        (day(2024, 1, 31), day(2024, 7, 1), "month", 1), (day(2020, 2, 29), day(2024, 2, 29), "year", 1), (day(2024, 1, 1), day(2024, 2, 1), "day", 3),
+        (stamp(2024, 1, 1), stamp(2024, 1, 1, 3, 30), "minute", 5), (day(2024, 3, 1), day(2024, 2, 1), "day", 1), (day(2024, 3, 1), day(2024, 3, 1), "day", 1),
+    ]
+    for lo, hi, part, step in cases:
+        bounds = spark.createDataFrame([(lo, hi)], "lo date, hi date" if type(lo) is day else "lo timestamp_ntz, hi timestamp_ntz")
+        for inclusive in (False, True):
+            want = [r[0] for r in bounds.where("lo <= hi").select(F.explode(F.sequence("lo", "hi", F.expr(f"interval {step} {part}")))).collect()]
+            got = tables.date_spine(bounds, "lo", "hi", part, inclusive, "x", step)
+            assert sorted(r.x for r in got.collect()) == [w for w in want if inclusive or w < hi], (lo, hi, part, inclusive)
+    ten_years = spark.createDataFrame([(stamp(2014, 1, 1), stamp(2014, 1, 3))], "lo timestamp_ntz, hi timestamp_ntz")
+    spine = tables.date_spine(ten_years, "lo", "hi", "second", name="x").select("x", F.spark_partition_id().alias("p"))
+    counts = [r["count"] for r in spine.groupBy("p").count().collect()]
+    assert sum(counts) == 2 * 86_400 and len(counts) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    top = spark.createDataFrame([(23,)], "top int")
+    assert sorted(r[0] for r in tables.series_up_to(top, "top").collect()) == list(range(1, 24))
+    assert tables.series_up_to(top.where("top < 0").agg(F.max("top").alias("top")), "top").count() == 0
