@@ -51,6 +51,11 @@ def store(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def col(name: str) -> Column:
+    """A column by its whole name, which may hold dots and backticks."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 # -- numbers ---------------------------------------------------------------------------------------
 
 

@@ -35,9 +35,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyframe.llm import exchange as ex
-from tallyframe.llm.common import LOWER, U64, mix, prepare, rechunk, span_hash, store, text_bytes, u64, window_hash, words
+from tallyframe.llm.common import LOWER, U64, col, mix, prepare, rechunk, span_hash, store, text_bytes, u64, window_hash, words
 from tallyframe.llm.components import components
 
 SHINGLE = 5
@@ -519,12 +520,12 @@ def across_components(members: DataFrame, roots: DataFrame, nodes: DataFrame, do
 def link_documents(docs: DataFrame, keep: list[str]) -> DataFrame:
     """``_row`` (the columns ``keep``), ``n_shingles, node, root``: documents of one root are linked, directly or not."""
     prepare(docs.sparkSession)
-    inner = docs.select(F.struct(*keep).alias("_row"), F.col("text").alias("_text"))
-    kind = inner.schema["_row"].dataType.simpleString()
-    slim = store(
-        inner.mapInArrow(_describe, f"_row {kind}, n_shingles long, node binary, histogram binary"),
-        "jaccard-documents",
-    )
+    inner = docs.select(F.struct(*map(col, keep)).alias("_row"), F.col("text").alias("_text"))
+    described = T.StructType([
+        inner.schema["_row"], T.StructField("n_shingles", T.LongType()), T.StructField("node", T.BinaryType()),
+        T.StructField("histogram", T.BinaryType()),
+    ])
+    slim = store(inner.mapInArrow(_describe, described), "jaccard-documents")
     nodes = store(
         slim.where(F.col("node").isNotNull()).groupBy("node").agg(
             F.first("n_shingles").alias("n_shingles"), F.first("histogram").alias("histogram")
@@ -565,10 +566,14 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     Documents without words are no copies of each other and stay, whole.
     """
-    columns = docs.columns
-    linked = store(link_documents(docs, columns), "jaccard-linked")
-    chosen = linked.where(F.col("root").isNotNull()).groupBy("root").agg(
-        F.min_by("_row", F.struct(F.col("_row.doc_id").isNull(), "_row.doc_id", F.xxhash64("_row.text"))).alias("_row")
+    # the documents are stored once; groups are formed over their row numbers and pick one each
+    rows = store(
+        docs.select(F.struct(*map(col, docs.columns)).alias("_row"), F.monotonically_increasing_id().alias("_no")), "jaccard-rows"
     )
-    kept = chosen.select("_row").unionByName(linked.where(F.col("root").isNull()).select("_row"))
-    return kept.select(*(F.col(f"_row.`{c}`").alias(c) for c in columns))
+    slim = rows.select("_no", F.col("_row.doc_id").alias("doc_id"), F.col("_row.text").alias("text"), F.xxhash64("_row.text").alias("_tie"))
+    linked = link_documents(slim, ["_no", "doc_id", "_tie"])
+    first = F.struct(F.col("_row.doc_id").isNull(), "_row.doc_id", "_row._tie")
+    chosen = linked.where(F.col("root").isNotNull()).groupBy("root").agg(F.min_by("_row._no", first).alias("_no"))
+    kept = store(chosen.select("_no").unionByName(linked.where(F.col("root").isNull()).select("_row._no")), "jaccard-kept")
+    left = rows.join(kept, "_no", "left_semi")
+    return left.select(*(F.col("_row").getField(c).alias(c) for c in docs.columns))

@@ -22,8 +22,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallyframe.llm.common import U64, mix, prepare
+from tallyframe.llm.common import U64, col, mix, prepare
 
 DIM = 1024
 GRAM = 3
@@ -195,7 +196,7 @@ def predict(
     """The columns ``keep`` with ``lang_pred`` and ``score``; only the text decides."""
     spark = prepare(docs.sparkSession)
     shared = spark.sparkContext.broadcast((languages, prototypes))
-    inner = docs.select(F.struct(*keep).alias("_row"), F.col(text).alias("_text"))
+    inner = docs.select(F.struct(*map(col, keep)).alias("_row"), F.col(text).alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, known = shared.value
@@ -213,8 +214,8 @@ def predict(
                 names=["_row", "lang_pred", "score"],
             )
 
-    schema = f"_row {inner.schema['_row'].dataType.simpleString()}, lang_pred string, score double"
-    return inner.mapInArrow(run, schema).select(*(F.col(f"_row.`{c}`").alias(c) for c in keep), "lang_pred", "score")
+    schema = T.StructType([inner.schema["_row"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return inner.mapInArrow(run, schema).select(*(F.col("_row").getField(c).alias(c) for c in keep), "lang_pred", "score")
 
 
 def held_out(key: Column, folds: int = 4, fold: int = 2) -> Column:
@@ -238,10 +239,10 @@ def keep_identified(docs: DataFrame) -> DataFrame:
     """
     columns = docs.columns
     languages, prototypes = learn_prototypes(docs.where(~held_out(F.col("doc_id"))))
-    named = predict(docs.select(F.struct(*columns).alias("_all")), languages, prototypes, ["_all"], text="_all.text")
+    named = predict(docs.select(F.struct(*map(col, columns)).alias("_all")), languages, prototypes, ["_all"], text="_all.text")
     lettered = F.col("_all.text").rlike(r"\p{L}")
     unlike = (F.char_length("_all.text") >= LONG_TEXT) & (F.col("score") < LEAST_SCORE)
     rejected = F.col("lang_pred") == UNKNOWN
     if not languages:
         rejected, unlike = ~lettered, F.lit(False)
-    return named.where(~F.coalesce(rejected | unlike, F.lit(True))).select(*(F.col(f"_all.`{c}`").alias(c) for c in columns))
+    return named.where(~F.coalesce(rejected | unlike, F.lit(True))).select(*(F.col("_all").getField(c).alias(c) for c in columns))

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tallyframe.llm.common import U64, mix, number_rows, prepare, running_total, store, text_bytes, u64, words
+from tallyframe.llm.common import U64, col, mix, number_rows, prepare, running_total, store, text_bytes, u64, words
 
 WEIGHTS = (3, 1, 2)
 BLOCK_WORDS = 32
@@ -42,7 +42,7 @@ def measured(docs: DataFrame, whole: bool = False) -> DataFrame:
     """
     columns = docs.columns if whole else ["doc_id", "source"]
     inner = docs.select(
-        F.struct(*columns).alias("_row"), F.coalesce("text", F.lit("")).alias("_text"), F.xxhash64("text").alias("_tie")
+        F.struct(*map(col, columns)).alias("_row"), F.coalesce("text", F.lit("")).alias("_text"), F.xxhash64("text").alias("_tie")
     )
     schema = T.StructType([
         inner.schema["_row"], T.StructField("size", T.LongType()), T.StructField("tie", T.LongType()),
@@ -264,6 +264,6 @@ def mix_documents(docs: DataFrame, seed: int = 1, block_words: int = BLOCK_WORDS
     return new.select(*(
         F.col("_cut").alias(c) if c == "text"
         else F.char_length("_cut").cast(docs.schema[c].dataType).alias(c) if c == "n_chars"
-        else F.col(f"_row.`{c}`").alias(c)
+        else F.col("_row").getField(c).alias(c)
         for c in columns
     ))
