@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tallyframe import sinks
 from tallyframe.catalog.base import AS_OF, Data, add, query
+from tallyframe.checks import stored
 from tallyframe.functions import scalars as S
 from tallyframe.operators import cdc, incremental, scd2, states
 from tallyframe.operators.latest import apply_cdc, latest_by
@@ -401,14 +403,17 @@ def _state_slice(d: Data):
 
 @query("inc_02_refuse_schema_change", "SELECT 'refused' AS outcome, count(*) AS rows_kept FROM cohorts")
 def _refuse(d: Data):
-    """A changed frame is refused before the write; the target keeps its rows."""
-    target = d.cohorts
+    """A write of a changed frame into a stored table is refused; what counts is what the table's files have afterwards."""
+    path = shared_path(d.spark, "inc02")
+    monthly = d.cohorts.withColumn("month", F.date_format("cohort_month", "yyyyMM"))
+    sinks.delete_insert(d.spark, monthly, path, ["user_id"], ["month"])
     try:
-        incremental.refuse_schema_change(target.withColumn("extra", F.lit(1)), target)
-        outcome = "accepted"
+        sinks.delete_insert(d.spark, monthly.withColumn("extra", F.lit(1)), path, ["user_id"], ["month"])
     except ValueError:
-        outcome = "refused"
-    return target.agg(F.lit(outcome).alias("outcome"), F.count(F.lit(1)).alias("rows_kept"))
+        pass
+    files = stored.files_of({"cohorts": d.spark.read.parquet(path)})
+    changed = F.count_if(F.exists("columns", lambda c: c["name"] == "extra")) > 0
+    return files.agg(F.when(changed, "accepted").otherwise("refused").alias("outcome"), F.sum("file_rows").alias("rows_kept"))
 
 
 @query(
@@ -417,6 +422,5 @@ def _refuse(d: Data):
       FROM repayment_versions""",
 )
 def _new_rows(d: Data):
-    found = incremental.has_new_rows(d.versions, "updated_at", "2001-01-01")
-    later = incremental.has_new_rows(d.versions, "updated_at", "2031-01-01")
-    return d.versions.agg(F.first(F.lit(found)).alias("new_rows"), F.first(F.lit(later)).alias("future_rows"))
+    later = incremental.new_rows(d.versions, "updated_at", "2031-01-01", "future_rows")
+    return incremental.new_rows(d.versions, "updated_at", "2001-01-01").withColumn("future_rows", later.scalar())

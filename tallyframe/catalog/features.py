@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyframe import contracts as K
 from tallyframe.catalog.base import AS_OF, Data, add, query
-from tallyframe.checks import contracts, project, runner
+from tallyframe.checks import contracts, project, runner, stored
 from tallyframe.checks.generic import missing_days
 from tallyframe.functions.scalars import clamp_far_future
 from tallyframe.operators import asof, quantiles, states
@@ -390,14 +390,9 @@ def _raw_tables(d: Data):
       SELECT 'bronze.repayments', count(*), 0 FROM repayment_versions UNION ALL SELECT 'bronze.installments', count(*), 0 FROM installments)""",
 )
 def _column_contracts(d: Data):
-    parts = [
-        df.agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(name).alias("table_name"), "row_count",
-            F.lit(len(contracts.columns_contain_set(df, K.RAW_COLUMNS[name]))).alias("missing"),
-        )
-        for name, df in _raw_tables(d).items()
-    ]
-    return runner.union_results(parts)
+    """Contract columns missing from the files of the raw tables, and their rows, from the footers."""
+    raws = {name: d.stored(name, lambda df=df: df) for name, df in _raw_tables(d).items()}
+    return stored.coverage(stored.files_of(raws), {name: K.RAW_COLUMNS[name] for name in raws})
 
 
 @query(

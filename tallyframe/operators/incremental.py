@@ -35,3 +35,9 @@ def refuse_schema_change(df: DataFrame, target: DataFrame) -> None:
 def has_new_rows(df: DataFrame, column: str, since) -> bool:
     """Whether anything arrived after ``since``; stops at the first row found."""
     return not df.where(F.col(column) > F.lit(since)).select(column).limit(1).isEmpty()
+
+
+def new_rows(df: DataFrame, column: str, since, name: str = "new_rows") -> DataFrame:
+    """The same as a one-row frame, for use inside a plan: whether anything arrived after ``since``."""
+    first = df.where(F.col(column) > F.lit(since)).select(column).limit(1)
+    return first.agg((F.count(F.lit(1)) > 0).alias(name))
