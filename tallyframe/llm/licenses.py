@@ -105,6 +105,51 @@ SENTENCES = {
     "spdx-gpl3": "SPDX-License-Identifier: GPL-3.0-only",
     "spdx-bsd3": "SPDX-License-Identifier: BSD-3-Clause",
     "spdx-cc-by": "SPDX-License-Identifier: CC-BY-4.0",
+    "lgpl21-later": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your "
+        "option) any later version."
+    ),
+    "lgpl-warranty": (
+        "This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
+        "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."
+    ),
+    "lgpl-details": "See the GNU Lesser General Public License for more details.",
+    "agpl3-later": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
+        "option) any later version."
+    ),
+    "agpl-details": "See the GNU Affero General Public License for more details.",
+    "boost-notice": "Distributed under the Boost Software License, Version 1.0.",
+    "epl-notice": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 "
+        "which is available at https://www.eclipse.org/legal/epl-2.0/"
+    ),
+    "unlicense-more": "For more information, please refer to <https://unlicense.org/>",
+    "unlicense-more-http": "For more information, please refer to <http://unlicense.org/>",
+    "zlib-grant": (
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to "
+        "alter it and redistribute it freely, subject to the following restrictions:"
+    ),
+    "spdx-agpl3": "SPDX-License-Identifier: AGPL-3.0-only",
+    "spdx-agpl3-later": "SPDX-License-Identifier: AGPL-3.0-or-later",
+    "spdx-boost": "SPDX-License-Identifier: BSL-1.0",
+    "spdx-bsd2": "SPDX-License-Identifier: BSD-2-Clause",
+    "spdx-cc-by-sa": "SPDX-License-Identifier: CC-BY-SA-4.0",
+    "spdx-cc0": "SPDX-License-Identifier: CC0-1.0",
+    "spdx-epl": "SPDX-License-Identifier: EPL-2.0",
+    "spdx-gpl2": "SPDX-License-Identifier: GPL-2.0-only",
+    "spdx-gpl2-later": "SPDX-License-Identifier: GPL-2.0-or-later",
+    "spdx-gpl3-later": "SPDX-License-Identifier: GPL-3.0-or-later",
+    "spdx-isc": "SPDX-License-Identifier: ISC",
+    "spdx-lgpl21": "SPDX-License-Identifier: LGPL-2.1-only",
+    "spdx-lgpl21-later": "SPDX-License-Identifier: LGPL-2.1-or-later",
+    "spdx-lgpl3": "SPDX-License-Identifier: LGPL-3.0-only",
+    "spdx-lgpl3-later": "SPDX-License-Identifier: LGPL-3.0-or-later",
+    "spdx-mpl": "SPDX-License-Identifier: MPL-2.0",
+    "spdx-unlicense": "SPDX-License-Identifier: Unlicense",
+    "spdx-zlib": "SPDX-License-Identifier: Zlib",
 }
 # A licence and the sentences, in order, that state it.
 RULES = [
@@ -134,6 +179,31 @@ RULES = [
     ("MIT", ["mit-grant-notice", "mit-as-is"]),
     ("MIT", ["spdx-mit"]),
     ("MPL-2.0", ["mpl-notice"]),
+    ("AGPL-3.0", ["spdx-agpl3"]),
+    ("AGPL-3.0-or-later", ["agpl3-later", "gpl-warranty", "agpl-details"]),
+    ("AGPL-3.0-or-later", ["spdx-agpl3-later"]),
+    ("BSD-2-Clause", ["spdx-bsd2"]),
+    ("BSL-1.0", ["boost-notice"]),
+    ("BSL-1.0", ["spdx-boost"]),
+    ("CC-BY-SA-4.0", ["spdx-cc-by-sa"]),
+    ("CC0-1.0", ["spdx-cc0"]),
+    ("EPL-2.0", ["epl-notice"]),
+    ("EPL-2.0", ["spdx-epl"]),
+    ("GPL-2.0", ["spdx-gpl2"]),
+    ("GPL-2.0-or-later", ["spdx-gpl2-later"]),
+    ("GPL-3.0-or-later", ["spdx-gpl3-later"]),
+    ("ISC", ["spdx-isc"]),
+    ("LGPL-2.1", ["spdx-lgpl21"]),
+    ("LGPL-2.1-or-later", ["lgpl21-later", "lgpl-warranty", "lgpl-details"]),
+    ("LGPL-2.1-or-later", ["spdx-lgpl21-later"]),
+    ("LGPL-3.0", ["spdx-lgpl3"]),
+    ("LGPL-3.0-or-later", ["spdx-lgpl3-later"]),
+    ("MPL-2.0", ["spdx-mpl"]),
+    ("Unlicense", ["unlicense-more"]),
+    ("Unlicense", ["unlicense-more-http"]),
+    ("Unlicense", ["spdx-unlicense"]),
+    ("Zlib", ["zlib-grant"]),
+    ("Zlib", ["spdx-zlib"]),
 ]
 # only sentences with one of these are looked up; the others need no normalising
 KEYWORDS = ["licen", "copyright", "permission", "warrant", "redistribut"]
@@ -231,12 +301,14 @@ def oracle_sql() -> str:
         return "'" + s.replace("'", "''") + "'"
 
     def sequence(text: str) -> str:
-        marked = f"regexp_replace({text}, '([.!?;])[ \\t\\r\\n]+', E'\\\\1\\n', 'g')"
+        # without look-behind: the dot between a "v" and its number becomes a comma, which ends no sentence
+        joined = f"regexp_replace({text}, '([^A-Za-z0-9][vV])\\.([ \\t\\r\\n]+[0-9])', '\\1,\\2', 'g')"
+        marked = f"regexp_replace({joined}, '([.!?;])[ \\t\\r\\n]+', E'\\\\1\\n', 'g')"
         plain = (
             f"list_transform(string_split({marked}, chr(10)), lambda u: "
             f"trim(regexp_replace(translate(u, '{UPPER}', '{LOWER}'), '[^a-z0-9]+', ' ', 'g')))"
         )
-        known = "[" + ", ".join(quoted(p) for p in PARTS) + "]"
+        known = "[" + ", ".join(quoted(p) for p in WHOLE) + "]"
         ids = f"list_filter(list_transform({plain}, lambda u: coalesce(list_position({known}, u), 0)), lambda k: k > 0)"
         return f"coalesce(array_to_string(list_transform({ids}, lambda k: ' ' || k || ' '), ''), '')"
 

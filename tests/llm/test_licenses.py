@@ -16,6 +16,8 @@ ROWS = [
     (16, f"{S['apache-header']} {S['apache-comply']}\n{S['apache-copy']}\n{S['apache-as-is']}\n{S['apache-limits']}"),
     (17, "SPDX-License-Identifier: MIT\ncode"), (18, "é Licensed under CC BY-NC 4.0.\n"), (19, "Licensed under CC BY-NC 4.0 x"),
     (20, f"{S['gpl2-later']} {S['gpl-warranty']} {S['gpl-details']}"), (20, "dup"), (None, "Released under the MIT License."),
+    (21, S["mpl-notice"]), (22, S["mpl-notice"].replace("2.0", "1.1")), (23, S["mpl-notice"].replace("v. ", "v.\n")),
+    (24, f"{S['mpl-notice']} Copyright v. 3 and v. 4. Released under the MIT License."),
 ]
 
 
@@ -33,7 +35,7 @@ def test_rules_and_readings(spark):
     want = {
         1: "", 2: "", 3: "", 4: "MIT", 5: "MIT", 6: "MIT", 7: "MIT", 8: "MIT", 9: "", 10: "BSD-2-Clause", 11: "",
         12: "BSD-2-Clause;BSD-3-Clause", 13: "CC-BY-NC-4.0;MIT", 14: "", 15: "GPL-3.0", 16: "Apache-2.0", 17: "MIT",
-        18: "CC-BY-NC-4.0", 19: "", None: "MIT",
+        18: "CC-BY-NC-4.0", 19: "", None: "MIT", 21: "MPL-2.0", 22: "", 23: "MPL-2.0", 24: "MIT;MPL-2.0",
     }
     assert got == want
     assert [r[2] for r in found if r[0] == 20] == ["", "GPL-2.0-or-later"]
