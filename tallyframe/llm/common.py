@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 import numpy as np
@@ -18,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tallyframe.llm import files
 from tallyframe.session import shared_path, tune
 
 U64 = np.uint64
@@ -48,9 +51,31 @@ def store(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, label)
     df.write.parquet(path)
+    for made in _made.get():
+        made.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_made: ContextVar[tuple[list[str], ...]] = ContextVar("made", default=())
+
+
+@contextmanager
+def passing_tables() -> Iterator[list[str]]:
+    """Collect the folders of the tables stored inside, for a caller that deletes them once its own result is stored."""
+    made: list[str] = []
+    token = _made.set((*_made.get(), made))
+    try:
+        yield made
+    finally:
+        _made.reset(token)
+
+
+def remove(table: DataFrame) -> None:
+    """Delete a table that ``store`` has written and that no later step reads."""
+    for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+        files.remove_folder(folder)
+
+
 def col(name: str) -> Column:
     """A column by its whole name, which may hold dots and backticks."""
     return F.col("`" + name.replace("`", "``") + "`")

@@ -61,3 +61,10 @@ def read_flat(uri: str, dtype: str, start: int = 0, count: int | None = None) ->
 def flat_size(uri: str, dtype: str) -> int:
     fs, path = resolve(uri)
     return fs.get_file_info(path).size // np.dtype(dtype).itemsize
+
+
+def remove_folder(uri: str) -> None:
+    """Delete a folder of intermediate files that nothing reads any more; one that was never written is no error."""
+    fs, path = resolve(uri)
+    if fs.get_file_info(path).type == pafs.FileType.Directory:
+        fs.delete_dir(path)

@@ -38,7 +38,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyframe.llm import exchange as ex
-from tallyframe.llm.common import LOWER, U64, col, mix, prepare, rechunk, span_hash, store, text_bytes, u64, window_hash, words
+from tallyframe.llm import files
+from tallyframe.llm.common import LOWER, U64, col, mix, passing_tables, prepare, rechunk, span_hash, store, text_bytes, u64, window_hash, words
 from tallyframe.llm.components import components
 
 SHINGLE = 5
@@ -571,9 +572,14 @@ def keep_one(docs: DataFrame) -> DataFrame:
         docs.select(F.struct(*map(col, docs.columns)).alias("_row"), F.monotonically_increasing_id().alias("_no")), "jaccard-rows"
     )
     slim = rows.select("_no", F.col("_row.doc_id").alias("doc_id"), F.col("_row.text").alias("text"), F.xxhash64("_row.text").alias("_tie"))
-    linked = link_documents(slim, ["_no", "doc_id", "_tie"])
-    first = F.struct(F.col("_row.doc_id").isNull(), "_row.doc_id", "_row._tie")
-    chosen = linked.where(F.col("root").isNotNull()).groupBy("root").agg(F.min_by("_row._no", first).alias("_no"))
-    kept = store(chosen.select("_no").unionByName(linked.where(F.col("root").isNull()).select("_row._no")), "jaccard-kept")
+    with passing_tables() as passing:
+        linked = link_documents(slim, ["_no", "doc_id", "_tie"])
+        first = F.struct(F.col("_row.doc_id").isNull(), "_row.doc_id", "_row._tie")
+        chosen = linked.where(F.col("root").isNotNull()).groupBy("root").agg(F.min_by("_row._no", first).alias("_no"))
+        numbers = chosen.select("_no").unionByName(linked.where(F.col("root").isNull()).select("_row._no"))
+        kept = store(numbers, "jaccard-kept")
+    # the numbers are what is left of the join; its tables are read no more
+    for folder in passing[:-1]:
+        files.remove_folder(folder)
     left = rows.join(kept, "_no", "left_semi")
     return left.select(*(F.col("_row").getField(c).alias(c) for c in docs.columns))
