@@ -7,6 +7,11 @@
 5. token_output: the corpus as token files; per document its place in them.
 
 Every stage but the last returns the columns of ``documents``.
+
+Defined cases: a null or empty text, or one without letters, goes in the first stage; texts of any length pass whole. Rows
+of one identifier, and rows without one, are documents of their own: equal texts among them leave one document, and a
+contaminated row takes the other rows of its identifier with it. Null languages and sources count as values of their own.
+Extra columns stay as they are, whatever their names. Empty tables give an empty corpus.
 """
 
 from __future__ import annotations
