@@ -10,9 +10,11 @@ The probability of a token after another is P(its class | class of the other) *
   Full turns follow until one raises the log-likelihood of the training texts by less than ``TOLERANCE`` a token; a
   turn that lowers it is undone. The likelihood is bounded, so the exchange ends.
 * Smoothing. Transitions are mixed with the frequencies of the classes. In a class the number of its words that were
-  seen once is set aside for the words of its spelling never seen. The result is mixed with the add-one unigram model.
+  seen once is set aside for the words of its spelling never seen, and shared among as many of them as the words seen once and
+  twice let expect (Chao's estimate). The result is mixed with the add-one unigram model.
 
-Counts and classes of words travel as arrays, one row per bucket of the hash range and asking task; each batch of
+Texts are hashed once; turns read the training tokens as 32-bit places in the sorted words of their stretch. Tables of a
+half turn are deleted once the next one is stored. Counts and classes of words travel as arrays, one row per bucket of the hash range and asking task; each batch of
 documents gets the counts and classes of its own words in a file, and no task holds a table of all words.
 
 Tokens are words with A-Z in lower case and one end per text. A text's first token follows an end. Defined cases: a null or
@@ -34,7 +36,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.llm import exchange as ex
-from tallyframe.llm.common import LOWER, U64, mix, prepare, ranges, span_hash, store, text_bytes, u64, words
+from tallyframe.llm import files
+from tallyframe.llm.common import LOWER, U64, mix, prepare, ranges, remove, span_hash, store, text_bytes, u64, words
 from tallyframe.llm.language import held_out
 
 CLASSES = 96
@@ -196,22 +199,38 @@ def _tell_classes(key: tuple, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.Re
         })
 
 
-def _neighbours(folder: str, half: int, buckets: int):
+TOKENS = "batch int, places binary, names binary, spelled binary"
+
+
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Training tokens of a stretch of a batch, as 32-bit places in its sorted distinct words."""
+    for number, batch in ex.batch_runs(batches, TEXT_BYTES):
+        batch = batch.filter(pc.invert(batch.column("held_out")))
+        if not batch.num_rows:
+            continue
+        names, spelled, _ = read_tokens(batch)
+        distinct, where, places = np.unique(names, return_index=True, return_inverse=True)
+        yield pa.RecordBatch.from_pydict({
+            "batch": pa.array([number], pa.int32()), "places": pa.array([places.astype(np.int32).tobytes()], pa.binary()),
+            "names": pa.array([distinct.tobytes()], pa.binary()), "spelled": pa.array([spelled[where].tobytes()], pa.binary()),
+        })
+
+
+def _neighbours(folder: str, half: int, buckets: int, most: int = 8_000_000):
     """Transitions between classes, and for the words of a half of the vocabulary the classes before and after them."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         answers = ex.Answers(folder, CLASS_KINDS)
         matrix = np.zeros(CLASSES * CLASSES, dtype=np.int64)
-        pieces: list[tuple] = []
+        pieces: list[np.ndarray] = []
         held, now = 0, None
 
-        def summed() -> tuple[np.ndarray, np.ndarray]:
-            cells, n = (np.concatenate(x) for x in zip(*pieces, strict=True))
-            cells, inverse = np.unique(cells, return_inverse=True)
-            return cells, np.bincount(inverse, weights=n).astype(np.int64)
-
         def out() -> Iterator[pa.RecordBatch]:
-            cells, n = summed()
+            cells = np.concatenate(pieces)
+            cells.sort()
+            first = np.flatnonzero(np.append(True, cells[1:] != cells[:-1]))
+            n = np.diff(np.append(first, len(cells)))
+            cells = cells[first].astype(np.int64)
             word, cell = cells // (2 * CLASSES), (cells % (2 * CLASSES)).astype(np.uint8)
             head = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
             sizes = np.diff(np.append(head, len(word)))
@@ -223,37 +242,31 @@ def _neighbours(folder: str, half: int, buckets: int):
                 yield pa.RecordBatch.from_pydict({
                     "part": pa.array([int(k)], pa.int32()), "names": pa.array([names[own].tobytes()], pa.binary()),
                     "sizes": pa.array([sizes[own].astype(np.uint8).tobytes()], pa.binary()),
-                    "cells": pa.array([cell[inner].tobytes()], pa.binary()), "n": pa.array([n[inner].tobytes()], pa.binary()),
+                    "cells": pa.array([cell[inner].tobytes()], pa.binary()), "n": pa.array([n[inner].astype(np.int64).tobytes()], pa.binary()),
                 })
 
-        for number, batch in ex.batch_runs(batches, TEXT_BYTES):
-            if pieces and number != now:
-                yield from out()
-                pieces, held = [], 0
-            now = number
-            batch = batch.filter(pc.invert(batch.column("held_out")))
-            if not batch.num_rows:
-                continue
-            names, spelled, _ = read_tokens(batch)
-            known = answers.of(number)
-            own, at, hit = own_classes(known["names"], known["classes"], names, spelled)
-            # the token before the first of a text is an end, and so is the token before it in the array
-            before = np.append(END_CLASS, own[:-1])
-            matrix += np.bincount(before * CLASSES + own, minlength=CLASSES * CLASSES)
-            # the end of a text is never among the exchanged words, so each has a token after it
-            turn = np.flatnonzero(hit & (names % U64(2) == U64(half)))
-            if len(turn):
-                place = at[turn] * (2 * CLASSES)
-                cells = np.concatenate([place + before[turn], place + CLASSES + own[turn + 1]])
-                cells, n = np.unique(cells, return_counts=True)
-                pieces.append((cells, n))
-                held += len(cells)
-                if held > 4_000_000:
-                    pieces = [summed()]
-                    held = len(pieces[0][0])
-                    if held > 3_000_000:
-                        yield from out()
-                        pieces, held = [], 0
+        for rows in batches:
+            for number, places, names, spelled in zip(*(rows.column(c).to_pylist() for c in ("batch", "places", "names", "spelled")), strict=True):
+                if pieces and (number != now or held > most):
+                    yield from out()
+                    pieces, held = [], 0
+                now = number
+                places, names = np.frombuffer(places, dtype=np.int32), np.frombuffer(names, dtype=U64)
+                known = answers.of(number)
+                # classes and places are looked up once per distinct word and spread over the tokens
+                classes, at, hit = own_classes(known["names"], known["classes"], names, np.frombuffer(spelled, dtype=np.uint8))
+                own = classes.astype(np.int32)[places]
+                # the token before the first of a text is an end, and so is the token before it in the array
+                before = np.append(np.int32(END_CLASS), own[:-1])
+                matrix += np.bincount(before * CLASSES + own, minlength=CLASSES * CLASSES)
+                # the end of a text is never among the exchanged words, so each has a token after it
+                turn = np.flatnonzero((hit & (names % U64(2) == U64(half)))[places])
+                if len(turn):
+                    kind = np.uint32 if len(known["names"]) * 2 * CLASSES < 1 << 32 else np.uint64
+                    place = (at * (2 * CLASSES)).astype(kind)[places[turn]]
+                    pieces.append(place + before[turn].astype(kind))
+                    pieces.append(place + (CLASSES + own[turn + 1]).astype(kind))
+                    held += 2 * len(turn)
         # one row per class, so that the sums of the classes are made in different tasks
         empty = pa.array([b""] * CLASSES, pa.binary())
         yield pa.RecordBatch.from_pydict({
@@ -325,6 +338,7 @@ class Model:
 
     log_next: np.ndarray
     mass: np.ndarray
+    # mass of one word that was never seen
     unseen: np.ndarray
     n_tokens: int
     n_types: int
@@ -397,6 +411,8 @@ def exchange_classes(docs: DataFrame, words_seen: DataFrame, n_tokens: int, buck
                     yield rows.select(["bucket", "names", "classes"])
 
     table = store(words_seen.mapInArrow(exchanged, CLASS_ROW), "class-table")
+    # texts are read and hashed once for all turns
+    tokens = store(docs.mapInArrow(_tokens, TOKENS), "class-tokens")
     asked = store(
         docs.mapInArrow(_ask_classes(buckets), "bucket int, batch int, names binary"), "class-questions"
     ).withColumn("classes", F.lit(None).cast("binary"))
@@ -410,11 +426,13 @@ def exchange_classes(docs: DataFrame, words_seen: DataFrame, n_tokens: int, buck
     def moved(counted: DataFrame, matrix: np.ndarray) -> DataFrame:
         seen = counted.where("part >= 0").withColumnRenamed("part", "bucket").withColumn("classes", F.lit(None).cast("binary"))
         old = table.select("*", *(F.lit(None).cast("binary").alias(c) for c in ("sizes", "cells", "n")))
-        return store(seen.unionByName(old).groupBy("bucket").applyInArrow(_move(matrix), CLASS_ROW), "class-table")
+        new = store(seen.unionByName(old).groupBy("bucket").applyInArrow(_move(matrix), CLASS_ROW), "class-table")
+        remove(counted)
+        return new
 
     def count(half: int) -> tuple[DataFrame, np.ndarray]:
         counted = store(
-            docs.mapInArrow(_neighbours(folder, half, buckets), "part int, names binary, sizes binary, cells binary, n binary"),
+            tokens.mapInArrow(_neighbours(folder, half, buckets), "part int, names binary, sizes binary, cells binary, n binary"),
             "class-neighbours",
         )
         total = counted.where("part < 0").groupBy("part").applyInArrow(_sum_rows, "class long, n binary").toArrow()
@@ -423,20 +441,28 @@ def exchange_classes(docs: DataFrame, words_seen: DataFrame, n_tokens: int, buck
             matrix[c] = np.frombuffer(n, dtype=np.int64)
         return counted, matrix
 
+    # the tables of a half turn go once the next one is stored, but for those of the best turn
     before, turns, best = None, 0, None
     while True:
         folder = deliver()
         counted, matrix = count(0)
         now = likelihood(matrix)
         if best is None or now > before:
+            if best is not None:
+                files.remove_folder(best[2])
+                remove(best[0].table)
             best = Classes(table, turns), matrix, folder
         # a turn that lost likelihood is undone by returning the best
         if before is not None and now - before < TOLERANCE * max(n_tokens, 1):
+            for used in (counted, tokens, asked):
+                remove(used)
             return best
         before = now
         table = moved(counted, matrix)
         folder = deliver()
-        table = moved(*count(1))
+        between, table = table, moved(*count(1))
+        files.remove_folder(folder)
+        remove(between)
         turns += 1
 
 
@@ -471,21 +497,24 @@ def score_documents(docs: DataFrame) -> DataFrame:
     def per_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for counts, spelled in zip(*(b.column(c).to_pylist() for c in ("counts", "spelled")), strict=True):
-                own = np.frombuffer(spelled, dtype=np.uint8)[np.frombuffer(counts, dtype="<i8") == 1]
-                yield pa.RecordBatch.from_pydict({
-                    "class": pa.array(np.arange(CLASSES)), "once": pa.array(np.bincount(own, minlength=CLASSES).astype(np.int64)),
-                })
+                spelled, counts = np.frombuffer(spelled, dtype=np.uint8), np.frombuffer(counts, dtype="<i8")
+                few = [np.bincount(spelled[counts == k], minlength=CLASSES).astype(np.int64) for k in (1, 2)]
+                yield pa.RecordBatch.from_pydict({"class": pa.array(np.arange(CLASSES)), "once": pa.array(few[0]), "twice": pa.array(few[1])})
 
-    sums = table.mapInArrow(per_class, "class long, once long").groupBy("class").agg(F.sum("once").alias("once")).toArrow()
+    sums = table.mapInArrow(per_class, "class long, once long, twice long").groupBy("class").agg(
+        F.sum("once").alias("once"), F.sum("twice").alias("twice")
+    ).toArrow()
     # every training token stands once after another or an end
-    tokens, once = matrix.sum(axis=0), np.zeros(CLASSES)
-    once[sums["class"].to_numpy()] = sums["once"].to_numpy()
+    tokens, once, twice = matrix.sum(axis=0), np.zeros(CLASSES), np.zeros(CLASSES)
+    once[sums["class"].to_numpy()], twice[sums["class"].to_numpy()] = sums["once"].to_numpy(), sums["twice"].to_numpy()
     # a class without single words sets a half aside; the end of a text is never unseen once there is one
     unseen = np.maximum(once, 0.5)
     mass = tokens + unseen
+    # words of a class that are still to be seen, one at least
+    waiting = np.maximum(once * (once - 1) / (2 * (twice + 1)), 1.0)
     prior = mass / mass.sum()
     following = (matrix + PRIOR * prior[None, :]) / (matrix.sum(axis=1, keepdims=True) + PRIOR)
-    shared = spark.sparkContext.broadcast(Model(following, mass, unseen, int(n_tokens), int(n_types)))
+    shared = spark.sparkContext.broadcast(Model(following, mass, unseen / waiting, int(n_tokens), int(n_types)))
     return stored.mapInArrow(
         _score(shared, folder, class_folder),
         f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",

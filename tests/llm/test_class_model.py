@@ -54,6 +54,61 @@ def test_counts_and_base_scores(spark, monkeypatch, entries):
     same(result(cm.score_documents(documents(spark, rows))), brute(rows))
 
 
+def test_scores_match_a_slow_twin(spark, monkeypatch):
+    """Transitions, emissions and smoothing counted token by token over the classes that were learnt."""
+    rows = grammar(4, 90) + [(1000, None), (1001, ""), (1002, "never seen Zzz"), (None, "one more")]
+    kept, real = {}, cm.exchange_classes
+
+    def spy(*args):
+        kept["classes"], *rest = real(*args)
+        return kept["classes"], *rest
+
+    monkeypatch.setattr(cm, "exchange_classes", spy)
+    got = result(cm.score_documents(documents(spark, rows)))
+    tokens = [(i, [*words_of((t or "").translate(LOW)), None], i is not None and zlib.crc32(str(i).encode()) % 7 == 2) for i, t in rows]
+    vocabulary_ = sorted({x for _, w, _ in tokens for x in w if x is not None})
+    names, spelled, first = cm.read_tokens(pa.RecordBatch.from_pydict({"text": vocabulary_}))
+    own = kept["classes"].of(names[first[:-1]], spelled[first[:-1]]).tolist()
+    spelling = dict(zip(vocabulary_, spelled[first[:-1]].tolist(), strict=True)) | {None: cm.END_CLASS}
+    cls = dict(zip(vocabulary_, own, strict=True)) | {None: cm.END_CLASS}
+    assert any(cls[x] != spelling[x] for x in vocabulary_)
+    k = range(cm.CLASSES)
+    seen, pairs = collections.Counter(), collections.Counter()
+    for _, w, out in tokens:
+        for before, x in zip([None, *w], w, strict=False):
+            if not out:
+                seen[x] += 1
+                pairs[cls[before], cls[x]] += 1
+    n, v = sum(seen.values()), len(seen)
+    once, twice = (collections.Counter(spelling[x] for x, c in seen.items() if c == m) for m in (1, 2))
+    aside = [max(once[c], 0.5) for c in k]
+    mass = [sum(pairs[a, c] for a in k) + aside[c] for c in k]
+    share = [aside[c] / max(once[c] * (once[c] - 1) / (2 * (twice[c] + 1)), 1.0) for c in k]
+    row = [sum(pairs[a, c] for c in k) for a in k]
+    want = {}
+    for i, w, _ in tokens:
+        total = 0.0
+        for before, x in zip([None, *w], w, strict=False):
+            a, c = cls[before], cls[x]
+            step = (pairs[a, c] + cm.PRIOR * mass[c] / sum(mass)) / (row[a] + cm.PRIOR)
+            emit = (seen[x] if seen[x] else share[c]) / mass[c]
+            total += math.log10(cm.BASE_SHARE * (seen[x] + 1) / (n + v + 1) + (1 - cm.BASE_SHARE) * emit * step)
+        want[i] = total
+    for r in got:
+        assert r.score == pytest.approx(want[r.doc_id], rel=1e-9)
+
+
+def test_junk_falls_further_by_score_than_by_the_base(spark):
+    """Letter strings never seen stand out at least as clearly as by the add-one model."""
+    rng = np.random.default_rng(6)
+    held = [i for i in range(5000, 6000) if zlib.crc32(str(i).encode()) % 7 == 2]
+    junk = [(i, " ".join("".join(rng.choice(list("qxzjkvw"), size=6)) for _ in range(20))) for i in held[:20]]
+    got = result(cm.score_documents(documents(spark, grammar(3, 250) + junk)))
+    a = {k: [(r.base_score / r.n_tokens, r.score / r.n_tokens) for r in got if r.held_out and (r.doc_id >= 5000) == k] for k in (False, True)}
+    mean = lambda rows, j: sum(r[j] for r in rows) / len(rows)
+    assert len(a[True]) == 20 and mean(a[False], 1) - mean(a[True], 1) > mean(a[False], 0) - mean(a[True], 0)
+
+
 def test_classes_beat_the_base_on_held_out_texts(spark):
     rows = grammar(2)
     got = [r for r in result(cm.score_documents(documents(spark, rows))) if r.held_out]
