@@ -52,6 +52,8 @@ TASK_ELEMENTS = 2_000_000
 MAX_FILTER_BITS = 1 << 28
 # entries per bucket of the index
 BUCKET_ENTRIES = 2_000_000
+# entries that a task gathers before it cuts them into buckets
+HELD_ENTRIES = 1_000_000
 
 
 # -- sets ------------------------------------------------------------------------------------------
@@ -208,13 +210,44 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _index_rows(
+    names: list[np.ndarray], place: list[np.ndarray], nodes: list[bytes], sizes: list[int], buckets: int
+) -> pa.RecordBatch:
+    """One row per bucket that has entries, with the nodes that these entries name and no others."""
+    entry, who = np.concatenate(names), np.concatenate(place)
+    order = np.argsort(entry)
+    entry, who = entry[order], who[order]
+    listed, size = np.frombuffer(b"".join(nodes), dtype="<u8").reshape(-1, 2), np.array(sizes, dtype="<u4")
+    cuts = ex.bucket_cuts(entry, buckets)
+    out: dict[str, list] = {c: [] for c in ("bucket", "names", "place", "nodes", "sizes")}
+    for k in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
+        own = who[cuts[k] : cuts[k + 1]]
+        named, at = np.unique(own // 2, return_inverse=True)
+        kind = np.uint16 if 2 * len(named) < 1 << 16 else np.uint32
+        out["bucket"].append(k)
+        out["names"].append(entry[cuts[k] : cuts[k + 1]].tobytes())
+        out["place"].append((2 * at + own % 2).astype(kind).tobytes())
+        out["nodes"].append(listed[named].tobytes())
+        out["sizes"].append(size[named].tobytes())
+    binary = {c: pa.array(v, pa.binary()) for c, v in out.items() if c != "bucket"}
+    return pa.RecordBatch.from_pydict({"bucket": pa.array(out["bucket"], pa.int32()), **binary})
+
+
 def _index(buckets: int):
-    """Rows of a bucket: entries, the place of their set in the row's list, and the list's nodes and sizes."""
+    """Rows of a bucket: entries, the place of their set in the row's list, and the nodes and sizes of that list.
+
+    A row lists what its own entries name, so the index takes 30 bytes an entry at most, however many buckets there are.
+    Entries are gathered over ``HELD_ENTRIES`` before they are cut, which keeps rows long.
+    """
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
+        names: list[np.ndarray] = []
+        place: list[np.ndarray] = []
+        nodes: list[bytes] = []
+        sizes: list[int] = []
+        held = 0
         for _, elements, bounds in _batches(batches):
-            nodes, sizes, names, place = [], [], [], []
             for a, b in zip(bounds[:-1], bounds[1:], strict=True):
                 own = elements[a:b]
                 node = node_name(own)
@@ -225,26 +258,17 @@ def _index(buckets: int):
                     found = entries(own, space, upper)
                     names.append(found)
                     place.append(np.full(len(found), 2 * len(nodes) + upper, dtype=np.uint32))
+                    held += len(found)
                 nodes.append(node)
                 sizes.append(len(own))
+                if held >= HELD_ENTRIES:
+                    yield _index_rows(names, place, nodes, sizes, buckets)
+                    names, place, nodes, sizes, held = [], [], [], [], 0
             # copies that a task sees far apart are indexed twice, which changes nothing but the time
             if len(seen) > 1_000_000:
                 seen.clear()
-            if not nodes:
-                continue
-            names, place = np.concatenate(names), np.concatenate(place)
-            order = np.argsort(names)
-            names, place = names[order], place[order]
-            cuts = ex.bucket_cuts(names, buckets)
-            some = [k for k in range(buckets) if cuts[k + 1] > cuts[k]]
-            kind = np.uint16 if 2 * len(nodes) < 1 << 16 else np.uint32
-            yield pa.RecordBatch.from_pydict({
-                "bucket": pa.array(some, pa.int32()),
-                "names": pa.array([names[cuts[k] : cuts[k + 1]].tobytes() for k in some], pa.binary()),
-                "place": pa.array([place[cuts[k] : cuts[k + 1]].astype(kind).tobytes() for k in some], pa.binary()),
-                "nodes": pa.array([b"".join(nodes)] * len(some), pa.binary()),
-                "sizes": pa.array([np.array(sizes, dtype="<u4").tobytes()] * len(some), pa.binary()),
-            })
+        if nodes:
+            yield _index_rows(names, place, nodes, sizes, buckets)
 
     return index
 

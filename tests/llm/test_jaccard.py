@@ -130,3 +130,29 @@ def test_sets_that_cannot_pay_index_their_empty_segments():
     for s in poor:
         for space, upper in jaccard.spaces_of(len(s)):
             assert len(jaccard.entries(s, space, upper))
+
+
+def test_index_bytes_do_not_grow_with_buckets(monkeypatch):
+    """A bucket's row lists the nodes of its own entries, and rows name the same entries however they are cut."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(jaccard, "HELD_ENTRIES", 5000)
+    rows = corpus(np.random.default_rng(6))
+    batch = pa.RecordBatch.from_pydict({"text": pa.array([t for _, t in rows], pa.string())})
+
+    def index(buckets):
+        found, size = set(), 0
+        for part in jaccard._index(buckets)(iter([batch])):
+            for n, p, x, s in zip(*(part.column(c).to_pylist() for c in ("names", "place", "nodes", "sizes")), strict=True):
+                names = np.frombuffer(n, dtype="<u8")
+                place = np.frombuffer(p, dtype="<u2" if len(p) == 2 * len(names) else "<u4").astype(int)
+                nodes, sizes = np.frombuffer(x, dtype="<u8").reshape(-1, 2), np.frombuffer(s, dtype="<u4")
+                assert set((place // 2).tolist()) == set(range(len(nodes)))
+                found |= {(int(e), *nodes[k // 2].tolist(), int(sizes[k // 2]), k % 2) for e, k in zip(names, place, strict=True)}
+                size += len(n) + len(p) + len(x) + len(s)
+        return found, size
+
+    few, _ = index(1)
+    many, size = index(3000)
+    assert few == many
+    assert size <= 30 * len(many)
