@@ -93,3 +93,82 @@ def test_cells_hold_every_link():
         assert len(home) == len(x)
         for i, j in zip(*np.nonzero(x @ x.T >= least), strict=True):
             assert j in inside[home[i]]
+
+
+def unit(x):
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def close_groups(rng, n, groups, dim, spread):
+    return unit(rng.normal(size=(groups, dim))[rng.integers(groups, size=n)] + rng.normal(size=(n, dim)) * spread)
+
+
+def test_each_linked_pair_meets_in_one_cell():
+    """Pairs of two cells are compared in one of them, pairs of one cell there."""
+    rng = np.random.default_rng(9)
+    x = np.concatenate([unit(rng.normal(size=(150, 5))), close_groups(rng, 150, 6, 5, 0.25)])
+    for least in (0.5, 0.93):
+        radius = math.sqrt(2 - 2 * least) + embeddings.SLACK
+        row, cell, own = embeddings.placed_rows(x, x[rng.choice(len(x), 13, replace=False)], radius)
+        met = np.zeros((len(x), len(x)), dtype=int)
+        for c in range(13):
+            mine, copied = row[(cell == c) & own], row[(cell == c) & ~own]
+            met[np.ix_(mine, mine)] += 1
+            met[np.ix_(mine, copied)] += 1
+            met[np.ix_(copied, mine)] += 1
+        assert met.max() == 1
+        assert (met[x @ x.T >= least] == 1).all()
+
+
+def test_runs_hold_all_near_pairs_once():
+    rng = np.random.default_rng(10)
+    radius = math.sqrt(2 - 2 * 0.93) + embeddings.SLACK
+    x, y = close_groups(rng, 900, 30, 16, 0.03), close_groups(np.random.default_rng(10), 700, 30, 16, 0.05)
+    met = np.zeros((len(x), len(y)), dtype=int)
+    for rows, columns in embeddings.near_runs(x, y, radius):
+        met[np.ix_(rows, columns)] += 1
+    assert met.max() == 1
+    near = x @ y.T >= 0.93
+    assert near.sum() > 1000 and (met[near] == 1).all()
+    # groups lie apart, so most pairs are ruled out by their distances to the references
+    assert met.sum() < 0.4 * met.size
+    assert list(embeddings.near_runs(x[:0], y, radius)) == []
+
+
+def test_cells_only_where_they_pay(spark, monkeypatch):
+    """Groups that lie apart get several pivots, evenly scattered vectors one cell."""
+    # cells a fiftieth of their size, with the charge of a copied row in proportion
+    monkeypatch.setattr(embeddings, "CELL_ROWS", 40)
+    monkeypatch.setattr(embeddings, "COPY_COST", embeddings.COPY_COST / 50)
+    rng = np.random.default_rng(11)
+    rows = [(i, [float(v) for v in x], 1, 1, 64) for i, x in enumerate(close_groups(rng, 400, 8, 64, 0.02))]
+    rows += [(1000 + i, [float(v) for v in x], 2, 1, 64) for i, x in enumerate(unit(rng.normal(size=(400, 64))))]
+    reps = spark.createDataFrame(rows, "rid long, embedding array<double>, label int, weight long, dim int")
+    pivots = embeddings.pick_pivots(reps, math.sqrt(2 - 2 * 0.93) + embeddings.SLACK)
+    assert len(pivots[1, 64]) > 3
+    assert (2, 64) not in pivots or len(pivots[2, 64]) < 3
+
+
+def test_links_of_a_run_are_spanned_by_few():
+    rng = np.random.default_rng(12)
+    for share in (0.01, 0.05, 0.5):
+        links = rng.random((60, 90)) < share
+        u, v = Union(150), Union(150)
+        for i, k in zip(*np.nonzero(links), strict=True):
+            u.join(int(i), 60 + int(k))
+        i, k = embeddings._spanning(links)
+        assert len(i) <= 150 and links[i, k].all()
+        for a, b in zip(i, k, strict=True):
+            v.join(int(a), 60 + int(b))
+        assert len({(u.find(n), v.find(n)) for n in range(150)}) == len({u.find(n) for n in range(150)}) == len({v.find(n) for n in range(150)})
+
+
+def test_links_across_cells(spark, monkeypatch):
+    """Copies are free here, so that both labels are cut into cells of several blocks."""
+    monkeypatch.setattr(embeddings, "CELL_ROWS", 16)
+    monkeypatch.setattr(embeddings, "COPY_COST", 0.0)
+    picked, pick = [], embeddings.pick_pivots
+    monkeypatch.setattr(embeddings, "pick_pivots", lambda *args: picked.append(pick(*args)) or picked[-1])
+    rows = clustered(np.random.default_rng(13), 300)
+    assert result(embeddings.near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(3))) == brute(rows)
+    assert len(picked[0]) == 2 and all(len(p) > 1 for p in picked[0].values())
