@@ -21,7 +21,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -35,29 +35,38 @@ SLOTS_PER_SHARD = 1 << 16
 CELLS = 4096
 
 
-def measured(docs: DataFrame, whole: bool = False) -> DataFrame:
-    """``doc_id, source, size, tie``: the words of each document and an order among rows of one identifier.
-
-    With ``whole`` also the document itself as ``_row``.
-    """
-    columns = docs.columns if whole else ["doc_id", "source"]
+def measured(docs: DataFrame, *more: Column) -> DataFrame:
+    """``doc_id, source, size, tie``: the words of each document and an order among rows of one identifier; ``more`` columns follow."""
+    names = [f"_more{k}" for k in range(len(more))]
     inner = docs.select(
-        F.struct(*map(col, columns)).alias("_row"), F.coalesce("text", F.lit("")).alias("_text"), F.xxhash64("text").alias("_tie")
+        "doc_id", "source", F.coalesce("text", F.lit("")).alias("_text"), F.xxhash64("text").alias("tie"),
+        *(c.alias(n) for c, n in zip(more, names, strict=True)),
     )
-    schema = T.StructType([
-        inner.schema["_row"], T.StructField("size", T.LongType()), T.StructField("tie", T.LongType()),
-    ])
+    fields = inner.schema
+    schema = T.StructType([fields["doc_id"], fields["source"], T.StructField("size", T.LongType()), fields["tie"], *(fields[n] for n in names)])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             _, _, first = words(*text_bytes(batch.column("_text")))
+            sizes = pa.array(np.diff(first).astype(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_row"), pa.array(np.diff(first).astype(np.int64)), batch.column("_tie")],
-                names=["_row", "size", "tie"],
+                [sizes if f == "size" else batch.column(f) for f in schema.names], names=schema.names
             )
 
-    kept = ["_row"] if whole else []
-    return inner.mapInArrow(count, schema).select("_row.doc_id", "_row.source", "size", "tie", *kept)
+    return inner.mapInArrow(count, schema)
+
+
+_JSON = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
+def row_name(docs: DataFrame) -> Column:
+    """One value for rows that are equal in every column, fit for joins: identifier and source, and two hashes of 64 bits."""
+    rest = []
+    for f in docs.schema.fields:
+        # a hash passes over nulls, and maps have none
+        nested = isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType))
+        rest += [F.to_json(F.struct(col(f.name)), _JSON)] if nested else [col(f.name).isNull(), col(f.name)] if f.name != "text" else []
+    return F.struct("doc_id", "source", F.xxhash64("text").alias("text"), F.xxhash64(*rest).alias("rest"))
 
 
 def source_targets(
@@ -233,19 +242,23 @@ def _cut(data: bytes, starts: np.ndarray, ends: np.ndarray, pieces: list[dict])
 
 
 def mix_documents(docs: DataFrame, seed: int = 1, block_words: int = BLOCK_WORDS, **rules) -> DataFrame:
-    """The mixed corpus with the columns of ``docs``: a row per document and pass, with the words the pass takes."""
+    """The mixed corpus with the columns of ``docs``: a row per document and pass, with the words the pass takes.
+
+    Only sizes and names of the rows are put in order and stored; the texts join the pieces straight from ``docs``, which is read
+    twice and must read alike. Rows that are equal in every column are one text there, with the pieces of them all.
+    """
     spark = prepare(docs.sparkSession)
     columns = docs.columns
     order = [F.col("source").asc_nulls_last(), F.col("doc_id"), F.col("tie")]
-    placed = number_rows(measured(docs, whole=True), order, "mix-documents")
+    placed = number_rows(measured(docs, row_name(docs)), order, "mix-documents")
     targets = source_targets(placed, block_words=block_words, **rules)
     slots = slot_blocks(draw_slots(spark, targets, seed), seed)
     pieces = doc_pieces(placed, targets, block_words).join(slots, ["source_no", "block"]).groupBy(
         "part", "seq", "pass"
     ).agg(F.collect_list(F.struct("first_word", "n_words")).alias("pieces"))
-    kept = placed.where("size > 0").join(pieces, ["part", "seq"]).select(
-        "_row", F.col("_row.text").alias("_text"), "pieces"
-    )
+    named = placed.where("size > 0").join(pieces, ["part", "seq"]).select(F.col("_more0").alias("_name"), "pieces")
+    texts = docs.select(F.struct(*map(col, columns)).alias("_row"), row_name(docs).alias("_name")).dropDuplicates(["_name"])
+    kept = texts.join(named, "_name").select("_row", F.col("_row.text").alias("_text"), "pieces")
     schema = T.StructType([kept.schema["_row"], T.StructField("_cut", T.StringType())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

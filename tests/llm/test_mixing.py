@@ -107,3 +107,19 @@ def test_mixed_documents_hold_the_words_that_are_counted(spark):
             assert any(own[i : i + len(piece)] == piece for i in range(len(own)))
         seen[r.doc_id] = seen.get(r.doc_id, 0) + len(words_of(r.text))
     assert {k: seen.get(k, 0) for k in taken} == taken
+
+
+def test_texts_are_not_stored_and_equal_rows_stay_apart(spark, monkeypatch):
+    """Rows alike but for one column, or in every column, keep their own copies; what is put in order holds no text."""
+    rows = [(1, "a b c"), (1, "a b c"), (1, "a b c"), (None, "d e"), (None, "d e"), (2, "f g"), (2, "f h"), (3, ""), (4, None)]
+    marks = [(None, 5), (5, None), (5, None), (1, 1), (1, 2), (0, 0), (0, 0), (0, 0), (0, 0)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, x long, y long, tags map<string,long>, part long"
+    full = [(i, t, "en", None, None if t is None else len(t), *m, {"k": m[0]}, 9) for (i, t), m in zip(rows, marks, strict=True)]
+    stored, plain = [], mixing.number_rows
+    monkeypatch.setattr(mixing, "number_rows", lambda df, *rest: stored.append(df) or plain(df, *rest))
+    mixed = mixing.mix_documents(spark.createDataFrame(full, schema).repartition(3), block_words=1, total=2.0)
+    key = lambda r: tuple((v is not None, v) for v in r)
+    got = sorted(((r.doc_id, r.text, r.x, r.y, r.tags["k"]) for r in mixed.collect()), key=key)
+    assert got == sorted([(r[0], r[1], *m, m[0]) for r, m in zip(rows, marks, strict=True) if r[1]] * 2, key=key)
+    kept = next(df for df in stored if "tie" in df.columns)
+    assert not [r for r in kept.collect() if "a b c" in str(r.asDict(recursive=True))]
