@@ -66,7 +66,10 @@ def row_name(docs: DataFrame) -> Column:
         # a hash passes over nulls, and maps have none
         nested = isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType))
         rest += [F.to_json(F.struct(col(f.name)), _JSON)] if nested else [col(f.name).isNull(), col(f.name)] if f.name != "text" else []
-    return F.struct("doc_id", "source", F.xxhash64("text").alias("text"), F.xxhash64(*rest).alias("rest"))
+    kinds = {f.name: f.dataType.simpleString() for f in docs.select("doc_id", "source").schema.fields}
+    named = F.struct("doc_id", "source", F.xxhash64("text").alias("text"), F.xxhash64(*rest).alias("rest"))
+    # all fields may be null, as in a stored table: a join of names that differ in this would deal the texts a second time
+    return named.cast(f"struct<doc_id:{kinds['doc_id']},source:{kinds['source']},text:bigint,rest:bigint>")
 
 
 def source_targets(
