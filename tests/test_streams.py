@@ -45,6 +45,35 @@ def test_state_store_setting_is_put_back(spark, tmp_path):
     assert spark.conf.get(jobs.STATE_STORE, None) == before
 
 
+def test_state_is_written_without_counting_its_keys(spark, tmp_path, monkeypatch):
+    seen, plain = [], jobs.land_batches
+    monkeypatch.setattr(jobs, "land_batches", lambda s, *rest: seen.append(spark.conf.get(jobs.COUNT_KEYS)) or plain(s, *rest))
+    before = spark.conf.get(jobs.COUNT_KEYS, None)
+    jobs.land_state(jobs.keyed_state(feed(spark, str(tmp_path), [(1, 1, False, "x")], SCHEMA), ["k"], ["v"]), str(tmp_path))
+    assert seen == ["false"] and spark.conf.get(jobs.COUNT_KEYS, None) == before
+
+
+def test_a_finished_fold_is_read_as_it_is(spark, tmp_path):
+    """Newer batches join the fold, older ones are not read again; a fold without its mark counts with all batches."""
+    path = str(tmp_path)
+
+    def add(*rows):
+        jobs.land_state(jobs.keyed_state(feed(spark, path, rows, SCHEMA), ["k"], ["v"]), path)
+
+    def state():
+        return jobs.current_state(spark, path, ["k"], ["v"], F.col("gone")).select("k", "v")
+
+    add((1, 1, False, "a"), (2, 5, False, "b"))
+    add((1, 3, False, "c"), (3, 1, True, "d"))
+    jobs.fold_state(spark, path, ["k"], ["v"])
+    assert sorted(map(tuple, state().collect())) == [(1, 3), (2, 5)]
+    assert "Window" not in state()._jdf.queryExecution().optimizedPlan().toString()
+    add((2, 9, False, "e"), (3, 2, False, "f"))
+    assert sorted(map(tuple, state().collect())) == [(1, 3), (2, 9), (3, 2)]
+    (tmp_path / "folded" / "fold=1" / "_SUCCESS").unlink()
+    assert sorted(map(tuple, state().collect())) == [(1, 3), (2, 9), (3, 2)]
+
+
 EVENTS = "id int, user_id int, created_at timestamp"
 
 
