@@ -39,7 +39,7 @@ from pyspark.sql import types as T
 
 from tallyframe.llm import exchange as ex
 from tallyframe.llm import files
-from tallyframe.llm.common import LOWER, U64, col, mix, passing_tables, prepare, rechunk, span_hash, store, text_bytes, u64, window_hash, words
+from tallyframe.llm.common import LOWER, U64, col, mix, passing_tables, prepare, rechunk, row_hash, span_hash, store, text_bytes, u64, window_hash, words
 from tallyframe.llm.components import components
 
 SHINGLE = 5
@@ -50,6 +50,8 @@ ONE_COST, POOR_COST = 0.25, 50.0
 BLOCK_ELEMENTS = 1_000_000
 TASK_ELEMENTS = 2_000_000
 MAX_FILTER_BITS = 1 << 28
+# bits of the table that tells rows which stay from rows that may be copies, 64 a row
+MAX_DOUBT_BITS = 1 << 25
 # entries per bucket of the index
 BUCKET_ENTRIES = 2_000_000
 # entries that a task gathers before it cuts them into buckets
@@ -586,24 +588,51 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     )
 
 
+def _copies(linked: DataFrame) -> DataFrame:
+    """``_tie, _rest, keep`` of the rows that a component may lose: all but its first, and its first too if rows equal that one."""
+    rows = store(
+        linked.where(F.col("root").isNotNull()).groupBy("root", "_row").agg(F.count("*").alias("n")), "jaccard-named"
+    )
+    first = F.struct(F.col("_row.doc_id").isNull(), "_row.doc_id", "_row._tie", "_row._rest")
+    chosen = rows.groupBy("root").agg(F.min_by(F.struct("_row._tie", "_row._rest"), first).alias("best"))
+    keep = (F.col("_row._tie") == F.col("best._tie")) & (F.col("_row._rest") == F.col("best._rest"))
+    return rows.join(chosen, "root").select("_row._tie", "_row._rest", keep.alias("keep"), "n").where(
+        ~F.col("keep") | (F.col("n") > 1)
+    ).drop("n")
+
+
+def _with_doubt(rows: DataFrame, named: DataFrame) -> DataFrame:
+    """Add ``_doubt``: true for all rows whose ``_tie, _rest`` are named and for some others, by a table of bits of bounded size."""
+    bits, n = 1 << 16, named.count()
+    while bits < min(MAX_DOUBT_BITS, 32 * n):
+        bits *= 2
+    bit = F.pmod(F.xxhash64("_tie", "_rest"), F.lit(bits))
+    cells = named.select(bit.alias("_bit")).groupBy(F.expr("_bit div 64").alias("_cell")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(_bit % 64 as int)))").alias("_value")
+    )
+    met = rows.withColumn("_bit", bit).withColumn("_cell", F.expr("_bit div 64")).join(F.broadcast(cells), "_cell", "left")
+    filled = F.expr("shiftrightunsigned(_value, cast(_bit % 64 as int)) & 1L") == 1
+    return met.withColumn("_doubt", F.coalesce(filled, F.lit(False))).drop("_bit", "_cell", "_value")
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each component, with all its columns: that of the smallest ``doc_id``.
 
-    Documents without words are no copies of each other and stay, whole.
+    Documents without words are no copies of each other and stay, whole. ``docs`` is read several times and must read alike:
+    its texts are neither stored nor, but for those of the copies, shuffled. Rows are named by a hash of the text and one of the rest.
     """
-    # the documents are stored once; groups are formed over their row numbers and pick one each
-    rows = store(
-        docs.select(F.struct(*map(col, docs.columns)).alias("_row"), F.monotonically_increasing_id().alias("_no")), "jaccard-rows"
-    )
-    slim = rows.select("_no", F.col("_row.doc_id").alias("doc_id"), F.col("_row.text").alias("text"), F.xxhash64("_row.text").alias("_tie"))
+    names = [F.xxhash64("text").alias("_tie"), row_hash(docs).alias("_rest")]
     with passing_tables() as passing:
-        linked = link_documents(slim, ["_no", "doc_id", "_tie"])
-        first = F.struct(F.col("_row.doc_id").isNull(), "_row.doc_id", "_row._tie")
-        chosen = linked.where(F.col("root").isNotNull()).groupBy("root").agg(F.min_by("_row._no", first).alias("_no"))
-        numbers = chosen.select("_no").unionByName(linked.where(F.col("root").isNull()).select("_row._no"))
-        kept = store(numbers, "jaccard-kept")
-    # the numbers are what is left of the join; its tables are read no more
+        linked = link_documents(docs.select("doc_id", "text", *names), ["doc_id", "_tie", "_rest"])
+        copies = store(_copies(linked), "jaccard-copies")
+    # the names of the copies are what is left of the join; its tables are read no more
     for folder in passing[:-1]:
         files.remove_folder(folder)
-    left = rows.join(kept, "_no", "left_semi")
+    rows = _with_doubt(docs.select(F.struct(*map(col, docs.columns)).alias("_row"), *names), copies)
+    doubt = F.col("_doubt") & F.coalesce(F.col("_row.text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    # of equal rows with words one stays at most
+    single = rows.where(doubt).dropDuplicates(["_tie", "_rest"])
+    left = rows.where(~doubt).select("_row").unionByName(
+        single.join(copies.where(~F.col("keep")), ["_tie", "_rest"], "left_anti").select("_row")
+    )
     return left.select(*(F.col("_row").getField(c).alias(c) for c in docs.columns))

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tallyframe.llm.common import U64, col, mix, number_rows, prepare, running_total, store, text_bytes, u64, words
+from tallyframe.llm.common import U64, col, mix, number_rows, prepare, row_hash, running_total, store, text_bytes, u64, words
 
 WEIGHTS = (3, 1, 2)
 BLOCK_WORDS = 32
@@ -56,18 +56,10 @@ def measured(docs: DataFrame, *more: Column) -> DataFrame:
     return inner.mapInArrow(count, schema)
 
 
-_JSON = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
-
-
 def row_name(docs: DataFrame) -> Column:
     """One value for rows that are equal in every column, fit for joins: identifier and source, and two hashes of 64 bits."""
-    rest = []
-    for f in docs.schema.fields:
-        # a hash passes over nulls, and maps have none
-        nested = isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType))
-        rest += [F.to_json(F.struct(col(f.name)), _JSON)] if nested else [col(f.name).isNull(), col(f.name)] if f.name != "text" else []
     kinds = {f.name: f.dataType.simpleString() for f in docs.select("doc_id", "source").schema.fields}
-    named = F.struct("doc_id", "source", F.xxhash64("text").alias("text"), F.xxhash64(*rest).alias("rest"))
+    named = F.struct("doc_id", "source", F.xxhash64("text").alias("text"), row_hash(docs).alias("rest"))
     # all fields may be null, as in a stored table: a join of names that differ in this would deal the texts a second time
     return named.cast(f"struct<doc_id:{kinds['doc_id']},source:{kinds['source']},text:bigint,rest:bigint>")
 

@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tallyframe.llm import jaccard
 from tests.llm.helpers import LOW, Union, documents, prose, vocabulary, words_of
@@ -94,6 +95,35 @@ def test_keep_one_keeps_the_smallest_and_all_columns(spark):
     assert sorted(r.doc_id for r in got.collect()) == [1, 2, 3, 7, 9]
 
 
+def test_keep_one_neither_stores_nor_doubts_whole_texts(spark, monkeypatch):
+    """Tables on the way hold no text, rows with words that are alike in every column leave one, and few others are looked up."""
+    stored, marked = [], []
+    plain, mark = jaccard.store, jaccard._with_doubt
+    monkeypatch.setattr(jaccard, "store", lambda df, label: stored.append(plain(df, label)) or stored[-1])
+    monkeypatch.setattr(jaccard, "_with_doubt", lambda rows, named: marked.append(mark(rows, named)) or marked[-1])
+    rows = corpus(np.random.default_rng(8))
+    base = len(rows)
+    rows += [(rows[0][0], "all alike in these words")] * 3 + [(base + 1, " \t")] * 3 + [(None, "x y z")] * 2 + [(base + 2, None)] * 2
+    df = documents(spark, rows).withColumn("tags", F.create_map(F.lit("k"), F.lit(None).cast("long"))).repartition(4)
+    got = jaccard.keep_one(df)
+    assert got.columns == df.columns
+    single = {t: min((i is None, i or 0) for i, u in rows if u == t) for _, t in rows}
+    numbered = [(k, t) for k, (_, t) in enumerate(rows)]
+    best = {}
+    for k, _, root in brute(numbered):
+        if rows[k][1] and rows[k][1].strip():
+            best.setdefault(root, []).append((*single[rows[k][1]], rows[k][1]))
+    want = sorted((i for _, i, _ in (min(v, key=lambda x: x[:2]) for v in best.values())))
+    kept = got.collect()
+    assert sorted(r.doc_id or 0 for r in kept if r.text and r.text.strip()) == want
+    assert sum(r.text == " \t" for r in kept) == 3 and sum(r.text is None for r in kept) == 2
+    assert all("text" not in x.schema.simpleString() for x in stored)
+    looked = [r for r in marked[0].collect() if r._doubt]
+    names = [(r._tie, r._rest) for r in looked]
+    copies = {(r._tie, r._rest) for r in stored[-1].collect()}
+    assert copies <= set(names) and len(names) < len(rows) / 2 and len(set(names) - copies) <= len(rows) / 20
+
+
 def test_similar_sets_share_an_entry():
     """The pigeonhole: sets at and just above the threshold, of all sizes, meet in the index."""
     rng = np.random.default_rng(4)
