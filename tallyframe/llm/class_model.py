@@ -13,9 +13,11 @@ The probability of a token after another is P(its class | class of the other) *
   seen once is set aside for the words of its spelling never seen, and shared among as many of them as the words seen once and
   twice let expect (Chao's estimate). The result is mixed with the add-one unigram model.
 
-Texts are hashed once; turns read the training tokens as 32-bit places in the sorted words of their stretch. Tables of a
-half turn are deleted once the next one is stored. Counts and classes of words travel as arrays, one row per bucket of the hash range and asking task; each batch of
-documents gets the counts and classes of its own words in a file, and no task holds a table of all words.
+Texts are hashed once for the counts and the turns. Which exchanged words a batch of documents has never changes: each bucket of the
+hash range notes once which of its words every batch asked for, each batch gets their names once, and its training tokens are
+stored as 32-bit places among them. A half turn then passes one byte a word from the buckets to a batch, and places and counts of
+neighbours back. Tables of a half turn are deleted once the next one is stored. Counts and classes of words travel as arrays, one
+row per bucket and asking batch; each batch gets the counts and classes of its own words in a file, and no task holds a table of all words.
 
 Tokens are words with A-Z in lower case and one end per text. A text's first token follows an end. Defined cases: a null or
 empty text is an end alone; without any training text every count is 0 and the score is the base score; rows of one
@@ -31,7 +33,6 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +40,7 @@ from tallyframe.llm import exchange as ex
 from tallyframe.llm import files
 from tallyframe.llm.common import LOWER, U64, mix, prepare, ranges, remove, span_hash, store, text_bytes, u64, words
 from tallyframe.llm.language import held_out
+from tallyframe.session import shared_path
 
 CLASSES = 96
 # more than 1: words seen once never leave the class of their spelling
@@ -53,7 +55,10 @@ BASE_SHARE = 0.05
 END = u64(0x5851F42D4C957F2D)
 # the last class holds the end of a text and nothing else
 END_CLASS = CLASSES - 1
-CLASS_KINDS = {"names": "<u8", "classes": "u1"}
+# exchanged words of a batch, with their places in the bucket; their classes change with every half turn
+WORD_KINDS = {"names": "<u8", "at": "<i4"}
+CLASS_KINDS = {"classes": "u1"}
+ASKED_KINDS = {"batches": "<i4", "sizes": "<i4", "at": "<i4"}
 CLASS_ROW = "bucket int, names binary, classes binary"
 
 
@@ -73,6 +78,11 @@ def read_tokens(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return names, spelled, np.append(0, np.cumsum(sizes + 1))
 
 
+def _rows(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple]:
+    for b in batches:
+        yield from zip(*(b.column(c).to_pylist() for c in columns), strict=True)
+
+
 def _ask_counts(buckets: int, most: int = 2_000_000):
     """Per batch the distinct words with their training counts and spelling classes."""
 
@@ -91,17 +101,14 @@ def _ask_counts(buckets: int, most: int = 2_000_000):
             names, counts, spelled = merged(held)
             return ex.bucket_rows(now, names, {"counts": counts.astype("<i8"), "spelled": spelled}, buckets)
 
-        for number, batch in ex.batch_runs(batches, TEXT_BYTES):
+        for number, names, counts, spelled in _rows(batches, "batch", "names", "counts", "spelled"):
             if held and (number != now or size > most):
                 yield out()
                 held, size = [], 0
             now = number
-            names, spelled, first = read_tokens(batch)
-            learnt = np.repeat(~batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool), np.diff(first))
-            distinct, where, inverse = np.unique(names, return_index=True, return_inverse=True)
-            counts = np.bincount(inverse[learnt], minlength=len(distinct)).astype(np.int64)
-            held.append((distinct, counts, spelled[where]))
-            size += len(distinct)
+            names = np.frombuffer(names, dtype=U64)
+            held.append((names, np.frombuffer(counts, dtype="<i8"), np.frombuffer(spelled, dtype=np.uint8)))
+            size += len(names)
             if len(held) >= 8:
                 held = [merged(held)]
                 size = len(held[0][0])
@@ -151,76 +158,144 @@ class Classes:
         return self._sorted[0]
 
     def of(self, names: np.ndarray, spelled: np.ndarray) -> np.ndarray:
-        return own_classes(*self._sorted, names, spelled)[0]
+        return own_classes(*self._sorted, names, spelled)
 
 
-def own_classes(
-    known: np.ndarray, classes: np.ndarray, names: np.ndarray, spelled: np.ndarray
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Class of each name, its place among the sorted known names, and whether it is there."""
+def own_classes(known: np.ndarray, classes: np.ndarray, names: np.ndarray, spelled: np.ndarray) -> np.ndarray:
+    """Class of each name: that of the sorted known names, or else of its spelling."""
     at, hit = ex.look_up(known, names)
-    return np.where(hit, classes[at] if len(known) else 0, spelled).astype(np.int64), at, hit
+    return np.where(hit, classes[at] if len(known) else 0, spelled).astype(np.int64)
 
 
 def _ask_classes(buckets: int, most: int = 2_000_000):
     """Per batch its distinct words."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros(0, dtype=U64)
-        now = None
-        for number, batch in ex.batch_runs(batches, TEXT_BYTES):
-            if len(held) and (number != now or len(held) > most):
-                yield ex.bucket_rows(now, held, {}, buckets)
-                held = np.zeros(0, dtype=U64)
+        held: list[np.ndarray] = []
+        now, size = None, 0
+        for number, names in _rows(batches, "batch", "names"):
+            if held and (number != now or size > most):
+                yield ex.bucket_rows(now, np.unique(np.concatenate(held)), {}, buckets)
+                held, size = [], 0
             now = number
-            held = np.union1d(held, read_tokens(batch)[0])
-        if len(held):
-            yield ex.bucket_rows(now, held, {}, buckets)
+            held.append(np.frombuffer(names, dtype=U64))
+            size += len(held[-1])
+            if len(held) >= 8:
+                held = [np.unique(np.concatenate(held))]
+                size = len(held[0])
+        if held:
+            yield ex.bucket_rows(now, np.unique(np.concatenate(held)), {}, buckets)
 
     return ask
 
 
-def _tell_classes(key: tuple, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """To each asking batch the classes of those of its words that are exchanged."""
-    known, classes = np.zeros(0, dtype=U64), np.zeros(0, dtype=np.uint8)
-    asked: list[tuple[int, bytes]] = []
-    for part in parts:
-        for batch, names, own in zip(*(part.column(c).to_pylist() for c in ("batch", "names", "classes")), strict=True):
-            if batch is None:
-                known, classes = np.frombuffer(names, dtype=U64), np.frombuffer(own, dtype=np.uint8)
+def _link(folder: str):
+    """To each asking batch those of its words that are exchanged; the bucket keeps in files which they are."""
+
+    def link(key: tuple, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = np.zeros(0, dtype=U64)
+        asked: dict[int, list[np.ndarray]] = {}
+        for batch, names, own in _rows(parts, "batch", "names", "classes"):
+            names = np.frombuffer(names, dtype=U64)
+            if own is not None:
+                known = names
             else:
-                asked.append((batch, names))
-    for batch, names in asked:
-        at, hit = ex.look_up(known, np.frombuffer(names, dtype=U64))
-        at = at[hit]
-        yield pa.RecordBatch.from_pydict({
-            "batch": pa.array([batch], pa.int32()), "names": pa.array([known[at].tobytes()], pa.binary()),
-            "classes": pa.array([classes[at].tobytes()], pa.binary()),
-        })
+                asked.setdefault(batch, []).append(names)
+        found: list[tuple[int, np.ndarray]] = []
+        for batch in sorted(asked):
+            # a batch may have asked for a word more than once
+            at, hit = ex.look_up(known, np.concatenate(asked.pop(batch)))
+            at = np.unique(at[hit]).astype("<i4")
+            if len(at):
+                found.append((batch, at))
+        if not found:
+            return
+        files.write_flat(f"{folder}/{key[0].as_py():08d}.batches", np.array([b for b, _ in found], dtype="<i4"))
+        files.write_flat(f"{folder}/{key[0].as_py():08d}.sizes", np.array([len(at) for _, at in found], dtype="<i4"))
+        files.write_flat(f"{folder}/{key[0].as_py():08d}.at", np.concatenate([at for _, at in found]))
+        for batch, at in found:
+            yield pa.RecordBatch.from_pydict({
+                "batch": pa.array([batch], pa.int32()), "names": pa.array([known[at].tobytes()], pa.binary()),
+                "at": pa.array([at.tobytes()], pa.binary()),
+            })
+
+    return link
+
+
+def _tell_classes(folder: str):
+    """To each batch the classes of its words of a bucket, in the order of their names."""
+
+    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked = ex.Answers(folder, ASKED_KINDS)
+        for bucket, classes in _rows(batches, "bucket", "classes"):
+            own = asked.of(bucket)
+            ends = np.cumsum(own["sizes"], dtype=np.int64)
+            told = np.frombuffer(classes, dtype=np.uint8)[own["at"]]
+            for batch, a, e in zip(own["batches"].tolist(), (ends - own["sizes"]).tolist(), ends.tolist(), strict=True):
+                yield pa.RecordBatch.from_pydict({
+                    "batch": pa.array([batch], pa.int32()), "bucket": pa.array([bucket], pa.int32()),
+                    "classes": pa.array([told[a:e].tobytes()], pa.binary()),
+                })
+
+    return tell
+
+
+def _write_classes(folder: str):
+    """One file per batch: buckets are ranges of names, so their classes in turn are those of the sorted names."""
+
+    def write(key: tuple, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted(_rows(parts, "bucket", "classes"))
+        files.write_flat(f"{folder}/{key[0].as_py():08d}.classes", np.frombuffer(b"".join(c for _, c in rows), dtype=np.uint8))
+        yield pa.RecordBatch.from_pydict({"batch": pa.array([key[0].as_py()], pa.int32())})
 
+    return write
 
-TOKENS = "batch int, places binary, names binary, spelled binary"
+
+TOKENS = "batch int, places binary, names binary, counts binary, spelled binary"
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Training tokens of a stretch of a batch, as 32-bit places in its sorted distinct words."""
+    """Distinct words of a stretch of a batch with their training counts, and its training tokens as places among them."""
     for number, batch in ex.batch_runs(batches, TEXT_BYTES):
-        batch = batch.filter(pc.invert(batch.column("held_out")))
-        if not batch.num_rows:
-            continue
-        names, spelled, _ = read_tokens(batch)
+        names, spelled, first = read_tokens(batch)
         distinct, where, places = np.unique(names, return_index=True, return_inverse=True)
+        learnt = np.repeat(~batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool), np.diff(first))
+        places = places[learnt].astype(np.int32)
+        counts = np.bincount(places, minlength=len(distinct)).astype("<i8")
         yield pa.RecordBatch.from_pydict({
-            "batch": pa.array([number], pa.int32()), "places": pa.array([places.astype(np.int32).tobytes()], pa.binary()),
-            "names": pa.array([distinct.tobytes()], pa.binary()), "spelled": pa.array([spelled[where].tobytes()], pa.binary()),
+            "batch": pa.array([number], pa.int32()), "places": pa.array([places.tobytes()], pa.binary()),
+            "names": pa.array([distinct.tobytes()], pa.binary()), "counts": pa.array([counts.tobytes()], pa.binary()),
+            "spelled": pa.array([spelled[where].tobytes()], pa.binary()),
         })
 
 
-def _neighbours(folder: str, half: int, buckets: int, most: int = 8_000_000):
+def _codes(folder: str):
+    """Training tokens as places among the exchanged words of their batch; behind these, the class of any other word's spelling."""
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words_of = ex.Answers(folder, WORD_KINDS)
+        for number, places, names, spelled in _rows(batches, "batch", "places", "names", "spelled"):
+            if not places:
+                continue
+            known = words_of.of(number)["names"]
+            at, hit = ex.look_up(known, np.frombuffer(names, dtype=U64))
+            codes = np.where(hit, at, len(known) + np.frombuffer(spelled, dtype=np.uint8).astype(np.int64)).astype("<i4")
+            yield pa.RecordBatch.from_pydict({
+                "batch": pa.array([number], pa.int32()),
+                "codes": pa.array([codes[np.frombuffer(places, dtype=np.int32)].tobytes()], pa.binary()),
+            })
+
+    return code
+
+
+NEIGHBOURS = "part int, at binary, sizes binary, cells binary, n binary, many binary, total binary"
+
+
+def _neighbours(word_folder: str, folder: str, half: int, buckets: int, most: int = 8_000_000):
     """Transitions between classes, and for the words of a half of the vocabulary the classes before and after them."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        answers = ex.Answers(folder, CLASS_KINDS)
+        words_of, classes_of = ex.Answers(word_folder, WORD_KINDS), ex.Answers(folder, CLASS_KINDS)
         matrix = np.zeros(CLASSES * CLASSES, dtype=np.int64)
         pieces: list[np.ndarray] = []
         held, now = 0, None
@@ -230,49 +305,56 @@ def _neighbours(folder: str, half: int, buckets: int, most: int = 8_000_000):
             cells.sort()
             first = np.flatnonzero(np.append(True, cells[1:] != cells[:-1]))
             n = np.diff(np.append(first, len(cells)))
-            cells = cells[first].astype(np.int64)
-            word, cell = cells // (2 * CLASSES), (cells % (2 * CLASSES)).astype(np.uint8)
+            cells = cells[first]
+            word, cell = np.divmod(cells, cells.dtype.type(2 * CLASSES))
+            cell = cell.astype(np.uint8)
             head = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
-            sizes = np.diff(np.append(head, len(word)))
-            names = np.asarray(answers.of(now)["names"])[word[head]]
-            cuts = ex.bucket_cuts(names, buckets)
-            ends = np.append(0, np.cumsum(sizes))[cuts]
+            sizes = np.diff(np.append(head, len(word))).astype(np.uint8)
+            word = word[head].astype(np.int64)
+            at = words_of.of(now)["at"][word]
+            cuts = np.searchsorted(word, ex.bucket_cuts(words_of.of(now)["names"], buckets))
+            ends = np.append(head, len(cells))[cuts]
+            # a byte a count; those that do not fit stand behind one another
+            few = np.minimum(n, 255).astype(np.uint8)
             for k in np.flatnonzero(np.diff(cuts)):
                 own, inner = slice(cuts[k], cuts[k + 1]), slice(ends[k], ends[k + 1])
-                yield pa.RecordBatch.from_pydict({
-                    "part": pa.array([int(k)], pa.int32()), "names": pa.array([names[own].tobytes()], pa.binary()),
-                    "sizes": pa.array([sizes[own].astype(np.uint8).tobytes()], pa.binary()),
-                    "cells": pa.array([cell[inner].tobytes()], pa.binary()), "n": pa.array([n[inner].astype(np.int64).tobytes()], pa.binary()),
-                })
-
-        for rows in batches:
-            for number, places, names, spelled in zip(*(rows.column(c).to_pylist() for c in ("batch", "places", "names", "spelled")), strict=True):
-                if pieces and (number != now or held > most):
-                    yield from out()
-                    pieces, held = [], 0
-                now = number
-                places, names = np.frombuffer(places, dtype=np.int32), np.frombuffer(names, dtype=U64)
-                known = answers.of(number)
-                # classes and places are looked up once per distinct word and spread over the tokens
-                classes, at, hit = own_classes(known["names"], known["classes"], names, np.frombuffer(spelled, dtype=np.uint8))
-                own = classes.astype(np.int32)[places]
-                # the token before the first of a text is an end, and so is the token before it in the array
-                before = np.append(np.int32(END_CLASS), own[:-1])
-                matrix += np.bincount(before * CLASSES + own, minlength=CLASSES * CLASSES)
+                row = {
+                    "at": at[own], "sizes": sizes[own], "cells": cell[inner], "n": few[inner],
+                    "many": n[inner][few[inner] == 255].astype("<i8"),
+                }
+                yield pa.RecordBatch.from_pydict(
+                    {"part": pa.array([int(k)], pa.int32())} | {c: pa.array([x.tobytes()], pa.binary()) for c, x in row.items()}
+                    | {"total": pa.array([None], pa.binary())}
+                )
+
+        for number, codes in _rows(batches, "batch", "codes"):
+            if pieces and (number != now or held > most):
+                yield from out()
+                pieces, held = [], 0
+            if number != now:
+                names = np.asarray(words_of.of(number)["names"])
+                class_of = np.append(classes_of.of(number)["classes"], np.arange(CLASSES)).astype(np.int32)
                 # the end of a text is never among the exchanged words, so each has a token after it
-                turn = np.flatnonzero((hit & (names % U64(2) == U64(half)))[places])
-                if len(turn):
-                    kind = np.uint32 if len(known["names"]) * 2 * CLASSES < 1 << 32 else np.uint64
-                    place = (at * (2 * CLASSES)).astype(kind)[places[turn]]
-                    pieces.append(place + before[turn].astype(kind))
-                    pieces.append(place + (CLASSES + own[turn + 1]).astype(kind))
-                    held += 2 * len(turn)
+                its_turn = np.append(names % U64(2) == U64(half), np.zeros(CLASSES, dtype=bool))
+                kind = np.uint32 if len(names) * 2 * CLASSES < 1 << 32 else np.uint64
+            now = number
+            codes = np.frombuffer(codes, dtype="<i4")
+            own = class_of[codes]
+            # the token before the first of a text is an end, and so is the token before it in the array
+            before = np.append(np.int32(END_CLASS), own[:-1])
+            matrix += np.bincount(before * CLASSES + own, minlength=CLASSES * CLASSES)
+            turn = np.flatnonzero(its_turn[codes])
+            if len(turn):
+                place = codes[turn].astype(kind) * kind(2 * CLASSES)
+                pieces.append(place + before[turn].astype(kind))
+                pieces.append(place + (CLASSES + own[turn + 1]).astype(kind))
+                held += 2 * len(turn)
         # one row per class, so that the sums of the classes are made in different tasks
-        empty = pa.array([b""] * CLASSES, pa.binary())
-        yield pa.RecordBatch.from_pydict({
-            "part": pa.array(-1 - np.arange(CLASSES), pa.int32()), "names": empty, "sizes": empty, "cells": empty,
-            "n": pa.array([row.tobytes() for row in matrix.reshape(CLASSES, CLASSES)], pa.binary()),
-        })
+        none = pa.array([None] * CLASSES, pa.binary())
+        yield pa.RecordBatch.from_pydict(
+            {"part": pa.array(-1 - np.arange(CLASSES), pa.int32())} | {c: none for c in ("at", "sizes", "cells", "n", "many")}
+            | {"total": pa.array([row.tobytes() for row in matrix.reshape(CLASSES, CLASSES)], pa.binary())}
+        )
         if pieces:
             yield from out()
 
@@ -282,9 +364,9 @@ def _neighbours(folder: str, half: int, buckets: int, most: int = 8_000_000):
 def _sum_rows(key: tuple, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(CLASSES, dtype=np.int64)
     for part in parts:
-        for x in part.column("n").to_pylist():
+        for x in part.column("total").to_pylist():
             total += np.frombuffer(x, dtype=np.int64)
-    yield pa.RecordBatch.from_pydict({"class": pa.array([-1 - key[0].as_py()]), "n": pa.array([total.tobytes()], pa.binary())})
+    yield pa.RecordBatch.from_pydict({"class": pa.array([-1 - key[0].as_py()]), "total": pa.array([total.tobytes()], pa.binary())})
 
 
 def _move(matrix: np.ndarray, rows: int = 4096):
@@ -295,29 +377,27 @@ def _move(matrix: np.ndarray, rows: int = 4096):
     forward[:, END_CLASS] = backward[:, END_CLASS] = -1e9
 
     def move(key: tuple, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, now = np.zeros(0, dtype=U64), np.zeros(0, dtype=np.uint8)
+        known, now = b"", np.zeros(0, dtype=np.uint8)
         found: list[tuple] = []
-        for part in parts:
-            for names, classes, sizes, cells, n in zip(
-                *(part.column(c).to_pylist() for c in ("names", "classes", "sizes", "cells", "n")), strict=True
-            ):
-                names = np.frombuffer(names, dtype=U64)
-                if classes is not None:
-                    known, now = names, np.frombuffer(classes, dtype=np.uint8)
-                    continue
-                sizes = np.frombuffer(sizes, dtype=np.uint8)
-                found.append((np.repeat(names, sizes), np.frombuffer(cells, dtype=np.uint8), np.frombuffer(n, dtype=np.int64)))
+        for names, classes, at, sizes, cells, n, many in _rows(parts, "names", "classes", "at", "sizes", "cells", "n", "many"):
+            if classes is not None:
+                known, now = names, np.frombuffer(classes, dtype=np.uint8)
+                continue
+            n = np.frombuffer(n, dtype=np.uint8).astype(np.int64)
+            n[n == 255] = np.frombuffer(many, dtype="<i8")
+            slot = np.repeat(np.frombuffer(at, dtype="<i4"), np.frombuffer(sizes, dtype=np.uint8))
+            found.append((slot, np.frombuffer(cells, dtype=np.uint8), n))
         new = now.copy()
         if found:
-            names, cells, n = (np.concatenate(x) for x in zip(*found, strict=True))
-            slot = np.searchsorted(known, names)
-            order = np.argsort(slot, kind="stable")
-            slot, cells, n = slot[order], cells[order], n[order]
-            for base in range(0, len(known), rows):
-                a, e = np.searchsorted(slot, [base, base + rows])
-                here = min(rows, len(known) - base)
-                place = (slot[a:e] - base) * (2 * CLASSES) + cells[a:e]
-                table = np.bincount(place, weights=n[a:e], minlength=here * 2 * CLASSES).reshape(here, 2 * CLASSES)
+            # the words of each row are in order
+            bases = np.append(np.arange(0, len(now), rows), len(now))
+            cuts = [np.searchsorted(slot, bases) for slot, _, _ in found]
+            for j, base in enumerate(bases[:-1].tolist()):
+                own = [tuple(x[c[j] : c[j + 1]] for x in f) for f, c in zip(found, cuts, strict=True)]
+                slot, cells, n = (np.concatenate(x) for x in zip(*own, strict=True))
+                here = min(rows, len(now) - base)
+                place = (slot.astype(np.int64) - base) * (2 * CLASSES) + cells
+                table = np.bincount(place, weights=n, minlength=here * 2 * CLASSES).reshape(here, 2 * CLASSES)
                 # log P(class | class before) + log P(class after | class), up to what does not depend on the class
                 gain = table[:, :CLASSES] @ forward + table[:, CLASSES:] @ backward
                 old = now[base : base + here]
@@ -326,7 +406,7 @@ def _move(matrix: np.ndarray, rows: int = 4096):
                 stay = gain[np.arange(here), best] <= gain[np.arange(here), old]
                 new[base : base + here] = np.where(stay, old, best)
         yield pa.RecordBatch.from_pydict({
-            "bucket": pa.array([key[0].as_py()], pa.int32()), "names": pa.array([known.tobytes()], pa.binary()), "classes": pa.array([new.tobytes()], pa.binary()),
+            "bucket": pa.array([key[0].as_py()], pa.int32()), "names": pa.array([known], pa.binary()), "classes": pa.array([new.tobytes()], pa.binary()),
         })
 
     return move
@@ -344,19 +424,18 @@ class Model:
     n_types: int
 
 
-def _score(shared, folder: str, class_folder: str):
+def _score(shared, folder: str, word_folder: str, class_folder: str):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = shared.value
         known = ex.Answers(folder, {"names": "<u8", "counts": "<i8"})
-        exchanged = ex.Answers(class_folder, CLASS_KINDS)
+        words_of, classes_of = ex.Answers(word_folder, WORD_KINDS), ex.Answers(class_folder, CLASS_KINDS)
         for number, batch in ex.batch_runs(batches, TEXT_BYTES):
             names, spelled, first = read_tokens(batch)
             distinct, where, inverse = np.unique(names, return_index=True, return_inverse=True)
             answers = known.of(number)
             at, hit = ex.look_up(answers["names"], distinct)
             counts = np.where(hit, answers["counts"][at], 0) if len(answers["names"]) else np.zeros(len(distinct), dtype=np.int64)
-            own = exchanged.of(number)
-            classes = own_classes(own["names"], own["classes"], distinct, spelled[where])[0]
+            classes = own_classes(words_of.of(number)["names"], classes_of.of(number)["classes"], distinct, spelled[where])
             base = (counts + 1) / (model.n_tokens + model.n_types + 1)
             emit = np.where(counts > 0, counts, model.unseen[classes]) / model.mass[classes]
             own = classes[inverse]
@@ -383,7 +462,8 @@ def learn_classes(docs: DataFrame, words_seen: DataFrame, n_tokens: int, buckets
 
     ``words_seen`` has a row per bucket: ``names`` (sorted), ``counts`` and ``spelled``.
     """
-    known, matrix, _ = exchange_classes(docs, words_seen, n_tokens, buckets)
+    tokens = store(docs.mapInArrow(_tokens, TOKENS), "class-tokens")
+    known, matrix, _, _ = exchange_classes(tokens, words_seen, n_tokens, buckets)
     return known, matrix
 
 
@@ -397,8 +477,9 @@ def likelihood(matrix: np.ndarray) -> float:
     return total(matrix) - total(matrix.sum(axis=0)) - total(matrix.sum(axis=1))
 
 
-def exchange_classes(docs: DataFrame, words_seen: DataFrame, n_tokens: int, buckets: int) -> tuple[Classes, np.ndarray, str]:
-    """As ``learn_classes``, with the folder that has the classes of each batch's words."""
+def exchange_classes(tokens: DataFrame, words_seen: DataFrame, n_tokens: int, buckets: int) -> tuple[Classes, np.ndarray, str, str]:
+    """As ``learn_classes`` from the table of ``_tokens``, which is deleted; also the folders of each batch's words and their classes."""
+    spark = tokens.sparkSession
 
     def exchanged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -411,33 +492,35 @@ def exchange_classes(docs: DataFrame, words_seen: DataFrame, n_tokens: int, buck
                     yield rows.select(["bucket", "names", "classes"])
 
     table = store(words_seen.mapInArrow(exchanged, CLASS_ROW), "class-table")
-    # texts are read and hashed once for all turns
-    tokens = store(docs.mapInArrow(_tokens, TOKENS), "class-tokens")
-    asked = store(
-        docs.mapInArrow(_ask_classes(buckets), "bucket int, batch int, names binary"), "class-questions"
-    ).withColumn("classes", F.lit(None).cast("binary"))
+    no = {kind: F.lit(None).cast(kind) for kind in ("int", "binary")}
+    asked = tokens.select("batch", "names").mapInArrow(_ask_classes(buckets), "bucket int, batch int, names binary")
+    asked_folder = shared_path(spark, "class-questions")
+    linked = asked.withColumn("classes", no["binary"]).unionByName(table.withColumn("batch", no["int"])).groupBy("bucket").applyInArrow(
+        _link(asked_folder), "batch int, names binary, at binary"
+    )
+    word_folder = ex.deliver(linked, WORD_KINDS, "class-words")
+    codes = store(tokens.mapInArrow(_codes(word_folder), "batch int, codes binary"), "class-codes")
+    remove(tokens)
 
     def deliver() -> str:
-        told = asked.unionByName(table.withColumn("batch", F.lit(None).cast("int"))).groupBy("bucket").applyInArrow(
-            _tell_classes, "batch int, names binary, classes binary"
-        )
-        return ex.deliver(told, CLASS_KINDS, "class-of-words")
+        folder = shared_path(spark, "class-of-words")
+        told = table.select("bucket", "classes").mapInArrow(_tell_classes(asked_folder), "batch int, bucket int, classes binary")
+        told.groupBy("batch").applyInArrow(_write_classes(folder), "batch int").write.format("noop").mode("overwrite").save()
+        return folder
 
     def moved(counted: DataFrame, matrix: np.ndarray) -> DataFrame:
-        seen = counted.where("part >= 0").withColumnRenamed("part", "bucket").withColumn("classes", F.lit(None).cast("binary"))
-        old = table.select("*", *(F.lit(None).cast("binary").alias(c) for c in ("sizes", "cells", "n")))
+        seen = counted.where("part >= 0").withColumnRenamed("part", "bucket").drop("total")
+        seen = seen.withColumns({c: no["binary"] for c in ("names", "classes")})
+        old = table.withColumns({c: no["binary"] for c in ("at", "sizes", "cells", "n", "many")})
         new = store(seen.unionByName(old).groupBy("bucket").applyInArrow(_move(matrix), CLASS_ROW), "class-table")
         remove(counted)
         return new
 
     def count(half: int) -> tuple[DataFrame, np.ndarray]:
-        counted = store(
-            tokens.mapInArrow(_neighbours(folder, half, buckets), "part int, names binary, sizes binary, cells binary, n binary"),
-            "class-neighbours",
-        )
-        total = counted.where("part < 0").groupBy("part").applyInArrow(_sum_rows, "class long, n binary").toArrow()
+        counted = store(codes.mapInArrow(_neighbours(word_folder, folder, half, buckets), NEIGHBOURS), "class-neighbours")
+        total = counted.where("part < 0").select("part", "total").groupBy("part").applyInArrow(_sum_rows, "class long, total binary").toArrow()
         matrix = np.zeros((CLASSES, CLASSES))
-        for c, n in zip(total["class"].to_pylist(), total["n"].to_pylist(), strict=True):
+        for c, n in zip(total["class"].to_pylist(), total["total"].to_pylist(), strict=True):
             matrix[c] = np.frombuffer(n, dtype=np.int64)
         return counted, matrix
 
@@ -454,9 +537,11 @@ def exchange_classes(docs: DataFrame, words_seen: DataFrame, n_tokens: int, buck
             best = Classes(table, turns), matrix, folder
         # a turn that lost likelihood is undone by returning the best
         if before is not None and now - before < TOLERANCE * max(n_tokens, 1):
-            for used in (counted, tokens, asked):
+            for used in (counted, codes):
                 remove(used)
-            return best
+            files.remove_folder(asked_folder)
+            known, matrix, folder = best
+            return known, matrix, word_folder, folder
         before = now
         table = moved(counted, matrix)
         folder = deliver()
@@ -475,8 +560,10 @@ def score_documents(docs: DataFrame) -> DataFrame:
     )
     characters = stored.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = ex.n_buckets(characters // 24)
+    # texts are read and hashed once for the counts and all turns
+    tokens = store(stored.mapInArrow(_tokens, TOKENS), "class-tokens")
     added = store(
-        stored.mapInArrow(_ask_counts(buckets), "bucket int, batch int, names binary, counts binary, spelled binary")
+        tokens.select("batch", "names", "counts", "spelled").mapInArrow(_ask_counts(buckets), "bucket int, batch int, names binary, counts binary, spelled binary")
         .groupBy("bucket").applyInArrow(_add_counts, "batch int, names binary, counts binary, spelled binary"),
         "class-counts",
     )
@@ -492,7 +579,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     n_tokens, n_types = table.mapInArrow(totals, "tokens long, types long").agg(
         F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("types"), F.lit(0))
     ).first()
-    _, matrix, class_folder = exchange_classes(stored, table, n_tokens, buckets)
+    _, matrix, word_folder, class_folder = exchange_classes(tokens, table, n_tokens, buckets)
 
     def per_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -516,6 +603,6 @@ def score_documents(docs: DataFrame) -> DataFrame:
     following = (matrix + PRIOR * prior[None, :]) / (matrix.sum(axis=1, keepdims=True) + PRIOR)
     shared = spark.sparkContext.broadcast(Model(following, mass, unseen / waiting, int(n_tokens), int(n_types)))
     return stored.mapInArrow(
-        _score(shared, folder, class_folder),
+        _score(shared, folder, word_folder, class_folder),
         f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",
     )
