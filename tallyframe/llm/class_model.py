@@ -15,7 +15,7 @@ The probability of a token after another is P(its class | class of the other) *
 
 Texts are hashed once for the counts and the turns. Which exchanged words a batch of documents has never changes: each bucket of the
 hash range notes once which of its words every batch asked for, each batch gets their names once, and its training tokens are
-stored as 32-bit places among them. A half turn then passes one byte a word from the buckets to a batch, and places and counts of
+stored as 32-bit places among them, in flat files that the turns map. A half turn then passes one byte a word from the buckets to a batch, and places and counts of
 neighbours back. Tables of a half turn are deleted once the next one is stored. Counts and classes of words travel as arrays, one
 row per bucket and asking batch; each batch gets the counts and classes of its own words in a file, and no task holds a table of all words.
 
@@ -33,6 +33,7 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -251,39 +252,67 @@ def _write_classes(folder: str):
     return write
 
 
-TOKENS = "batch int, places binary, names binary, counts binary, spelled binary"
+class _Stretches:
+    """The tokens that a task writes, stretch behind stretch in one flat file."""
 
+    def __init__(self, folder: str):
+        self.file, self.out, self.end = f"{folder}/{TaskContext.get().partitionId():08d}.tokens", None, 0
 
-def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def add(self, tokens: np.ndarray) -> dict[str, pa.Array]:
+        """Write the tokens of a stretch; returns the columns that say where they are."""
+        self.out = self.out or files.FlatWriter(self.file)
+        self.out.write(tokens.astype("<i4"))
+        start, self.end = self.end, self.end + len(tokens)
+        return {"file": pa.array([self.file]), "start": pa.array([start], pa.int64()), "n": pa.array([len(tokens)], pa.int64())}
+
+    def close(self) -> None:
+        if self.out:
+            self.out.close()
+
+
+STRETCH = "batch int, file string, start long, n long"
+
+
+def _tokens(folder: str):
     """Distinct words of a stretch of a batch with their training counts, and its training tokens as places among them."""
-    for number, batch in ex.batch_runs(batches, TEXT_BYTES):
-        names, spelled, first = read_tokens(batch)
-        distinct, where, places = np.unique(names, return_index=True, return_inverse=True)
-        learnt = np.repeat(~batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool), np.diff(first))
-        places = places[learnt].astype(np.int32)
-        counts = np.bincount(places, minlength=len(distinct)).astype("<i8")
-        yield pa.RecordBatch.from_pydict({
-            "batch": pa.array([number], pa.int32()), "places": pa.array([places.tobytes()], pa.binary()),
-            "names": pa.array([distinct.tobytes()], pa.binary()), "counts": pa.array([counts.tobytes()], pa.binary()),
-            "spelled": pa.array([spelled[where].tobytes()], pa.binary()),
-        })
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        written = _Stretches(folder)
+        for number, batch in ex.batch_runs(batches, TEXT_BYTES):
+            names, spelled, first = read_tokens(batch)
+            distinct, where, places = np.unique(names, return_index=True, return_inverse=True)
+            learnt = np.repeat(~batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool), np.diff(first))
+            places = places[learnt]
+            counts = np.bincount(places, minlength=len(distinct)).astype("<i8")
+            yield pa.RecordBatch.from_pydict({"batch": pa.array([number], pa.int32())} | written.add(places) | {
+                "names": pa.array([distinct.tobytes()], pa.binary()), "counts": pa.array([counts.tobytes()], pa.binary()),
+                "spelled": pa.array([spelled[where].tobytes()], pa.binary()),
+            })
+        written.close()
+
+    return read
 
 
-def _codes(folder: str):
+def token_table(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The stretches of all texts, and the folder that has their training tokens."""
+    folder = shared_path(docs.sparkSession, "class-places")
+    return store(docs.mapInArrow(_tokens(folder), f"{STRETCH}, names binary, counts binary, spelled binary"), "class-tokens"), folder
+
+
+def _codes(word_folder: str, folder: str):
     """Training tokens as places among the exchanged words of their batch; behind these, the class of any other word's spelling."""
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words_of = ex.Answers(folder, WORD_KINDS)
-        for number, places, names, spelled in _rows(batches, "batch", "places", "names", "spelled"):
-            if not places:
+        words_of, written = ex.Answers(word_folder, WORD_KINDS), _Stretches(folder)
+        for number, file, start, n, names, spelled in _rows(batches, "batch", "file", "start", "n", "names", "spelled"):
+            if not n:
                 continue
             known = words_of.of(number)["names"]
             at, hit = ex.look_up(known, np.frombuffer(names, dtype=U64))
             codes = np.where(hit, at, len(known) + np.frombuffer(spelled, dtype=np.uint8).astype(np.int64)).astype("<i4")
-            yield pa.RecordBatch.from_pydict({
-                "batch": pa.array([number], pa.int32()),
-                "codes": pa.array([codes[np.frombuffer(places, dtype=np.int32)].tobytes()], pa.binary()),
-            })
+            places = files.read_flat(file, "<i4", start, n)
+            yield pa.RecordBatch.from_pydict({"batch": pa.array([number], pa.int32())} | written.add(codes[places]))
+        written.close()
 
     return code
 
@@ -327,7 +356,7 @@ def _neighbours(word_folder: str, folder: str, half: int, buckets: int, most: in
                     | {"total": pa.array([None], pa.binary())}
                 )
 
-        for number, codes in _rows(batches, "batch", "codes"):
+        for number, file, start, n in _rows(batches, "batch", "file", "start", "n"):
             if pieces and (number != now or held > most):
                 yield from out()
                 pieces, held = [], 0
@@ -338,7 +367,7 @@ def _neighbours(word_folder: str, folder: str, half: int, buckets: int, most: in
                 its_turn = np.append(names % U64(2) == U64(half), np.zeros(CLASSES, dtype=bool))
                 kind = np.uint32 if len(names) * 2 * CLASSES < 1 << 32 else np.uint64
             now = number
-            codes = np.frombuffer(codes, dtype="<i4")
+            codes = files.read_flat(file, "<i4", start, n)
             own = class_of[codes]
             # the token before the first of a text is an end, and so is the token before it in the array
             before = np.append(np.int32(END_CLASS), own[:-1])
@@ -462,8 +491,7 @@ def learn_classes(docs: DataFrame, words_seen: DataFrame, n_tokens: int, buckets
 
     ``words_seen`` has a row per bucket: ``names`` (sorted), ``counts`` and ``spelled``.
     """
-    tokens = store(docs.mapInArrow(_tokens, TOKENS), "class-tokens")
-    known, matrix, _, _ = exchange_classes(tokens, words_seen, n_tokens, buckets)
+    known, matrix, _, _ = exchange_classes(*token_table(docs), words_seen, n_tokens, buckets)
     return known, matrix
 
 
@@ -477,8 +505,10 @@ def likelihood(matrix: np.ndarray) -> float:
     return total(matrix) - total(matrix.sum(axis=0)) - total(matrix.sum(axis=1))
 
 
-def exchange_classes(tokens: DataFrame, words_seen: DataFrame, n_tokens: int, buckets: int) -> tuple[Classes, np.ndarray, str, str]:
-    """As ``learn_classes`` from the table of ``_tokens``, which is deleted; also the folders of each batch's words and their classes."""
+def exchange_classes(
+    tokens: DataFrame, token_folder: str, words_seen: DataFrame, n_tokens: int, buckets: int
+) -> tuple[Classes, np.ndarray, str, str]:
+    """As ``learn_classes`` from ``token_table``, which is deleted; also the folders of each batch's words and their classes."""
     spark = tokens.sparkSession
 
     def exchanged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -499,8 +529,13 @@ def exchange_classes(tokens: DataFrame, words_seen: DataFrame, n_tokens: int, bu
         _link(asked_folder), "batch int, names binary, at binary"
     )
     word_folder = ex.deliver(linked, WORD_KINDS, "class-words")
-    codes = store(tokens.mapInArrow(_codes(word_folder), "batch int, codes binary"), "class-codes")
+    code_folder = shared_path(spark, "class-codes")
+    coded = store(tokens.mapInArrow(_codes(word_folder, code_folder), STRETCH), "class-stretches")
     remove(tokens)
+    files.remove_folder(token_folder)
+    # the rows only name the stretches, so their size does not tell how many tasks these need
+    n_batches = coded.agg(F.countDistinct("batch")).first()[0]
+    codes = coded.repartition(max(n_batches, 1), "batch").sortWithinPartitions("batch", "file", "start")
 
     def deliver() -> str:
         folder = shared_path(spark, "class-of-words")
@@ -537,9 +572,10 @@ def exchange_classes(tokens: DataFrame, words_seen: DataFrame, n_tokens: int, bu
             best = Classes(table, turns), matrix, folder
         # a turn that lost likelihood is undone by returning the best
         if before is not None and now - before < TOLERANCE * max(n_tokens, 1):
-            for used in (counted, codes):
+            for used in (counted, coded):
                 remove(used)
-            files.remove_folder(asked_folder)
+            for used in (asked_folder, code_folder):
+                files.remove_folder(used)
             known, matrix, folder = best
             return known, matrix, word_folder, folder
         before = now
@@ -561,7 +597,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     characters = stored.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = ex.n_buckets(characters // 24)
     # texts are read and hashed once for the counts and all turns
-    tokens = store(stored.mapInArrow(_tokens, TOKENS), "class-tokens")
+    tokens, token_folder = token_table(stored)
     added = store(
         tokens.select("batch", "names", "counts", "spelled").mapInArrow(_ask_counts(buckets), "bucket int, batch int, names binary, counts binary, spelled binary")
         .groupBy("bucket").applyInArrow(_add_counts, "batch int, names binary, counts binary, spelled binary"),
@@ -579,7 +615,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     n_tokens, n_types = table.mapInArrow(totals, "tokens long, types long").agg(
         F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("types"), F.lit(0))
     ).first()
-    _, matrix, word_folder, class_folder = exchange_classes(tokens, table, n_tokens, buckets)
+    _, matrix, word_folder, class_folder = exchange_classes(tokens, token_folder, table, n_tokens, buckets)
 
     def per_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -1,6 +1,7 @@
 import collections
 import math
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -234,3 +235,44 @@ def test_no_full_turn_is_left_that_gains(spark):
         turn = known.names % 2 == half
         classes[turn] = likely.argmax(axis=1)[turn]
     assert gain_of(count()[2]) - gain_of(start) < 1e-3 * len(tokens)
+
+
+def test_half_turns_pass_no_names_and_no_tokens(spark, monkeypatch):
+    """A half turn tells a batch one byte a word, stores two bytes a cell, and reads the tokens from flat files."""
+    rows = grammar(8, 120)
+    told, stored, real = [], [], (cm.store, cm.exchange_classes)
+
+    def store(df, label):
+        out = real[0](df, label)
+        if label == "class-neighbours":
+            size = "+".join(f"coalesce(sum(octet_length({c})), 0)" for c, t in out.dtypes if t == "binary")
+            stored.append(out.where("part >= 0").selectExpr(f"({size}) as size", "sum(octet_length(cells)) as cells", "sum(octet_length(sizes)) as words").first())
+        assert label != "class-stretches" or "binary" not in dict(out.dtypes).values()
+        return out
+
+    def spy(*args):
+        out = real[1](*args)
+        told.append(out[2:])
+        return out
+
+    monkeypatch.setattr(cm, "store", store)
+    monkeypatch.setattr(cm, "exchange_classes", spy)
+    assert len(result(cm.score_documents(documents(spark, rows, parts=3)))) == 120
+    words, classes = (Path(f.removeprefix("file:")) for f in told[0])
+    assert {f.suffix for f in classes.iterdir()} - {".crc"} == {".classes"}
+    for f in classes.glob("*.classes"):
+        assert 8 * f.stat().st_size == (words / f"{f.stem}.names").stat().st_size > 0
+    assert len(stored) > 2 and all(r.size <= 2 * r.cells + 5 * r.words for r in stored)
+
+
+def test_counts_of_neighbours_beyond_a_byte(spark):
+    """Pairs that occur more often than a byte holds are counted whole."""
+    rows = [(i, "aa bb " * 300 + "cc dd cc dd") for i in range(5)]
+    names, counts, (known, matrix) = learnt(spark, rows, buckets=3)
+    assert set(known.names) == set(names) and matrix.sum() == counts.sum() + 5
+    batch = pa.RecordBatch.from_pydict({"text": [t for _, t in rows]})
+    tokens, spelled, _ = cm.read_tokens(batch)
+    own = known.of(tokens, spelled)
+    want = np.zeros((cm.CLASSES, cm.CLASSES))
+    np.add.at(want, (np.append(cm.END_CLASS, own[:-1]), own), 1)
+    assert (matrix == want).all() and want.max() >= 1495
