@@ -356,7 +356,8 @@ def _neighbours(word_folder: str, folder: str, half: int, buckets: int, most: in
                     | {"total": pa.array([None], pa.binary())}
                 )
 
-        for number, file, start, n in _rows(batches, "batch", "file", "start", "n"):
+        stretches = ((number, x) for number, found in _rows(batches, "batch", "stretches") for x in found)
+        for number, stretch in stretches:
             if pieces and (number != now or held > most):
                 yield from out()
                 pieces, held = [], 0
@@ -367,7 +368,7 @@ def _neighbours(word_folder: str, folder: str, half: int, buckets: int, most: in
                 its_turn = np.append(names % U64(2) == U64(half), np.zeros(CLASSES, dtype=bool))
                 kind = np.uint32 if len(names) * 2 * CLASSES < 1 << 32 else np.uint64
             now = number
-            codes = files.read_flat(file, "<i4", start, n)
+            codes = files.read_flat(stretch["file"], "<i4", stretch["start"], stretch["n"])
             own = class_of[codes]
             # the token before the first of a text is an end, and so is the token before it in the array
             before = np.append(np.int32(END_CLASS), own[:-1])
@@ -530,12 +531,17 @@ def exchange_classes(
     )
     word_folder = ex.deliver(linked, WORD_KINDS, "class-words")
     code_folder = shared_path(spark, "class-codes")
-    coded = store(tokens.mapInArrow(_codes(word_folder, code_folder), STRETCH), "class-stretches")
+    # a row per batch names its stretches
+    coded = store(
+        tokens.mapInArrow(_codes(word_folder, code_folder), STRETCH).groupBy("batch").agg(
+            F.sort_array(F.collect_list(F.struct("file", "start", "n"))).alias("stretches")
+        ),
+        "class-stretches",
+    )
     remove(tokens)
     files.remove_folder(token_folder)
-    # the rows only name the stretches, so their size does not tell how many tasks these need
-    n_batches = coded.agg(F.countDistinct("batch")).first()[0]
-    codes = coded.repartition(max(n_batches, 1), "batch").sortWithinPartitions("batch", "file", "start")
+    # these rows are small, whatever their batches are: as many tasks as batches count the neighbours
+    codes = coded.repartition(max(coded.count(), 1))
 
     def deliver() -> str:
         folder = shared_path(spark, "class-of-words")
